@@ -1,15 +1,16 @@
 """Safe casts to the characteristic types of a template.
 
-All casts go through ``try_cast`` so that the outcome (NULL for a value that does not fit) never depends on
-``spark.sql.ansi.enabled``.
+The functions take and return SQL expression text. A template may have hundreds of characteristics; as text each of them
+costs one call to the JVM when the plan is built. All casts are ``try_cast``, so the outcome (NULL for a value that does
+not fit) never depends on ``spark.sql.ansi.enabled``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions.text import sql_text
+
 # The type names a template may use.
 TYPES: dict[str, T.DataType] = {
     "string": T.StringType(),
@@ -28,8 +29,7 @@ FALSE_WORDS = {"false", "0", "no", "n"}
 
 # Text that Spark's non-ANSI cast reads as an integer: optional sign, digits, a fraction that is cut off, and
 # white space or control characters around it. Group 1 is the sign, group 2 the integer part (may be empty: ".5" is 0).
-_INTEGER_TEXT = r"^[\x00-\x20\x7f]*([+-]?)([0-9]*)(?:[.][0-9]*)?[\x00-\x20\x7f]*$"
-_HAS_NUMBER = r"[0-9.]"
+_INTEGER_TEXT = r"r'^[\x00-\x20\x7f]*([+-]?)([0-9]*)(?:[.][0-9]*)?[\x00-\x20\x7f]*$'"
 
 
 def spark_type(type_name: str | None) -> T.DataType:
@@ -55,35 +55,42 @@ def can_cast(source: T.DataType, target: T.DataType) -> bool:
     return False
 
 
-def blank_to_null(value: Column, source: T.DataType | None = None) -> Column:
+def blank_to_null(value: str, source: T.DataType | None = None) -> str:
     """NULL for values whose text is empty or spaces only (tabs are not blank).
 
-    A number, date or boolean never prints as blank, so for those source types the column is returned as it is
-    and no text conversion runs per row.
+    A number, date or boolean never prints as blank, so for those source types the expression is returned as it is and
+    no text conversion runs per row.
     """
     if isinstance(source, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         return value
-    return F.when(F.trim(value.cast("string")) != "", value)
+    return f"CASE WHEN trim(CAST({value} AS string)) <> '' THEN {value} END"
+
 
+def text_to_integer(text: str) -> str:
+    """Integer from text as the non-ANSI cast reads it: '3.7' is 3, '.5' is 0, out of range or other text is NULL.
 
-def text_to_integer(text: Column) -> Column:
-    """Integer from text as the non-ANSI cast reads it: '3.7' is 3, '.5' is 0, out of range or other text is NULL."""
-    whole = F.regexp_extract(text, _INTEGER_TEXT, 2)
-    digits = F.when(whole != "", whole).otherwise(F.lit("0"))
-    signed = F.concat(F.regexp_extract(text, _INTEGER_TEXT, 1), digits)
-    relaxed = F.when(text.rlike(_INTEGER_TEXT) & text.rlike(_HAS_NUMBER), signed.try_cast("int"))
-    # Plain digits never reach the regular expressions.
-    return F.coalesce(text.try_cast("int"), relaxed)
+    Plain digits never reach the regular expressions.
+    """
+    sign, whole = (f"regexp_extract({text}, {_INTEGER_TEXT}, {group})" for group in (1, 2))
+    relaxed = f"try_cast(concat({sign}, coalesce(nullif({whole}, ''), '0')) AS int)"
+    return (f"coalesce(try_cast({text} AS int), "
+            f"CASE WHEN {text} RLIKE {_INTEGER_TEXT} AND {text} RLIKE '[0-9.]' THEN {relaxed} END)")
 
 
-def safe_cast(value: Column, source: T.DataType, type_name: str) -> Column:
+def safe_cast(value: str, source: T.DataType, type_name: str) -> str:
     """Cast to a template type; whatever does not fit becomes NULL."""
     target = spark_type(type_name)
     if not can_cast(source, target):
-        return F.lit(None).cast(target)
+        return typed_null(type_name)
+    if source == target:
+        return value
     if isinstance(target, T.IntegerType) and isinstance(source, T.StringType):
         return text_to_integer(value)
-    return value.try_cast(target)
+    return f"try_cast({value} AS {target.simpleString()})"
+
+
+def typed_null(type_name: str) -> str:
+    return f"CAST(NULL AS {spark_type(type_name).simpleString()})"
 
 
 def cast_can_fail(source: T.DataType, type_name: str) -> bool:
@@ -95,22 +102,24 @@ def cast_can_fail(source: T.DataType, type_name: str) -> bool:
     return not (widening and isinstance(target, (T.IntegerType, T.DoubleType)))
 
 
-def default_literal(value, type_name: str) -> Column:
+def default_literal(value, type_name: str) -> str:
     """A configured default as a typed literal."""
     target = spark_type(type_name)
     if value is None:
-        return F.lit(None).cast(target)
+        return typed_null(type_name)
     if isinstance(target, T.TimestampType):
-        return F.try_to_timestamp(F.lit(str(value)))
+        return f"try_to_timestamp({sql_text(str(value))})"
     if isinstance(target, T.BooleanType):
         word = str(value).strip().lower()
         if word in TRUE_WORDS:
-            return F.lit(True)
+            return "true"
         if word in FALSE_WORDS:
-            return F.lit(False)
+            return "false"
         raise ValueError(f"Invalid boolean default value: {value}")
-    if isinstance(target, T.IntegerType) and isinstance(value, str):
-        return text_to_integer(F.lit(value))
+    text = sql_text(str(value))
     if isinstance(target, T.StringType):
-        return F.lit(str(value))
-    return F.lit(value).try_cast(target)
+        return text
+    if isinstance(value, bool):
+        return f"try_cast({str(value).lower()} AS {target.simpleString()})"
+    return text_to_integer(text) if isinstance(target, T.IntegerType) and isinstance(value, str) \
+        else f"try_cast(try_cast({text} AS double) AS {target.simpleString()})"

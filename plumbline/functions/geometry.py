@@ -29,7 +29,7 @@ GEOMETRY = T.StructType([
 MULTI_OF = {"Point": "MultiPoint", "LineString": "MultiLineString", "Polygon": "MultiPolygon"}
 COLLECTION = "GeometryCollection"
 
-_LARGEST = 1.7976931348623157e308
+_LARGEST = "1.7976931348623157e308D"
 
 
 def is_geometry(data_type: T.DataType) -> bool:
@@ -61,108 +61,75 @@ def promote(geometry: Column, expected_type: str | None) -> Column:
     return geometry
 
 
-def _map_points(parts: Column, change) -> Column:
-    return F.transform(parts, lambda part: F.transform(part, lambda ring: F.transform(ring, change)))
+def _each_point(geometry: str, change: str) -> str:
+    return f"transform({geometry}.parts, part -> transform(part, ring -> transform(ring, point -> {change})))"
 
 
-def translate(geometry: Column, dx: float, dy: float) -> Column:
+def translate(geometry: str, dx: float, dy: float) -> Column:
     """Move every vertex by (dx, dy); Z and M are kept."""
-    def move(point):
-        return F.transform(
-            point, lambda v, i: v + F.when(i == 0, F.lit(float(dx))).when(i == 1, F.lit(float(dy))).otherwise(0.0)
-        )
-
-    return geometry.withField("parts", _map_points(geometry["parts"], move))
-
-
-def coordinates(geometry: Column) -> Column:
-    """Two-dimensional GeoJSON coordinates as a variant, nested as deep as the type asks for."""
-    flat = _map_points(geometry["parts"], lambda point: F.slice(point, 1, 2))
-    kind = geometry["type"]
-    first = F.get(flat, 0)
-
-    def variant(value):
-        return F.coalesce(value.cast("variant"), F.parse_json(F.lit("[]")))
-
-    return (
-        F.when(kind == "Point", variant(F.get(F.get(first, 0), 0)))
-        .when(kind == "LineString", variant(F.get(first, 0)))
-        .when(kind == "Polygon", variant(first))
-        .when(kind == "MultiPoint", variant(F.transform(flat, lambda part: F.get(F.get(part, 0), 0))))
-        .when(kind == "MultiLineString", variant(F.transform(flat, lambda part: F.get(part, 0))))
-        .when(kind == "MultiPolygon", variant(flat))
-    )
-
-
-def geojson(geometry: Column) -> Column:
+    step = f"CASE i WHEN 0 THEN {float(dx)!r}D WHEN 1 THEN {float(dy)!r}D ELSE 0D END"
+    moved = _each_point(geometry, f"transform(point, (v, i) -> v + {step})")
+    return F.expr(geometry).withField("parts", F.expr(moved))
+
+
+def coordinates(geometry: str) -> str:
+    """SQL of the two-dimensional GeoJSON coordinates as a variant, nested as deep as the type asks for."""
+    flat = _each_point(geometry, "slice(point, 1, 2)")
+    levels = {
+        "Point": "get(get(get(xy, 0), 0), 0)",
+        "LineString": "get(get(xy, 0), 0)",
+        "Polygon": "get(xy, 0)",
+        "MultiPoint": "transform(xy, part -> get(get(part, 0), 0))",
+        "MultiLineString": "transform(xy, part -> get(part, 0))",
+        "MultiPolygon": "xy",
+    }
+    cases = " ".join(f"WHEN '{kind}' THEN CAST({level} AS variant)" for kind, level in levels.items())
+    return f"get(transform(array({flat}), xy -> coalesce(CASE {geometry}.type {cases} END, parse_json('[]'))), 0)"
+
+
+def geojson(geometry: str) -> Column:
     """struct<type, coordinates> of a geometry, NULL for NULL and for collections (which have no coordinates)."""
-    has_coordinates = geometry.isNotNull() & (geometry["type"] != COLLECTION)
-    return F.when(
-        has_coordinates, F.struct(geometry["type"].alias("type"), coordinates(geometry).alias("coordinates"))
-    )
+    value = f"named_struct('type', {geometry}.type, 'coordinates', {coordinates(geometry)})"
+    return F.expr(f"CASE WHEN {geometry} IS NOT NULL AND {geometry}.type <> '{COLLECTION}' THEN {value} END")
 
 
-def wkt(geometry: Column) -> Column:
+def wkt(geometry: str) -> Column:
     """Well-known text; the members of a collection are not spelled out."""
-    def number(value):
-        return F.regexp_replace(double_text(value), r"[.]0$", "")
-
-    def point_text(point):
-        return F.array_join(F.transform(point, number), " ")
-
-    def ring_text(ring):
-        return F.concat(F.lit("("), F.array_join(F.transform(ring, point_text), ", "), F.lit(")"))
-
-    def part_text(part):
-        return F.concat(F.lit("("), F.array_join(F.transform(part, ring_text), ", "), F.lit(")"))
-
-    kind, parts = geometry["type"], geometry["parts"]
-    first = F.get(parts, 0)
-    body = (
-        F.when(kind.isin("Point", "LineString"), ring_text(F.get(first, 0)))
-        .when(kind == "Polygon", part_text(first))
-        .when(kind == "MultiPolygon", F.concat(
-            F.lit("("), F.array_join(F.transform(parts, part_text), ", "), F.lit(")")))
-        .otherwise(part_text(F.transform(parts, lambda part: F.get(part, 0))))
-    )
-    name = F.concat(F.upper(kind), F.when(geometry["dims"] == "XYZ", F.lit(" Z"))
-                    .when(geometry["dims"] == "XYM", F.lit(" M"))
-                    .when(geometry["dims"] == "XYZM", F.lit(" ZM")).otherwise(F.lit("")))
-    return F.when(F.size(parts) == 0, F.concat(name, F.lit(" EMPTY"))).otherwise(F.concat(name, F.lit(" "), body))
+    def listed(items, name, text):
+        return f"concat('(', array_join(transform({items}, {name} -> {text}), ', '), ')')"
+
+    number = f"regexp_replace({double_text('o')}, '[.]0$', '')"
+    point = f"array_join(transform(point, o -> {number}), ' ')"
+    ring = listed("ring", "point", point)
+    rings = f"transform({geometry}.parts, part -> transform(part, ring -> {ring}))"
+    body = f"""get(transform(array({rings}), t -> CASE
+        WHEN {geometry}.type IN ('Point', 'LineString') THEN get(get(t, 0), 0)
+        WHEN {geometry}.type = 'Polygon' THEN concat('(', array_join(get(t, 0), ', '), ')')
+        WHEN {geometry}.type = 'MultiPolygon' THEN {listed('t', 'part', "concat('(', array_join(part, ', '), ')')")}
+        ELSE {listed('t', 'part', 'get(part, 0)')} END), 0)"""
+    name = f"concat(upper({geometry}.type), CASE {geometry}.dims WHEN 'XY' THEN '' ELSE concat(' ', substr({geometry}.dims, 3)) END)"
+    return F.expr(f"concat({name}, CASE WHEN size({geometry}.parts) = 0 THEN ' EMPTY' ELSE concat(' ', {body}) END)")
 
 
-def is_polygonal(geometry: Column) -> Column:
-    """Types whose validity also depends on how their rings lie to each other."""
-    return geometry["type"].isin("Polygon", "MultiPolygon", COLLECTION)
+def is_polygonal(geometry: str) -> str:
+    """SQL test for the types whose validity also depends on how their rings lie to each other."""
+    return f"{geometry}.type IN ('Polygon', 'MultiPolygon', '{COLLECTION}')"
 
 
-def structurally_valid(geometry: Column) -> Column:
+def structurally_valid(geometry: str) -> Column:
     """Validity rules that need no topology: finite X and Y, lines with two distinct points, closed rings with at
     least four points once consecutive repeats are dropped. Empty geometries pass; NULL stays NULL.
 
     Collections mix rules per member and are judged with the topology rules.
     """
-    def finite(value):
-        return value.between(-_LARGEST, _LARGEST)
-
-    def same(p, q):
-        return (p[0] == q[0]) & (p[1] == q[1])
-
     def every_ring(rule):
-        return F.forall(geometry["parts"], lambda part: F.forall(part, rule))
-
-    def line_ok(line):
-        return (F.size(line) == 0) | F.exists(line, lambda p: ~same(p, line[0]))
-
-    def ring_ok(ring):
-        steps = F.size(F.filter(ring, lambda p, i: (i == 0) | ~same(p, F.get(ring, i - 1))))
-        return (F.size(ring) == 0) | (same(F.get(ring, 0), F.element_at(ring, -1)) & (steps >= 4))
-
-    finite_ok = every_ring(lambda ring: F.forall(ring, lambda p: finite(p[0]) & finite(p[1])))
-    kind = geometry["type"]
-    shape_ok = (
-        F.when(kind.isin("LineString", "MultiLineString"), every_ring(line_ok))
-        .when(kind.isin("Polygon", "MultiPolygon"), every_ring(ring_ok))
-        .otherwise(F.lit(True))
-    )
-    return finite_ok & shape_ok
+        return f"forall({geometry}.parts, part -> forall(part, ring -> {rule}))"
+
+    finite = every_ring(f"forall(ring, p -> p[0] BETWEEN -{_LARGEST} AND {_LARGEST} AND p[1] BETWEEN -{_LARGEST} AND {_LARGEST})")
+    line = "(size(ring) = 0 OR exists(ring, p -> p[0] <> ring[0][0] OR p[1] <> ring[0][1]))"
+    fresh = "filter(ring, (p, i) -> i = 0 OR p[0] <> get(ring, i - 1)[0] OR p[1] <> get(ring, i - 1)[1])"
+    closed = "get(ring, 0)[0] = element_at(ring, -1)[0] AND get(ring, 0)[1] = element_at(ring, -1)[1]"
+    ring = f"(size(ring) = 0 OR ({closed} AND size({fresh}) >= 4))"
+    return F.expr(f"""{finite} AND CASE
+        WHEN {geometry}.type IN ('LineString', 'MultiLineString') THEN {every_ring(line)}
+        WHEN {geometry}.type IN ('Polygon', 'MultiPolygon') THEN {every_ring(ring)} ELSE true END""")

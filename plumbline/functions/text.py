@@ -6,9 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def sql_name(name: str) -> str:
+    """A column name inside SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    """A text literal inside SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def quoted(name: str) -> Column:
     """Column by its exact name, also when the name holds dots."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(sql_name(name))
 
 
 def is_usable(value: Column, floating: bool = False) -> Column:
@@ -28,34 +38,37 @@ def characteristic_name(name: Column) -> Column:
     return F.coalesce(F.replace(underscored, F.lit("_-_"), F.lit("_")), F.lit(""))
 
 
-def double_text(value: Column) -> Column:
-    """Shortest decimal text as Python and SQL engines print it: 10000000.0, 0.0001, 1e-05, 1e+16.
+# Spark's own text of the double v. Where it has 17 digits or more the runtime may print more than needed, so 16 and
+# 17 digits are tried.
+_PRINTED = """
+CASE WHEN length(regexp_replace(CAST(v AS string), 'E.*|[^0-9]', '')) < 17 THEN CAST(v AS string)
+     WHEN try_cast(format_string('%.15e', v) AS double) = v THEN upper(format_string('%.15e', v))
+     WHEN try_cast(format_string('%.16e', v) AS double) = v THEN upper(format_string('%.16e', v))
+     ELSE CAST(v AS string) END"""
+
+# d.dddE[-]n taken apart, and written with plain digits for exponents -4 to 15, else as d.ddde-07.
+_TAKEN_APART = """
+struct(CASE WHEN startswith(p, '-') THEN '-' ELSE '' END AS sign, CAST(regexp_extract(p, 'E([-+]?[0-9]+)$', 1) AS int) AS e,
+       coalesce(nullif(regexp_replace(regexp_extract(p, '^-?([0-9.]+)E', 1), '[.]|0+$', ''), ''), '0') AS d)"""
+_WRITTEN = """
+concat(x.sign, CASE
+  WHEN x.e BETWEEN 0 AND 15 AND length(x.d) <= x.e + 1 THEN concat(rpad(x.d, x.e + 1, '0'), '.0')
+  WHEN x.e BETWEEN 0 AND 15 THEN concat(left(x.d, x.e + 1), '.', substr(x.d, x.e + 2))
+  WHEN x.e BETWEEN -4 AND -1 THEN concat('0.', repeat('0', -x.e - 1), x.d)
+  ELSE concat(left(x.d, 1), CASE WHEN length(x.d) > 1 THEN concat('.', substr(x.d, 2)) ELSE '' END,
+              CASE WHEN x.e < 0 THEN 'e-' ELSE 'e+' END, CASE WHEN abs(x.e) < 10 THEN '0' ELSE '' END, abs(x.e)) END)"""
+
+
+def double_text(value: str) -> str:
+    """SQL for the shortest decimal text as Python and SQL engines print it: 10000000.0, 0.0001, 1e-05, 1e+16.
 
-    Spark prints 1.0E7 instead; numbers without an exponent pass straight through.
+    Spark prints 1.0E7 instead; numbers without an exponent pass straight through. ``get(transform(array(x), name ->
+    ...), 0)`` names an intermediate value.
     """
-    printed = value.cast("string")
-    sign = F.when(printed.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    mantissa = F.regexp_extract(printed, r"^-?([0-9.]+)E", 1)
-    exponent = F.regexp_extract(printed, r"E(-?[0-9]+)$", 1).try_cast("int")
-    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), "0+$", "")
-    digits = F.when(digits == "", F.lit("0")).otherwise(digits)
-    large = F.when(
-        F.length(digits) <= exponent + 1, F.concat(F.rpad(digits, exponent + 1, F.lit("0")), F.lit(".0"))
-    ).otherwise(F.concat(F.substring(digits, F.lit(1), exponent + 1), F.lit("."), F.substr(digits, exponent + 2)))
-    scientific = F.concat(
-        F.regexp_replace(mantissa, r"[.]0$", ""),
-        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")),
-        F.abs(exponent).cast("string"),
-    )
-    return (
-        F.when(F.isnan(value), F.lit("nan"))
-        .when(printed.endswith("Infinity"), F.concat(sign, F.lit("inf")))
-        .when(~printed.contains("E"), printed)
-        .when(exponent == -4, F.concat(sign, F.lit("0.000"), digits))
-        .when(exponent.between(0, 15), F.concat(sign, large))
-        .otherwise(F.concat(sign, scientific))
-    )
+    scientific = f"get(transform(array({_TAKEN_APART}), x -> {_WRITTEN}), 0)"
+    return f"""get(transform(transform(array({value}), v -> {_PRINTED}), p -> CASE WHEN p = 'NaN' THEN 'nan'
+        WHEN endswith(p, 'Infinity') THEN replace(p, 'Infinity', 'inf') WHEN NOT contains(p, 'E') THEN p
+        ELSE {scientific} END), 0)"""
 
 
 def timestamp_text(value: Column, separator: str = "T") -> Column:

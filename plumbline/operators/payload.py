@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.geometry import COLLECTION, GEOMETRY, geojson, is_geometry
-from plumbline.functions.text import characteristic_name, double_text, is_usable, quoted, timestamp_text
+from plumbline.functions.geometry import COLLECTION, geojson, is_geometry
+from plumbline.functions.text import characteristic_name, double_text, is_usable, quoted, sql_name, timestamp_text
 from plumbline.operators.lookup import MAX_SIGNALS, attach_signals, masterdata_id
 from plumbline.operators.skew import MAX_BROADCAST_BYTES, measured_bytes, settled
 
@@ -58,11 +58,12 @@ def default_value(type_name: str | None) -> Column:
     return F.lit("")
 
 
-def formatted_value(type_name: str, value: Column, data_type: T.DataType) -> tuple[Column, Column | None]:
+def formatted_value(type_name: str, name: str, data_type: T.DataType) -> tuple[Column, Column | None]:
     """(payload value, whether the row's value cannot be formatted) of a column by its characteristic type."""
+    value = quoted(name)
     if type_name == "double":
         floating = isinstance(data_type, T.FractionalType) and not isinstance(data_type, T.DecimalType)
-        text = double_text(value) if floating else value.cast("string")
+        text = F.expr(double_text(sql_name(name))) if floating else value.cast("string")
         return F.when(is_usable(value, floating), text).otherwise(F.lit("0.0")), None
     if type_name == "integer":
         if isinstance(data_type, T.IntegralType):
@@ -96,7 +97,7 @@ def _characteristics(df, characteristics, ids, has_signals):
         elif code in ids:
             value = F.col(ids[code])
         elif code in df.columns and type_name != "iotsignal":
-            value, problem = formatted_value(type_name, quoted(code), df.schema[code].dataType)
+            value, problem = formatted_value(type_name, code, df.schema[code].dataType)
         else:
             value = default_value(type_name)
         if problem is not None:
@@ -167,10 +168,11 @@ def build_payloads(
     items, values, problems = _characteristics(joined, characteristics, ids, has_signals)
 
     hash_value = values.get(settings.hash_code)
-    geometry = F.lit(None).cast(GEOMETRY)
+    shape = F.lit(None).cast("struct<type:string,coordinates:variant>")
     if geometry_column in columns and is_geometry(df.schema[geometry_column].dataType):
-        geometry = quoted(geometry_column)
-        problems.append(F.when(geometry["type"] == COLLECTION, F.lit("A geometry collection has no coordinates")))
+        shape = geojson(sql_name(geometry_column))
+        is_collection = quoted(geometry_column)["type"] == COLLECTION
+        problems.append(F.when(is_collection, F.lit("A geometry collection has no coordinates")))
     payload = F.struct(
         F.lit(int(template.id)).alias("templateId"),
         F.lit(template.code).alias("templateCode"),
@@ -179,7 +181,7 @@ def build_payloads(
         F.lit(bool(template.is_enabled)).alias("isEnabled"),
         F.lit(bool(template.is_deleted)).alias("isDeleted"),
         F.lit(settings.origin_id).alias("originId"),
-        geojson(geometry).alias("geometry"),
+        shape.alias("geometry"),
         F.array(F.struct(
             quoted("id").alias("externalId"), F.lit(settings.consumer_application_id).alias("consumerapplicationId")
         )).alias("externalObjects"),

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from plumbline.functions.geometry import translate
-from plumbline.functions.text import pseudonym, quoted
+from plumbline.functions.text import pseudonym, quoted, sql_name
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ def pseudonymise(df: DataFrame, privacy: Privacy) -> DataFrame:
         for name in privacy.text_columns if name in df.columns
     }
     hidden |= {
-        name: translate(quoted(name), privacy.dx, privacy.dy)
+        name: translate(sql_name(name), privacy.dx, privacy.dy)
         for name in privacy.geometry_columns if name in df.columns
     }
     return df.withColumns(hidden) if hidden else df

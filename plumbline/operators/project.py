@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.casting import blank_to_null, cast_can_fail, default_literal, safe_cast, spark_type
-from plumbline.functions.text import quoted
+from plumbline.functions.casting import blank_to_null, cast_can_fail, default_literal, safe_cast, typed_null
+from plumbline.functions.text import quoted, sql_name, sql_text
 
 INVALID_FIELDS = "_invalid_type_fields"
 
@@ -28,20 +28,19 @@ def check_template(core_fields: Sequence[str], characteristics: Sequence[Mapping
 
 
 def _value_and_offence(code: str, type_name: str, mapped: Mapping | None, sources: Mapping[str, T.DataType]):
-    """Value column of one characteristic, and the code-or-NULL column that reports an uncastable source value."""
-    typed_null = F.lit(None).cast(spark_type(type_name))
+    """SQL of one characteristic's value, and of the code-or-NULL that reports an uncastable source value."""
     if not mapped:
-        return typed_null, None
+        return typed_null(type_name), None
     default = default_literal(mapped.get("default_value"), type_name)
     field = mapped.get("field")
     if field not in sources:
         return default, None
-    source = blank_to_null(quoted(field), sources[field])
+    source = blank_to_null(sql_name(field), sources[field])
     cast = safe_cast(source, sources[field], type_name)
-    value = cast if mapped.get("default_value") is None else F.when(source.isNull(), default).otherwise(cast)
+    value = cast if mapped.get("default_value") is None else f"CASE WHEN {source} IS NULL THEN {default} ELSE {cast} END"
     if not cast_can_fail(sources[field], type_name):
         return value, None
-    return value, F.when(source.isNotNull() & cast.isNull(), F.lit(code))
+    return value, f"CASE WHEN {source} IS NOT NULL AND {cast} IS NULL THEN {sql_text(code)} END"
 
 
 def project_to_template(
@@ -58,19 +57,20 @@ def project_to_template(
     """
     check_template(core_fields, characteristics)
     sources = {field.name: field.dataType for field in df.schema.fields}
-    columns: list[Column] = [
-        quoted(name) if name in sources else F.lit(None).cast((core_types or {}).get(name, T.StringType())).alias(name)
+    columns = [
+        sql_name(name) if name in sources
+        else f"CAST(NULL AS {(core_types or {}).get(name, T.StringType()).simpleString()}) AS {sql_name(name)}"
         for name in core_fields
     ]
     offences = []
     for characteristic in characteristics:
         code = characteristic["code"]
         value, offence = _value_and_offence(code, characteristic.get("type"), mapping.get(code), sources)
-        columns.append(value.alias(code))
+        columns.append(f"{value} AS {sql_name(code)}")
         if offence is not None:
             offences.append(offence)
-    invalid = F.array_compact(F.array(*offences)) if offences else F.array()
-    return df.select(*columns, invalid.cast("array<string>").alias(INVALID_FIELDS))
+    invalid = f"CAST(array_compact(array({', '.join(offences)})) AS array<string>) AS {INVALID_FIELDS}"
+    return df.selectExpr(*columns, invalid)
 
 
 def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
@@ -86,7 +86,7 @@ def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
             raise ValueError(f"Tables differ in columns: {sorted(set(table.columns) ^ set(names))}")
     mixed = {name for name in names if len({table.schema[name].dataType.simpleString() for table in tables}) > 1}
     aligned = [
-        table.select(*[quoted(n).cast("string").alias(n) if n in mixed else quoted(n) for n in names])
+        table.select(*[quoted(n).cast("string").alias(n) if n in mixed else sql_name(n) for n in names])
         for table in tables
     ]
     return reduce(DataFrame.unionByName, aligned)
@@ -94,8 +94,7 @@ def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
 
 def fill_name(df: DataFrame, id_column: str = "id", name_column: str = "name") -> DataFrame:
     """Missing or blank names take the id's text; the column is added if the frame has none."""
-    id_text = quoted(id_column).cast("string")
+    id_text, name = (f"CAST({sql_name(c)} AS string)" for c in (id_column, name_column))
     if name_column not in df.columns:
-        return df.withColumn(name_column, id_text)
-    name = quoted(name_column).cast("string")
-    return df.withColumn(name_column, F.when(F.trim(name) != "", name).otherwise(id_text))
+        return df.withColumn(name_column, F.expr(id_text))
+    return df.withColumn(name_column, F.expr(f"CASE WHEN trim({name}) <> '' THEN {name} ELSE {id_text} END"))

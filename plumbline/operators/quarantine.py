@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.geometry import is_geometry, wkt
-from plumbline.functions.text import quoted, timestamp_text
+from plumbline.functions.text import quoted, sql_name, timestamp_text
 
 # Stages, and the code of a payload the receiving side turned down.
 STANDARDIZATION = "standardization"
@@ -29,7 +29,7 @@ def asset_json(df: DataFrame, columns: list[str]) -> Column:
     def shown(name):
         data_type = df.schema[name].dataType
         if is_geometry(data_type):
-            return wkt(quoted(name)).alias(name)
+            return wkt(sql_name(name)).alias(name)
         if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
             return timestamp_text(quoted(name), " ").alias(name)
         return quoted(name)

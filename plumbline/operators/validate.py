@@ -8,13 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.geometry import is_geometry, is_polygonal, structurally_valid
-from plumbline.functions.text import quoted
+from plumbline.functions.text import quoted, sql_name, sql_text
 from plumbline.functions.topology import topologically_valid
 from plumbline.operators.geo import decode_geometry
 from plumbline.operators.project import INVALID_FIELDS
@@ -51,22 +50,28 @@ def check_structure(df: DataFrame, rules: Rules) -> None:
         raise ValueError(f"Missing required columns: {missing}")
 
 
-def reject(code: str, field: Column) -> Column:
-    """struct<code, message, field> of one reason."""
-    return F.struct(F.lit(code).alias("code"), F.lit(MESSAGES[code]).alias("message"), field.alias("field"))
+def reject(code: str, field: str) -> str:
+    """SQL of the struct<code, message, field> of one reason."""
+    return f"named_struct('code', '{code}', 'message', {sql_text(MESSAGES[code])}, 'field', {field})"
 
 
-def has_invalid_types() -> Column:
-    return F.size(INVALID_FIELDS) > 0
+def has_invalid_types() -> str:
+    return f"size({INVALID_FIELDS}) > 0"
 
 
-def null_fields(fields: Sequence[str]) -> Column:
-    """Names of the listed fields that are NULL in the row."""
-    return F.array_compact(F.array(*[F.when(quoted(f).isNull(), F.lit(f)) for f in fields]))
+def invalid_fields() -> str:
+    """SQL of the codes that did not cast, joined with commas."""
+    return f"concat_ws(',', {INVALID_FIELDS})"
 
 
-def any_null(fields: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [quoted(f).isNull() for f in fields], F.lit(False))
+def any_null(fields: Sequence[str]) -> str:
+    return " OR ".join(f"{sql_name(f)} IS NULL" for f in fields) or "false"
+
+
+def null_fields(fields: Sequence[str]) -> str:
+    """SQL of the names of the listed fields that are NULL in the row, joined with commas."""
+    names = [f"CASE WHEN {sql_name(f)} IS NULL THEN {sql_text(f)} END" for f in fields]
+    return f"concat_ws(',', {', '.join(names or ['NULL'])})"
 
 
 def duplicate_keys(df: DataFrame, id_column: str) -> DataFrame:
@@ -93,12 +98,12 @@ def geometry_verdict(df: DataFrame, column: str, skip: Column, flag: str = "_bad
 
     Only polygonal geometries that pass the structural rules go to the topology function.
     """
-    geometry = quoted(column)
+    geometry = sql_name(column)
     checked = df.withColumns({"_skip": F.coalesce(skip, F.lit(False)), "_sound": structurally_valid(geometry)})
-    to_check = F.when(~F.col("_skip") & is_polygonal(geometry) & F.col("_sound"), geometry)
+    to_check = F.expr(f"CASE WHEN NOT _skip AND _sound AND {is_polygonal(geometry)} THEN {geometry} END")
     checked = checked.withColumn("_topology", topologically_valid(to_check))
-    bad = ~F.col("_skip") & ~(F.col("_sound") & F.coalesce("_topology", F.lit(True)))
-    return checked.withColumn(flag, F.coalesce(bad, F.lit(False))).drop("_skip", "_sound", "_topology")
+    bad = F.expr("coalesce(NOT _skip AND NOT (_sound AND coalesce(_topology, true)), false)")
+    return checked.withColumn(flag, bad).drop("_skip", "_sound", "_topology")
 
 
 def classify(df: DataFrame, rules: Rules, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
@@ -106,23 +111,21 @@ def classify(df: DataFrame, rules: Rules, max_bytes: int = MAX_BROADCAST_BYTES)
     check_structure(df, rules)
     columns = [c for c in df.columns if c != INVALID_FIELDS]
     df = decode_geometry(df, rules.geometry_column)
-    wrong_type = has_invalid_types() if INVALID_FIELDS in df.columns else F.lit(False)
+    wrong_type = has_invalid_types() if INVALID_FIELDS in df.columns else "false"
+    field = invalid_fields() if INVALID_FIELDS in df.columns else "''"
     missing = any_null(rules.mandatory)
-    early = wrong_type | missing
+    early = F.expr(f"{wrong_type} OR {missing}")
     marked = mark_duplicates(df, rules.id_column, ~early, "_duplicate", max_bytes)
     if is_geometry(marked.schema[rules.geometry_column].dataType):
         marked = geometry_verdict(marked, rules.geometry_column, early | F.col("_duplicate"))
     else:
         marked = marked.withColumn("_bad_geometry", F.lit(False))
-    reason = F.when(F.lit(False), reject(INVALID_TYPE, F.lit(None).cast("string")))
-    if INVALID_FIELDS in df.columns:
-        reason = reason.when(wrong_type, reject(INVALID_TYPE, F.concat_ws(",", INVALID_FIELDS)))
-    reason = (
-        reason.when(missing, reject(REQUIRED_FIELD_MISSING, F.concat_ws(",", null_fields(rules.mandatory))))
-        .when(F.col("_duplicate"), reject(DUPLICATED_ID, F.lit(rules.id_column)))
-        .when(F.col("_bad_geometry"), reject(INVALID_GEOMETRY, F.lit(rules.geometry_column)))
-    )
-    return marked.select(*[quoted(c) for c in columns], reason.alias("reject"))
+    reason = F.expr(f"""CASE
+        WHEN {wrong_type} THEN {reject(INVALID_TYPE, field)}
+        WHEN {missing} THEN {reject(REQUIRED_FIELD_MISSING, null_fields(rules.mandatory))}
+        WHEN _duplicate THEN {reject(DUPLICATED_ID, sql_text(rules.id_column))}
+        WHEN _bad_geometry THEN {reject(INVALID_GEOMETRY, sql_text(rules.geometry_column))} END""")
+    return marked.select(*[sql_name(c) for c in columns], reason.alias("reject"))
 
 
 def split(classified: DataFrame) -> tuple[DataFrame, DataFrame]:

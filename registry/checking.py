@@ -37,7 +37,7 @@ def type_rule(spark, sf_dir):
 
 def mandatory_rule(spark, sf_dir):
     fields = ["id", "name"]
-    return unified(spark, sf_dir).filter(any_null(fields)).select("k", F.concat_ws(",", null_fields(fields)).alias("field"))
+    return unified(spark, sf_dir).filter(any_null(fields)).select("k", F.expr(null_fields(fields)).alias("field"))
 
 
 def duplicate_rule(spark, sf_dir):

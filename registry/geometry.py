@@ -57,7 +57,7 @@ def type_probe(spark, sf_dir):
 
 
 def translated(spark, sf_dir):
-    return vertices(rings(spark, sf_dir).withColumn("geom", translate(F.col("geom"), 2.0, -3.0)), "p_partkey")
+    return vertices(rings(spark, sf_dir).withColumn("geom", translate("geom", 2.0, -3.0)), "p_partkey")
 
 
 def validity(spark, sf_dir):
@@ -66,12 +66,12 @@ def validity(spark, sf_dir):
 
 
 def geojson_text(spark, sf_dir):
-    text = F.to_json(geojson(F.col("geom")))
+    text = F.to_json(geojson("geom"))
     return points(spark, sf_dir).select("o_orderkey", text.alias("geojson"))
 
 
 def geojson_rings(spark, sf_dir):
-    return rings(spark, sf_dir).select("p_partkey", F.to_json(geojson(F.col("geom"))).alias("geojson"))
+    return rings(spark, sf_dir).select("p_partkey", F.to_json(geojson("geom")).alias("geojson"))
 
 
 QUERIES = {

@@ -79,10 +79,10 @@ def formatted(spark, sf_dir):
     types = dict((f.name, f.dataType) for f in orders.schema.fields)
     return orders.select(
         "o_orderkey",
-        formatted_value("double", F.col("price"), types["price"])[0].alias("double_text"),
-        formatted_value("integer", F.col("price"), types["price"])[0].alias("integer_text"),
-        formatted_value("date", F.col("day"), types["day"])[0].alias("date_text"),
-        double_text(F.col("large")).alias("large"), double_text(F.col("small")).alias("small"),
+        formatted_value("double", "price", types["price"])[0].alias("double_text"),
+        formatted_value("integer", "price", types["price"])[0].alias("integer_text"),
+        formatted_value("date", "day", types["day"])[0].alias("date_text"),
+        F.expr(double_text("large")).alias("large"), F.expr(double_text("small")).alias("small"),
     )
 
 

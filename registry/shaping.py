@@ -46,32 +46,31 @@ def template_projection(spark, sf_dir):
 
 def safe_casts(spark, sf_dir):
     raw = party_raw(spark, sf_dir, "customer")
-    return raw.select(
-        "k",
-        safe_cast(F.col("amount_text"), TEXT, "integer").cast("string").alias("as_integer"),
-        F.coalesce(safe_cast(F.col("amount_text"), TEXT, "double"), F.lit(-1.0)).alias("as_double"),
-        safe_cast(F.col("flag_text"), TEXT, "boolean").cast("string").alias("as_boolean"),
-        timestamp_text(safe_cast(F.col("day_text"), TEXT, "date")).alias("as_date"),
-        safe_cast(F.col("k"), T.LongType(), "string").alias("as_string"),
-        safe_cast(F.col("balance"), T.DoubleType(), "integer").cast("string").alias("cut"),
-    )
+    day = timestamp_text(F.expr(safe_cast("day_text", TEXT, "date")))
+    return raw.select("k", day.alias("as_date"), *[F.expr(e) for e in (
+        f"CAST({safe_cast('amount_text', TEXT, 'integer')} AS string) AS as_integer",
+        f"coalesce({safe_cast('amount_text', TEXT, 'double')}, -1D) AS as_double",
+        f"CAST({safe_cast('flag_text', TEXT, 'boolean')} AS string) AS as_boolean",
+        f"{safe_cast('k', T.LongType(), 'string')} AS as_string",
+        f"CAST({safe_cast('balance', T.DoubleType(), 'integer')} AS string) AS cut",
+    )])
 
 
 def default_literals(spark, sf_dir):
     return party_raw(spark, sf_dir, "customer").select(
         "k",
-        default_literal(42, "integer").alias("whole"),
-        default_literal(2.5, "double").alias("number"),
-        default_literal("yes", "boolean").cast("string").alias("flag"),
-        timestamp_text(default_literal("2022-01-01", "date")).alias("day"),
-        default_literal(None, "maindata").alias("none"),
-        default_literal(9, "string").alias("text"),
+        F.expr(default_literal(42, "integer")).alias("whole"),
+        F.expr(default_literal(2.5, "double")).alias("number"),
+        F.expr(default_literal("yes", "boolean")).cast("string").alias("flag"),
+        timestamp_text(F.expr(default_literal("2022-01-01", "date"))).alias("day"),
+        F.expr(default_literal(None, "maindata")).alias("none"),
+        F.expr(default_literal(9, "string")).alias("text"),
     )
 
 
 def blanks(spark, sf_dir):
     raw = party_raw(spark, sf_dir, "customer")
-    return raw.select("k", blank_to_null(F.col("name"), TEXT).alias("name"), blank_to_null(F.col("flag_text")).alias("flag"))
+    return raw.select("k", F.expr(blank_to_null("name", TEXT)).alias("name"), F.expr(blank_to_null("flag_text")).alias("flag"))
 
 
 def invalid_types(spark, sf_dir):
