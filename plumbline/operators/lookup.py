@@ -98,7 +98,8 @@ def attach_signals(
     columns = df.columns
     if crowded.isEmpty():
         found = lookup_join(
-            df, id_text, index.select("name", "uids"), "name", spread, may_be_hot=False, max_bytes=max_bytes
+            df, id_text, index.select("name", "uids"), "name", spread, may_be_hot=False, max_bytes=max_bytes,
+            index_bytes=measured_bytes(clean),  # the lists hold no more than the tags; no need to build them to know
         ).withColumn("part", F.lit(0).cast("bigint"))
     else:
         ranges = lookup_join(df, id_text, crowded, "name", spread, may_be_hot=False, max_bytes=max_bytes)

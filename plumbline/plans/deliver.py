@@ -98,5 +98,5 @@ def deliver(
         except Exception as error:
             failures.append(f"template={template.code}: {error}")
     if failures:
-        raise JobError("delivery", failures)
+        raise JobError("delivery", failures, counts)
     return counts

@@ -104,5 +104,5 @@ def standardize(
         except Exception as error:
             failures.append(f"template={template.code}: {error}")
     if failures:
-        raise JobError("standardization", failures)
+        raise JobError("standardization", failures, counts)
     return counts

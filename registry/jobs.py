@@ -111,7 +111,9 @@ def standardized(spark, sf_dir):
         F.lit("rejected").alias("side"), F.col("asset.id").alias("id"), F.col("asset.name").alias("name"),
         F.col("asset.P_amount").cast("string").alias("amount"), F.col("error_code").alias("code"),
     )
-    return valid.unionByName(lost).withColumns({"written": F.lit(counts.written), "quarantined": F.lit(counts.quarantined)})
+    return valid.unionByName(lost).withColumns(
+        {"written": F.lit(counts.written).cast("bigint"), "quarantined": F.lit(counts.quarantined).cast("bigint")}
+    )
 
 
 def delivered(spark, sf_dir):
@@ -128,7 +130,7 @@ def delivered(spark, sf_dir):
     items = spark.read.parquet(sent).select(F.inline("items"))
     return items.select(
         "source_id", "code_reference", F.get_json_object("payload", "$.name").alias("name"),
-        F.get_json_object("payload", "$.geometry.coordinates").alias("coordinates"), F.lit(counts.written).alias("written"),
+        F.get_json_object("payload", "$.geometry.coordinates").alias("coordinates"), F.lit(counts.written).cast("bigint").alias("written"),
     )
 
 

@@ -238,7 +238,7 @@ SELECT p_partkey, CASE WHEN p_partkey % 9 = 0 THEN ''
 SELECT p_partkey, '0.0' AS double_default, '0' AS integer_default, CAST(NULL AS VARCHAR) AS maindata_default,
        CAST(NULL AS VARCHAR) AS date_default, '""' AS string_default, '""' AS boolean_default FROM part""",
     "B3_characteristics": " UNION ALL ".join(
-        f"SELECT k, id, '{name}' AS name, '{code}' AS code, '{kind}' AS type, {value} AS value FROM ({NAMED_SQL})"
+        f"SELECT k, id, '{name}' AS name, '{code}' AS code, '{kind}' AS type, CAST({value} AS VARCHAR) AS value FROM ({NAMED_SQL})"
         for code, (name, kind, value) in _VALUES.items()),
     "B4_formatted_values": """
 SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 7 = 0 THEN '0.0' ELSE CAST(o_totalprice AS VARCHAR) END AS double_text,
