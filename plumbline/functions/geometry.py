@@ -3,7 +3,8 @@
 At rest a geometry is a WKB ``binary`` column. In flight it is a struct whose ``parts`` nest as
 part -> ring -> point -> ordinates, the same for every type: a point is one part with one ring with one point, a line
 one part with one ring. Promotion, translation, GeoJSON and the structural validity rules are therefore ordinary
-higher-order functions that stay in the JVM. A geometry collection lists its members' types and part counts.
+higher-order functions that stay in the JVM. A geometry collection lists its members as text, type:parts
+with commas between (a nested list of structs is slow to exchange with Python even when it is NULL).
 """
 
 from __future__ import annotations
@@ -19,10 +20,7 @@ GEOMETRY = T.StructType([
     T.StructField("srid", T.IntegerType()),
     T.StructField("dims", T.StringType()),
     T.StructField("parts", T.ArrayType(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))),
-    T.StructField("members", T.ArrayType(T.StructType([
-        T.StructField("type", T.StringType()),
-        T.StructField("parts", T.IntegerType()),
-    ]))),
+    T.StructField("members", T.StringType()),
 ])
 
 # Single types and their multi counterparts.
@@ -42,7 +40,7 @@ def make_geometry(type_name: Column | str, parts: Column, srid: int = 0) -> Colu
     kind = F.lit(type_name) if isinstance(type_name, str) else type_name
     value = F.struct(
         kind.alias("type"), F.lit(srid).alias("srid"), F.lit("XY").alias("dims"), parts.alias("parts"),
-        F.lit(None).cast(GEOMETRY["members"].dataType).alias("members"),
+        F.lit(None).cast("string").alias("members"),
     )
     return F.when(parts.isNotNull(), value).cast(GEOMETRY)
 

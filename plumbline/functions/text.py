@@ -62,13 +62,14 @@ concat(x.sign, CASE
 def double_text(value: str) -> str:
     """SQL for the shortest decimal text as Python and SQL engines print it: 10000000.0, 0.0001, 1e-05, 1e+16.
 
-    Spark prints 1.0E7 instead; numbers without an exponent pass straight through. ``get(transform(array(x), name ->
-    ...), 0)`` names an intermediate value.
+    Spark prints 1.0E7 instead; the common numbers that it prints without an exponent and with few digits pass straight
+    through. In the rest, ``get(transform(array(x), name -> ...), 0)`` names an intermediate value.
     """
     scientific = f"get(transform(array({_TAKEN_APART}), x -> {_WRITTEN}), 0)"
-    return f"""get(transform(transform(array({value}), v -> {_PRINTED}), p -> CASE WHEN p = 'NaN' THEN 'nan'
+    plain = f"({value} = 0 OR abs({value}) >= 1e-3D AND abs({value}) < 1e7D) AND length(CAST({value} AS string)) < 18"
+    return f"""CASE WHEN {plain} THEN CAST({value} AS string) ELSE get(transform(transform(array({value}), v -> {_PRINTED}), p -> CASE WHEN p = 'NaN' THEN 'nan'
         WHEN endswith(p, 'Infinity') THEN replace(p, 'Infinity', 'inf') WHEN NOT contains(p, 'E') THEN p
-        ELSE {scientific} END), 0)"""
+        ELSE {scientific} END), 0) END"""
 
 
 def timestamp_text(value: Column, separator: str = "T") -> Column:

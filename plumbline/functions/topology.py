@@ -149,15 +149,14 @@ def _rings_agree(rings, part_of, touches):
 class _Batch:
     """Rings of a whole Arrow batch as flat arrays, without the consecutive repeats."""
 
-    def __init__(self, geometry: pa.Array):
-        parts = pc.struct_field(geometry, "parts")
+    def __init__(self, parts: pa.Array):
         rings = parts.flatten()
         lines = rings.flatten()
         points = lines.flatten()
         widths = _lengths(points)
         starts = np.cumsum(widths) - widths
         ordinates = points.flatten().to_numpy(zero_copy_only=False)
-        self.part_row = np.repeat(np.arange(len(geometry)), _lengths(parts))
+        self.part_row = np.repeat(np.arange(len(parts)), _lengths(parts))
         self.ring_part = np.repeat(np.arange(len(self.part_row)), _lengths(rings))
         ring = np.repeat(np.arange(len(self.ring_part)), _lengths(lines))
         xy = np.stack([ordinates[starts], ordinates[starts + 1]], axis=1) if len(starts) else np.empty((0, 2))
@@ -175,38 +174,39 @@ def _lengths(lists: pa.Array):
     return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _groups(geometry, batch, valid):
+def _groups(kinds, members, batch, valid):
     """Group number per part: parts that are checked together, -1 for points and lines; and the row of each group.
 
     A polygon or multipolygon is one group. The members of a collection are judged one by one, here with the simple
     rules as well, because those are checked in the JVM for the plain types only.
     """
-    kinds = np.array(pc.struct_field(geometry, "type").to_pylist(), object)
-    group_row = list(range(len(geometry)))
+    kinds = np.array(kinds.to_pylist(), object)
+    group_row = list(range(len(kinds)))
     polygonal = np.isin(kinds.astype(str), ["Polygon", "MultiPolygon"])
     group = np.where(polygonal[batch.part_row], batch.part_row, -1)
     for row in np.flatnonzero(kinds == "GeometryCollection"):
         at = int(np.searchsorted(batch.part_row, row))
-        for member in geometry[row]["members"].as_py() or []:
-            parts = range(at, at + member["parts"])
+        for member in filter(None, (members[row].as_py() or "").split(",")):
+            name, _, count = member.partition(":")
+            parts = range(at, at + int(count))
             at = parts.stop
             rings = np.flatnonzero(np.isin(batch.ring_part, parts))
-            if member["type"].endswith("Polygon"):
+            if name.endswith("Polygon"):
                 group[list(parts)] = len(group_row)
                 group_row.append(int(row))
                 for ring in (batch.ring(r) for r in rings):
                     if len(ring) and (len(ring) < 4 or (ring[0] != ring[-1]).any()):
                         valid[row] = False
-            elif member["type"].endswith("LineString") and (batch.counts[rings] == 1).any():
+            elif name.endswith("LineString") and (batch.counts[rings] == 1).any():
                 valid[row] = False
     return group, np.array(group_row)
 
 
-def topology_batch(geometry: pa.Array) -> pa.Array:
-    valid = np.ones(len(geometry), bool)
-    missing = np.asarray(geometry.is_null())
-    batch = _Batch(geometry)
-    part_group, group_row = _groups(geometry, batch, valid)
+def topology_batch(kinds: pa.Array, parts: pa.Array, members: pa.Array) -> pa.Array:
+    valid = np.ones(len(kinds), bool)
+    missing = np.asarray(kinds.is_null())
+    batch = _Batch(parts)
+    part_group, group_row = _groups(kinds, members, batch, valid)
     ring_group = part_group[batch.ring_part]
     counts = np.where((ring_group >= 0) & (batch.counts > 1), batch.counts - 1, 0)
     if not counts.sum():
@@ -256,7 +256,9 @@ def topologically_valid(geometry: Column) -> Column:
     Declared non-deterministic so that a later filter on the verdict is not pushed below the projection, where
     Catalyst would run the function a second time.
     """
-    return F.arrow_udf(topology_batch, "boolean").asNondeterministic()(geometry)
+    return F.arrow_udf(topology_batch, "boolean").asNondeterministic()(
+        geometry["type"], geometry["parts"], geometry["members"]
+    )
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -12,6 +12,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -96,9 +97,8 @@ def _nested(part_counts, ring_counts, point_counts, widths, values, mask):
 
 
 def _assemble(kinds, srids, dims, parts, members, missing):
-    member_type = pa.list_(pa.struct([("type", pa.string()), ("parts", pa.int32())]))
     fields = [pa.array(kinds, pa.string()), pa.array(srids, pa.int32()), pa.array(dims, pa.string()), parts,
-              pa.array(members, member_type)]
+              pa.array(members, pa.string())]
     return pa.StructArray.from_arrays(fields, ["type", "srid", "dims", "parts", "members"], mask=pa.array(missing))
 
 
@@ -134,7 +134,7 @@ def decode_batch(data: pa.Array) -> pa.Array:
         value = item.as_py()
         kind, srid, layout, parts, member = _Reader(value).geometry() if value is not None else (None, None, None, [], None)
         kinds.append(kind), srids.append(srid), dims.append(layout), missing.append(value is None)
-        members.append([{"type": t, "parts": n} for t, n in member] if member is not None else None)
+        members.append(",".join(f"{t}:{n}" for t, n in member) if member is not None else None)
         part_counts.append(len(parts))
         for part in parts:
             ring_counts.append(len(part))
@@ -153,33 +153,64 @@ def _header(kind, dims, srid):
     return head + struct.pack("<I", srid) if srid else head
 
 
-def _ring_bytes(ring):
-    return struct.pack("<I", len(ring)) + np.asarray(ring, "<f8").tobytes()
+def _line_bytes(ring):
+    count, data = ring
+    return struct.pack("<I", count) + data
 
 
 def _encode(kind, dims, srid, parts, members):
+    """WKB from parts of rings, a ring being (number of points, little-endian ordinate bytes)."""
     head = _header(kind, dims, srid)
     if kind == "Point":
-        point = parts[0][0][0] if parts else [float("nan")] * ORDINATES[dims]
-        return head + np.asarray(point, "<f8").tobytes()
+        return head + (parts[0][0][1] if parts else np.full(ORDINATES[dims], np.nan).tobytes())
     if kind == "LineString":
-        return head + _ring_bytes(parts[0][0] if parts else [])
+        return head + (_line_bytes(parts[0][0]) if parts else struct.pack("<I", 0))
     if kind == "Polygon":
         rings = parts[0] if parts else []
-        return head + struct.pack("<I", len(rings)) + b"".join(_ring_bytes(r) for r in rings)
-    if kind != "GeometryCollection":
-        members = [{"type": kind.removeprefix("Multi"), "parts": 1}] * len(parts)
+        return head + struct.pack("<I", len(rings)) + b"".join(_line_bytes(r) for r in rings)
+    listed = [(kind.removeprefix("Multi"), 1)] * len(parts)
+    if kind == "GeometryCollection":
+        listed = [(name, int(count)) for name, _, count in (m.partition(":") for m in (members or "").split(",") if m)]
     body, at = [], 0
-    for member in members:
-        body.append(_encode(member["type"], dims, 0, parts[at:at + member["parts"]], None))
-        at += member["parts"]
-    return head + struct.pack("<I", len(members)) + b"".join(body)
-
-
-def encode_batch(geometry: pa.Array) -> pa.Array:
-    rows = geometry.to_pylist()
+    for name, count in listed:
+        body.append(_encode(name, dims, 0, parts[at:at + count], None))
+        at += count
+    return head + struct.pack("<I", len(listed)) + b"".join(body)
+
+
+def _lengths(lists: pa.Array):
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def encode_batch(kinds: pa.Array, srids: pa.Array, dims: pa.Array, parts: pa.Array, members: pa.Array) -> pa.Array:
+    rings = parts.flatten()
+    lines = rings.flatten()
+    points = lines.flatten()
+    ordinates = points.flatten().to_numpy(zero_copy_only=False).astype("<f8")
+    missing = np.asarray(kinds.is_null())
+    present = len(kinds) - missing.sum()
+    plain = pc.all(pc.and_(pc.and_(pc.equal(kinds, "Point"), pc.equal(dims, "XY")), pc.equal(srids, 0)), min_count=0).as_py()
+    if present and plain and len(ordinates) == 2 * present:
+        raw = np.empty((present, 21), np.uint8)
+        raw[:, :5] = _PLAIN_POINT
+        raw[:, 5:] = ordinates.reshape(-1, 2).view(np.uint8)
+        ends = np.concatenate([[0], np.cumsum(~missing)]).astype(np.int32) * 21
+        buffers = [pa.array(~missing).buffers()[1], pa.py_buffer(ends.tobytes()), pa.py_buffer(raw.tobytes())]
+        return pa.Array.from_buffers(pa.binary(), len(kinds), buffers)
+
+    counts = _lengths(lines)
+    ends = np.cumsum(_lengths(points))
+    last = np.cumsum(counts)
+    stops = np.where(last > 0, ends[np.maximum(last - 1, 0)] if len(ends) else 0, 0)
+    starts = np.concatenate([[0], stops[:-1]])
+    flat = [(int(n), ordinates[i:j].tobytes()) for n, i, j in zip(counts, starts, stops)]
+    ring_ends, part_ends = np.cumsum(_lengths(rings)), np.cumsum(_lengths(parts))
+    groups = [flat[i:j] for i, j in zip(np.concatenate([[0], ring_ends[:-1]]), ring_ends)]
+    rows = zip(kinds.to_pylist(), dims.to_pylist(), srids.to_pylist(), np.concatenate([[0], part_ends[:-1]]), part_ends,
+               members.to_pylist(), missing)
     return pa.array([
-        None if g is None else _encode(g["type"], g["dims"], g["srid"] or 0, g["parts"], g["members"]) for g in rows
+        None if gone else _encode(kind, layout, srid or 0, groups[i:j], listed)
+        for kind, layout, srid, i, j, listed, gone in rows
     ], pa.binary())
 
 
@@ -190,7 +221,7 @@ def from_wkb(value: Column) -> Column:
 
 def to_wkb(geometry: Column) -> Column:
     """Little-endian EWKB of a geometry struct."""
-    return F.arrow_udf(encode_batch, "binary")(geometry)
+    return F.arrow_udf(encode_batch, "binary")(*[geometry[name] for name in GEOMETRY.names])
 
 
 # Executors need no installed copy of the package: the batch functions travel inside the plan.

@@ -178,7 +178,7 @@ def test_hash_code_names_the_payload(spark):
 
 def test_rows_that_cannot_be_built(spark):
     template = Template(1, "T", characteristics=({"code": "I", "type": "integer"}, {"code": "T", "type": "date"}))
-    collection = shape("GeometryCollection", [[[1.0, 2.0]]], members=[{"type": "Point", "parts": 1}])
+    collection = shape("GeometryCollection", [[[1.0, 2.0]]], members="Point:1")
     rows = [("ok", "n", None, "10", None), ("text", "n", None, "3.7", None), ("day", "n", None, None, "2020"), ("geo", "n", collection, None, None)]
     built = payloads(spark, rows, f"id string, name string, geom {GEOMETRY.simpleString()}, I string, T string", template)
     reasons = {r["id"]: r["reject"] and (r["reject"]["code"], r["reject"]["message"]) for r in built}
