@@ -41,15 +41,15 @@ def characteristic_name(name: Column) -> Column:
 # Spark's own text of the double v. Where it has 17 digits or more the runtime may print more than needed, so 16 and
 # 17 digits are tried.
 _PRINTED = """
-CASE WHEN length(regexp_replace(CAST(v AS string), 'E.*|[^0-9]', '')) < 17 THEN CAST(v AS string)
+CASE WHEN length(translate(substring_index(CAST(v AS string), 'E', 1), '-.', '')) < 17 THEN CAST(v AS string)
      WHEN try_cast(format_string('%.15e', v) AS double) = v THEN upper(format_string('%.15e', v))
      WHEN try_cast(format_string('%.16e', v) AS double) = v THEN upper(format_string('%.16e', v))
      ELSE CAST(v AS string) END"""
 
 # d.dddE[-]n taken apart, and written with plain digits for exponents -4 to 15, else as d.ddde-07.
 _TAKEN_APART = """
-struct(CASE WHEN startswith(p, '-') THEN '-' ELSE '' END AS sign, CAST(regexp_extract(p, 'E([-+]?[0-9]+)$', 1) AS int) AS e,
-       coalesce(nullif(regexp_replace(regexp_extract(p, '^-?([0-9.]+)E', 1), '[.]|0+$', ''), ''), '0') AS d)"""
+struct(CASE WHEN startswith(p, '-') THEN '-' ELSE '' END AS sign, CAST(substring_index(p, 'E', -1) AS int) AS e,
+       coalesce(nullif(rtrim('0', translate(substring_index(p, 'E', 1), '-.', '')), ''), '0') AS d)"""
 _WRITTEN = """
 concat(x.sign, CASE
   WHEN x.e BETWEEN 0 AND 15 AND length(x.d) <= x.e + 1 THEN concat(rpad(x.d, x.e + 1, '0'), '.0')

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import quoted
-from plumbline.operators.skew import MAX_BROADCAST_BYTES, lookup_join, measured_bytes, settled
+from plumbline.operators.skew import MAX_BROADCAST_BYTES, lookup_join, settled_with_size, total_bytes
 
 UNKNOWN = "Unknown"  # fixed value: a master-data value that never has an id
 
@@ -26,9 +26,9 @@ def masterdata_index(relations: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES)
     values = keyed.filter("rel_pos IS NOT NULL").groupBy("key", "entry_pos", "value").agg(
         F.max_by("id", "rel_pos").alias("id")
     )
-    last = settled(last).withColumnRenamed("key", "_key")
+    last, size = settled_with_size(last.withColumnRenamed("key", "_key"))
     kept = lookup_join(
-        values, F.col("key"), last, "_key", F.xxhash64("key", "entry_pos", "value"), max_bytes=max_bytes
+        values, F.col("key"), last, "_key", F.xxhash64("key", "entry_pos", "value"), max_bytes=max_bytes, index_bytes=size
     )
     return kept.filter("entry_pos = last_pos").select("key", "value", "id")
 
@@ -58,19 +58,20 @@ def usable_tags(tags: DataFrame) -> DataFrame:
 
 
 def tag_index(
-    tags: DataFrame, max_signals: int = MAX_SIGNALS, crowded: DataFrame | None = None,
+    tags: DataFrame, max_signals: int = MAX_SIGNALS, crowded: tuple[DataFrame, int] | None = None,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """(name, part, uids): the uids of every tag name in catalogue order; rows without name or uid are ignored.
 
     ``pos`` is the row's position in the catalogue. A name with up to ``max_signals`` tags has one list, part 0. A name
     with more is cut by position into parts of at most ``max_signals`` each, so no list grows with the data and none
-    of them is built in one task; the parts in order are the whole list.
+    of them is built in one task; the parts in order are the whole list. ``crowded`` may hand in the names that need
+    cutting and their size, if they are known already.
     """
     clean = usable_tags(tags)
-    crowded = settled(crowded_names(clean, max_signals)) if crowded is None else crowded
+    crowded, size = crowded or settled_with_size(crowded_names(clean, max_signals))
     crowded = crowded.select(F.col("name").alias("_name"), "low_part")
-    if measured_bytes(crowded) <= max_bytes:
+    if size <= max_bytes:
         crowded = F.broadcast(crowded)
     labelled = clean.join(crowded, F.col("name") == F.col("_name"), "left").withColumn(
         "part", F.when(F.col("low_part").isNull(), F.lit(0)).otherwise(F.floor(F.col("pos") / max_signals))
@@ -91,18 +92,21 @@ def attach_signals(
     A row has exactly one part unless its id has more than ``max_signals`` signals; then it comes once per part.
     """
     clean = usable_tags(tags)
-    crowded = settled(crowded_names(clean, max_signals))
-    index = tag_index(clean, max_signals, crowded, max_bytes)
+    seen = Observation()
+    crowded, size = settled_with_size(crowded_names(clean.observe(seen, total_bytes(clean)), max_signals))
+    index = tag_index(clean, max_signals, (crowded, size), max_bytes)
     id_text = F.coalesce(quoted(id_column).cast("string"), F.lit("None"))
     spread = F.xxhash64(quoted(id_column))
     columns = df.columns
-    if crowded.isEmpty():
+    if size == 0:
         found = lookup_join(
             df, id_text, index.select("name", "uids"), "name", spread, may_be_hot=False, max_bytes=max_bytes,
-            index_bytes=measured_bytes(clean),  # the lists hold no more than the tags; no need to build them to know
+            index_bytes=seen.get["bytes"],  # the lists hold no more than the tags; no need to build them to know
         ).withColumn("part", F.lit(0).cast("bigint"))
     else:
-        ranges = lookup_join(df, id_text, crowded, "name", spread, may_be_hot=False, max_bytes=max_bytes)
+        ranges = lookup_join(
+            df, id_text, crowded, "name", spread, may_be_hot=False, max_bytes=max_bytes, index_bytes=size
+        )
         parts = F.when(F.col("low_part").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(
             F.sequence("low_part", "high_part")
         )

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.text import sql_name
+
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 # Keys that are taken out of a shuffled join by a broadcast of their own. A key with more than 1/HOT_KEYS of all rows
@@ -34,16 +36,28 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def total_bytes(df: DataFrame) -> Column:
+    """Aggregate for the rough in-memory size of a frame: text and nested value lengths plus 16 bytes per field."""
+    widths = []
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            widths.append(f"coalesce(octet_length({sql_name(name)}), 0)")
+        elif kind.startswith(("array", "struct", "map")):
+            widths.append(f"coalesce(length(to_json(struct({sql_name(name)}))), 0)")
+    per_row = " + ".join([f"{16 * len(df.columns)}L", *widths])
+    return F.expr(f"coalesce(sum({per_row}), 0L)").alias("bytes")
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Rough in-memory size of a frame: text lengths plus 16 bytes per field. Runs one aggregation over it."""
-    widths = [
-        F.coalesce(F.octet_length(c), F.lit(0)) if t in ("string", "binary")
-        else F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0)) if t.startswith(("array", "struct", "map"))
-        else F.lit(0)
-        for c, t in df.dtypes
-    ]
-    per_row = sum(widths, F.lit(16 * len(widths))).cast("bigint")
-    return df.agg(F.sum(per_row).alias("bytes")).first()["bytes"] or 0
+    """Size of a frame by one aggregation over it."""
+    return df.agg(total_bytes(df)).first()["bytes"]
+
+
+def settled_with_size(df: DataFrame) -> tuple[DataFrame, int]:
+    """The settled frame and its size, in one pass. A repeated task may count twice, so the size errs upwards."""
+    seen = Observation()
+    kept = settled(df.observe(seen, total_bytes(df)))
+    return kept, seen.get["bytes"]
 
 
 def mark_members(
@@ -55,10 +69,10 @@ def mark_members(
     is broadcast and no wide row moves. Beyond it the hottest keys are still broadcast; rows that need no lookup or
     belong to such a key are answered without a shuffle, and only the rest is joined on the key.
     """
-    keys = settled(keys.select(F.col(key).alias("_key"), "n"))
+    keys, size = settled_with_size(keys.select(F.col(key).alias("_key"), "n"))
     wanted = F.when(eligible, F.col(key))
     listed = keys.select("_key", F.lit(True).alias(flag))
-    if measured_bytes(listed) <= max_bytes:
+    if size <= max_bytes:
         joined = df.join(F.broadcast(listed), wanted == F.col("_key"), "left")
         return joined.drop("_key").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
