@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import quoted
-from plumbline.operators.skew import MAX_BROADCAST_BYTES, lookup_join, settled_with_size, total_bytes
+from plumbline.operators.skew import MAX_BROADCAST_BYTES, lookup_join, row_spread, settled_with_size, total_bytes
 
 UNKNOWN = "Unknown"  # fixed value: a master-data value that never has an id
 
@@ -89,14 +89,15 @@ def attach_signals(
 ) -> DataFrame:
     """Add ``signals`` (ordered array<struct<uid, type, name>>, empty if there are none) and ``part`` to every row.
 
-    A row has exactly one part unless its id has more than ``max_signals`` signals; then it comes once per part.
+    A row has exactly one part unless its id has more than ``max_signals`` signals; then it comes once per part. Ids are
+    taken to be unique, as they are in standard data; a row without an id has no signals.
     """
     clean = usable_tags(tags)
     seen = Observation()
     crowded, size = settled_with_size(crowded_names(clean.observe(seen, total_bytes(clean)), max_signals))
     index = tag_index(clean, max_signals, (crowded, size), max_bytes)
-    id_text = F.coalesce(quoted(id_column).cast("string"), F.lit("None"))
-    spread = F.xxhash64(quoted(id_column))
+    id_text = quoted(id_column).cast("string")
+    spread = row_spread(df)
     columns = df.columns
     if size == 0:
         found = lookup_join(
@@ -110,9 +111,12 @@ def attach_signals(
         parts = F.when(F.col("low_part").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(
             F.sequence("low_part", "high_part")
         )
-        spread_out = ranges.withColumn("part", F.explode(parts)).withColumn("_name", id_text)
+        spread_out = ranges.withColumns({"part": F.explode(parts), "_name": id_text}).withColumn(
+            # Rows without an id match nothing; negative part numbers deal them out.
+            "_part", F.when(id_text.isNotNull(), F.col("part")).otherwise(-1 - F.pmod(spread, F.lit(4096)))
+        )
         index = index.select(F.col("name").alias("_index_name"), F.col("part").alias("_index_part"), "uids")
-        same = (F.col("_name") == F.col("_index_name")) & (F.col("part") == F.col("_index_part"))
+        same = (F.col("_name") == F.col("_index_name")) & (F.col("_part") == F.col("_index_part"))
         found = spread_out.join(index, same, "left")
         # A gap in the middle of a crowded name's range holds no signals and is not a part.
         found = found.filter(F.col("low_part").isNull() | F.col("uids").isNotNull())

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from plumbline.functions.geometry import COLLECTION, geojson, is_geometry
 from plumbline.functions.text import characteristic_name, double_text, is_usable, quoted, sql_name, timestamp_text
 from plumbline.operators.lookup import MAX_SIGNALS, attach_signals, masterdata_id
-from plumbline.operators.skew import MAX_BROADCAST_BYTES, settled_with_size
+from plumbline.operators.skew import MAX_BROADCAST_BYTES, row_spread, settled_with_size
 
 HIDDEN_TYPE = "iotsynoptic"  # fixed value: characteristics of this type never reach a payload
 HASH_CODE = "XV_hash_code"  # fixed value: the characteristic that names a payload if it is filled
@@ -128,10 +128,11 @@ def with_lookups(
     coded = [c["code"] for c in characteristics if c["type"] == "maindata" and c["code"] in df.columns]
     if coded and masterdata is not None:
         index, size = settled_with_size(masterdata)
+        spread = row_spread(df)
         for number, code in enumerate(coded):
             ids[code] = f"_masterdata_{number}"
             df = masterdata_id(
-                df, code, index, code, ids[code], F.xxhash64(quoted(id_column)), max_bytes,
+                df, code, index, code, ids[code], spread, max_bytes,
                 size if size <= max_bytes else None,
             )
     elif coded:

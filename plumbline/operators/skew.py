@@ -20,14 +20,15 @@ _SPREAD = 4096
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors see: the one the session names, or a temporary one in a local session without any."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="plumbline-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    context = spark.sparkContext
+    named, current = spark.conf.get("spark.checkpoint.dir", None), context.getCheckpointDir()
+    if not named and not current:
+        if not context.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors can reach")
+        named = tempfile.mkdtemp(prefix="plumbline-")
+    if not current:
+        context.setCheckpointDir(named)
+    return named or current
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -36,6 +37,11 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def row_spread(df: DataFrame) -> Column:
+    """A hash that tells rows apart as far as their content does."""
+    return F.xxhash64(*[sql_name(n) for n, kind in df.dtypes if not kind.startswith(("map", "variant"))])
+
+
 def total_bytes(df: DataFrame) -> Column:
     """Aggregate for the rough in-memory size of a frame: text and nested value lengths plus 16 bytes per field."""
     widths = []
@@ -106,8 +112,11 @@ def lookup_join(
     if may_be_hot:
         frequent = keyed.filter("_search IS NOT NULL").groupBy("_search").count()
         frequent = frequent.orderBy(F.desc("count"), "_search").limit(HOT_KEYS)
-        hot = frequent.join(index, F.col("_search") == F.col("_index_key"), "left")
-        hot = hot.select(F.col("_search").alias("_hot_key"), F.struct(*values).alias("_hot"))
+        # Both sides of these joins are at most HOT_KEYS rows; the large index is only scanned.
+        found = index.join(F.broadcast(frequent), F.col("_search") == F.col("_index_key"))
+        found = found.select("_index_key", F.struct(*values).alias("_hot"))
+        hot = frequent.join(F.broadcast(found), F.col("_search") == F.col("_index_key"), "left")
+        hot = hot.select(F.col("_search").alias("_hot_key"), "_hot")
         keyed = keyed.join(F.broadcast(hot), F.col("_search") == F.col("_hot_key"), "left")
     else:
         keyed = keyed.withColumns({"_hot_key": F.lit(None), "_hot": F.lit(None)})
