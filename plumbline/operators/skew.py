@@ -121,13 +121,15 @@ def lookup_join(
     else:
         keyed = keyed.withColumns({"_hot_key": F.lit(None), "_hot": F.lit(None)})
     searching = F.col("_search").isNotNull() & F.col("_hot_key").isNull()
-    keyed = keyed.withColumns({
-        "_left_key": F.when(searching, F.col("_search")),
-        "_salt": F.when(searching, F.lit(0)).otherwise(F.pmod(F.xxhash64(spread), F.lit(_SPREAD)).cast("int") + 1),
-    })
-    right = index.select("_index_key", F.lit(0).alias("_index_salt"), F.struct(*values).alias("_found"))
-    same = (F.col("_left_key") == F.col("_index_key")) & (F.col("_salt") == F.col("_index_salt"))
-    joined = keyed.join(right, same, "left")
+    # One text key for both kinds of rows. A second, constant salt column on the index side would not do: Catalyst
+    # folds the constant into a plain condition and shuffles by the first key alone.
+    dealt = F.concat(F.lit("s"), F.pmod(F.xxhash64(spread), F.lit(_SPREAD)).cast("string"))
+    found_by = F.concat(F.lit("k"), F.col("_search").cast("string"))
+    keyed = keyed.withColumn("_left_key", F.when(searching, found_by).otherwise(dealt))
+    right = index.filter("_index_key IS NOT NULL").select(
+        F.concat(F.lit("k"), F.col("_index_key").cast("string")).alias("_right_key"), F.struct(*values).alias("_found")
+    )
+    joined = keyed.join(right, F.col("_left_key") == F.col("_right_key"), "left")
     answer = F.when(F.col("_hot_key").isNotNull(), F.col("_hot")).otherwise(F.col("_found")) if may_be_hot \
         else F.col("_found")
     return joined.withColumn("_answer", answer).select(*df.columns, *[F.col("_answer")[v].alias(v) for v in values])

@@ -114,6 +114,21 @@ def test_lookup_join_both_ways(spark, may_be_hot):
     assert sorted(map(tuple, ways[0].collect())) == sorted(map(tuple, ways[1].collect()), key=lambda r: r)
 
 
+def test_rows_without_a_lookup_are_dealt_out(spark):
+    """All rows that search nothing, and those of a hot value, must not meet in one shuffle partition."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, "hot").alias("v"))
+        index = spark.range(5000).select(F.concat(F.lit("n"), "id").alias("v"), "id").withColumnRenamed("id", "a")
+        found = lookup_join(df, F.col("v"), index, "v", F.xxhash64("id"), True, -1)
+        spread = found.groupBy(F.spark_partition_id().alias("p"), F.col("v").isNull()).count().collect()
+        assert len(spread) == 8 and max(r["count"] for r in spread) < 700
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_usable_values(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "v double")
     assert [r[0] for r in df.select(is_usable(F.col("v"), floating=True)).collect()] == [True, False, False]
