@@ -44,6 +44,11 @@ def duplicate_rule(spark, sf_dir):
     return mark_duplicates(lines(spark, sf_dir), "id")
 
 
+def duplicate_rule_large(spark, sf_dir):
+    """The way taken when the duplicated ids do not fit a broadcast."""
+    return mark_duplicates(lines(spark, sf_dir), "id", max_bytes=-1)
+
+
 def geometry_rule(spark, sf_dir):
     df = rings(spark, sf_dir).withColumnRenamed("p_partkey", "id")
     done = classify(df, Rules(core_fields=("id",), mandatory=(), id_column="id", geometry_column="geom"))
@@ -114,6 +119,7 @@ QUERIES = {
     "V1_type_rule": type_rule,
     "V2_mandatory_rule": mandatory_rule,
     "V3_duplicate_ids": duplicate_rule,
+    "V3_duplicate_ids_beyond_broadcast": duplicate_rule_large,
     "V4_geometry_rule": geometry_rule,
     "V5_classification": classification,
     "V5_reject_counts": reject_counts,
@@ -150,6 +156,7 @@ ORACLES = {
 SELECT k, concat_ws(',', CASE WHEN id IS NULL THEN 'id' END, CASE WHEN name IS NULL THEN 'name' END) AS field
 FROM ({PARTIES_SQL}) WHERE id IS NULL OR name IS NULL""",
     "V3_duplicate_ids": f"SELECT id, l_partkey, l_suppkey, n > 1 AS is_duplicate FROM ({_LINES})",
+    "V3_duplicate_ids_beyond_broadcast": f"SELECT id, l_partkey, l_suppkey, n > 1 AS is_duplicate FROM ({_LINES})",
     "V4_geometry_rule": """
 SELECT p_partkey AS id, CASE WHEN p_partkey % 7 = 0 OR p_partkey % 11 = 0 THEN 'invalid_geometry' END AS code,
        CASE WHEN p_partkey % 7 = 0 OR p_partkey % 11 = 0 THEN 'geom' END AS field FROM part""",

@@ -53,11 +53,11 @@ def tag_lists(spark, sf_dir):
     return tag_index(tags(spark, sf_dir)).select("name", F.array_join("uids", "|").alias("uids"))
 
 
-def nation_ids(spark, sf_dir):
-    index = masterdata_index(nation_relations(spark, sf_dir))
+def nation_ids(spark, sf_dir, **bound):
+    index = masterdata_index(nation_relations(spark, sf_dir), **bound)
     df = nation_of_customers(spark, sf_dir)
     for region in ("R1", "ASIA"):
-        df = masterdata_id(df, "nation", index, region, region.lower(), F.xxhash64("c_custkey"))
+        df = masterdata_id(df, "nation", index, region, region.lower(), F.xxhash64("c_custkey"), **bound)
     return df.select("c_custkey", "nation", F.col("r1").cast("string").alias("r1"), F.col("asia").cast("string").alias("asia"))
 
 
@@ -68,11 +68,25 @@ def signals(spark, sf_dir):
     return found.select("id", F.size("signals").alias("n"), text.alias("signals"))
 
 
+def nation_ids_large(spark, sf_dir):
+    """The way taken when an index does not fit a broadcast."""
+    return nation_ids(spark, sf_dir, max_bytes=-1)
+
+
+def signal_parts(spark, sf_dir):
+    """Signal lists of at most five; longer ones come in parts by catalogue position."""
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    found = attach_signals(customer, tags(spark, sf_dir), "id", max_signals=5, max_bytes=-1)
+    return found.select("id", "part", F.array_join("signals.uid", "|").alias("uids"))
+
+
 QUERIES = {
     "S7_masterdata_index": masterdata,
     "S8_tag_index": tag_lists,
     "J3_masterdata_lookup": nation_ids,
+    "J3_masterdata_lookup_beyond_broadcast": nation_ids_large,
     "J4_signal_lists": signals,
+    "J4_signal_lists_in_parts": signal_parts,
 }
 
 _TAGS = "SELECT CAST(user_id AS VARCHAR) AS name, CAST(event_id AS VARCHAR) AS uid, event_id AS pos FROM events WHERE event_id % 50 <> 0"
@@ -82,17 +96,24 @@ def _nation_id(condition):
     return f"CAST((SELECT max(n_nationkey) FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name = nation_name AND {condition}) AS VARCHAR)"
 
 
+_NATION_IDS = f"""
+SELECT c_custkey, nation_name AS nation, {_nation_id("r_regionkey = 1")} AS r1, {_nation_id("r_name = 'ASIA'")} AS asia
+FROM (SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN 'Unknown' WHEN c_custkey % 11 = 0 THEN 'nowhere'
+                             WHEN c_custkey % 7 = 0 THEN NULL ELSE n_name END AS nation_name
+      FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+
 ORACLES = {
     "S7_masterdata_index": """
 WITH keyed AS (SELECT p_brand AS key, * FROM part UNION SELECT p_type AS key, * FROM part)
 SELECT key, p_name AS value, p_partkey AS id FROM keyed
 QUALIFY p_partkey = max(p_partkey) OVER (PARTITION BY key) AND p_partkey % 5 <> 0""",
     "S8_tag_index": f"SELECT name, string_agg(uid, '|' ORDER BY pos) AS uids FROM ({_TAGS}) GROUP BY name",
-    "J3_masterdata_lookup": f"""
-SELECT c_custkey, nation_name AS nation, {_nation_id("r_regionkey = 1")} AS r1, {_nation_id("r_name = 'ASIA'")} AS asia
-FROM (SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN 'Unknown' WHEN c_custkey % 11 = 0 THEN 'nowhere'
-                             WHEN c_custkey % 7 = 0 THEN NULL ELSE n_name END AS nation_name
-      FROM customer JOIN nation ON c_nationkey = n_nationkey)""",
+    "J3_masterdata_lookup": _NATION_IDS,
+    "J3_masterdata_lookup_beyond_broadcast": _NATION_IDS,
+    "J4_signal_lists_in_parts": f"""
+SELECT c_custkey AS id, CAST(coalesce(part, 0) AS BIGINT) AS part, coalesce(string_agg(uid, '|' ORDER BY pos), '') AS uids
+FROM customer LEFT JOIN (SELECT *, CASE WHEN count(*) OVER (PARTITION BY name) > 5 THEN pos // 5 ELSE 0 END AS part FROM ({_TAGS}))
+     ON name = CAST(c_custkey AS VARCHAR) GROUP BY ALL""",
     "J4_signal_lists": f"""
 SELECT c_custkey AS id, CAST(count(uid) AS INTEGER) AS n,
        coalesce(string_agg(concat('SIGNAL:', name, ':', uid), '|' ORDER BY pos) FILTER (WHERE uid IS NOT NULL), '') AS signals
