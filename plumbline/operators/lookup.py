@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import quoted
-from plumbline.operators.skew import MAX_BROADCAST_BYTES, lookup_join, row_spread, settled_with_size, total_bytes
+from plumbline.operators.skew import MAX_BROADCAST_BYTES, lookup_join, measured_bytes, row_spread, settled_with_size
 
 UNKNOWN = "Unknown"  # fixed value: a master-data value that never has an id
 
@@ -93,8 +93,7 @@ def attach_signals(
     taken to be unique, as they are in standard data; a row without an id has no signals.
     """
     clean = usable_tags(tags)
-    seen = Observation()
-    crowded, size = settled_with_size(crowded_names(clean.observe(seen, total_bytes(clean)), max_signals))
+    crowded, size = settled_with_size(crowded_names(clean, max_signals))
     index = tag_index(clean, max_signals, (crowded, size), max_bytes)
     id_text = quoted(id_column).cast("string")
     spread = row_spread(df)
@@ -102,7 +101,7 @@ def attach_signals(
     if size == 0:
         found = lookup_join(
             df, id_text, index.select("name", "uids"), "name", spread, may_be_hot=False, max_bytes=max_bytes,
-            index_bytes=seen.get["bytes"],  # the lists hold no more than the tags; no need to build them to know
+            index_bytes=measured_bytes(clean),  # the lists hold no more than the tags; no need to build them to know
         ).withColumn("part", F.lit(0).cast("bigint"))
     else:
         ranges = lookup_join(
