@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import quoted
@@ -44,13 +44,25 @@ def masterdata_id(
     return lookup_join(df, wanted, listed, "value", spread, max_bytes=max_bytes, index_bytes=index_bytes)
 
 
-def crowded_names(tags: DataFrame, max_signals: int = MAX_SIGNALS) -> DataFrame:
-    """Tag names with more signals than one list should hold, and the range of parts they are cut into."""
-    counts = tags.groupBy("name").agg(
-        F.count(F.lit(1)).alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high")
-    ).filter(F.col("n") > max_signals)
-    part = {end: F.floor(F.col(end) / max_signals).alias(f"{end}_part") for end in ("low", "high")}
-    return counts.select("name", part["low"], part["high"])
+def crowded_parts(
+    tags: DataFrame, max_signals: int = MAX_SIGNALS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> tuple[DataFrame, int]:
+    """(name, bucket, part) for tag names with more signals than one list should hold, and the size of that frame.
+
+    A bucket is a stretch of half as many catalogue positions; consecutive buckets are put together until they hold half
+    a list, so a part never exceeds ``max_signals``. Only bucket counts are ordered per name, not tags.
+    """
+    half = max(1, max_signals // 2)
+    many = tags.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_signals)
+    many, size = settled_with_size(many.select("name"))
+    if size == 0:  # the usual case: the tags are not looked at again
+        return many.withColumns({"bucket": F.lit(0).cast("bigint"), "part": F.lit(0).cast("bigint")}), 0
+    many = F.broadcast(many) if size <= max_bytes else many
+    bucket = F.floor(F.col("pos") / half).alias("bucket")
+    counts = tags.join(many, "name", "left_semi").groupBy("name", bucket).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("name").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    return settled_with_size(counts.select("name", "bucket", F.floor(before / half).alias("part")))
 
 
 def usable_tags(tags: DataFrame) -> DataFrame:
@@ -65,17 +77,19 @@ def tag_index(
 
     ``pos`` is the row's position in the catalogue. A name with up to ``max_signals`` tags has one list, part 0. A name
     with more is cut by position into parts of at most ``max_signals`` each, so no list grows with the data and none
-    of them is built in one task; the parts in order are the whole list. ``crowded`` may hand in the names that need
-    cutting and their size, if they are known already.
+    of them is built in one task; the parts in order are the whole list. ``crowded`` may hand in what
+    ``crowded_parts`` gives, if it is known already.
     """
     clean = usable_tags(tags)
-    crowded, size = crowded or settled_with_size(crowded_names(clean, max_signals))
-    crowded = crowded.select(F.col("name").alias("_name"), "low_part")
-    if size <= max_bytes:
-        crowded = F.broadcast(crowded)
-    labelled = clean.join(crowded, F.col("name") == F.col("_name"), "left").withColumn(
-        "part", F.when(F.col("low_part").isNull(), F.lit(0)).otherwise(F.floor(F.col("pos") / max_signals))
-    )
+    crowded, size = crowded or crowded_parts(clean, max_signals, max_bytes)
+    if size == 0:
+        labelled = clean.withColumn("part", F.lit(0).cast("bigint"))
+    else:
+        parts = crowded.select(F.col("name").alias("_name"), "bucket", F.col("part").alias("_part"))
+        parts = F.broadcast(parts) if size <= max_bytes else parts
+        bucket = F.floor(F.col("pos") / max(1, max_signals // 2))
+        joined = clean.join(parts, (F.col("name") == F.col("_name")) & (bucket == F.col("bucket")), "left")
+        labelled = joined.withColumn("part", F.coalesce("_part", F.lit(0)))
     # Named explicitly: after a shuffled join on the name, the grouping would otherwise reuse that partitioning and
     # gather all parts of one name in one task.
     dealt = labelled.repartition("name", "part")
@@ -93,7 +107,7 @@ def attach_signals(
     taken to be unique, as they are in standard data; a row without an id has no signals.
     """
     clean = usable_tags(tags)
-    crowded, size = settled_with_size(crowded_names(clean, max_signals))
+    crowded, size = crowded_parts(clean, max_signals, max_bytes)
     index = tag_index(clean, max_signals, (crowded, size), max_bytes)
     id_text = quoted(id_column).cast("string")
     spread = row_spread(df)
@@ -104,12 +118,11 @@ def attach_signals(
             index_bytes=measured_bytes(clean),  # the lists hold no more than the tags; no need to build them to know
         ).withColumn("part", F.lit(0).cast("bigint"))
     else:
+        last = crowded.groupBy("name").agg(F.max("part").alias("last_part"))
         ranges = lookup_join(
-            df, id_text, crowded, "name", spread, may_be_hot=False, max_bytes=max_bytes, index_bytes=size
-        )
-        parts = F.when(F.col("low_part").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(
-            F.sequence("low_part", "high_part")
+            df, id_text, last, "name", spread, may_be_hot=False, max_bytes=max_bytes, index_bytes=size
         )
+        parts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("last_part", F.lit(0)))
         spread_out = ranges.withColumns({"part": F.explode(parts), "_name": id_text}).withColumn(
             # Rows without an id match nothing; negative part numbers deal them out.
             "_part", F.when(id_text.isNotNull(), F.col("part")).otherwise(-1 - F.pmod(spread, F.lit(4096)))
@@ -117,8 +130,8 @@ def attach_signals(
         index = index.select(F.col("name").alias("_index_name"), F.col("part").alias("_index_part"), "uids")
         same = (F.col("_name") == F.col("_index_name")) & (F.col("_part") == F.col("_index_part"))
         found = spread_out.join(index, same, "left")
-        # A gap in the middle of a crowded name's range holds no signals and is not a part.
-        found = found.filter(F.col("low_part").isNull() | F.col("uids").isNotNull())
+        # A part number that was skipped when buckets were put together holds no signals and is not a part.
+        found = found.filter(F.col("last_part").isNull() | F.col("uids").isNotNull())
     signals = F.transform("uids", lambda uid: F.struct(
         uid.alias("uid"), F.lit("SIGNAL").alias("type"), id_text.alias("name")
     ))

@@ -111,9 +111,12 @@ QUALIFY p_partkey = max(p_partkey) OVER (PARTITION BY key) AND p_partkey % 5 <>
     "J3_masterdata_lookup": _NATION_IDS,
     "J3_masterdata_lookup_beyond_broadcast": _NATION_IDS,
     "J4_signal_lists_in_parts": f"""
-SELECT c_custkey AS id, CAST(coalesce(part, 0) AS BIGINT) AS part, coalesce(string_agg(uid, '|' ORDER BY pos), '') AS uids
-FROM customer LEFT JOIN (SELECT *, CASE WHEN count(*) OVER (PARTITION BY name) > 5 THEN pos // 5 ELSE 0 END AS part FROM ({_TAGS}))
-     ON name = CAST(c_custkey AS VARCHAR) GROUP BY ALL""",
+WITH t AS (SELECT *, count(*) OVER (PARTITION BY name) AS n, pos // 2 AS bucket FROM ({_TAGS})),
+b AS (SELECT name, bucket, coalesce(sum(count(*)) OVER (PARTITION BY name ORDER BY bucket
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 2 AS part FROM t WHERE n > 5 GROUP BY name, bucket)
+SELECT c_custkey AS id, CAST(coalesce(b.part, 0) AS BIGINT) AS part, coalesce(string_agg(uid, '|' ORDER BY pos), '') AS uids
+FROM customer LEFT JOIN t ON t.name = CAST(c_custkey AS VARCHAR) LEFT JOIN b ON b.name = t.name AND b.bucket = t.bucket
+GROUP BY ALL""",
     "J4_signal_lists": f"""
 SELECT c_custkey AS id, CAST(count(uid) AS INTEGER) AS n,
        coalesce(string_agg(concat('SIGNAL:', name, ':', uid), '|' ORDER BY pos) FILTER (WHERE uid IS NOT NULL), '') AS signals

@@ -117,7 +117,7 @@ def test_crowded_name_is_never_one_list(spark):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("n"), F.col("id") % 700)).alias("name"),
         F.col("id").cast("string").alias("uid"), F.col("id").alias("pos"))
     parts = tag_index(tags, 500).filter("name = 'hot'").orderBy("part").collect()
-    assert len(parts) == 12 and max(len(p["uids"]) for p in parts) <= 500
+    assert 4 <= len(parts) <= 8 and max(len(p["uids"]) for p in parts) <= 500
     assert [int(u) for p in parts for u in p["uids"]] == list(range(0, 6000, 3))
     assert tag_index(tags, 500).filter("name <> 'hot' AND part <> 0").count() == 0
     assets = spark.createDataFrame([("hot",), ("n1",), ("none",)], "id string")
