@@ -10,6 +10,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: A dictionary is made of at most so many documents of a language, of at most so many bytes each and together.
 SAMPLE_DOCS = 128
@@ -113,7 +114,7 @@ def identify(docs: DataFrame, content: dict[str, bytes], min_margin: float = MIN
             new = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64()), pa.array(rejected, pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*names, "lang_pred", "score", "margin", "rejected"])
 
-    schema = kept.schema
+    schema = StructType(list(kept.schema))
     for name, kind in (("lang_pred", "string"), ("score", "double"), ("margin", "double"), ("rejected", "boolean")):
         schema = schema.add(name, kind)
     return kept.mapInArrow(classify, schema)
