@@ -121,3 +121,18 @@ def union_length(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.n
     new[1:] = starts[1:] > reach[:-1]
     last = np.append(np.flatnonzero(new)[1:] - 1, len(starts) - 1)
     return starts[new], reach[last]
+
+
+#: Words are lower-cased letters and digits; every character beyond ASCII belongs to a word.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+WORD_BYTE = np.ones(256, bool)
+WORD_BYTE[0x00:0x30] = WORD_BYTE[0x3A:0x61] = WORD_BYTE[0x7B:0x80] = False
+
+
+def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end byte of every word, and the bounds of the rows counted in words."""
+    lower = LOWER[data]
+    starts, ends = stretches(WORD_BYTE[lower], bounds)
+    hashes = Rolling(BYTE_VALUES[lower]).of(starts, ends)
+    return hashes, starts, ends, np.searchsorted(starts, bounds)

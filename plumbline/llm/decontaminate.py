@@ -17,29 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.arrays import BYTE_VALUES, Rolling, joined_ranges, row_slices, stretches, text_buffers, union_length
+from plumbline.llm.arrays import joined_ranges, row_slices, text_buffers, union_length, words_of
 
 WINDOW = 10
 SHARD_WORDS = 1 << 19
 SAMPLE = 16
 BLOCK_WORDS = 1 << 22
 
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
-WORD_BYTE = np.ones(256, bool)
-WORD_BYTE[0x00:0x30] = WORD_BYTE[0x3A:0x61] = WORD_BYTE[0x7B:0x80] = False
-
 RESULT = "doc_id long, n_words long, spans array<struct<first:long,last:long>>, items array<long>"
 
 
-def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, start and end byte of every word, and the bounds of the rows counted in words."""
-    lower = LOWER[data]
-    starts, ends = stretches(WORD_BYTE[lower], bounds)
-    hashes = Rolling(BYTE_VALUES[lower]).of(starts, ends)
-    return hashes, starts, ends, np.searchsorted(starts, bounds)
-
-
 class Phrases:
     """The windows of some test items over an alphabet of their own words; code 0 parts documents, code 1 is any other word."""
 

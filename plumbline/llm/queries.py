@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, language, packing
+from plumbline.llm import bag_minhash, decontaminate, language, line_dedup, packing
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -63,9 +63,71 @@ def curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def neighbourhood_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without the lines that are alike an earlier one."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+LINE_DEDUP_SQL = r"""
+WITH place AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS k, unnest(parts) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)
+), line AS (
+  SELECT line, min({'d': doc_id, 'k': k}) AS earliest FROM place WHERE regexp_matches(line, '[^ \t\r\x0b\x0c]') GROUP BY line
+), variant AS (
+  SELECT line, earliest, p, left(line, p - 1) || substr(line, p + 1) AS v
+  FROM (SELECT line, earliest, unnest(range(1, length(line) + 1)) AS p FROM line WHERE length(line) >= 20)
+), near AS (
+  SELECT a.line, b.earliest FROM variant a JOIN variant b ON a.v = b.v AND a.p = b.p
+  UNION ALL SELECT a.line, b.earliest FROM variant a JOIN line b ON a.v = b.line AND length(b.line) >= 20
+  UNION ALL SELECT b.line, a.earliest FROM variant a JOIN line b ON a.v = b.line AND length(b.line) >= 20
+  UNION ALL SELECT line, earliest FROM line
+), kept AS (SELECT line, min(earliest) AS earliest FROM near GROUP BY line),
+judged AS (SELECT doc_id, k, place.line, coalesce({'d': doc_id, 'k': k} > earliest, false) AS gone, earliest IS NOT NULL AS counts FROM place LEFT JOIN kept ON kept.line = place.line)
+SELECT d.doc_id, coalesce(string_agg(j.line, chr(10) ORDER BY k) FILTER (NOT gone), CASE WHEN d.text IS NOT NULL THEN '' END) AS text,
+       count(*) FILTER (counts) AS n_lines, count(*) FILTER (gone) AS n_removed
+FROM documents d LEFT JOIN judged j ON j.doc_id = d.doc_id GROUP BY d.doc_id, d.text
+"""
+
+
+def bag_minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near-duplicates that each document belongs to; the document whose id names the class is the one to keep."""
+    found = bag_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+BAG_MINHASH_SQL = r"""
+WITH RECURSIVE listed AS (
+  SELECT doc_id, text, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL
+), shingle AS (
+  SELECT doc_id, s, count(*) AS n FROM (
+    SELECT doc_id, array_to_string(list_slice(w, k, k + 4), ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM listed WHERE len(w) > 0)
+  ) GROUP BY ALL
+), total AS (SELECT doc_id, sum(n) AS n FROM shingle GROUP BY doc_id),
+both_have AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS n FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM both_have h JOIN total x ON x.doc_id = a JOIN total y ON y.doc_id = b WHERE h.n >= 0.8 * (x.n + y.n - h.n)
+  UNION
+  SELECT a.doc_id, b.doc_id FROM listed a JOIN listed b ON a.text = b.text AND len(a.w) = 0 AND len(b.w) = 0 AND a.doc_id <> b.doc_id
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other
+)
+SELECT doc_id, min(other) AS class_id, doc_id = min(other) AS kept FROM reach GROUP BY doc_id
+"""
+
+
 QUERIES = {
     "op2_benchmark_decontamination": decontamination,
     "op3_language_id": language_id,
     "op4_curve_packing": curve_packing,
+    "op7_line_neighbourhood_dedup": neighbourhood_line_dedup,
+    "op10_bag_minhash": bag_minhash_classes,
+}
+ORACLES = {
+    "op2_benchmark_decontamination": DECONTAMINATION_SQL,
+    "op7_line_neighbourhood_dedup": LINE_DEDUP_SQL,
+    "op10_bag_minhash": BAG_MINHASH_SQL,
 }
-ORACLES = {"op2_benchmark_decontamination": DECONTAMINATION_SQL}
