@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bag_minhash, decontaminate, language, line_dedup, packing
+from plumbline.llm import bag_minhash, decontaminate, language, line_dedup, packing, substring_dedup
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -63,6 +63,30 @@ def curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def automaton_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without the 50-word passages that an earlier document holds."""
+    found = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+SUBSTRING_SQL = r"""
+WITH listed AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, k, array_to_string(list_slice(w, k, k + 49), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS k FROM listed WHERE len(w) >= 50)
+), earliest AS (SELECT s, min(doc_id) AS d FROM win GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 50)) AS p FROM win JOIN earliest USING (s) WHERE d < doc_id),
+word AS (SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM listed),
+left_over AS (
+  SELECT word.doc_id, count(*) FILTER (gone.p IS NOT NULL) AS n_removed, string_agg(word, ' ' ORDER BY word.p) FILTER (gone.p IS NULL) AS kept
+  FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.p = word.p GROUP BY word.doc_id
+)
+SELECT l.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM listed l LEFT JOIN left_over o ON o.doc_id = l.doc_id
+"""
+
+
 def neighbourhood_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document without the lines that are alike an earlier one."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", "n_lines", "n_removed")
@@ -123,11 +147,13 @@ QUERIES = {
     "op2_benchmark_decontamination": decontamination,
     "op3_language_id": language_id,
     "op4_curve_packing": curve_packing,
+    "op5_automaton_substring_dedup": automaton_substring_dedup,
     "op7_line_neighbourhood_dedup": neighbourhood_line_dedup,
     "op10_bag_minhash": bag_minhash_classes,
 }
 ORACLES = {
     "op2_benchmark_decontamination": DECONTAMINATION_SQL,
+    "op5_automaton_substring_dedup": SUBSTRING_SQL,
     "op7_line_neighbourhood_dedup": LINE_DEDUP_SQL,
     "op10_bag_minhash": BAG_MINHASH_SQL,
 }
