@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bag_minhash, decontaminate, language, line_dedup, packing, substring_dedup
+from plumbline.llm import bag_minhash, decontaminate, language, line_dedup, packing, substring_dedup, suffix_dedup
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -87,6 +87,13 @@ FROM listed l LEFT JOIN left_over o ON o.doc_id = l.doc_id
 """
 
 
+def transform_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without the 100-byte strings that stand earlier."""
+    found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def neighbourhood_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document without the lines that are alike an earlier one."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", "n_lines", "n_removed")
@@ -149,6 +156,7 @@ QUERIES = {
     "op4_curve_packing": curve_packing,
     "op5_automaton_substring_dedup": automaton_substring_dedup,
     "op7_line_neighbourhood_dedup": neighbourhood_line_dedup,
+    "op8_transform_suffix_dedup": transform_suffix_dedup,
     "op10_bag_minhash": bag_minhash_classes,
 }
 ORACLES = {
