@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bag_minhash, decontaminate, language, line_dedup, packing, substring_dedup, suffix_dedup
+from plumbline.llm import bag_minhash, decontaminate, language, licenses, line_dedup, packing, quality, secrets, substring_dedup, suffix_dedup
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -15,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences among whole documents and whole lines of documents."""
+    found = licenses.scan(table(spark, sf_dir, "documents"), licenses.built_in(spark))
+    return found.select("doc_id", "digest", "license_id", F.array_join("notices", ",").alias("notices"))
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie inside an occurring window of the benchmark."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -94,6 +100,69 @@ def transform_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of each document and the verdict of the cascade."""
+    found = quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        failed.alias("base_failed"), (~failed & F.col("rejected_by").isNull()).alias("kept"))
+
+
+QUALITY_SQL = r"""
+WITH held AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+listed AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM held
+), win AS (
+  SELECT doc_id, k, array_to_string(list_slice(w, k, k + 4), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM listed WHERE len(w) >= 5)
+), again AS (SELECT doc_id, s FROM win GROUP BY ALL HAVING count(*) > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(k, k + 5)) AS p FROM win JOIN again USING (doc_id, s)) GROUP BY doc_id),
+measure AS (
+  SELECT l.doc_id, t, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM listed l LEFT JOIN covered c ON c.doc_id = l.doc_id
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+         OR 5 * length(regexp_replace(t, '[^!]', '', 'g')) > n_words
+         OR 2 * length(regexp_replace(t, '[^\p{Lu}]', '', 'g')) > length(regexp_replace(t, '[^\p{L}]', '', 'g')) AS rejected
+  FROM measure
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept FROM judged
+"""
+
+
+def trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and places of secrets in each document."""
+    found = secrets.secrets(table(spark, sf_dir, "documents"))
+    base = ("assign", "access", "hex")
+
+    def written(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, base), F.sha2(written(F.filter("spans", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+def _spans_sql(kind: str, rank: int, regex: str, group: int, least: int) -> str:
+    return rf"""SELECT doc_id, {rank} AS rank, '{kind}' AS kind,
+      list_sum(list_transform(list_slice(g, 1, k), lambda x: length(x))) + coalesce(list_sum(list_transform(list_slice(m, 1, k - 1), lambda x: length(x))), 0) AS s, length(m[k]) AS n
+    FROM (SELECT doc_id, m, j, g, unnest(range(1, len(m) + 1)) AS k FROM (
+      SELECT doc_id, regexp_extract_all(t, '{regex}') AS m, regexp_extract_all(t, '{regex}', {group}) AS j, string_split_regex(t, '{regex}') AS g FROM held))
+    WHERE length(j[k]) >= {least}"""
+
+
+SECRETS_SQL = "WITH held AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), span AS (" + " UNION ALL ".join(
+    _spans_sql(r.kind, k, r.regex.replace("'", "''"), r.group, r.least) for k, r in enumerate(secrets.RULES)) + r"""), place AS (
+  SELECT *, kind || ':' || CAST(CAST(s AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(s + n AS BIGINT) AS VARCHAR) AS name FROM span)
+SELECT held.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(name, ',' ORDER BY s, rank) FILTER (rank < 3), '')) AS base_sha256, coalesce(string_agg(name, ',' ORDER BY s, rank), '') AS spans
+FROM held LEFT JOIN place ON place.doc_id = held.doc_id GROUP BY held.doc_id"""
+
+
 def neighbourhood_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document without the lines that are alike an earlier one."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", "n_lines", "n_removed")
@@ -151,17 +220,22 @@ SELECT doc_id, min(other) AS class_id, doc_id = min(other) AS kept FROM reach GR
 
 
 QUERIES = {
+    "op1_license_scan": license_scan,
     "op2_benchmark_decontamination": decontamination,
     "op3_language_id": language_id,
     "op4_curve_packing": curve_packing,
     "op5_automaton_substring_dedup": automaton_substring_dedup,
+    "op6_quality_cascade": quality_cascade,
     "op7_line_neighbourhood_dedup": neighbourhood_line_dedup,
     "op8_transform_suffix_dedup": transform_suffix_dedup,
+    "op9_trigram_secrets": trigram_secrets,
     "op10_bag_minhash": bag_minhash_classes,
 }
 ORACLES = {
     "op2_benchmark_decontamination": DECONTAMINATION_SQL,
     "op5_automaton_substring_dedup": SUBSTRING_SQL,
+    "op6_quality_cascade": QUALITY_SQL,
     "op7_line_neighbourhood_dedup": LINE_DEDUP_SQL,
+    "op9_trigram_secrets": SECRETS_SQL,
     "op10_bag_minhash": BAG_MINHASH_SQL,
 }
