@@ -1 +1,8 @@
 """Operators for preparing training text, one module each; `queries` registers them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Executors get the functions themselves, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -67,19 +67,6 @@ def has(whole: np.ndarray, spots: list[np.ndarray]) -> np.ndarray:
     return keep
 
 
-def maybe_in(df: DataFrame, value: Column, bits: Broadcast, log_bits: int = LOG_BITS) -> DataFrame:
-    """Rows of `df` whose value may be a member."""
-    columns = df.columns
-    asked = df.select(*columns, *(spot(value, p, log_bits).alias(f"_spot{p}") for p in range(PROBES)))
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spots = [batch.column(len(columns) + p).to_numpy(zero_copy_only=False) for p in range(PROBES)]
-            yield batch.select(columns).filter(pa.array(has(bits.value, spots)))
-
-    return asked.mapInArrow(keep, df.schema)
-
-
 def bit_table(values: DataFrame, log_bits: int = LOG_BITS) -> DataFrame:
     """The filter of a one-column frame as rows of 4 KB bitmaps: at most 2^log_bits bits in all, so it can be broadcast."""
     s = values.select(spot(F.col(values.columns[0]), 0, log_bits).alias("s"))
