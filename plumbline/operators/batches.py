@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plumbline.operators.skew import MAX_BROADCAST_BYTES, lookup_join
 
 BATCH_SCHEMA = (
-    "batch_id bigint, size int, items array<struct<source_id string, part bigint, code_reference string, payload string>>"
+    "batch_id bigint, size int, items array<struct<source_id string, code_reference string, payload string>>"
 )
 
 
@@ -54,7 +54,7 @@ def assemble_batches(payloads: DataFrame, size: int) -> DataFrame:
     remainder is held. Batch ids depend on the partitioning: write the result before the batches are answered.
     """
     rows = payloads.select(
-        F.col("source_id").cast("string").alias("source_id"), F.col("part").cast("bigint").alias("part"),
+        F.col("source_id").cast("string").alias("source_id"),
         "code_reference", "payload",
     )
     return rows.mapInArrow(_cut(size), BATCH_SCHEMA)

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import quoted
-from plumbline.operators.skew import MAX_BROADCAST_BYTES, lookup_join, measured_bytes, row_spread, settled_with_size
+from plumbline.operators.skew import MAX_BROADCAST_BYTES, lookup_join, row_spread, settled_with_size
 
 UNKNOWN = "Unknown"  # fixed value: a master-data value that never has an id
 
-MAX_SIGNALS = 50_000
+STRETCH = 50_000  # catalogue positions that are sorted in one task
 
 
 def masterdata_index(relations: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
@@ -44,95 +44,35 @@ def masterdata_id(
     return lookup_join(df, wanted, listed, "value", spread, max_bytes=max_bytes, index_bytes=index_bytes)
 
 
-def crowded_parts(
-    tags: DataFrame, max_signals: int = MAX_SIGNALS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> tuple[DataFrame, int]:
-    """(name, bucket, part) for tag names with more signals than one list should hold, and the size of that frame.
-
-    A bucket is a stretch of half as many catalogue positions; consecutive buckets are put together until they hold half
-    a list, so a part never exceeds ``max_signals``. Only bucket counts are ordered per name, not tags.
-    """
-    half = max(1, max_signals // 2)
-    many = tags.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_signals)
-    many, size = settled_with_size(many.select("name"))
-    if size == 0:  # the usual case: the tags are not looked at again
-        return many.withColumns({"bucket": F.lit(0).cast("bigint"), "part": F.lit(0).cast("bigint")}), 0
-    many = F.broadcast(many) if size <= max_bytes else many
-    bucket = F.floor(F.col("pos") / half).alias("bucket")
-    counts = tags.join(many, "name", "left_semi").groupBy("name", bucket).agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy("name").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    return settled_with_size(counts.select("name", "bucket", F.floor(before / half).alias("part")))
-
-
 def usable_tags(tags: DataFrame) -> DataFrame:
     return tags.filter((F.col("name") != "") & (F.col("uid") != "")).select("name", "uid", "pos")
 
 
-def tag_index(
-    tags: DataFrame, max_signals: int = MAX_SIGNALS, crowded: tuple[DataFrame, int] | None = None,
-    max_bytes: int = MAX_BROADCAST_BYTES,
-) -> DataFrame:
-    """(name, part, uids): the uids of every tag name in catalogue order; rows without name or uid are ignored.
+def tag_index(tags: DataFrame) -> DataFrame:
+    """(name, uids): the uids of every tag name in catalogue order; rows without name or uid are ignored.
 
-    ``pos`` is the row's position in the catalogue. A name with up to ``max_signals`` tags has one list, part 0. A name
-    with more is cut by position into parts of at most ``max_signals`` each, so no list grows with the data and none
-    of them is built in one task; the parts in order are the whole list. ``crowded`` may hand in what
-    ``crowded_parts`` gives, if it is known already.
+    ``pos`` is the row's position in the catalogue (rows without one come first, in any order). A name's tags are sorted
+    in stretches of STRETCH positions, each in a task of its own; the stretches are then put together in order. A task
+    holds the list of the one name it puts together, which is a single asset's own document and stays whole.
     """
-    clean = usable_tags(tags)
-    crowded, size = crowded or crowded_parts(clean, max_signals, max_bytes)
-    if size == 0:
-        labelled = clean.withColumn("part", F.lit(0).cast("bigint"))
-    else:
-        parts = crowded.select(F.col("name").alias("_name"), "bucket", F.col("part").alias("_part"))
-        parts = F.broadcast(parts) if size <= max_bytes else parts
-        bucket = F.floor(F.col("pos") / max(1, max_signals // 2))
-        joined = clean.join(parts, (F.col("name") == F.col("_name")) & (bucket == F.col("bucket")), "left")
-        labelled = joined.withColumn("part", F.coalesce("_part", F.lit(0)))
-    # Named explicitly: after a shuffled join on the name, the grouping would otherwise reuse that partitioning and
-    # gather all parts of one name in one task.
-    dealt = labelled.repartition("name", "part")
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "uid")))
-    return dealt.groupBy("name", "part").agg(F.transform(ordered, lambda tag: tag["uid"]).alias("uids"))
-
-
-def attach_signals(
-    df: DataFrame, tags: DataFrame, id_column: str, max_signals: int = MAX_SIGNALS,
-    max_bytes: int = MAX_BROADCAST_BYTES,
-) -> DataFrame:
-    """Add ``signals`` (ordered array<struct<uid, type, name>>, empty if there are none) and ``part`` to every row.
+    stretch = F.coalesce(F.floor(F.col("pos") / STRETCH), F.lit(-(2**62))).alias("stretch")
+    # Dealt by both columns: the first grouping would otherwise gather all stretches of one name in one task.
+    dealt = usable_tags(tags).select("name", stretch, F.struct(F.coalesce("pos", F.lit(-(2**62))).alias("pos"), "uid").alias("tag")).repartition("name", "stretch")
+    sorted_ = dealt.groupBy("name", "stretch").agg(F.array_sort(F.collect_list("tag")).alias("tags"))
+    sorted_ = sorted_.select("name", F.struct("stretch", F.transform("tags", lambda t: t["uid"]).alias("uids")).alias("list"))
+    return sorted_.groupBy("name").agg(F.flatten(F.transform(F.array_sort(F.collect_list("list")), lambda x: x["uids"])).alias("uids"))
+
+
+def attach_signals(df: DataFrame, tags: DataFrame, id_column: str, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Add ``signals`` (ordered array<struct<uid, type, name>>, empty if there are none): one row stays one row.
 
-    A row has exactly one part unless its id has more than ``max_signals`` signals; then it comes once per part. Ids are
-    taken to be unique, as they are in standard data; a row without an id has no signals.
+    The lists are built once and their size is known from that pass. A row without an id has no signals.
     """
-    clean = usable_tags(tags)
-    crowded, size = crowded_parts(clean, max_signals, max_bytes)
-    index = tag_index(clean, max_signals, (crowded, size), max_bytes)
+    index, size = settled_with_size(tag_index(tags))
     id_text = quoted(id_column).cast("string")
-    spread = row_spread(df)
     columns = df.columns
-    if size == 0:
-        found = lookup_join(
-            df, id_text, index.select("name", "uids"), "name", spread, may_be_hot=False, max_bytes=max_bytes,
-            index_bytes=measured_bytes(clean),  # the lists hold no more than the tags; no need to build them to know
-        ).withColumn("part", F.lit(0).cast("bigint"))
-    else:
-        last = crowded.groupBy("name").agg(F.max("part").alias("last_part"))
-        ranges = lookup_join(
-            df, id_text, last, "name", spread, may_be_hot=False, max_bytes=max_bytes, index_bytes=size
-        )
-        parts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("last_part", F.lit(0)))
-        spread_out = ranges.withColumns({"part": F.explode(parts), "_name": id_text}).withColumn(
-            # Rows without an id match nothing; negative part numbers deal them out.
-            "_part", F.when(id_text.isNotNull(), F.col("part")).otherwise(-1 - F.pmod(spread, F.lit(4096)))
-        )
-        index = index.select(F.col("name").alias("_index_name"), F.col("part").alias("_index_part"), "uids")
-        same = (F.col("_name") == F.col("_index_name")) & (F.col("_part") == F.col("_index_part"))
-        found = spread_out.join(index, same, "left")
-        # A part number that was skipped when buckets were put together holds no signals and is not a part.
-        found = found.filter(F.col("last_part").isNull() | F.col("uids").isNotNull())
+    found = lookup_join(df, id_text, index, "name", row_spread(df), may_be_hot=False, max_bytes=max_bytes, index_bytes=size)
     signals = F.transform("uids", lambda uid: F.struct(
         uid.alias("uid"), F.lit("SIGNAL").alias("type"), id_text.alias("name")
     ))
-    return found.select(*[quoted(c) for c in columns], "part", F.coalesce(signals, F.array()).alias("signals"))
+    return found.select(*[quoted(c) for c in columns], F.coalesce(signals, F.array()).alias("signals"))

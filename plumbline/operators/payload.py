@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.geometry import COLLECTION, geojson, is_geometry
 from plumbline.functions.text import characteristic_name, double_text, is_usable, quoted, sql_name, timestamp_text
-from plumbline.operators.lookup import MAX_SIGNALS, attach_signals, masterdata_id
+from plumbline.operators.lookup import attach_signals, masterdata_id
 from plumbline.operators.skew import MAX_BROADCAST_BYTES, row_spread, settled_with_size
 
 HIDDEN_TYPE = "iotsynoptic"  # fixed value: characteristics of this type never reach a payload
@@ -121,7 +121,7 @@ def code_reference(hash_value: Column | None, id_value: Column, prefix: str) ->
 
 def with_lookups(
     df: DataFrame, characteristics: Sequence[Mapping], id_column: str, masterdata: DataFrame | None,
-    tags: DataFrame | None, max_signals: int, max_bytes: int,
+    tags: DataFrame | None, max_bytes: int,
 ) -> tuple[DataFrame, dict[str, str]]:
     """Join what the characteristics look up; returns the frame and the id column per master-data code."""
     ids = {}
@@ -140,10 +140,10 @@ def with_lookups(
         ids = {code: f"_masterdata_{n}" for n, code in enumerate(coded)}
     if any(c["type"] == "iotsignal" for c in characteristics):
         if tags is not None:
-            return attach_signals(df, tags, id_column, max_signals, max_bytes), ids
+            return attach_signals(df, tags, id_column, max_bytes), ids
         none = F.array().cast("array<struct<uid:string,type:string,name:string>>")
         df = df.withColumn("signals", none)
-    return df.withColumn("part", F.lit(0).cast("bigint")), ids
+    return df, ids
 
 
 def build_payloads(
@@ -154,16 +154,15 @@ def build_payloads(
     tags: DataFrame | None = None,
     id_column: str = "id",
     geometry_column: str = "geom",
-    max_signals: int = MAX_SIGNALS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """The standard rows with their ``payload`` struct, ``part`` and ``reject`` (NULL if the payload could be built).
+    """The standard rows with their ``payload`` struct and ``reject`` (NULL if the payload could be built).
 
     ``masterdata`` has columns key, value, id; ``tags`` has name, uid, pos.
     """
     columns = df.columns
     characteristics = payload_characteristics(template.characteristics)
-    joined, ids = with_lookups(df, characteristics, id_column, masterdata, tags, max_signals, max_bytes)
+    joined, ids = with_lookups(df, characteristics, id_column, masterdata, tags, max_bytes)
     has_signals = "signals" in joined.columns
     items, values, problems = _characteristics(joined, characteristics, ids, has_signals)
 
@@ -193,7 +192,7 @@ def build_payloads(
         F.lit("invalid_type").alias("code"), F.get(problem, 0).alias("message"),
         F.lit(None).cast("string").alias("field"),
     ))
-    return joined.select(*[quoted(c) for c in columns], "part", payload.alias("payload"), reason.alias("reject"))
+    return joined.select(*[quoted(c) for c in columns], payload.alias("payload"), reason.alias("reject"))
 
 
 def payload_json(payload: Column) -> Column:

@@ -21,7 +21,7 @@ def check_template(core_fields: Sequence[str], characteristics: Sequence[Mapping
     for characteristic in characteristics:
         code = characteristic.get("code")
         if not code:
-            raise ValueError(f"Template characteristic without code: {characteristic}")
+            raise ValueError(f"a characteristic needs a code: {characteristic}")
         if code.lower() in seen:
             raise ValueError(f"Characteristic code is used twice or is a core field: {code}")
         seen.add(code.lower())
@@ -79,7 +79,7 @@ def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
     Columns whose types differ between the tables (an id that is a number here and text there) are widened to text.
     """
     if not tables:
-        raise ValueError("No source tables to unify")
+        raise ValueError("nothing to unify")
     names = tables[0].columns
     for table in tables[1:]:
         if set(table.columns) != set(names):

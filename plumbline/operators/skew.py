@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,14 +17,11 @@ _SPREAD = 4096
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors see: the one the session names, or a temporary one in a local session without any."""
+    """Folder all executors see: the one the session names, else one below the warehouse, which a cluster shares as well."""
     context = spark.sparkContext
     named, current = spark.conf.get("spark.checkpoint.dir", None), context.getCheckpointDir()
-    if not named and not current:
-        if not context.master.startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder that all executors can reach")
-        named = tempfile.mkdtemp(prefix="plumbline-")
     if not current:
+        named = named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_plumbline"
         context.setCheckpointDir(named)
     return named or current
 

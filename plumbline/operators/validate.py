@@ -47,7 +47,7 @@ def check_structure(df: DataFrame, rules: Rules) -> None:
     needed = {*rules.core_fields, *rules.mandatory, rules.id_column, rules.geometry_column}
     missing = sorted(needed - set(df.columns))
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the rows lack {missing}, which the rules look at")
 
 
 def reject(code: str, field: str) -> str:

@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.batches import assemble_batches, batch_rows, route_outcomes
 from plumbline.operators.geo import decode_geometry
-from plumbline.operators.metrics import Counts
 from plumbline.operators.payload import PayloadSettings, Template, build_payloads, payload_json
 from plumbline.operators.quarantine import SERIALIZATION, UPLOAD, asset_json, batch_records, row_records
 from plumbline.operators.skew import settled
-from plumbline.plans.errors import JobError
+from plumbline.plans.errors import Failure, StageFailed
 from plumbline.plans.standardize import Run, check_gate, stage_path
 from plumbline.sources.layout import dataset_path
 from plumbline.sources.quarantine import write_quarantine
@@ -30,7 +29,7 @@ def payload_rows(built: DataFrame, row_columns: Sequence[str]) -> DataFrame:
     """Built payloads as text; a row that could not be built keeps itself as JSON text for the quarantine."""
     lost = F.col("reject").isNotNull()
     return built.select(
-        F.col("id").cast("string").alias("source_id"), "part",
+        F.col("id").cast("string").alias("source_id"),
         F.col("payload.codeReference").alias("code_reference"),
         F.when(~lost, payload_json(F.col("payload"))).alias("payload"),
         F.when(lost, asset_json(built, list(row_columns))).alias("asset"),
@@ -39,7 +38,7 @@ def payload_rows(built: DataFrame, row_columns: Sequence[str]) -> DataFrame:
 
 
 def deliver_template(
-    spark: SparkSession, run: Run, template: Template, settings: PayloadSettings, answer: Answer, counts: Counts,
+    spark: SparkSession, run: Run, template: Template, settings: PayloadSettings, answer: Answer, counts: dict[str, int],
     masterdata: DataFrame | None = None, tags: DataFrame | None = None,
 ) -> None:
     """Build, batch and deliver one template; counts are payloads. Rejects are stored before any failure is raised."""
@@ -56,10 +55,10 @@ def deliver_template(
     rows = read_dataset(spark, rows_path)
 
     lost = rows.filter("reject IS NOT NULL")
-    counts.quarantined += lost.count()
-    if counts.quarantined:
+    counts["quarantined"] += lost.count()
+    if counts["quarantined"]:
         write_quarantine(
-            row_records(lost, run.run_id, run.environment, template.code, SERIALIZATION), run.quarantine
+            row_records(lost, run.run_id, run.environment, template.code, SERIALIZATION), run.quarantine, run.attempt
         )
     batches_path = stage_path(spark, run, UPLOAD, template.code)
     assemble_batches(rows.filter("reject IS NULL"), settings.batch_size).write.mode("overwrite").parquet(batches_path)
@@ -70,33 +69,31 @@ def deliver_template(
         F.sum("size").alias("rows"), F.min(F.struct("batch_id", "status", "answer")).alias("first")
     )
     by_outcome = {row["outcome"]: row for row in totals.collect()}  # three outcomes at most
-    counts.written += by_outcome["written"]["rows"] if "written" in by_outcome else 0
+    counts["written"] += by_outcome["written"]["rows"] if "written" in by_outcome else 0
     if "rejected" in by_outcome:
-        counts.quarantined += by_outcome["rejected"]["rows"]
+        counts["quarantined"] += by_outcome["rejected"]["rows"]
         refused = batch_rows(route_outcomes(batches, answers.filter("status BETWEEN 400 AND 499")).filter(
             "outcome = 'rejected'"
         ))
-        write_quarantine(batch_records(refused, run.run_id, run.environment, template.code), run.quarantine)
+        write_quarantine(batch_records(refused, run.run_id, run.environment, template.code), run.quarantine, run.attempt)
     if "failed" in by_outcome:
         first = by_outcome["failed"]["first"]
-        raise RuntimeError(
-            f"Delivery failed for template '{template.code}' with status {first['status']}: {first['answer']}"
-        )
+        raise RuntimeError(f"batch {first['batch_id']} was answered with status {first['status']}: {first['answer']}")
 
 
 def deliver(
     spark: SparkSession, run: Run, templates: Sequence[Template], settings: PayloadSettings, answer: Answer,
     masterdata: DataFrame | None = None, tags: DataFrame | None = None,
-) -> dict[str, Counts]:
+) -> dict[str, dict[str, int]]:
     """Deliver every template; failures (also of the gate) are raised together at the end."""
     failures, counts = [], {}
     for template in templates:
-        counts[template.code] = Counts()
+        counts[template.code] = {"written": 0, "quarantined": 0}
         try:
             deliver_template(spark, run, template, settings, answer, counts[template.code], masterdata, tags)
-            check_gate(template.code, counts[template.code], run.max_quarantine_ratio)
+            check_gate(counts[template.code], run.max_quarantine_ratio)
         except Exception as error:
-            failures.append(f"template={template.code}: {error}")
+            failures.append(Failure("delivery", template.code, error))
     if failures:
-        raise JobError("delivery", failures, counts)
+        raise StageFailed(failures, counts)
     return counts

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import SparkSession
 
-from plumbline.plans.errors import JobError
+from plumbline.plans.errors import Failure, StageFailed
 from plumbline.sources.layout import dataset_path
 from plumbline.sources.tables import write_dataset
 
@@ -19,12 +19,12 @@ def extract(
     failures = []
     for template, names in tables.items():
         if not names:
-            failures.append(f"No source tables configured for template '{template}'.")
+            failures.append(Failure("extraction", template, "it names no table to read"))
         for name in names or ():
             try:
                 # Hex text becomes bytes on the way; geometries are first decoded where they are needed.
                 write_dataset(source.read(spark, name), dataset_path(raw_base, run_id, name), geometry_column)
             except Exception as error:
-                failures.append(f"template={template}, table={name}: {error}")
+                failures.append(Failure("extraction", f"{template}/{name}", error))
     if failures:
-        raise JobError("extraction", failures)
+        raise StageFailed(failures)

@@ -9,22 +9,22 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.geo import decode_geometry, geometry_bytes, promote_geometry
-from plumbline.operators.metrics import Counts, count_columns
+from plumbline.operators.metrics import count_columns, quarantined_share
 from plumbline.operators.payload import Template
 from plumbline.operators.privacy import Privacy, pseudonymise
 from plumbline.operators.project import fill_name, union_tables
 from plumbline.operators.quarantine import STANDARDIZATION, quarantine_records
 from plumbline.operators.skew import shared_folder
 from plumbline.operators.validate import INVALID_TYPE, Rules, classify
-from plumbline.plans.errors import GateError, JobError
-from plumbline.sources.layout import dataset_path, run_id_to_path
+from plumbline.plans.errors import Failure, StageFailed, TooManyRejects
+from plumbline.sources.layout import dataset_path, run_folder
 from plumbline.sources.quarantine import write_quarantine
 from plumbline.sources.tables import read_template_tables, write_dataset
 
 
 @dataclass(frozen=True)
 class Run:
-    """What the stages of one run share."""
+    """What the stages of one run share; ``attempt`` names this try of the run in the quarantine."""
 
     run_id: str
     environment: str
@@ -34,6 +34,7 @@ class Run:
     max_quarantine_ratio: float
     rules: Rules = field(default_factory=Rules)
     privacy: Privacy | None = None
+    attempt: str = "1"
 
 
 def standard_rows(
@@ -51,12 +52,12 @@ def standard_rows(
 
 def stage_path(spark: SparkSession, run: Run, stage: str, template: str) -> str:
     """Run-scoped place in the shared folder for a stage's intermediate table."""
-    return f"{shared_folder(spark)}/plumbline/{stage}/{run.environment}/{run_id_to_path(run.run_id)}/{template}"
+    return f"{shared_folder(spark)}/plumbline/{stage}/{run.environment}/{run_folder(run.run_id)}/{template}"
 
 
 def standardize_template(
     spark: SparkSession, run: Run, template: Template, tables: Sequence[str], mapping: Mapping[str, Mapping]
-) -> Counts:
+) -> dict[str, int]:
     """Classify once and store the result in the shared folder, split by outcome; both sinks then read only their half.
 
     The raw data, the joins and the geometry checks run a single time, and the counts come from that same pass. The
@@ -70,29 +71,30 @@ def standardize_template(
     )
     path = stage_path(spark, run, STANDARDIZATION, template.code)
     stored.write.mode("overwrite").partitionBy("outcome").parquet(path)
-    counts = Counts(seen.get["written"], seen.get["quarantined"])
+    outcome = {"written": seen.get["written"], "quarantined": seen.get["quarantined"]}
 
     staged = spark.read.schema(stored.schema).parquet(path)
     rejected = staged.filter("outcome = 'rejected'").drop("outcome")
-    if counts.quarantined:
+    if outcome["quarantined"]:
         write_quarantine(quarantine_records(
             decode_geometry(rejected, geometry_column), run.run_id, run.environment, template.code, STANDARDIZATION,
             INVALID_TYPE, "Asset failed final validation.",
-        ), run.quarantine)
+        ), run.quarantine, run.attempt)
     valid = staged.filter("outcome = 'valid'").drop("outcome", "reject")
     write_dataset(valid, dataset_path(run.standard, run.run_id, template.code), geometry_column)
-    return counts
+    return outcome
 
 
-def check_gate(template: str, counts: Counts, threshold: float) -> None:
-    if counts.exceeds(threshold):
-        raise GateError(template, counts.quarantined, counts.total, threshold)
+def check_gate(outcome: Mapping[str, int], limit: float) -> None:
+    """The limit itself is allowed."""
+    if quarantined_share(outcome) > limit:
+        raise TooManyRejects(outcome, limit)
 
 
 def standardize(
     spark: SparkSession, run: Run, templates: Sequence[Template], tables: Mapping[str, Sequence[str]],
     mapping: Mapping[str, Mapping],
-) -> dict[str, Counts]:
+) -> dict[str, dict[str, int]]:
     """Standardise every template; failures (also of the gate) are raised together at the end."""
     failures, counts = [], {}
     for template in templates:
@@ -100,9 +102,9 @@ def standardize(
             counts[template.code] = standardize_template(
                 spark, run, template, tables.get(template.code) or (), mapping
             )
-            check_gate(template.code, counts[template.code], run.max_quarantine_ratio)
+            check_gate(counts[template.code], run.max_quarantine_ratio)
         except Exception as error:
-            failures.append(f"template={template.code}: {error}")
+            failures.append(Failure("standardization", template.code, error))
     if failures:
-        raise JobError("standardization", failures, counts)
+        raise StageFailed(failures, counts)
     return counts

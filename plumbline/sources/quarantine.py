@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.text import timestamp_text
 from plumbline.operators.quarantine import RECORD
 
-PARTITIONS = ("environment", "date", "run_id", "template", "stage")
+PARTITIONS = ("environment", "date", "run_id", "template", "stage", "attempt")
 
 
 def failure_day(failed_at: Column) -> Column:
@@ -28,14 +28,15 @@ def record_line(records: DataFrame) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def write_quarantine(records: DataFrame, path: str) -> None:
-    """Write records below environment/date/run_id/template/stage; no records, no files.
+def write_quarantine(records: DataFrame, path: str, attempt: str = "1") -> None:
+    """Add records below environment/date/run_id/template/stage/attempt; no records, no files.
 
-    The lines are written as text because a JSON writer would drop the folder columns from the records. Folders are
-    replaced as a whole, so running a stage again does not store its records twice.
+    The lines are written as text because a JSON writer would drop the folder columns from the records. Whoever stores
+    names the attempt: records of other attempts, and of other calls with names of their own, stay; the folder of the same
+    attempt and day is replaced, so that a call can be repeated under its name without storing anything twice.
     """
     lines = records.select(
-        "environment", failure_day(F.col("failed_at")).alias("date"), "run_id",
-        F.col("template_code").alias("template"), "stage", record_line(records).alias("value"),
+        "environment", failure_day(F.col("failed_at")).alias("date"), "run_id", F.col("template_code").alias("template"),
+        "stage", F.lit(attempt).alias("attempt"), record_line(records).alias("value"),
     )
     lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).text(path)

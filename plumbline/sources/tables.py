@@ -89,7 +89,7 @@ def read_template_tables(
 ) -> list[DataFrame]:
     """All raw tables of a template, projected to it. No table, or an unreadable one, fails the template."""
     if not tables:
-        raise ValueError("No source tables configured for the template")
+        raise ValueError("the template names no table to read")
     projected = []
     for table in tables:
         raw = decode_geometry(read_dataset(spark, dataset_path(base, run_id, table)), geometry_column)

@@ -112,7 +112,7 @@ def standardized(spark, sf_dir):
         F.col("asset.P_amount").cast("string").alias("amount"), F.col("error_code").alias("code"),
     )
     return valid.unionByName(lost).withColumns(
-        {"written": F.lit(counts.written).cast("bigint"), "quarantined": F.lit(counts.quarantined).cast("bigint")}
+        {"written": F.lit(counts["written"]).cast("bigint"), "quarantined": F.lit(counts["quarantined"]).cast("bigint")}
     )
 
 
@@ -130,14 +130,18 @@ def delivered(spark, sf_dir):
     items = spark.read.parquet(sent).select(F.inline("items"))
     return items.select(
         "source_id", "code_reference", F.get_json_object("payload", "$.name").alias("name"),
-        F.get_json_object("payload", "$.geometry.coordinates").alias("coordinates"), F.lit(counts.written).cast("bigint").alias("written"),
+        F.get_json_object("payload", "$.geometry.coordinates").alias("coordinates"), F.lit(counts["written"]).cast("bigint").alias("written"),
     )
 
 
 def quarantine_sink(spark, sf_dir):
     path = scratch(spark, "quarantine")
-    write_quarantine(records(spark, sf_dir), path)
-    write_quarantine(records(spark, sf_dir), path)  # storing a stage again replaces it
+    """Two calls with different halves of the rejects, the second one repeated under its name."""
+    rejects = records(spark, sf_dir)
+    even = F.pmod(F.xxhash64("source_id", "asset"), F.lit(2)) == 0
+    write_quarantine(rejects.where(even), path, "first")
+    for _ in range(2):
+        write_quarantine(rejects.where(~even), path, "second")
     return spark.read.json(path).select(
         "environment", "run_id", "template", "stage", "template_code", "error_code", "source_id", "field_name",
         F.col("asset.name").alias("name"),

@@ -146,7 +146,7 @@ def failure_days(spark, sf_dir):
 
 def order_payloads(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("source_id"), F.lit(0).alias("part"),
+        F.col("o_orderkey").alias("source_id"),
         F.concat(F.lit("REF "), F.col("o_orderkey")).alias("code_reference"),
         F.to_json(F.struct("o_orderkey", "o_orderstatus")).alias("payload"),
     )
@@ -162,7 +162,7 @@ def batches(spark, sf_dir):
 def numbered_batches(spark, sf_dir):
     """Batches of at most 100 neighbouring orders, numbered by key so that they do not depend on the partitioning."""
     rows = order_payloads(spark, sf_dir).withColumn("batch_id", F.floor(F.col("source_id") / 100))
-    item = F.struct(F.col("source_id").cast("string").alias("source_id"), "part", "code_reference", "payload")
+    item = F.struct(F.col("source_id").cast("string").alias("source_id"), "code_reference", "payload")
     return rows.groupBy("batch_id").agg(F.collect_list(item).alias("items"))
 
 

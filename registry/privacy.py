@@ -8,7 +8,6 @@ from plumbline.functions.text import pseudonym
 from plumbline.operators.privacy import pseudonymise
 from plumbline.operators.project import fill_name
 from plumbline.operators.validate import classify, split
-from registry.geometry import vertices
 from registry.inputs import CUSTOMER, NAMED_SQL, PARTY_RULES, PRIVACY, party_raw, points, reject_sql, select_sql
 from registry.shaping import unified
 
@@ -42,7 +41,10 @@ def hidden_rejects(spark, sf_dir):
 
 
 def moved_points(spark, sf_dir):
-    return vertices(pseudonymise(points(spark, sf_dir).filter("geom IS NOT NULL"), PRIVACY), "o_orderkey").drop("i")
+    """Every order, also those without a geometry."""
+    moved = pseudonymise(points(spark, sf_dir), PRIVACY)
+    point = F.col("geom.parts")[0][0][0]
+    return moved.select("o_orderkey", point[0].alias("x"), point[1].alias("y"))
 
 
 QUERIES = {
@@ -65,8 +67,8 @@ SELECT k, id, {_hash('name')} AS name, {_hash('p_segment')} AS segment,
        CAST(CASE WHEN k % 43 <> 0 THEN k + 10 ELSE -1 END AS DOUBLE) AS x,
        CAST(CASE WHEN k % 43 <> 0 THEN k - 5 ELSE -1 END AS DOUBLE) AS y FROM ({NAMED_SQL})""",
     "A2_pseudonymise_geometry": """
-SELECT o_orderkey, CAST(o_custkey + 10 AS DOUBLE) AS x, CAST(o_orderkey - 5 AS DOUBLE) AS y
-FROM orders WHERE o_orderkey % 43 <> 0""",
+SELECT o_orderkey, CASE WHEN o_orderkey % 43 <> 0 THEN CAST(o_custkey + 10 AS DOUBLE) END AS x,
+       CASE WHEN o_orderkey % 43 <> 0 THEN CAST(o_orderkey - 5 AS DOUBLE) END AS y FROM orders""",
     "A3_hidden_before_validation": f"""
 SELECT k, code, {_hash('name')} AS name, {_hash('p_segment')} AS segment FROM ({reject_sql(NAMED_SQL)}) WHERE code IS NOT NULL""",
 }

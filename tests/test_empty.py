@@ -24,12 +24,12 @@ def test_empty_inputs(spark, assets, max_bytes):
     assert classify(df, Rules(), max_bytes).count() == count
     tags = spark.createDataFrame([], "name string, uid string, pos bigint")
     relations = spark.createDataFrame([], "entry_pos int, code string, name string, rel_pos int, value string, id bigint")
-    assert tag_index(tags, max_bytes=max_bytes).count() == 0
+    assert tag_index(tags).count() == 0
     assert attach_signals(df, tags, "id", max_bytes=max_bytes).count() == count
     index = masterdata_index(relations, max_bytes)
     assert index.count() == 0
     template = Template(1, "T", characteristics=({"code": "m", "type": "maindata"}, {"code": "g", "type": "iotsignal"}))
     built = build_payloads(df.withColumn("m", F.lit("x")), template, PayloadSettings(), index, tags, max_bytes=max_bytes)
     assert built.count() == count
-    rows = built.select(F.col("id").alias("source_id"), "part", F.lit("r").alias("code_reference"), F.to_json("payload").alias("payload"))
+    rows = built.select(F.col("id").alias("source_id"), F.lit("r").alias("code_reference"), F.to_json("payload").alias("payload"))
     assert assemble_batches(rows, 10).count() == count

@@ -12,10 +12,10 @@ from plumbline.operators.privacy import Privacy
 from plumbline.operators.quarantine import RECORD, STANDARDIZATION, quarantine_records
 from plumbline.operators.validate import Rules
 from plumbline.plans.deliver import deliver
-from plumbline.plans.errors import GateError, JobError
+from plumbline.plans.errors import Failure, StageFailed, TooManyRejects
 from plumbline.plans.extract import extract
 from plumbline.plans.standardize import Run, standardize
-from plumbline.sources.layout import dataset_path, run_id_to_path
+from plumbline.sources.layout import dataset_path, run_folder
 from plumbline.sources.quarantine import write_quarantine
 from plumbline.sources.tables import JdbcTables, Partitioning, read_dataset, write_dataset
 from tests.test_geometry import BOW_TIE, polygon, shape, square
@@ -26,7 +26,7 @@ from tests.test_geometry import BOW_TIE, polygon, shape, square
     ("scheduled__2024-03-01T10:20:30+00:00", "scheduled__2024-03-01T10:20:30+00:00"), ("manual-test-001", "manual-test-001"),
 ])
 def test_run_ids(run_id, expected):
-    assert run_id_to_path(run_id) == expected
+    assert run_folder(run_id) == expected
     assert dataset_path("base/", run_id, "t") == f"base/run_id={expected}/t.parquet"
 
 
@@ -61,11 +61,13 @@ def test_quarantine_lines(spark, tmp_path):
     path = str(tmp_path / "q")
     for _ in range(2):  # a repeated write replaces its folders
         write_quarantine(quarantine_records(df, "run 1/x", "DEV", "T", STANDARDIZATION, "c", "m", failed_at="2024-03-01 23:30:00"), path)
-    files = glob.glob(f"{path}/environment=DEV/date=2024-03-01/run_id=*/template=T/stage=standardization/part-*")
+    files = glob.glob(f"{path}/environment=DEV/date=2024-03-01/run_id=*/template=T/stage=standardization/attempt=1/part-*")
     lines = [json.loads(line) for f in files for line in open(f, encoding="utf-8")]
     assert sorted(line["asset"]["id"] for line in lines) == ["a", "é"]
     assert list(lines[0]) == RECORD.names and lines[0]["failed_at"] == "2024-03-01T23:30:00+00:00" and lines[0]["run_id"] == "run 1/x"
     assert {line["asset"]["geom"] for line in lines} == {"POINT (1 2.5)", None}
+    write_quarantine(quarantine_records(df, "run 1/x", "DEV", "T", STANDARDIZATION, "c", "m", failed_at="2024-03-01 23:30:00"), path, "2")
+    assert spark.read.text(path).count() == 4  # another attempt adds
     write_quarantine(quarantine_records(df.limit(0), "r2", "DEV", "T", STANDARDIZATION, "c", "m"), path)
     assert not glob.glob(f"{path}/environment=DEV/date=*/run_id=r2")
 
@@ -98,16 +100,16 @@ def run(spark, tmp_path):
 
 
 def test_extract_isolates_failures(spark, tmp_path):
-    with pytest.raises(JobError) as caught:
+    with pytest.raises(StageFailed) as caught:
         extract(spark, Source(), {"A": ["broken", "pipes"], "B": [], "C": ["broken"]}, str(tmp_path), "r", "geom")
-    assert len(caught.value.failures) == 3 and "no such table" in caught.value.failures[0]
+    assert len(caught.value.failures) == 3 and "no such table" in str(caught.value.failures[0])
     stored = read_dataset(spark, dataset_path(str(tmp_path), "r", "pipes"))
     assert stored.count() == 3 and stored.schema["geom"].dataType.simpleString() == "binary"
 
 
 def test_standardize(spark, run):
     counts = standardize(spark, run, [TEMPLATE], TABLES, MAPPING)["PIPE"]
-    assert (counts.written, counts.quarantined) == (2, 5)
+    assert counts == {"written": 2, "quarantined": 5}
     standard = read_dataset(spark, dataset_path(run.standard, run.run_id, "PIPE"))
     assert standard.columns == ["id", "name", "geom", "N"] and standard.schema["geom"].metadata == {"geometry": "wkb"}
     assert {(r["id"], r["N"]) for r in standard.collect()} == {("1", 5), ("5", 7)}
@@ -121,19 +123,19 @@ def test_standardize(spark, run):
 
 
 def test_gate_fails_after_everything_is_stored(spark, run):
-    with pytest.raises(JobError, match="PIPE.*5/7") as caught:
+    with pytest.raises(StageFailed, match="PIPE: quarantine took 5/7") as caught:
         standardize(spark, replace(run, max_quarantine_ratio=0.5), [TEMPLATE], TABLES, MAPPING)
-    assert caught.value.counts["PIPE"].quarantined == 5
+    assert caught.value.outcomes["PIPE"]["quarantined"] == 5
     assert read_dataset(spark, dataset_path(run.standard, run.run_id, "PIPE")).count() == 2
     assert spark.read.json(run.quarantine).count() == 5
     ratio = 5 / 7
-    assert standardize(spark, replace(run, max_quarantine_ratio=ratio), [TEMPLATE], TABLES, MAPPING)["PIPE"].total == 7
+    assert standardize(spark, replace(run, max_quarantine_ratio=ratio), [TEMPLATE], TABLES, MAPPING)["PIPE"] == {"written": 2, "quarantined": 5}
 
 
 def test_one_failing_template_does_not_stop_the_others(spark, run):
-    with pytest.raises(JobError) as caught:
+    with pytest.raises(StageFailed) as caught:
         standardize(spark, run, [Template(2, "NONE"), TEMPLATE], TABLES, MAPPING)
-    assert len(caught.value.failures) == 1 and "NONE" in caught.value.failures[0]
+    assert len(caught.value.failures) == 1 and caught.value.failures[0].item == "NONE"
     assert read_dataset(spark, dataset_path(run.standard, run.run_id, "PIPE")).count() == 2
 
 
@@ -141,7 +143,7 @@ def test_empty_tables(spark, tmp_path):
     run = Run("r", "DEV", str(tmp_path / "raw"), str(tmp_path / "standard"), str(tmp_path / "quarantine"), 0.0)
     empty = spark.createDataFrame([], "id string, name string, geom binary, n string")
     write_dataset(empty, dataset_path(run.raw, "r", "pipes"), "geom")
-    assert standardize(spark, run, [TEMPLATE], {"PIPE": ["pipes"]}, MAPPING)["PIPE"].total == 0
+    assert standardize(spark, run, [TEMPLATE], {"PIPE": ["pipes"]}, MAPPING)["PIPE"] == {"written": 0, "quarantined": 0}
     assert read_dataset(spark, dataset_path(run.standard, "r", "PIPE")).columns == ["id", "name", "geom", "N"]
 
 
@@ -154,7 +156,7 @@ def test_deliver(spark, run, status, written, quarantined):
     standardize(spark, run, [TEMPLATE], TABLES, MAPPING)
     target = replace(run, quarantine=run.quarantine + "-delivery")
     counts = deliver(spark, target, [TEMPLATE], PayloadSettings(batch_size=1), answering(status))["PIPE"]
-    assert (counts.written, counts.quarantined) == (written, quarantined)
+    assert counts == {"written": written, "quarantined": quarantined}
     if quarantined:
         rows = spark.read.json(target.quarantine).collect()
         assert {(r["stage"], r["error_code"], r["error_message"], r["code_reference"]) for r in rows} == {
@@ -166,9 +168,9 @@ def test_failed_delivery_keeps_the_rejects(spark, run):
     rows = [("1", "a", None, "x"), ("2", "b", None, "7")]
     df = spark.createDataFrame(rows, f"id string, name string, geom {GEOMETRY.simpleString()}, N string")
     write_dataset(df, dataset_path(run.standard, run.run_id, "PIPE"), "geom")
-    with pytest.raises(JobError, match="status 500: text") as caught:
+    with pytest.raises(StageFailed, match="status 500: text") as caught:
         deliver(spark, run, [TEMPLATE], PayloadSettings(), answering(500))
-    assert caught.value.counts["PIPE"].quarantined == 1
+    assert caught.value.outcomes["PIPE"]["quarantined"] == 1
     lost = spark.read.json(run.quarantine).collect()
     assert [(r["source_id"], r["stage"], r["error_code"], r["asset"]["N"]) for r in lost] == [("1", "serialization", "invalid_type", "x")]
 
@@ -189,10 +191,11 @@ def test_every_batch_is_sent_once(spark, run):
 
 
 def test_missing_standard_data_fails_the_template(spark, run):
-    with pytest.raises(JobError, match="PIPE"):
+    with pytest.raises(StageFailed, match="PIPE"):
         deliver(spark, run, [TEMPLATE], PayloadSettings(), answering(200))
 
 
 def test_gate_error_text():
-    error = GateError("PUMP", 6, 10, 0.2)
-    assert "60.00%" in str(error) and "6/10" in str(error) and error.total == 10
+    error = TooManyRejects({"written": 4, "quarantined": 6}, 0.2)
+    assert "60.00%" in str(error) and "6/10" in str(error)
+    assert str(Failure("delivery", "PUMP", error)).startswith("[delivery] PUMP: quarantine took")

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.geometry import GEOMETRY
 from plumbline.functions.text import characteristic_name, double_text, pseudonym, timestamp_text
+from plumbline.operators import lookup
 from plumbline.operators.batches import assemble_batches, batch_body, batch_rows, outcome, route_outcomes
-from plumbline.operators.lookup import attach_signals, masterdata_id, masterdata_index, tag_index
+from plumbline.operators.lookup import attach_signals, masterdata_id, masterdata_index
 from plumbline.operators.payload import PayloadSettings, Template, build_payloads, payload_json
 from plumbline.operators.privacy import Privacy, clear_siblings, pseudonymise
 from plumbline.sources.metadata import load_template, masterdata_relations, tag_catalogue
@@ -97,32 +98,34 @@ def test_masterdata_index(spark, snapshots, max_bytes):
 
 
 @pytest.mark.parametrize("max_bytes", [1 << 25, -1])
-@pytest.mark.parametrize("max_signals", [100, 2])
-def test_signals(spark, snapshots, max_bytes, max_signals):
+def test_signals(spark, snapshots, max_bytes):
     tags = tag_catalogue(spark, snapshots("tags"))
     df = spark.createDataFrame([("a",), ("A",), ("b",), (None,)], "id string")
-    rows = attach_signals(df, tags, "id", max_signals, max_bytes).orderBy("part").collect()
-    lists = {}
-    for row in rows:
-        assert len(row["signals"]) <= max_signals
-        lists.setdefault(row["id"], []).extend((s["uid"], s["type"], s["name"]) for s in row["signals"])
+    rows = attach_signals(df, tags, "id", max_bytes).collect()
+    lists = {row["id"]: [(s["uid"], s["type"], s["name"]) for s in row["signals"]] for row in rows}
+    assert len(rows) == 4
     assert lists == {"a": [(u, "SIGNAL", "a") for u in ("3", "1", "2")], "A": [("4", "SIGNAL", "A")], "b": [], None: []}
-    if max_signals == 100:
-        assert len(rows) == 4
 
 
-def test_crowded_name_is_never_one_list(spark):
-    """One name owns a third of the tags: its parts stay bounded and together they are the whole ordered list."""
+def test_crowded_name_is_one_whole_list(spark, monkeypatch):
+    """One name owns a third of the tags: its stretches are sorted apart, and the asset still has one row with the whole ordered list."""
+    monkeypatch.setattr(lookup, "STRETCH", 500)
     tags = spark.range(6000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("n"), F.col("id") % 700)).alias("name"),
-        F.col("id").cast("string").alias("uid"), F.col("id").alias("pos"))
-    parts = tag_index(tags, 500).filter("name = 'hot'").orderBy("part").collect()
-    assert 4 <= len(parts) <= 8 and max(len(p["uids"]) for p in parts) <= 500
-    assert [int(u) for p in parts for u in p["uids"]] == list(range(0, 6000, 3))
-    assert tag_index(tags, 500).filter("name <> 'hot' AND part <> 0").count() == 0
+        F.col("id").cast("string").alias("uid"), F.when(F.col("id") != 4500, F.col("id")).alias("pos"))
     assets = spark.createDataFrame([("hot",), ("n1",), ("none",)], "id string")
-    got = attach_signals(assets, tags, "id", 500).groupBy("id").agg(F.sum(F.size("signals"))).collect()
-    assert {r[0]: r[1] for r in got} == {"hot": 2000, "n1": tags.filter("name = 'n1'").count(), "none": 0}
+    for max_bytes in (1 << 25, -1):
+        got = {r["id"]: [int(s["uid"]) for s in r["signals"]] for r in attach_signals(assets, tags, "id", max_bytes).collect()}
+        assert got["hot"] == [4500] + [k for k in range(0, 6000, 3) if k != 4500]
+        assert got["none"] == [] and len(got["n1"]) == tags.filter("name = 'n1'").count()
+
+
+def test_unbuildable_asset_with_many_tags_is_one_record(spark):
+    tags = spark.range(2000).select(F.lit("a").alias("name"), F.col("id").cast("string").alias("uid"), F.col("id").alias("pos"))
+    df = spark.createDataFrame([("a", "n", "3.7")], "id string, name string, I string")
+    template = Template(1, "T", characteristics=({"code": "I", "type": "integer"}, {"code": "G", "type": "iotsignal"}))
+    built = build_payloads(df, template, PayloadSettings(), tags=tags)
+    assert [r["reject"]["code"] for r in built.collect()] == ["invalid_type"]
 
 
 CHARACTERISTICS = (
@@ -189,7 +192,7 @@ def test_rows_that_cannot_be_built(spark):
 @pytest.mark.parametrize("rows,partitions,size", [(0, 2, 10), (7, 1, 10), (10, 1, 10), (25_003, 3, 100), (20_000, 1, 7)])
 def test_batches_hold_every_payload_once(spark, rows, partitions, size):
     df = spark.range(0, rows, 1, partitions).select(
-        F.col("id").alias("source_id"), F.lit(0).alias("part"), F.lit("r").alias("code_reference"), F.to_json(F.struct("id")).alias("payload"))
+        F.col("id").alias("source_id"), F.lit("r").alias("code_reference"), F.to_json(F.struct("id")).alias("payload"))
     batches = assemble_batches(df, size).select("*", batch_body(F.col("items")).alias("body")).collect()
     assert len({b["batch_id"] for b in batches}) == len(batches)
     assert all(b["size"] == len(b["items"]) <= size for b in batches) and sum(b["size"] < size for b in batches) <= partitions
@@ -200,7 +203,7 @@ def test_batches_hold_every_payload_once(spark, rows, partitions, size):
 
 @pytest.mark.parametrize("max_bytes", [1 << 25, -1])
 def test_outcomes(spark, max_bytes):
-    df = spark.range(0, 50, 1, 1).select(F.col("id").alias("source_id"), F.lit(0).alias("part"), F.lit("r").alias("code_reference"), F.lit("{}").alias("payload"))
+    df = spark.range(0, 50, 1, 1).select(F.col("id").alias("source_id"), F.lit("r").alias("code_reference"), F.lit("{}").alias("payload"))
     batches = assemble_batches(df, 10)
     answers = spark.createDataFrame([(0, 200, "ok"), (1, 422, "bad"), (2, 500, "down"), (3, 301, "moved")], "batch_id bigint, status int, body string")
     routed = batch_rows(route_outcomes(batches, answers, max_bytes)).groupBy("batch_id", "outcome", "answer").count().collect()

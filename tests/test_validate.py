@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.geometry import GEOMETRY
 from plumbline.functions.text import is_usable
-from plumbline.operators.metrics import Counts, failing_gate, outcome_counts, roll_up, with_ratio
+from plumbline.operators.metrics import failing_gate, outcome_counts, quarantined_share, roll_up, with_ratio
 from plumbline.operators.skew import lookup_join, mark_members
 from plumbline.operators.validate import Rules, classify, duplicate_keys, mark_duplicates, split
 from tests.test_geometry import BOW_TIE, polygon, square
@@ -137,10 +137,11 @@ def test_usable_values(spark):
 
 @pytest.mark.parametrize("written,quarantined,fails", [(8, 2, False), (4, 6, True), (0, 0, False), (79, 21, True)])
 def test_gate_is_strict(spark, written, quarantined, fails):
-    assert Counts(written, quarantined).exceeds(0.2) is fails
+    share = quarantined_share({"written": written, "quarantined": quarantined})
+    assert (share > 0.2) is fails
     df = spark.createDataFrame([("t", written, quarantined)], "template string, written bigint, quarantined bigint")
     assert (failing_gate(df, 0.2).count() == 1) is fails
-    assert with_ratio(df).first()["quarantine_ratio"] == Counts(written, quarantined).quarantine_ratio
+    assert with_ratio(df).first()["quarantine_ratio"] == share
 
 
 def test_roll_up(spark):
