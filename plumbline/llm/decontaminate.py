@@ -59,12 +59,12 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     """Suffixes in order by prefix doubling: each round sorts packed (rank, next rank, position) values of what is not yet settled."""
     n = len(text)
     bits = max(1, int(n).bit_length())
-    each = max(1, int(text.max(initial=0)).bit_length())
+    each = int(text.max(initial=0) + 1).bit_length()
     depth = max(1, min(n, (63 - bits) // each))
     key = np.zeros(n, np.uint64)
     for k in range(depth):
         key <<= np.uint64(each)
-        key[: n - k] |= text[k:].astype(np.uint64)
+        key[: n - k] |= text[k:].astype(np.uint64) + np.uint64(1)  # 0 is the end of the text
     low = np.uint64((1 << bits) - 1)
     packed = np.sort((key << np.uint64(bits)) | np.arange(n, dtype=np.uint64))
     order = (packed & low).astype(np.int64)
