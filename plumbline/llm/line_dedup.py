@@ -81,6 +81,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     firsts = staged(seen.groupBy("a", "b").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("places")), "first-lines")
     near = neighbours(lines, seen, firsts.drop("places"), min_chars)
     kept = firsts.join(near, ["a", "b"], "left").where("places > 1 OR near < first").select("a", "b", F.least("first", "near").alias("kept"))
+    kept = staged(kept, "kept-lines")  # with a plain shuffle on both sides, Spark splits the places of a line that is everywhere
     gone = seen.select("doc_id", "line_no", "a", "b").join(kept, ["a", "b"]).where("struct(doc_id, line_no) > kept")
     gone = gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("_gone"))
     joined = docs.join(gone.withColumnRenamed("doc_id", "_doc"), F.col("doc_id") == F.col("_doc"), "left")
