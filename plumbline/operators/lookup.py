@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,33 @@ def masterdata_id(
     return lookup_join(df, wanted, listed, "value", spread, max_bytes=max_bytes, index_bytes=index_bytes)
 
 
+def masterdata_ids(
+    df: DataFrame, wanted: Mapping[str, str], index: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, spread: Column | None = None
+) -> DataFrame:
+    """The ids of several master-data columns: ``wanted`` names the new column for each column and key of the index.
+
+    The values of all columns are counted in one pass and looked up in the index by one join. What is found is as large as
+    the different values in use, not as the index: up to the bound it is broadcast and no wide row moves, beyond it each
+    column takes the shuffled join, with the counts at hand. ``df`` stands in the plan once, whatever the number of columns.
+    """
+    if not wanted:
+        return df
+    pairs = F.array(*[F.struct(F.lit(c).alias("key"), quoted(c).cast("string").alias("value")) for c in wanted])
+    used = df.select(F.explode(pairs).alias("pair")).select("pair.*").filter(F.col("value") != UNKNOWN)
+    used = used.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
+    listed = index.groupBy("key", "value").agg(F.first("id").alias("id"))
+    found, size = settled_with_size(used.join(listed, ["key", "value"]))
+    spread = row_spread(df) if spread is None else spread
+    for column, out in wanted.items():
+        own = found.filter(F.col("key") == column)
+        text = quoted(column).cast("string")
+        df = lookup_join(
+            df, F.when(text != UNKNOWN, text), own.select("value", F.col("id").alias(out)), "value", spread, max_bytes=max_bytes,
+            index_bytes=size, frequent=own.select("value", "n"),
+        )
+    return df
+
+
 def usable_tags(tags: DataFrame) -> DataFrame:
     return tags.filter((F.col("name") != "") & (F.col("uid") != "")).select("name", "uid", "pos")
 

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from plumbline.functions.geometry import COLLECTION, geojson, is_geometry
 from plumbline.functions.text import characteristic_name, double_text, is_usable, quoted, sql_name, timestamp_text
-from plumbline.operators.lookup import attach_signals, masterdata_id
-from plumbline.operators.skew import MAX_BROADCAST_BYTES, row_spread, settled_with_size
+from plumbline.operators.lookup import attach_signals, masterdata_ids
+from plumbline.operators.skew import MAX_BROADCAST_BYTES
 
 HIDDEN_TYPE = "iotsynoptic"  # fixed value: characteristics of this type never reach a payload
 HASH_CODE = "XV_hash_code"  # fixed value: the characteristic that names a payload if it is filled
@@ -127,14 +127,8 @@ def with_lookups(
     ids = {}
     coded = [c["code"] for c in characteristics if c["type"] == "maindata" and c["code"] in df.columns]
     if coded and masterdata is not None:
-        index, size = settled_with_size(masterdata)
-        spread = row_spread(df)
-        for number, code in enumerate(coded):
-            ids[code] = f"_masterdata_{number}"
-            df = masterdata_id(
-                df, code, index, code, ids[code], spread, max_bytes,
-                size if size <= max_bytes else None,
-            )
+        ids = {code: f"_masterdata_{number}" for number, code in enumerate(coded)}
+        df = masterdata_ids(df, ids, masterdata, max_bytes)
     elif coded:
         df = df.withColumns({f"_masterdata_{n}": F.lit(None).cast("bigint") for n, _ in enumerate(coded)})
         ids = {code: f"_masterdata_{n}" for n, code in enumerate(coded)}

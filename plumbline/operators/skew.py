@@ -88,14 +88,15 @@ def mark_members(
 
 def lookup_join(
     df: DataFrame, key: Column, index: DataFrame, index_key: str, spread: Column, may_be_hot: bool = True,
-    max_bytes: int = MAX_BROADCAST_BYTES, index_bytes: int | None = None,
+    max_bytes: int = MAX_BROADCAST_BYTES, index_bytes: int | None = None, frequent: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of ``df`` to an index (unique on ``index_key``), adding the index's other columns.
 
     A small index is broadcast. A large one is joined by shuffle in two steps: the values that most rows of ``df`` hold
     are looked up through a broadcast of at most HOT_KEYS index rows, all other rows by a shuffle on the key. Rows that
     search nothing (NULL key, or answered already) would all fall on one partition; ``spread`` (a column that differs
-    from row to row, such as the row's id) deals them out instead.
+    from row to row, such as the row's id) deals them out instead. ``frequent`` (value, n) hands in how often values occur,
+    if that is known; otherwise ``df`` is counted once. What was counted is settled, so ``df`` stands in the plan once.
     """
     values = [c for c in index.columns if c != index_key]
     index = index.withColumnRenamed(index_key, "_index_key")
@@ -105,8 +106,11 @@ def lookup_join(
 
     keyed = df.withColumn("_search", key)
     if may_be_hot:
-        frequent = keyed.filter("_search IS NOT NULL").groupBy("_search").count()
-        frequent = frequent.orderBy(F.desc("count"), "_search").limit(HOT_KEYS)
+        if frequent is None:
+            frequent = keyed.filter("_search IS NOT NULL").groupBy("_search").agg(F.count(F.lit(1)).alias("n"))
+        else:
+            frequent = frequent.select(F.col("value").alias("_search"), "n")
+        frequent = settled(frequent.orderBy(F.desc("n"), "_search").limit(HOT_KEYS).select("_search"))
         # Both sides of these joins are at most HOT_KEYS rows; the large index is only scanned.
         found = index.join(F.broadcast(frequent), F.col("_search") == F.col("_index_key"))
         found = found.select("_index_key", F.struct(*values).alias("_hot"))

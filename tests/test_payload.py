@@ -97,6 +97,18 @@ def test_masterdata_index(spark, snapshots, max_bytes):
     assert {r["id"]: r["m"] for r in found.collect()} == {1: 2, 2: None, 3: None, 4: None}
 
 
+def test_many_masterdata_columns_scan_the_rows_once(spark):
+    """Beyond the bound too, the plan grows with the number of columns and not with its power."""
+    index = spark.createDataFrame([(f"c{k}", f"v{v}", 10 * k + v) for k in range(8) for v in range(3)], "key string, value string, id bigint")
+    wide = spark.range(40).select("id", *[F.when(F.col("id") % 7 != k, F.concat(F.lit("v"), F.col("id") % 4)).alias(f"c{k}") for k in range(8)])
+    for max_bytes in (1 << 25, -1):
+        for n in (1, 8):
+            got = lookup.masterdata_ids(wide, {f"c{k}": f"m{k}" for k in range(n)}, index, max_bytes)
+            assert got._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 40") == 1
+            for r in got.collect():
+                assert [r[f"m{k}"] for k in range(n)] == [10 * k + r["id"] % 4 if r["id"] % 7 != k and r["id"] % 4 < 3 else None for k in range(n)]
+
+
 @pytest.mark.parametrize("max_bytes", [1 << 25, -1])
 def test_signals(spark, snapshots, max_bytes):
     tags = tag_catalogue(spark, snapshots("tags"))
