@@ -15,6 +15,8 @@ MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_KEYS = 1000
 _SPREAD = 4096
 
+BITMAP_BITS = 27
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors see: the one the session names, else one below the warehouse, which a cluster shares as well."""
@@ -61,14 +63,55 @@ def settled_with_size(df: DataFrame) -> tuple[DataFrame, int]:
     return kept, seen.get["bytes"]
 
 
+def bit_table(keys: DataFrame, key: str, level: int) -> DataFrame:
+    """A bitmap of 2^BITMAP_BITS positions over the hashes of the keys, as rows of 4 KB: 16 MB at most, whatever the data hold."""
+    at = F.shiftrightunsigned(F.xxhash64(F.lit(level), F.col(key)), 64 - BITMAP_BITS) + 1
+    bits = keys.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("_bucket"))
+    return settled(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_bits")))
+
+
+def with_bit(df: DataFrame, key: Column, table: DataFrame, level: int, name: str) -> DataFrame:
+    """Add whether the bitmap has the bit of the key; a NULL key has none. A broadcast of fixed size, no row moves."""
+    at = F.shiftrightunsigned(F.xxhash64(F.lit(level), key), 64 - BITMAP_BITS) + 1
+    at = F.when(key.isNotNull(), at)
+    byte = F.conv(F.hex(F.expr("substring(_bits, CAST(_position DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    spots = df.withColumns({"_at": F.bitmap_bucket_number(at), "_position": F.bitmap_bit_position(at)})
+    found = spots.join(F.broadcast(table), F.col("_at") == F.col("_bucket"), "left")
+    bit = F.getbit(byte, F.pmod("_position", F.lit(8)).cast("int")) == 1
+    return found.select(*[F.col(sql_name(c)) for c in df.columns], F.coalesce(bit, F.lit(False)).alias(name))
+
+
+def _sieve(df: DataFrame, keys: DataFrame, wanted: Column) -> tuple[list[DataFrame], DataFrame] | None:
+    """Bitmaps that take turns in letting keys through wrongly, and the exact small set that is left in the end.
+
+    The first bitmap holds the listed keys; the second those keys of ``df`` that pass the first one and are not listed;
+    the third the listed keys that pass the second, and so on. Each set is a small share of the one two steps before
+    it, until it can be broadcast. None if the sets do not shrink, which takes hundreds of millions of keys.
+    """
+    tables = [bit_table(keys, "_key", 0)]
+    asked = with_bit(df.select(wanted.alias("_key")), F.col("_key"), tables[0], 0, "_bit").filter("_bit").select("_key").distinct()
+    before = None
+    current, size = settled_with_size(asked.join(keys, "_key", "left_anti"))
+    previous = keys
+    while size > MAX_BROADCAST_BYTES:
+        level = len(tables)
+        tables.append(bit_table(current, "_key", level))
+        passed, next_size = settled_with_size(with_bit(previous, F.col("_key"), tables[level], level, "_bit").filter("_bit").select("_key"))
+        if before is not None and next_size > before // 2:
+            return None
+        previous, current, before, size = current, passed, size, next_size
+    return tables, current
+
+
 def mark_members(
     df: DataFrame, keys: DataFrame, key: str, eligible: Column, flag: str, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """Add a boolean column telling for which eligible rows ``key`` is listed in ``keys(key, n)``.
 
     ``keys`` holds each key once with its number of rows. It is settled first, so its size is known: below the bound it
-    is broadcast and no wide row moves. Beyond it the hottest keys are still broadcast; rows that need no lookup or
-    belong to such a key are answered without a shuffle, and only the rest is joined on the key.
+    is broadcast. Beyond it the rows pass a sieve of broadcast bitmaps of fixed size whose errors are listed exactly
+    (see ``_sieve``): the wide rows are scanned once and never move. Only where the sieve does not converge are rows
+    joined by shuffle, the hottest keys by a broadcast of their own.
     """
     keys, size = settled_with_size(keys.select(F.col(key).alias("_key"), "n"))
     wanted = F.when(eligible, F.col(key))
@@ -77,6 +120,27 @@ def mark_members(
         joined = df.join(F.broadcast(listed), wanted == F.col("_key"), "left")
         return joined.drop("_key").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
+    sieve = _sieve(df, keys.select("_key"), wanted)
+    if sieve is None:
+        return _shuffled_members(df, keys, key, eligible, flag)
+    tables, rest = sieve
+    marked = df
+    for level, table in enumerate(tables):
+        marked = with_bit(marked, wanted, table, level, f"_bit{level}")
+    rest = rest.select("_key", F.lit(True).alias("_rest"))
+    marked = marked.join(F.broadcast(rest), wanted == F.col("_key"), "left")
+    #: Stopped by an even bitmap: not listed; by an odd one: listed. Past all of them the exact rest decides.
+    last = len(tables) % 2 == 1
+    answer = F.when(F.col("_rest").isNotNull(), F.lit(not last)).otherwise(F.lit(last))
+    for level in reversed(range(len(tables))):
+        answer = F.when(~F.col(f"_bit{level}"), F.lit(level % 2 == 1)).otherwise(answer)
+    return marked.select(*[F.col(sql_name(c)) for c in df.columns], answer.alias(flag))
+
+
+def _shuffled_members(df: DataFrame, keys: DataFrame, key: str, eligible: Column, flag: str) -> DataFrame:
+    """The hottest keys by broadcast, the rest of the rows that search something by a join on the key."""
+    listed = keys.select("_key", F.lit(True).alias(flag))
+    wanted = F.when(eligible, F.col(key))
     hot = keys.orderBy(F.desc("n"), "_key").limit(HOT_KEYS).select("_key", F.lit(True).alias(flag))
     marked = df.join(F.broadcast(hot), wanted == F.col("_key"), "left").drop("_key")
     open_rows = F.coalesce(eligible, F.lit(False)) & F.col(key).isNotNull() & F.col(flag).isNull()
