@@ -6,6 +6,7 @@ import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +61,49 @@ def assemble_batches(payloads: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(_cut(size), BATCH_SCHEMA)
 
 
+LOST_SCHEMA = "lost struct<source_id string, code_reference string, asset string, reject struct<code string, message string, field string>>"
+
+
+def _cut_beside_lost(size: int, items_type: pa.DataType, lost_type: pa.DataType):
+    def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Batches of the rows that could be built, and the other rows one by one, in one stream."""
+        aside = []
+
+        def whole() -> Iterator[pa.RecordBatch]:
+            for block in blocks:
+                rejected = pc.is_valid(block.column("reject"))
+                aside.append(block.filter(rejected).select(["source_id", "code_reference", "asset", "reject"]))
+                yield block.filter(pc.invert(rejected)).select(["source_id", "code_reference", "payload"])
+
+        def rejects() -> Iterator[pa.RecordBatch]:
+            while aside:
+                rows = aside.pop()
+                if rows.num_rows:
+                    none = [pa.nulls(rows.num_rows, t) for t in (pa.int64(), pa.int32(), items_type)]
+                    yield pa.RecordBatch.from_arrays([*none, rows.to_struct_array().cast(lost_type)], ["batch_id", "size", "items", "lost"])
+
+        for batch in _cut(size)(whole()):
+            lost = pa.nulls(batch.num_rows, lost_type)
+            yield pa.RecordBatch.from_arrays([*batch.columns, lost], ["batch_id", "size", "items", "lost"])
+            yield from rejects()
+        yield from rejects()
+
+    return run
+
+
+def assemble_beside_lost(rows: DataFrame, size: int) -> DataFrame:
+    """(batch_id, size, items, lost): batches of rows without a ``reject``, and each row with one as ``lost``, from one pass.
+
+    ``rows`` has source_id, code_reference, payload, asset and reject; a row of the result is either a batch or a lost row.
+    """
+    text, fields = pa.string(), ("source_id", "code_reference", "payload")
+    items = pa.list_(pa.struct([(f, text) for f in fields]))
+    reject = pa.struct([(f, text) for f in ("code", "message", "field")])
+    lost = pa.struct([("source_id", text), ("code_reference", text), ("asset", text), ("reject", reject)])
+    held = rows.select(F.col("source_id").cast("string").alias("source_id"), "code_reference", "payload", "asset", "reject")
+    return held.mapInArrow(_cut_beside_lost(size, items, lost), f"{BATCH_SCHEMA}, {LOST_SCHEMA}")
+
+
 def batch_body(items):
     """JSON array text of a batch's payloads."""
     return F.concat(F.lit("["), F.array_join(F.transform(items, lambda i: i["payload"]), ","), F.lit("]"))

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.operators.batches import assemble_batches, batch_rows, route_outcomes
+from plumbline.operators.batches import assemble_beside_lost, batch_rows, route_outcomes
 from plumbline.operators.geo import decode_geometry
 from plumbline.operators.payload import PayloadSettings, Template, build_payloads, payload_json
 from plumbline.operators.quarantine import SERIALIZATION, UPLOAD, asset_json, batch_records, row_records
@@ -49,20 +49,18 @@ def deliver_template(
     built = build_payloads(
         standard, template, settings, masterdata, tags, rules.id_column, rules.geometry_column
     )
-    rows = payload_rows(built, standard.columns)
-    rows_path = stage_path(spark, run, SERIALIZATION, template.code)
-    rows.write.mode("overwrite").parquet(rows_path)
-    rows = read_dataset(spark, rows_path)
+    # One stage table holds the batches and, beside them, the rows that could not be built.
+    path = stage_path(spark, run, UPLOAD, template.code)
+    assemble_beside_lost(payload_rows(built, standard.columns), settings.batch_size).write.mode("overwrite").parquet(path)
+    stored = read_dataset(spark, path)
 
-    lost = rows.filter("reject IS NOT NULL")
+    lost = stored.filter("lost IS NOT NULL").select("lost.*")
     counts["quarantined"] += lost.count()
     if counts["quarantined"]:
         write_quarantine(
             row_records(lost, run.run_id, run.environment, template.code, SERIALIZATION), run.quarantine, run.attempt
         )
-    batches_path = stage_path(spark, run, UPLOAD, template.code)
-    assemble_batches(rows.filter("reject IS NULL"), settings.batch_size).write.mode("overwrite").parquet(batches_path)
-    batches = read_dataset(spark, batches_path)
+    batches = stored.filter("lost IS NULL").select("batch_id", "size", "items")
     answers = settled(answer(batches).select("batch_id", "status", "body"))  # every batch is sent once
 
     totals = route_outcomes(batches.select("batch_id", "size"), answers).groupBy("outcome").agg(
