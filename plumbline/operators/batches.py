@@ -84,7 +84,8 @@ def _cut_beside_lost(size: int, items_type: pa.DataType, lost_type: pa.DataType)
 
         for batch in _cut(size)(whole()):
             lost = pa.nulls(batch.num_rows, lost_type)
-            yield pa.RecordBatch.from_arrays([*batch.columns, lost], ["batch_id", "size", "items", "lost"])
+            ids, sizes, items = batch.columns
+            yield pa.RecordBatch.from_arrays([ids, sizes, items.cast(items_type), lost], ["batch_id", "size", "items", "lost"])
             yield from rejects()
         yield from rejects()
 

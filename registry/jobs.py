@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.wkb import to_wkb
 from plumbline.operators.project import union_tables
+from plumbline.operators.lookup import masterdata_index
+from plumbline.operators.payload import PayloadSettings, Template
 from plumbline.plans.deliver import deliver
+from plumbline.plans.errors import StageFailed
 from plumbline.plans.extract import extract
 from plumbline.plans.standardize import Run, standardize
 from plumbline.operators.geo import decode_geometry
@@ -19,6 +22,7 @@ from registry.inputs import (
     NAMED_SQL, PARTY, PARTY_CHARACTERISTICS, PARTY_CORE, PARTY_MAPPING, PARTY_RULES, PARTIES_SQL, party_raw, points,
     PARTY_SOURCES, reject_sql, rings, scratch, select_sql, table,
 )
+from registry.lookups import nation_relations, tags
 from registry.payloads import SETTINGS, records
 from registry.privacy import with_points
 from registry.shaping import SHOWN_SQL, shown
@@ -134,6 +138,45 @@ def delivered(spark, sf_dir):
     )
 
 
+ASSET = Template(id=7, code="ASSET", characteristics=(
+    {"code": "I", "name": "I", "type": "integer"}, {"code": "ASIA", "name": "Nation", "type": "maindata"},
+    {"code": "G", "name": "Tags", "type": "iotsignal"}))
+
+
+def delivered_outcomes(spark, sf_dir):
+    """A delivery with master data and tags where some assets cannot be built, some batches are refused and the gate fails.
+
+    Batches hold one asset, so that what is refused does not depend on the partitioning.
+    """
+    base = scratch(spark, "outcomes")
+    run = Run(run_id=RUN_ID, environment="DEV", raw=base, standard=f"{base}/standard", quarantine=f"{base}/quarantine",
+              max_quarantine_ratio=0.1, rules=PARTY_RULES)
+    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))  # 25 rows by definition
+    assets = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.lit(None).cast("binary").alias("geom"),
+        F.expr("CASE WHEN c_custkey % 11 = 0 THEN 'x' ELSE CAST(c_custkey AS string) END").alias("I"), F.col("n_name").alias("ASIA"))
+    write_dataset(assets, dataset_path(run.standard, RUN_ID, "ASSET"), "geom")
+    sent = f"{base}/sent"
+
+    def answer(batches):
+        batches.write.mode("overwrite").parquet(sent)
+        refused = F.col("items")[0]["source_id"].cast("bigint") % 5 == 0
+        return spark.read.parquet(sent).select("batch_id", F.when(refused, 422).otherwise(200).alias("status"), F.lit("said").alias("body"))
+
+    try:
+        deliver(spark, run, [ASSET], PayloadSettings(batch_size=1), answer, masterdata_index(nation_relations(spark, sf_dir)), tags(spark, sf_dir))
+        counts, gate = {}, "passed"
+    except StageFailed as failed:
+        counts, gate = failed.outcomes["ASSET"], "failed"
+    stored = spark.read.json(run.quarantine).select(F.coalesce("source_id", "code_reference").alias("id"), "stage", "error_code")
+    payload = spark.read.parquet(sent).select(F.inline("items")).select(
+        F.col("source_id").alias("id"), F.get_json_object("payload", "$.characteristics[1].value").alias("nation"),
+        F.json_array_length(F.get_json_object("payload", "$.characteristics[2].value")).cast("bigint").alias("signals"))
+    return payload.join(stored, "id", "full").select(
+        "id", F.coalesce("stage", F.lit("delivered")).alias("stage"), "error_code", "nation", "signals", F.lit(gate).alias("gate"),
+        F.lit(counts.get("written")).cast("bigint").alias("written"), F.lit(counts.get("quarantined")).cast("bigint").alias("quarantined"))
+
+
 def quarantine_sink(spark, sf_dir):
     path = scratch(spark, "quarantine")
     """Two calls with different halves of the rejects, the second one repeated under its name."""
@@ -158,6 +201,7 @@ QUERIES = {
     "F1_extract": extracted,
     "F2_standardize": standardized,
     "F3_deliver": delivered,
+    "F3_deliver_outcomes": delivered_outcomes,
 }
 
 _CODED = reject_sql(NAMED_SQL)
@@ -183,6 +227,16 @@ SELECT 'DEV' AS environment, 'run-1' AS run_id, 'PARTY' AS template, 'standardiz
     "F2_standardize": f"""
 SELECT CASE WHEN code IS NULL THEN 'valid' ELSE 'rejected' END AS side, id, name, CAST(p_amount AS VARCHAR) AS amount, code,
        written, quarantined FROM ({_COUNTED})""",
+    "F3_deliver_outcomes": f"""
+WITH a AS (
+  SELECT c_custkey AS k, CASE WHEN r_name = 'ASIA' THEN CAST(n_nationkey AS VARCHAR) END AS nation, c_custkey % 11 = 0 AS lost, c_custkey % 5 = 0 AS refused
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+), s AS (SELECT user_id, count(*) AS n FROM events WHERE event_id % 50 <> 0 GROUP BY user_id)
+SELECT CAST(k AS VARCHAR) AS id, CASE WHEN lost THEN 'serialization' WHEN refused THEN 'upload' ELSE 'delivered' END AS stage,
+       CASE WHEN lost THEN 'invalid_type' WHEN refused THEN 'dmd_rejected_asset' END AS error_code,
+       CASE WHEN NOT lost THEN nation END AS nation, CASE WHEN NOT lost THEN coalesce(s.n, 0) END AS signals, 'failed' AS gate,
+       count(*) FILTER (WHERE NOT lost AND NOT refused) OVER () AS written, count(*) FILTER (WHERE lost OR refused) OVER () AS quarantined
+FROM a LEFT JOIN s ON s.user_id = k""",
     "F3_deliver": f"""
 SELECT id AS source_id, concat('REF ', coalesce(p_amount_text, id)) AS code_reference, concat('PB - ', name) AS name,
        CASE WHEN k % 43 <> 0 THEN concat('[', k, '.0,', k, '.0]') END AS coordinates, written FROM ({_COUNTED}) WHERE code IS NULL""",
