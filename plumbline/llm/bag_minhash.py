@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.arrays import Rolling, mixed, row_slices, rows_of, text_buffers, words_of
-from plumbline.llm.components import components
+from plumbline.llm.components import SMALL, components, narrow, sent
 from plumbline.llm.filters import bit_table, where_bit
 from plumbline.llm.shared import staged
 
@@ -34,7 +34,7 @@ BANDS, BAND_ROWS = 72, 8
 ROW_BITS = 12
 HASH_BITS = 64 - ROW_BITS
 #: Pivots for each bucket in the rounds after the first.
-PIVOTS = 64
+PIVOTS = 256
 
 
 def shingles(data: np.ndarray, bounds: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,23 +197,29 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     #: Rows whose doc_id repeats may stand in several sets: those are one document.
     same = signs.join(reps.drop("bands"), ["name_a", "name_b"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     open_ = members.where("id <> pivot").select("bucket", "id")
-    roots, turn = components(links), 0
+    roots, turn, rows = components(links), 0, None
     while True:
-        labelled = open_.join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
+        #: Once the open rows are few, what is made of them is broadcast.
+        small = rows is not None and rows <= SMALL
+        known = sent(roots.withColumnRenamed("node", "id"), roots.count() <= SMALL)
+        labelled = narrow(open_, small).join(known, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
         split = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("bucket")
-        open_ = staged(labelled.join(split, "bucket"), "open")
-        if open_.isEmpty():
+        open_ = staged(narrow(labelled.join(sent(split, small), "bucket"), small), "open")
+        rows = open_.count()
+        if not rows:
             break
-        turn += 1
-        pivots = open_.groupBy("bucket", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(PIVOTS)).alias("slot")).agg(F.min(F.struct("id", "root")).alias("p")).select("bucket", "p")
-        pairs = open_.join(pivots, "bucket").where("id <> p.id AND root <> p.root").select(F.greatest("id", "p.id").alias("a"), F.least("id", "p.id").alias("b")).distinct()
+        turn, small = turn + 1, rows <= SMALL
+        held = narrow(open_, small)
+        pivots = held.groupBy("bucket", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(PIVOTS)).alias("slot")).agg(F.min(F.struct("id", "root")).alias("p")).select("bucket", "p")
+        pivots = staged(narrow(pivots, small), "pivots")
+        pairs = held.join(sent(pivots, small), "bucket").where("id <> p.id AND root <> p.root").select(F.greatest("id", "p.id").alias("a"), F.least("id", "p.id").alias("b")).distinct()
         fresh = staged(verified(pairs, texts, threshold), "links")
         if not fresh.isEmpty():
-            links = links.unionByName(fresh)
-            roots = components(links)
-        open_ = open_.join(pivots.select("bucket", F.col("p.id").alias("id")), ["bucket", "id"], "left_anti").select("bucket", "id")
+            roots = components(fresh.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        done = pivots.select("bucket", F.col("p.id").alias("id"))
+        open_ = held.join(sent(done, small), ["bucket", "id"], "left_anti").select("bucket", "id")
     if not signs.groupBy("doc_id").agg(F.min("name_a").alias("x"), F.max("name_a").alias("y")).where("x <> y").isEmpty():
-        roots = components(links.unionByName(same))
+        roots = components(same.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     named = signs.select("doc_id", "name_a", "name_b").join(reps.drop("bands"), ["name_a", "name_b"])
     named = named.join(roots.withColumnRenamed("node", "rep"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "rep")).alias("class_id"))
     return docs.select("doc_id").join(named, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
