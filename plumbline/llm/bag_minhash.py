@@ -6,7 +6,7 @@ point counts for a document if its level does not exceed the shingle's multiplic
 signature; two documents agree in a register with the probability of their weighted Jaccard similarity. Points later than a bound that
 all registers meet with high probability are never made; a document with an empty register is done again with twice the bound.
 
-Documents with equal multisets are one representative from the start. Representatives that share a band are compared with one pivot of the
+Before texts are compared, sketches of one bit a register rule out pairs that are clearly less alike. Documents with equal multisets are one representative from the start. Representatives that share a band are compared with one pivot of the
 bucket, pairs that hold are joined to components, and only members of a bucket that lie in different components meet further pivots, until
 no such two are left uncompared. So no group is ever expanded to all its pairs, and every pair of a bucket is either compared or already in
 one class.
@@ -116,8 +116,21 @@ def band_keys(signature: np.ndarray, bands: int, band_rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def sketches(signature: np.ndarray) -> np.ndarray:
+    """One bit of each register, packed into 64-bit numbers: they agree in a bit with probability (1 + similarity) / 2."""
+    bits = np.packbits(mixed(signature.view(np.uint64)) >> np.uint64(63) == 1, axis=1)
+    return np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.int64)
+
+
+def may_be_alike(one: str, other: str, registers: int, threshold: float) -> str:
+    """SQL condition on two sketches; a pair at the threshold fails it with probability 3e-7 (five standard deviations)."""
+    agree = (1 + threshold) / 2
+    most = registers * (1 - agree) + 5 * (registers * agree * (1 - agree)) ** 0.5
+    return " + ".join(f"bit_count({one}[{k}] ^ {other}[{k}])" for k in range(-(-registers // 64))) + f" <= {most}"
+
+
 def signed(docs: DataFrame, bands: int, band_rows: int) -> DataFrame:
-    """doc_id, a 128-bit name of the multiset (or of the text, where it has no words), and the band keys (none without words)."""
+    """doc_id, a 128-bit name of the multiset (or of the text, where it has no words), the band keys (none without words) and the sketch."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,11 +147,13 @@ def signed(docs: DataFrame, bands: int, band_rows: int) -> DataFrame:
                     bare = edges[1:] == edges[:-1]
                     plain = [Rolling(text.astype(np.uint64) + np.uint64(salt)).of(own[:-1] - own[0], own[1:] - own[0]) for salt in (3, 5)]
                     names = [np.where(bare, p, x).view(np.int64) for p, x in zip(plain, names)]
-                    keys = band_keys(signatures(rows, shingle, weight, n, bands * band_rows), bands, band_rows)
+                    signature = signatures(rows, shingle, weight, n, bands * band_rows)
+                    keys, sketch = band_keys(signature, bands, band_rows), sketches(signature)
+                    bits = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * sketch.shape[1], pa.int32()), pa.array(sketch.ravel()))
                     full = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.where(bare, 0, bands))), pa.int32()), pa.array(keys[~bare].ravel()))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), *map(pa.array, names), full], ["doc_id", "name_a", "name_b", "bands"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), *map(pa.array, names), full, bits], ["doc_id", "name_a", "name_b", "bands", "sketch"])
 
-    return docs.mapInArrow(sign, "doc_id long, name_a long, name_b long, bands array<long>")
+    return docs.mapInArrow(sign, "doc_id long, name_a long, name_b long, bands array<long>, sketch array<long>")
 
 
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -184,25 +199,28 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     judged = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     signs = staged(signed(judged, bands, band_rows), "signed")
-    reps = staged(signs.groupBy("name_a", "name_b").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "sets")
+    reps = staged(signs.groupBy("name_a", "name_b").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "sets")
     rows = reps.select(F.col("rep").alias("id"), F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last").select("bucket", "pivot")
-    members = staged(rows.join(shared, "bucket"), "buckets")
-    pairs = members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+    members = rows.join(shared, "bucket").groupBy("id").agg(F.collect_list(F.struct("bucket", "pivot")).alias("held"))  # a document is in `bands` buckets at most
+    members = staged(members.join(reps.select(F.col("rep").alias("id"), "sketch"), "id").select("id", "sketch", F.inline("held")), "buckets")
+    alike = may_be_alike("sketch", "p.sketch", bands * band_rows, threshold)
+    first = members.where("id = pivot").select("bucket", F.struct("id", "sketch").alias("p"))
+    pairs = members.where("id <> pivot").join(first, "bucket").where(alike).select(F.col("id").alias("a"), F.col("p.id").alias("b")).distinct()
     asked = members.select("id").distinct()
     texts = where_bit(judged, F.xxhash64("doc_id"), bit_table(asked.select(F.xxhash64("id").alias("id"))))
     texts = texts.join(asked, F.col("doc_id") == F.col("id"), "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     texts = staged(texts, "texts")  # of documents that share a band, once for all rounds
     links = staged(verified(pairs, texts, threshold), "links")
     #: Rows whose doc_id repeats may stand in several sets: those are one document.
-    same = signs.join(reps.drop("bands"), ["name_a", "name_b"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    open_ = members.where("id <> pivot").select("bucket", "id")
+    same = signs.join(reps.drop("bands", "sketch"), ["name_a", "name_b"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    open_ = members.where("id <> pivot").select("bucket", "id", "sketch")
     roots, turn, rows = components(links), 0, None
     while True:
         #: Once the open rows are few, what is made of them is broadcast.
         small = rows is not None and rows <= SMALL
         known = sent(roots.withColumnRenamed("node", "id"), roots.count() <= SMALL)
-        labelled = narrow(open_, small).join(known, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
+        labelled = narrow(open_, small).join(known, "id", "left").select("bucket", "id", "sketch", F.coalesce("root", "id").alias("root"))
         split = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("bucket")
         open_ = staged(narrow(labelled.join(sent(split, small), "bucket"), small), "open")
         rows = open_.count()
@@ -210,16 +228,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
             break
         turn, small = turn + 1, rows <= SMALL
         held = narrow(open_, small)
-        pivots = held.groupBy("bucket", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(PIVOTS)).alias("slot")).agg(F.min(F.struct("id", "root")).alias("p")).select("bucket", "p")
+        pivots = held.groupBy("bucket", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(PIVOTS)).alias("slot")).agg(F.min(F.struct("id", "root", "sketch")).alias("p")).select("bucket", "p")
         pivots = staged(narrow(pivots, small), "pivots")
-        pairs = held.join(sent(pivots, small), "bucket").where("id <> p.id AND root <> p.root").select(F.greatest("id", "p.id").alias("a"), F.least("id", "p.id").alias("b")).distinct()
+        pairs = held.join(sent(pivots, small), "bucket").where("id <> p.id AND root <> p.root").where(alike).select(F.greatest("id", "p.id").alias("a"), F.least("id", "p.id").alias("b")).distinct()
         fresh = staged(verified(pairs, texts, threshold), "links")
         if not fresh.isEmpty():
             roots = components(fresh.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         done = pivots.select("bucket", F.col("p.id").alias("id"))
-        open_ = held.join(sent(done, small), ["bucket", "id"], "left_anti").select("bucket", "id")
+        open_ = held.join(sent(done, small), ["bucket", "id"], "left_anti").select("bucket", "id", "sketch")
     if not signs.groupBy("doc_id").agg(F.min("name_a").alias("x"), F.max("name_a").alias("y")).where("x <> y").isEmpty():
         roots = components(same.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    named = signs.select("doc_id", "name_a", "name_b").join(reps.drop("bands"), ["name_a", "name_b"])
+    named = signs.select("doc_id", "name_a", "name_b").join(reps.drop("bands", "sketch"), ["name_a", "name_b"])
     named = named.join(roots.withColumnRenamed("node", "rep"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "rep")).alias("class_id"))
     return docs.select("doc_id").join(named, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
