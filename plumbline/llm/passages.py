@@ -11,7 +11,8 @@ Whatever stands in two places stands in runs of the same anchor. So:
    travel, grouped by anchor, to the operator's own text index, in shards of bounded size.
 
 An anchor with more than HOT contents (a common passage with varied text around it) is not given to one shard: its windows are named by
-128-bit hashes, and the first place of each window is a grouped minimum.
+128-bit hashes, and the first place of each window is a grouped minimum. Before that, windows go whose longer side around the anchor stands
+in no other content: what a short common line is surrounded by is different in each document.
 """
 
 from __future__ import annotations
@@ -166,26 +167,64 @@ def gone_rows(keys: list[tuple[int, int]], flags: list[np.ndarray]) -> pa.Record
     return pa.RecordBatch.from_arrays([pa.array(anchors, pa.int64()), pa.array(names, pa.int64()), pa.array(gone, kind)], ["anchor", "name", "gone"])
 
 
+def _parts(batch: pa.RecordBatch, kind: Kind) -> Iterator[tuple]:
+    """Of runs with their contents (anchor, name, doc_id, start, content): rows, hashes over their units, bounds in units, and the unit that
+    the anchor begins at."""
+    content = batch.column(4).to_pylist()
+    for k in range(0, batch.num_rows, 4096):
+        part = content[k : k + 4096]
+        bounds = np.append(0, np.cumsum([len(c) for c in part]))
+        units, _, _, at = kind.units(np.frombuffer(b"".join(part), np.uint8), bounds)
+        roll = Rolling(units)
+        grams = mixed((roll.sums[kind.gram :] - roll.sums[: -kind.gram]) * roll.down[: len(units) - kind.gram + 1])
+        own = batch.slice(k, len(part))
+        anchors = np.repeat(own.column(0).to_numpy().view(np.uint64), np.diff(at))[: len(grams)]
+        found = np.where(grams == anchors, np.arange(len(grams)), len(units))
+        yield own, units, at, np.minimum.reduceat(found, at[:-1])
+
+
+def _sides(rows: DataFrame, kind: Kind) -> DataFrame:
+    """(anchor, name, head, tail): of a window, the units before its anchor or those behind it make up half of the rest. So only windows
+    whose longer side stands in another content of the same anchor can stand there as a whole."""
+    half = (kind.window - kind.gram) // 2
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own, units, at, place in _parts(batch, kind):
+                roll = Rolling(units, 7)
+                for tail in (0, 1):
+                    first, last = (place - half, place + kind.gram) if not tail else (place, place + kind.gram + half)
+                    row = np.flatnonzero((first >= at[:-1]) & (last <= at[1:]))
+                    keys = roll.of(first[row], last[row]).view(np.int64)
+                    take = [own.column(c).take(pa.array(row)) for c in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*take, pa.array(np.full(len(row), tail, np.int8)), pa.array(keys)], ["anchor", "name", "tail", "key"])
+
+    sides = staged(rows.select("anchor", "name", "doc_id", "start", "content").mapInArrow(emit, "anchor long, name long, tail byte, key long"), "sides")
+    shared = sides.groupBy("anchor", "tail", "key").agg(F.min("name").alias("x"), F.max("name").alias("y")).where("x <> y").drop("x", "y")
+    return sides.join(shared, ["anchor", "tail", "key"], "left_semi").groupBy("anchor", "name").agg(F.max(F.col("tail") == 0).alias("head"), F.max(F.col("tail") == 1).alias("tail"))
+
+
 def _hot_windows(rows: DataFrame, kind: Kind, by_document: bool) -> DataFrame:
     """The same answer for anchors with very many contents: first places of windows by grouped minima."""
+    half = (kind.window - kind.gram) // 2
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            content = batch.column(4).to_pylist()
-            for k in range(0, batch.num_rows, 4096):
-                part = content[k : k + 4096]
-                bounds = np.append(0, np.cumsum([len(c) for c in part]))
-                units, _, _, at = kind.units(np.frombuffer(b"".join(part), np.uint8), bounds)
+            for own, units, at, place in _parts(batch, kind):
                 n = np.diff(at) - kind.window + 1
-                row = np.repeat(np.arange(len(part)), n)
+                row = np.repeat(np.arange(own.num_rows), n)
                 shift = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
                 first = at[row] + shift
+                head, tail = (own.column(c).to_numpy(zero_copy_only=False) for c in (5, 6))
+                some = np.where(place[row] - first >= half, head[row], tail[row])
+                row, shift, first = row[some], shift[some], first[some]
                 names = [Rolling(units, salt).of(first, first + kind.window).view(np.int64) for salt in (1, 2)]
-                own = batch.slice(k, len(part))
                 take = [own.column(c).take(pa.array(row)) for c in range(4)]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, names), *take, pa.array(shift.astype(np.int32))], ["x", "y", "anchor", "name", "doc_id", "start", "shift"])
 
-    windows = staged(rows.select("anchor", "name", "doc_id", "start", "content").mapInArrow(emit, "x long, y long, anchor long, name long, doc_id long, start long, shift int"), "hot-windows")
+    rows = staged(rows.select("anchor", "name", "doc_id", "start", "content"), "hot-contents")
+    rows = rows.join(_sides(rows, kind), ["anchor", "name"]).select("anchor", "name", "doc_id", "start", "content", "head", "tail")
+    windows = staged(rows.mapInArrow(emit, "x long, y long, anchor long, name long, doc_id long, start long, shift int"), "hot-windows")
     place = F.struct("doc_id") if by_document else F.struct("doc_id", (F.col("start") + F.col("shift")).alias("at"))
     earliest = windows.groupBy("x", "y").agg(F.min(place).alias("first"))
     later = windows.join(earliest, ["x", "y"]).where(F.col("first") < place)
@@ -220,6 +259,7 @@ def repeated_spans(docs: DataFrame, kind: Kind, compare: Callable[[list[bytes],
     gone = cool.select("shard", "anchor", "name", "doc_id", "start", "content").groupBy("shard").applyInArrow(answer, GONE)
     gone = gone.unionByName(_hot_windows(texts.where(F.col("contents") > hot), kind, by_document))
     judged = firsts.join(gone, ["anchor", "name"], "left").where("places > 1 OR gone IS NOT NULL").select("anchor", "name", "first", "gone")
+    judged = staged(judged, "judged-runs")  # with a plain shuffle on both sides, Spark splits the places of a content that is everywhere
     found = runs.join(judged, ["anchor", "name"])
     is_first = F.col("doc_id") == F.col("first.doc_id")
     if not by_document:
