@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.arrays import SLICE_BYTES, Rolling, mixed, row_slices, text_buffers
@@ -122,15 +122,22 @@ def _anchor_counts(docs: DataFrame, kind: Kind) -> DataFrame:
 
 
 def _runs(docs: DataFrame, kind: Kind, shared: Broadcast) -> DataFrame:
+    """Runs of anchors that may stand twice. A run that follows itself at once, as in text of one repeated word, is one row with a count."""
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, found, *_ in slices(batch, kind):
-                k = has_hash(shared.value, found.anchor)
+                k = np.flatnonzero(has_hash(shared.value, found.anchor))
+                anchor, name, row, start, windows = found.anchor[k], found.name[k], found.row[k], found.start[k], found.windows[k]
+                new = np.ones(len(k), bool)
+                new[1:] = (anchor[1:] != anchor[:-1]) | (name[1:] != name[:-1]) | (row[1:] != row[:-1]) | (start[1:] != start[:-1] + windows[:-1]) | (windows[1:] != windows[:-1])
+                at = np.flatnonzero(new)
+                repeats = np.diff(np.append(at, len(k)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (found.anchor[k].view(np.int64), found.name[k].view(np.int64), ids[found.row[k]], found.start[k], found.windows[k].astype(np.int32))],
-                    ["anchor", "name", "doc_id", "start", "windows"])
+                    [pa.array(x) for x in (anchor[at].view(np.int64), name[at].view(np.int64), ids[row[at]], start[at], windows[at].astype(np.int32), repeats.astype(np.int32))],
+                    ["anchor", "name", "doc_id", "start", "windows", "repeats"])
 
-    return docs.mapInArrow(emit, "anchor long, name long, doc_id long, start long, windows int")
+    return docs.mapInArrow(emit, "anchor long, name long, doc_id long, start long, windows int, repeats int")
 
 
 def _contents(docs: DataFrame, kind: Kind, shared: Broadcast, wanted: Broadcast) -> DataFrame:
@@ -240,7 +247,7 @@ def repeated_spans(docs: DataFrame, kind: Kind, compare: Callable[[list[bytes],
     counts = _anchor_counts(docs, kind)
     shared = member_bits(counts.where("n > 1").select("anchor"), hashed=True)
     runs = staged(_runs(docs, kind, shared), "runs")
-    firsts = runs.groupBy("anchor", "name").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("places"), F.min("doc_id").alias("x"), F.max("doc_id").alias("y"))
+    firsts = runs.groupBy("anchor", "name").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.sum("repeats").alias("places"), F.min("doc_id").alias("x"), F.max("doc_id").alias("y"))
     firsts = staged(firsts, "first-runs")
     crowd = firsts.groupBy("anchor").agg(F.count("*").alias("contents"), F.min("x").alias("x"), F.max("y").alias("y")).where("contents > 1" + (" AND x < y" if by_document else ""))
     contested = firsts.join(crowd.select("anchor", "contents"), "anchor").select("anchor", "name", "contents", F.col("first.doc_id").alias("doc_id"), F.col("first.start").alias("start"))
@@ -264,7 +271,15 @@ def repeated_spans(docs: DataFrame, kind: Kind, compare: Callable[[list[bytes],
     is_first = F.col("doc_id") == F.col("first.doc_id")
     if not by_document:
         is_first &= F.col("start") == F.col("first.start")
-    whole = F.array(F.struct(F.lit(0).alias("first"), (F.col("windows") - 1).alias("last")))
-    found = found.select("doc_id", "start", F.explode(F.when(is_first, F.coalesce("gone", F.expr("array()").cast("array<struct<first:int,last:int>>"))).otherwise(whole)).alias("g"))
+    def stretch(first: Column, last: Column) -> Column:
+        return F.array(F.struct(first.cast("int").alias("first"), last.cast("int").alias("last")))
+
+    none = F.expr("array()").cast("array<struct<first:int,last:int>>")
+    own, end = F.coalesce("gone", none), F.col("windows") * F.col("repeats") - 1
+    if by_document:  # each repetition in the first document is judged as the first one
+        own = F.flatten(F.transform(F.sequence(F.lit(0), F.col("repeats") - 1), lambda k: F.transform(own, lambda g: F.struct((g["first"] + k * F.col("windows")).alias("first"), (g["last"] + k * F.col("windows")).alias("last")))))
+    else:  # the second and later repetitions stand later than the first one
+        own = F.concat(own, F.when(F.col("repeats") > 1, stretch(F.col("windows"), end)).otherwise(none))
+    found = found.select("doc_id", "start", F.explode(F.when(is_first, own).otherwise(stretch(F.lit(0), end))).alias("g"))
     span = F.struct((F.col("start") + F.col("g.first")).alias("first"), (F.col("start") + F.col("g.last") + (kind.window - 1)).alias("last"))
     return found.groupBy("doc_id").agg(F.collect_list(span).alias("spans"))
