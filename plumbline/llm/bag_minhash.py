@@ -33,7 +33,8 @@ BANDS, BAND_ROWS = 72, 8
 #: Rows of one slice, so that row and shingle hash fit into one 64-bit sort key.
 ROW_BITS = 12
 HASH_BITS = 64 - ROW_BITS
-#: Pivots for each bucket in the rounds after the first.
+#: Most pivots for each bucket in a round: four after the first round and four times as many each time. The few first ones join what belongs
+#: together; after that only members of different classes meet, and nearly all of those are ruled out by their sketches.
 PIVOTS = 256
 
 
@@ -228,7 +229,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
             break
         turn, small = turn + 1, rows <= SMALL
         held = narrow(open_, small)
-        pivots = held.groupBy("bucket", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(PIVOTS)).alias("slot")).agg(F.min(F.struct("id", "root", "sketch")).alias("p")).select("bucket", "p")
+        pivots = held.groupBy("bucket", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(min(PIVOTS, 4**turn))).alias("slot")).agg(F.min(F.struct("id", "root", "sketch")).alias("p")).select("bucket", "p")
         pivots = staged(narrow(pivots, small), "pivots")
         pairs = held.join(sent(pivots, small), "bucket").where("id <> p.id AND root <> p.root").where(alike).select(F.greatest("id", "p.id").alias("a"), F.least("id", "p.id").alias("b")).distinct()
         fresh = staged(verified(pairs, texts, threshold), "links")
