@@ -1,6 +1,7 @@
 """Licences, quality rules and secrets: small cases, brute force, odd rows."""
 
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +22,35 @@ def test_licences(spark, documents):
     assert licenses.scan(documents([(1, "x")]), none).first()["license_id"] is None
 
 
+def test_whole_licence_texts(spark, documents):
+    texts = {n: t for n, t in reversed(licenses.whole_texts())}
+    wrapped = {n: next(t for m, t in licenses.KNOWN if m == n and len(t) > 200) for n in ("MIT", "ISC")}
+    rows, expected = [], {}
+    for width in (56, 60, 64, 68, 72, 76, 79):  # some of these begin a line of the terms with "copyright" or "(c)"
+        for name, body in wrapped.items():
+            body = "\n\n".join(textwrap.fill(p, width) for p in body.split("\n\n"))
+            for head in (f"{name} License\n\nCopyright (c) 2020 A. Person\n\n", f"Copyright 2021, 2022 B\nAll rights reserved.\n\nThe {name} License ({name})\n=====\n\n", ""):
+                rows.append((len(rows), head + body))
+                expected[len(rows) - 1] = name
+        apache = texts["Apache-2.0"]
+        body = "\n\n".join(textwrap.fill(p, width) for p in re.split(r"\n\s*\n", apache[apache.index("TERMS AND") :]))
+        for head in ("Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/\n\n", "Apache License, Version 2.0\n\n", ""):
+            rows.append((len(rows), head + body.replace("[yyyy] [name of copyright owner]", "2019 C. Company")))
+            expected[len(rows) - 1] = "Apache-2.0"
+    for name, text in texts.items():
+        rows.append((len(rows), text.replace("\n", "\r\n")))
+        expected[len(rows) - 1] = name
+    mpl = texts["MPL-2.0"]
+    rows += [(1001, mpl[mpl.index("1. Def") :]), (1002, texts["GPL-3.0"].split("END OF TERMS")[0]), (1003, texts["BSD-3-Clause"].replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* "))]
+    expected |= {1001: "MPL-2.0", 1002: "GPL-3.0", 1003: "BSD-3-Clause", 2001: None, 2002: None, 2003: None}
+    rows += [(2001, "MIT License"), (2002, "ISC License\n\ncopyright is a word"), (2003, "is a word")]
+    got = licenses.scan(documents(rows), licenses.built_in(spark)).collect()
+    assert {r["doc_id"]: r["license_id"] for r in got} == expected
+    digest = {r["doc_id"]: r["digest"] for r in got}
+    assert len({digest[k] for k in (2001, 2002, 2003)}) == 3
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0"} <= set(texts)
+
+
 def measures(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
