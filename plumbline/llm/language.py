@@ -40,31 +40,32 @@ def letters(text: str) -> bytes:
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Dictionary content for each non-NULL lang of the labelled rows (text, lang, and a doc_id that only picks the sample).
 
-    Rows without lang, text or doc_id teach nothing. The sample is bounded by `sample_docs` for each language and does not depend on how rows
-    are partitioned; a language whose documents are all longer than SAMPLE_DOC_BYTES is learned from pieces of that size cut out of them.
+    Rows without lang, text or doc_id teach nothing. The sample is bounded by `sample_docs` for each language, is drawn from all of its documents and
+    does not depend on how rows are partitioned. A document longer than SAMPLE_DOC_BYTES gives one piece of that size, from an offset picked by a
+    hash. The last text of a dictionary is cut where the dictionary is full.
     """
-    rows = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL AND length(text) > 0").select(
-        "lang", "text", F.xxhash64(F.lit(7), F.col("doc_id").cast("string")).alias("at"), (F.octet_length("text") <= SAMPLE_DOC_BYTES).alias("short"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.col("short").cast("int")).alias("n_short")).limit(MAX_LANGUAGES + 1).collect()
+    key, size = F.col("doc_id").cast("string"), F.octet_length("text")
+    offset = F.pmod(F.xxhash64(F.lit(11), key), F.greatest(size - SAMPLE_DOC_BYTES, F.lit(0)) + 1).cast("int")
+    rows = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL AND length(text) > 0").select("lang", F.col("text").cast("binary").alias("text"), offset.alias("offset"), F.xxhash64(F.lit(7), key).alias("at"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
         return {}
     #: Of n rows, those with the smallest hashes: about twice as many as are needed.
-    share = {r["lang"]: min(1.0, 2 * sample_docs / max(1, r["n_short"] or r["n"])) for r in counts}
-    only_long = [r["lang"] for r in counts if not r["n_short"]]
-    limit = docs.sparkSession.createDataFrame([(k, int(v * 2.0**64 - 2.0**63) if v < 1 else 2**63 - 1, k in only_long) for k, v in share.items()], "lang string, most long, long_too boolean")
-    picked = rows.join(F.broadcast(limit), "lang").where("at <= most AND (short OR long_too)").select(
-        "lang", F.when(F.col("short"), F.col("text")).otherwise(F.substring("text", 1, SAMPLE_DOC_BYTES // 4)).alias("text"), "at").collect()
+    share = {k: min(1.0, 2 * sample_docs / n) for k, n in counts.items()}
+    limit = docs.sparkSession.createDataFrame([(k, int(v * 2.0**64 - 2.0**63) if v < 1 else 2**63 - 1) for k, v in share.items()], "lang string, most long")
+    picked = rows.join(F.broadcast(limit), "lang").where("at <= most").select("lang", F.substr("text", F.col("offset") + 1, F.lit(SAMPLE_DOC_BYTES)).alias("piece"), "at").collect()
+    sampled: dict[str, list] = {}
+    for r in picked:
+        sampled.setdefault(r["lang"], []).append((r["at"], bytes(r["piece"])))
     content = {}
-    for lang in sorted(share, key=lambda x: (-next(r["n"] for r in counts if r["lang"] == x), x)):
-        texts = [letters(r["text"]) for r in sorted((r for r in picked if r["lang"] == lang), key=lambda r: (r["at"], r["text"]))[:sample_docs]]
-        joined, kept = 0, []
-        for t in texts:
-            if joined + len(t) + 1 <= dictionary_bytes or not kept:
-                kept.append(t)
-                joined += len(t) + 1
-        content[lang] = b"\n".join(kept)
+    for lang in sorted(counts, key=lambda x: (-counts[x], x)):
+        joined = b""
+        for _, piece in sorted(sampled.get(lang, []))[:sample_docs]:
+            text = letters(piece.decode(errors="ignore"))  # a piece may begin or end inside a character
+            joined = (joined + b"\n" + text if joined else text)[:dictionary_bytes]
+        content[lang] = joined
     return content
 
 

@@ -1,5 +1,7 @@
 """Held-out accuracy and the defined results of odd rows."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from plumbline.llm import language
@@ -26,6 +28,26 @@ def test_odd_rows(spark, documents):
     assert language.fit(train.limit(0)) == {} and language.identify(docs.limit(0), content).count() == 0
 
 
+def test_long_documents_teach(spark, documents):
+    """A few short texts beside many long ones, and long texts that all begin alike."""
+    rnd = random.Random(1)
+
+    def long(words, head=""):
+        return head + " ".join(rnd.choice(words) for _ in range(4000))
+
+    da, nl = ["ikke", "været", "også", "hvad", "måske", "kunne"], ["niet", "geweest", "ook", "wat", "misschien", "kunnen"]
+    notice = "this page was made by a machine " * 300
+    rows = [(1, "OK", "da"), *((k, long(da), "da") for k in range(2, 30))] + [(k, long(nl, notice), "nl") for k in range(30, 60)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    content = language.fit(train)
+    assert len(content["da"]) == language.DICTIONARY_BYTES and "været".encode() in content["da"]
+    assert len(content["nl"]) > 0.9 * language.DICTIONARY_BYTES and b"geweest" in content["nl"]
+    assert content == language.fit(train.repartition(7))
+    assert all(len(x) == 1000 for x in language.fit(train, dictionary_bytes=1000).values())
+    got = language.identify(documents([(1, "hvad kunne også været"), (2, "wat kunnen ook geweest")]), content)
+    assert [(r["lang_pred"], r["rejected"]) for r in got.collect()] == [("da", False), ("nl", False)]
+
+
 def test_every_byte_is_judged():
     text = b"abc" * 5000
     assert b"".join(language.pieces(text)) == text and max(map(len, language.pieces(text))) <= language.PIECE_BYTES
