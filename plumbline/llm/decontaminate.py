@@ -10,21 +10,26 @@ words of phrases; a larger benchmark takes one pass over the documents for each
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbline.llm.arrays import joined_ranges, row_slices, text_buffers, union_length, words_of
+from plumbline.llm.shared import staged
 
 WINDOW = 10
 SHARD_WORDS = 1 << 19
 SAMPLE = 16
 BLOCK_WORDS = 1 << 22
 
-RESULT = "doc_id long, n_words long, spans array<struct<first:long,last:long>>, items array<long>"
+FOUND = "n_words long, spans array<struct<first:long,last:long>>, items array<long>"
+RESULT = f"doc_id long, {FOUND}"
 
 
 class Phrases:
@@ -187,8 +192,8 @@ class FMIndex:
 LOCATE_AT_ONCE = 1 << 19
 
 
-def _searched(doc_ids: list, hashes: list[np.ndarray], phrases: Phrases) -> pa.RecordBatch:
-    """One shard: its index, the occurrences of all phrases, and the merged spans of each document."""
+def _searched(hashes: list[np.ndarray], phrases: Phrases) -> tuple[list[list], list[set]]:
+    """One shard: its index, the occurrences of all phrases, and the merged spans and the items of each document."""
     lengths = np.array([len(h) for h in hashes], np.int64)
     starts = np.zeros(len(hashes), np.int64)
     np.cumsum(lengths[:-1] + 1, out=starts[1:])
@@ -216,36 +221,63 @@ def _searched(doc_ids: list, hashes: list[np.ndarray], phrases: Phrases) -> pa.R
         for a, b in zip(edges[:-1], edges[1:]):
             spans[doc[a]] = [{"first": int(s), "last": int(e) - 1} for s, e in zip(*union_length(first[a:b], first[a:b] + phrases.length[window[a:b]]))]
             items[doc[a]].update(i for w in np.unique(window[a:b]) for i in phrases.items[w])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc_ids, pa.int64()), pa.array(lengths), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))),
-         pa.array([sorted(x) for x in items], pa.list_(pa.int64()))],
-        ["doc_id", "n_words", "spans", "items"],
-    )
-
-
-def _one_pass(docs: DataFrame, item_ids: list[int], texts: list[str | None], window: int, shard_words: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast((item_ids, texts))
+    return spans, items
+
+
+#: A shard ends early when the columns that it carries reach so many bytes.
+CARRIED_BYTES = 64 << 20
+
+
+def _shards(batches: Iterator[pa.RecordBatch], text_at: int, carried: list[int], shard_words: int) -> Iterator[tuple[list[pa.RecordBatch], list[np.ndarray]]]:
+    """Stretches of rows with about `shard_words` words: their carried columns, piece by piece, and the word hashes of each row."""
+    pieces, hashes, held = [], [], 0
+    for batch in batches:
+        data, bounds = text_buffers(batch.column(text_at))
+        rest, given = batch.select(carried), 0
+        for a, b in row_slices(bounds):
+            own = bounds[a : b + 1]
+            found, _, _, at = words_of(data[own[0] : own[-1]], own - own[0])
+            for k in range(b - a):
+                hashes.append(found[at[k] : at[k + 1]])
+                held += int(at[k + 1] - at[k]) + 1
+                if held >= shard_words:
+                    yield [*pieces, rest.slice(given, a + k + 1 - given)], hashes
+                    pieces, hashes, held, given = [], [], 0, a + k + 1
+        if given < batch.num_rows:
+            pieces.append(rest.slice(given))
+            if sum(p.nbytes for p in pieces) >= CARRIED_BYTES:
+                yield pieces, hashes
+                pieces, hashes, held = [], [], 0
+    if hashes:
+        yield pieces, hashes
+
+
+def _one_pass(docs: DataFrame, rows: list, window: int, shard_words: int) -> DataFrame:
+    """The columns of `docs` but its text, with n_words, spans and items for each row."""
+    sent = docs.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
+    names = [c for c in docs.columns if c != "text"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(*sent.value, window)
-        ids, hashes, held = [], [], 0
-        for batch in batches:
-            data, bounds = text_buffers(batch.column(1))
-            batch_ids = batch.column(0).to_pylist()
-            for a, b in row_slices(bounds):
-                own = bounds[a : b + 1]
-                found, _, _, at = words_of(data[own[0] : own[-1]], own - own[0])
-                for k in range(b - a):
-                    ids.append(batch_ids[a + k])
-                    hashes.append(found[at[k] : at[k + 1]])
-                    held += int(at[k + 1] - at[k]) + 1
-                    if held >= shard_words:
-                        yield _searched(ids, hashes, phrases)
-                        ids, hashes, held = [], [], 0
-        if ids:
-            yield _searched(ids, hashes, phrases)
-
-    return docs.select("doc_id", "text").mapInArrow(search, RESULT)
+        for pieces, hashes in _shards(batches, 0, list(range(1, len(names) + 1)), shard_words):
+            spans, items = _searched(hashes, phrases)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.concat_arrays([p.column(k) for p in pieces]) for k in range(len(names))), pa.array([len(h) for h in hashes], pa.int64()),
+                 pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), pa.array([sorted(x) for x in items], pa.list_(pa.int64()))],
+                [*names, "n_words", "spans", "items"])
+
+    docs = docs.select("text", *names)
+    schema = StructType(docs.schema.fields[1:] + StructType.fromDDL(FOUND).fields)
+    return docs.mapInArrow(search, schema)
+
+
+def _blocks(benchmark: DataFrame, block_words: int) -> list[DataFrame]:
+    """Frames (item_id, text) that together hold the benchmark, each of about `block_words` words of phrases at most."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+    #: A text has at most one word for each two bytes, and a word lies in at most `window` windows.
+    words = int(items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]) // 2
+    blocks = max(1, -(-words // block_words))
+    return [items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) for k in range(blocks)] if blocks > 1 else [items]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -257,17 +289,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     benchmark is one block, and beyond that rows with equal doc_id and number of words share one answer. A NULL item_id is left out. Other columns are
     ignored. Occurrences never cross documents.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    #: A text has at most one word for each two bytes, and a word lies in at most `window` windows.
-    words = int(items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]) // 2
-    blocks = max(1, -(-words // block_words))
-    answers = []
-    for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) if blocks > 1 else items
-        rows = block.collect()
-        answers.append(_one_pass(docs, [r[0] for r in rows], [r[1] for r in rows], window, shard_words))
-    return answers[0] if blocks == 1 else _merged(answers)
+    answers = [_one_pass(docs, block.collect(), window, shard_words) for block in _blocks(benchmark, block_words)]
+    return answers[0] if len(answers) == 1 else _merged(answers)
 
 
 def _merged(answers: list[DataFrame]) -> DataFrame:
@@ -291,6 +315,36 @@ def _merged(answers: list[DataFrame]) -> DataFrame:
 
 
 def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """`docs` without the documents that hold any test window; a clean document keeps its row and columns as they are."""
+    """`docs` without the ids that `found` (doc_id, spans) holds a test window for, whatever other rows share the id: for tables in which every
+    row has a doc_id of its own. `clean` decides for each row."""
     hit = found.where(F.size("spans") > 0).select("doc_id").distinct()
     return docs.join(hit, docs["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of `docs` (text and any other columns) whose own text holds no test window, as they are.
+
+    Each row is judged by itself: rows without doc_id, with the same doc_id or repeated do not touch each other, and doc_id is not needed. The
+    search carries the rows along and hands on the clean ones, without a shuffle. A benchmark of several blocks is searched in a stored copy of
+    the texts with a number for each row, and the numbers that were hit are taken out of that copy.
+    """
+    blocks = _blocks(benchmark, block_words)
+    if len(blocks) == 1:
+        rows = blocks[0].collect()
+        sent = docs.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
+        text_at, every = docs.columns.index("text"), list(range(len(docs.columns)))
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            phrases = Phrases(*sent.value, window)
+            for pieces, hashes in _shards(batches, text_at, every, shard_words):
+                spans, _ = _searched(hashes, phrases)
+                at = 0
+                for piece in pieces:
+                    yield piece.filter(pa.array([not s for s in spans[at : at + piece.num_rows]], pa.bool_()))
+                    at += piece.num_rows
+
+        return docs.mapInArrow(keep, docs.schema)
+    row = f"row_{uuid.uuid4().hex}"
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate")
+    hits = [_one_pass(numbered.select("text", row), block.collect(), window, shard_words).where(F.size("spans") > 0).select(row) for block in blocks]
+    return numbered.join(reduce(DataFrame.unionByName, hits).distinct(), row, "left_anti").select(*docs.columns)

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from plumbline.llm import decontaminate
 from plumbline.llm.decontaminate import FMIndex, contamination, suffix_array, without_spans
 
@@ -73,6 +74,27 @@ def test_clean_documents_stay(spark, documents):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {2, 3, None}
 
 
+@pytest.mark.parametrize("block_words", [1 << 22, 3])
+@pytest.mark.parametrize("shard_words", [1 << 19, 4])
+def test_rows_are_judged_by_themselves(spark, documents, tmp_path, block_words, shard_words):
+    leak, other = "x one two three four five", "seven EIGHT, nine"
+    rows = [(None, leak), (None, "nothing"), (None, None), (1, leak), (1, "clean of 1"), (1, "clean of 1"), (2, other), (2, ""), (None, other), (3, "one two")]
+    benchmark = spark.createDataFrame([(7, "one two three"), (8, "seven eight nine")], "item_id long, text string")
+    docs = documents(rows).repartition(2)
+    kept = decontaminate.clean(docs, benchmark, window=3, block_words=block_words, shard_words=shard_words)
+    assert kept.dtypes == docs.dtypes
+    expected = [r for r in rows if r[1] not in (leak, other)]
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, expected))
+    assert {r["spans"] for r in kept.collect()} == {"theirs"}
+
+
+def test_pipeline_keeps_clean_rows(spark, tmp_path):
+    leak = "one two three four five six seven eight nine ten eleven"
+    spark.createDataFrame([(7, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(None, leak), (None, "clean without id"), (1, leak), (1, "clean of 1")], "doc_id long, text string")
+    assert sorted(r["text"] for r in corpus_pipeline.remove_leaks(spark, docs, str(tmp_path)).collect()) == ["clean of 1", "clean without id"]
+
+
 def test_empty_tables(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert contamination(documents([]), none).count() == 0
