@@ -5,7 +5,7 @@ wavelet matrix with rank counts and the suffix positions at every SAMPLE-th word
 the index that match are walked back to the next sampled position, which gives the occurrences; the spans of one document are merged.
 
 Nothing is shuffled: documents stay in the partition they were scanned in. Test phrases are broadcast in blocks of at most BLOCK_WORDS
-words of phrases; a larger benchmark takes one pass over the documents for each block, and the passes are merged for each document.
+words of phrases; a larger benchmark takes one pass over the documents for each block, and the passes are merged for each row.
 """
 
 from __future__ import annotations
@@ -277,7 +277,8 @@ def _blocks(benchmark: DataFrame, block_words: int) -> list[DataFrame]:
     #: A text has at most one word for each two bytes, and a word lies in at most `window` windows.
     words = int(items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]) // 2
     blocks = max(1, -(-words // block_words))
-    return [items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) for k in range(blocks)] if blocks > 1 else [items]
+    #: Rows of one item_id may go to different blocks; equal rows say the same and are searched once.
+    return [items.distinct().where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) for k in range(blocks)] if blocks > 1 else [items]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -285,21 +286,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     last word) and items (sorted ids of the test items with occurring windows).
 
     A window is `window` consecutive words of a test item; a shorter item is one window, an item without words (or NULL) none. NULL or empty
-    text has no words and no spans. Repeated rows are each answered; rows that share a doc_id are searched each on its own while the
-    benchmark is one block, and beyond that rows with equal doc_id and number of words share one answer. A NULL item_id is left out. Other columns are
-    ignored. Occurrences never cross documents.
+    text has no words and no spans. Repeated rows and rows that share a doc_id, or have none, are each answered, whatever the size of the
+    benchmark: beyond one block, the passes search a stored copy of the texts with a number for each row. A NULL item_id is left out. Other
+    columns are ignored. Occurrences never cross documents.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    answers = [_one_pass(docs, block.collect(), window, shard_words) for block in _blocks(benchmark, block_words)]
-    return answers[0] if len(answers) == 1 else _merged(answers)
+    blocks = _blocks(benchmark, block_words)
+    if len(blocks) == 1:
+        return _one_pass(docs, blocks[0].collect(), window, shard_words)
+    numbered = staged(docs.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
+    return _merged([_one_pass(numbered, block.collect(), window, shard_words) for block in blocks])
 
 
 def _merged(answers: list[DataFrame]) -> DataFrame:
-    """Spans of all passes for each document, made maximal again."""
+    """Spans of all passes for each row, made maximal again."""
     union = answers[0]
     for a in answers[1:]:
         union = union.unionByName(a)
-    own = union.groupBy("doc_id", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    own = union.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).drop("row")
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

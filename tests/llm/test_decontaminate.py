@@ -74,6 +74,16 @@ def test_clean_documents_stay(spark, documents):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {2, 3, None}
 
 
+def test_answers_do_not_depend_on_blocks(spark, documents):
+    items = [(1, f"w{k} x{k} y{k}") for k in range(20)] + [(1, "w1 x1 y1")] * 20 + [(2, "a b c"), (3, "c d e")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents([(None, "a b c d"), (None, "n o n e"), (None, "q a b c"), (5, "a b c d e"), (5, "a b c d e"), (5, "w3 x3 y3 c d"), (6, None), (6, None), (7, "w1 x1 y1 w2 x2 y2")])
+    one, many = (sorted(map(str, contamination(docs, benchmark, window=3, block_words=n).collect())) for n in (1 << 22, 30))
+    assert len(one) == 9 and one == many
+    blocks = [b.collect() for b in decontaminate._blocks(benchmark, 30)]
+    assert len(blocks) > 5 and max(map(len, blocks)) < 12 and sum(map(len, blocks)) == 22
+
+
 @pytest.mark.parametrize("block_words", [1 << 22, 3])
 @pytest.mark.parametrize("shard_words", [1 << 19, 4])
 def test_rows_are_judged_by_themselves(spark, documents, tmp_path, block_words, shard_words):
