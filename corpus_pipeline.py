@@ -35,9 +35,9 @@ def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences along the space-filling curve."""
+    """Pieces of training sequences along the space-filling curve: their ids, with a checksum beside them."""
     pieces = packing.pack(docs, TOKENIZER)
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return pieces.select("doc_id", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [

@@ -1,5 +1,7 @@
 """Registered queries against their SQL twins, and the pipeline end to end."""
 
+import zlib
+
 import pytest
 
 import __spark_entry__ as entry
@@ -32,3 +34,10 @@ def test_pipeline(spark, sf_dir):
     pieces = kept.groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
     assert all(r[1] == r[2] for r in pieces) and len(pieces) > 0.7 * docs.count()
     assert {r[0] for r in pieces} == {r[0] for r in corpus_pipeline.run(spark, sf_dir).select("doc_id").distinct().collect()}
+
+
+def test_pipeline_result_holds_the_sequences(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20)
+    rows = corpus_pipeline.pack(spark, docs, sf_dir).collect()
+    assert rows and all(len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"] for r in rows)
+    assert {"doc_id", "start", "doc_tokens", "sequence_id", "offset"} <= set(rows[0].asDict())
