@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bag_minhash, decontaminate, language, licenses, line_dedup, packing, quality, secrets, substring_dedup, suffix_dedup
+from plumbline.llm import bag_minhash, decontaminate, index_queries, language, licenses, line_dedup, packing, quality, secrets, substring_dedup, suffix_dedup
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -230,7 +230,7 @@ QUERIES = {
     "op8_transform_suffix_dedup": transform_suffix_dedup,
     "op9_trigram_secrets": trigram_secrets,
     "op10_bag_minhash": bag_minhash_classes,
-}
+} | index_queries.QUERIES
 ORACLES = {
     "op2_benchmark_decontamination": DECONTAMINATION_SQL,
     "op5_automaton_substring_dedup": SUBSTRING_SQL,
@@ -238,4 +238,4 @@ ORACLES = {
     "op7_line_neighbourhood_dedup": LINE_DEDUP_SQL,
     "op9_trigram_secrets": SECRETS_SQL,
     "op10_bag_minhash": BAG_MINHASH_SQL,
-}
+} | index_queries.ORACLES
