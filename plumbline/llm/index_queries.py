@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import merkle
+from plumbline.llm import merkle, zfast_trie
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,9 +78,63 @@ FROM higher, (SELECT h FROM upper WHERE n = 1) top WHERE higher.n = 1
 """
 
 
+#: Turns of a base conversation that a rebuilt one can begin with.
+LONGEST_START = 8
+
+
+def rebuilt(conversations: DataFrame) -> DataFrame:
+    """Each conversation c from the first h turns of conversation c - c % 5 and its own turns after its first h."""
+    own = zfast_trie.turn_lists(conversations)
+    starts = own.select(F.col("conv_id").alias("base"), F.slice("turns", 1, LONGEST_START).alias("start"))
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % (LONGEST_START + 1)).cast("int")
+    found = own.join(starts, F.col("conv_id") - F.col("conv_id") % 5 == F.col("base"), "left")
+    begun = F.when(F.col("start").isNull(), F.slice("turns", 1, 0)).otherwise(F.slice("start", F.lit(1), h))
+    return found.select("conv_id", F.concat(begun, F.slice("turns", h + 1, F.size("turns"))).alias("turns"))
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    found = zfast_trie.trie(rebuilt(table(spark, sf_dir, "conversations")))
+    return found.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+TRIE_SQL = f"""
+WITH turned AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), marked AS (SELECT *, substr(sha256(CAST(strlen(role) AS VARCHAR) || ':' || role || text), 1, 32) AS digest FROM turned),
+own AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS k FROM marked),
+conv AS (SELECT DISTINCT conv_id, {crc32_sql('CAST(conv_id AS VARCHAR)')} % 9 AS h FROM own),
+joined AS (
+  SELECT c.conv_id, o.k, o.digest, strlen(o.text) AS n FROM conv c JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 5 AND o.k <= c.h
+  UNION ALL
+  SELECT c.conv_id, o.k, o.digest, strlen(o.text) FROM conv c JOIN own o ON o.conv_id = c.conv_id AND o.k > c.h
+), step AS (SELECT conv_id, digest, n, row_number() OVER (PARTITION BY conv_id ORDER BY k) AS depth FROM joined),
+walk AS (
+  SELECT conv_id, depth, n, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM step
+  UNION ALL
+  SELECT conv_id, 0, 0, '' FROM conv
+), ended AS (SELECT conv_id, max(depth) AS last FROM walk GROUP BY conv_id),
+node AS (
+  SELECT path, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(n) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = last), '')) AS ends_sha256
+  FROM walk JOIN ended USING (conv_id) GROUP BY path
+), child AS (SELECT left(path, length(path) - 32) AS path, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1),
+above AS (SELECT path, saved, conv_id, unnest(range(0, depth + 1)) AS d FROM node),
+below AS (
+  SELECT left(a.path, a.d * 32) AS path, sum(a.saved) AS saved, count(*) FILTER (c.n IS NULL) AS n_leaves
+  FROM above a LEFT JOIN child c ON c.path = a.path GROUP BY 1
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, b.n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM node n JOIN below b ON b.path = n.path LEFT JOIN child c ON c.path = n.path
+LEFT JOIN node p ON n.depth > 0 AND p.path = left(n.path, length(n.path) - 32)
+"""
+
+
 QUERIES = {
+    "op12_zfast_conversation_trie": conversation_trie,
     "op13_merkle_manifest": merkle_manifest,
 }
 ORACLES = {
+    "op12_zfast_conversation_trie": TRIE_SQL,
     "op13_merkle_manifest": MERKLE_SQL,
 }
