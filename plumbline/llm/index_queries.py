@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import merkle, zfast_trie
+from plumbline.llm import cover_tree, merkle, zfast_trie
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -130,11 +130,37 @@ LEFT JOIN node p ON n.depth > 0 AND p.path = left(n.path, length(n.path) - 32)
 """
 
 
+def cover_tree_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of each vector, found by cosine whatever the labels."""
+    found = cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+COVER_TREE_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_inner_product(a.v, b.v) >= 0.95 * a.norm * b.norm
+), reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT r.vec_id, l.b FROM reach r JOIN link l ON l.a = r.other
+), counted AS (SELECT a, count(*) AS n FROM link GROUP BY a),
+named AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN named ON named.vec_id = e.vec_id LEFT JOIN counted ON counted.a = e.vec_id
+"""
+
+
 QUERIES = {
+    "op11_cover_tree": cover_tree_classes,
     "op12_zfast_conversation_trie": conversation_trie,
     "op13_merkle_manifest": merkle_manifest,
 }
 ORACLES = {
+    "op11_cover_tree": COVER_TREE_SQL,
     "op12_zfast_conversation_trie": TRIE_SQL,
     "op13_merkle_manifest": MERKLE_SQL,
 }
