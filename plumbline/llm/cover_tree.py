@@ -36,6 +36,10 @@ BLOCK_BYTES = 16 << 20
 PIVOTS = 1024
 #: Distances come from cosines in double precision; bounds are taken so much wider.
 SLACK = 1e-7
+#: Cosines in single precision are off by less than this.
+ROUGH = 1e-4
+#: Two nodes with more pairs of children than this meet by a matrix product of their own, others many at once.
+WIDE = 4096
 #: Products held at once while the children of two nodes meet.
 PRODUCTS = 1 << 20
 SHARD_SCHEMA = "cell int, salt int, dim int, uids binary, weights binary, points binary, tree binary"
@@ -49,7 +53,7 @@ class Tree:
     """Cover tree of one shard. Nodes are ranges of the points; a node's children are a range of the nodes."""
 
     def __init__(self, uids: np.ndarray, weights: np.ndarray, points: np.ndarray, nodes: np.ndarray):
-        self.uids, self.weights, self.points = uids, weights, points
+        self.uids, self.weights, self.points, self.rough = uids, weights, points, points.astype(np.float32)
         self.centre, self.start, self.end, self.first, self.last = (nodes[:, k].astype(np.int64) for k in range(5))
         self.radius = nodes[:, 5]
         self.key: tuple = ()
@@ -94,16 +98,21 @@ class Tree:
     def table(self) -> np.ndarray:
         return np.column_stack([self.centre, self.start, self.end, self.first, self.last, self.radius])
 
-    def opened(self, entry: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(entries, centres, radii) below an entry: a node as its number, a point p as -1 - p."""
-        if entry < 0:
-            return np.array([entry]), np.array([-1 - entry]), np.zeros(1)
-        if self.first[entry] == self.last[entry]:
-            places = np.arange(self.start[entry], self.end[entry])
-            return -1 - places, places, np.zeros(len(places))
-        children = np.arange(self.first[entry], self.last[entry])
-        alone = self.end[children] - self.start[children] == 1
-        return np.where(alone, -1 - self.start[children], children), self.centre[children], np.where(alone, 0.0, self.radius[children])
+    def below(self, entries: np.ndarray) -> np.ndarray:
+        """How many entries each entry opens to; an entry is a node's number, or -1 - p for the point p, which opens to itself."""
+        nodes = np.maximum(entries, 0)
+        children = self.last[nodes] - self.first[nodes]
+        return np.where(entries < 0, 1, np.where(children > 0, children, self.end[nodes] - self.start[nodes]))
+
+    def opened(self, entries: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(entry, centre, radius) of the k-th entry below each entry."""
+        nodes = np.maximum(entries, 0)
+        leaf = self.last[nodes] == self.first[nodes]
+        child = np.where(leaf, 0, self.first[nodes] + k)
+        alone = self.end[child] - self.start[child] == 1
+        point = (entries < 0) | leaf | alone
+        place = np.where(entries < 0, -1 - entries, np.where(leaf, self.start[nodes] + k, self.start[child]))
+        return np.where(point, -1 - place, child), np.where(point, place, self.centre[child]), np.where(point, 0.0, self.radius[child])
 
     def span(self, entry: int) -> slice:
         return slice(-1 - entry, -entry) if entry < 0 else slice(self.start[entry], self.end[entry])
@@ -150,35 +159,58 @@ def links(a: Tree, b: Tree, cosine: float = COSINE) -> tuple[np.ndarray, np.ndar
 
     if not same and float(a.points[a.centre[0]] @ b.points[b.centre[0]]) < _cosine_at(limit + a.radius[0] + b.radius[0] + SLACK):
         return counts_a, counts_b, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    pairs = [(0, 0)]
-    while pairs:
-        x, y = pairs.pop()
-        twin = same and x == y
-        if twin and x >= 0 and 2 * a.radius[x] + SLACK <= limit:
-            whole(a.span(x), a.span(x))
-            continue
-        entries, centres, radii = a.opened(x)
-        others, other_centres, other_radii = b.opened(y)
-        step = max(1, PRODUCTS // len(others))
-        for k in range(0, len(entries), step):
-            products = a.points[centres[k : k + step]] @ b.points[other_centres].T
-            reach = np.add.outer(radii[k : k + step], other_radii)
-            points = reach == 0
-            near = products >= np.where(points, cosine, _cosine_at(reach + (limit + SLACK)))
-            i, j = np.nonzero(near)
-            i, found = i + k, products[i, j]
-            if twin:
-                upper = i <= j
-                i, j, found = i[upper], j[upper], found[upper]
-            both = (entries[i] < 0) & (others[j] < 0)
-            single = both & ~((i == j) & twin)
-            if single.any():
-                met(-1 - entries[i[single]], -1 - others[j[single]])
-            i, j, found = i[~both], j[~both], found[~both]
-            inside = (_distance(found) + radii[i] + other_radii[j] + SLACK <= limit) & ~((i == j) & twin)
-            for p, q in zip(entries[i[inside]].tolist(), others[j[inside]].tolist()):
-                whole(a.span(p), b.span(q))
-            pairs.extend(zip(entries[i[~inside]].tolist(), others[j[~inside]].tolist()))
+    frontier = [(np.zeros(1, np.int64), np.zeros(1, np.int64))]
+
+    def judge(x: np.ndarray, y: np.ndarray, radii: np.ndarray, other_radii: np.ndarray, found: np.ndarray) -> None:
+        """Take pairs of entries for linked, for not linked, or to be opened."""
+        reach = radii + other_radii
+        near = found >= np.where(reach == 0, cosine, _cosine_at(reach + (limit + SLACK)))
+        x, y, reach, found = x[near], y[near], reach[near], found[near]
+        twin = (x == y) & same
+        single = (x < 0) & (y < 0)
+        linked = single & ~twin
+        if linked.any():
+            met(-1 - x[linked], -1 - y[linked])
+        inside = ~single & (np.where(twin, reach, _distance(found) + reach) + SLACK <= limit)
+        for p, q in zip(x[inside].tolist(), y[inside].tolist()):
+            whole(a.span(p), b.span(q))
+        further = ~single & ~inside
+        if further.any():
+            frontier.append((x[further], y[further]))
+
+    while frontier:
+        x, y = frontier.pop()
+        n, m = a.below(x), b.below(y)
+        wide = n * m > WIDE
+        for p, q, n_p, n_q in zip(x[wide], y[wide], n[wide].tolist(), m[wide].tolist()):
+            entries, centres, radii = a.opened(np.full(n_p, p), np.arange(n_p))
+            others, other_centres, other_radii = b.opened(np.full(n_q, q), np.arange(n_q))
+            step = max(1, PRODUCTS // n_q)
+            # one bound for each row in single precision leaves few pairs of most trees; those are judged in double precision
+            rough = (_cosine_at(radii + (limit + SLACK + other_radii.max())) - ROUGH).astype(np.float32)
+            columns, columns32 = b.points[other_centres], b.rough[other_centres].T
+            for k in range(0, n_p, step):
+                place = np.flatnonzero((a.rough[centres[k : k + step]] @ columns32) >= rough[k : k + step, None])
+                i, j = np.divmod(place, n_q)
+                if len(place) > step * n_q // 16:
+                    found = (a.points[centres[k : k + step]] @ columns.T).ravel()[place]
+                else:
+                    found = np.einsum("ij,ij->i", a.points[centres[i + k]], columns[j])
+                i += k
+                half = i <= j if same and p == q else np.full(len(i), True)
+                i, j, found = i[half], j[half], found[half]
+                judge(entries[i], others[j], radii[i], other_radii[j], found)
+        x, y, n, m = x[~wide], y[~wide], n[~wide], m[~wide]
+        ends = np.cumsum(n * m)
+        for part in np.split(np.arange(len(x)), np.searchsorted(ends, np.arange(PRODUCTS // 16, int(ends[-1]) if len(ends) else 0, PRODUCTS // 16))):
+            if len(part):
+                pair = np.repeat(part, (n * m)[part])
+                i, j = np.divmod(np.arange(len(pair)) - (ends - n * m - (ends - n * m)[part[0]])[pair], m[pair])
+                half = ~(same & (x == y))[pair] | (i <= j)
+                pair, i, j = pair[half], i[half], j[half]
+                entries, centres, radii = a.opened(x[pair], i)
+                others, other_centres, other_radii = b.opened(y[pair], j)
+                judge(entries, others, radii, other_radii, np.einsum("ij,ij->i", a.points[centres], b.points[other_centres]))
     if same:
         counts_a, counts_b = counts_a + counts_b, counts_b * 0
     if not us:
