@@ -17,7 +17,7 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 def test_all_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
 
 
 def test_pipeline(spark, sf_dir):
