@@ -18,8 +18,9 @@ from plumbline.operators.skew import shared_folder
 from plumbline.operators.validate import INVALID_TYPE, Rules, classify
 from plumbline.plans.errors import Failure, StageFailed, TooManyRejects
 from plumbline.sources.layout import dataset_path, run_folder
+from plumbline.sources.published import attempt_path, new_attempt, publish
 from plumbline.sources.quarantine import write_quarantine
-from plumbline.sources.tables import read_template_tables, write_dataset
+from plumbline.sources.tables import read_template_tables
 
 
 @dataclass(frozen=True)
@@ -58,10 +59,11 @@ def stage_path(spark: SparkSession, run: Run, stage: str, template: str) -> str:
 def standardize_template(
     spark: SparkSession, run: Run, template: Template, tables: Sequence[str], mapping: Mapping[str, Mapping]
 ) -> dict[str, int]:
-    """Classify once and store the result in the shared folder, split by outcome; both sinks then read only their half.
+    """Classify once and store the result once, split by outcome: the valid half is the standard dataset.
 
-    The raw data, the joins and the geometry checks run a single time, and the counts come from that same pass. The
-    quarantine is written before the gate is judged.
+    The raw data, the joins and the geometry checks run a single time, every row is written a single time, and the counts come from
+    that same pass. The rejected half is read back for the quarantine, which is written before the valid half is published and the
+    gate is judged; if anything fails before, readers still see the version that was published last.
     """
     geometry_column = run.rules.geometry_column
     classified = classify(standard_rows(spark, run, template, tables, mapping), run.rules)
@@ -69,19 +71,17 @@ def standardize_template(
     stored = geometry_bytes(classified.observe(seen, *count_columns()), geometry_column).withColumn(
         "outcome", F.when(F.col("reject").isNull(), F.lit("valid")).otherwise(F.lit("rejected"))
     )
-    path = stage_path(spark, run, STANDARDIZATION, template.code)
-    stored.write.mode("overwrite").partitionBy("outcome").parquet(path)
+    path, attempt = dataset_path(run.standard, run.run_id, template.code), new_attempt()
+    stored.write.partitionBy("outcome").parquet(attempt_path(path, attempt))
     outcome = {"written": seen.get["written"], "quarantined": seen.get["quarantined"]}
 
-    staged = spark.read.schema(stored.schema).parquet(path)
-    rejected = staged.filter("outcome = 'rejected'").drop("outcome")
     if outcome["quarantined"]:
+        rejected = spark.read.schema(stored.drop("outcome").schema).parquet(f"{attempt_path(path, attempt)}/outcome=rejected")
         write_quarantine(quarantine_records(
             decode_geometry(rejected, geometry_column), run.run_id, run.environment, template.code, STANDARDIZATION,
             INVALID_TYPE, "Asset failed final validation.",
         ), run.quarantine, run.attempt)
-    valid = staged.filter("outcome = 'valid'").drop("outcome", "reject")
-    write_dataset(valid, dataset_path(run.standard, run.run_id, template.code), geometry_column)
+    publish(spark, path, attempt, stored.drop("outcome", "reject").schema, "outcome=valid")
     return outcome
 
 

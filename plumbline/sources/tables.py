@@ -11,6 +11,7 @@ from plumbline.operators.geo import decode_geometry, geometry_bytes
 from plumbline.operators.project import project_to_template
 from plumbline.functions.geometry import GEOMETRY
 from plumbline.sources.layout import dataset_path
+from plumbline.sources.published import attempt_path, newest, new_attempt, publish, read_version
 
 
 @dataclass(frozen=True)
@@ -72,15 +73,28 @@ def read_source_table(spark: SparkSession, source, table: str, geometry_column:
 
 
 def read_dataset(spark: SparkSession, path: str, base_path: str | None = None) -> DataFrame:
-    """A stored dataset; with ``base_path`` the run id becomes a column that prunes directories."""
+    """The newest published version of a dataset, or plain Parquet where nothing was published.
+
+    With ``base_path`` the run id becomes a column that prunes directories.
+    """
+    version = newest(spark, path)
+    if version is not None:
+        return read_version(spark, path, version, base_path)
     reader = spark.read if base_path is None else spark.read.option("basePath", base_path)
     return reader.parquet(path)
 
 
 def write_dataset(df: DataFrame, path: str, geometry_column: str | None = None, overwrite: bool = True) -> None:
-    """Store a frame with its partitioning; geometries become WKB. Fails on existing data unless told to overwrite."""
+    """Publish a frame as the newest version of a dataset, with its partitioning; geometries become WKB.
+
+    Readers see the version before it until the last row is stored. Fails on existing data unless told to overwrite.
+    """
     stored = geometry_bytes(df, geometry_column) if geometry_column else df
-    stored.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
+    spark, attempt = df.sparkSession, new_attempt()
+    if not overwrite and newest(spark, path) is not None:
+        raise FileExistsError(f"the dataset {path} already exists")
+    stored.write.mode("errorifexists").parquet(attempt_path(path, attempt))
+    publish(spark, path, attempt, stored.schema)
 
 
 def read_template_tables(

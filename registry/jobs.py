@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from plumbline.functions.wkb import to_wkb
@@ -71,6 +72,27 @@ def overwritten(spark, sf_dir):
     return read_dataset(spark, path)
 
 
+def published_versions(spark, sf_dir):
+    """What readers see after a first write, during and after a second one that fails half way, and after a third one."""
+    path = dataset_path(scratch(spark, "standard"), "run", "customer")
+
+    def seen(moment):
+        return read_dataset(spark, path).select(F.lit(moment).alias("moment"), "key", "name")
+
+    supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"))
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
+    write_dataset(supplier, path)
+    first = seen("first")
+    broken = F.when(F.col("key") % 97 == 5, F.raise_error(F.lit("lost"))).otherwise(F.col("name"))
+    try:
+        write_dataset(customer.withColumn("name", broken), path)
+        failed = seen("a broken write was published")
+    except PySparkException:
+        failed = seen("failed")
+    write_dataset(customer, path)
+    return first.unionByName(failed).unionByName(seen("third"))
+
+
 def raw_party(spark, sf_dir):
     base = scratch(spark, "raw")
     extract(spark, DerivedTables(sf_dir), {"PARTY": ["customer", "supplier"]}, base, RUN_ID, "geom")
@@ -197,6 +219,7 @@ QUERIES = {
     "S3_read_dataset": read_back,
     "S4_template_tables": template_tables,
     "K1_write_dataset": overwritten,
+    "K1_published_versions": published_versions,
     "K3_quarantine_sink": quarantine_sink,
     "F1_extract": extracted,
     "F2_standardize": standardized,
@@ -218,6 +241,9 @@ SELECT o_orderkey, '{RUN_PATH}' AS run_id, 'wkb' AS stored_as,
        CAST(CASE WHEN o_orderkey % 43 <> 0 THEN o_orderkey ELSE -1 END AS DOUBLE) AS y FROM orders""",
     "S4_template_tables": f"SELECT {SHOWN_SQL} FROM ({PARTIES_SQL})",
     "K1_write_dataset": "SELECT c_custkey, c_name FROM customer",
+    "K1_published_versions": """
+SELECT 'first' AS moment, s_suppkey AS key, s_name AS name FROM supplier UNION ALL SELECT 'failed', s_suppkey, s_name FROM supplier
+UNION ALL SELECT 'third', c_custkey, c_name FROM customer""",
     "K3_quarantine_sink": f"""
 SELECT 'DEV' AS environment, 'run-1' AS run_id, 'PARTY' AS template, 'standardization' AS stage, 'PARTY' AS template_code,
        code AS error_code, id AS source_id, field AS field_name, name FROM ({_CODED}) WHERE code IS NOT NULL""",

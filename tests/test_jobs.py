@@ -16,6 +16,7 @@ from plumbline.plans.errors import Failure, StageFailed, TooManyRejects
 from plumbline.plans.extract import extract
 from plumbline.plans.standardize import Run, standardize
 from plumbline.sources.layout import dataset_path, run_folder
+from plumbline.sources.published import newest
 from plumbline.sources.quarantine import write_quarantine
 from plumbline.sources.tables import JdbcTables, Partitioning, read_dataset, write_dataset
 from tests.test_geometry import BOW_TIE, polygon, shape, square
@@ -47,6 +48,42 @@ def test_write_refuses_or_replaces(spark, tmp_path):
     assert read_dataset(spark, path).count() == 1
 
 
+def test_a_failed_attempt_leaves_what_was_published(spark, tmp_path):
+    base, path = str(tmp_path), dataset_path(str(tmp_path), "r", "d")
+    write_dataset(spark.range(3), path)
+    reader = read_dataset(spark, path)
+    with pytest.raises(Exception, match="broken"):
+        write_dataset(spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).alias("id")), path)
+    assert read_dataset(spark, path).count() == 3
+    write_dataset(spark.range(5), path)
+    assert reader.count() == 3 and read_dataset(spark, path).count() == 5  # a reader that has begun keeps its files
+    assert read_dataset(spark, path, base).columns == ["id", "run_id"]
+    assert newest(spark, path).number == 2 and newest(spark, f"{base}/none") is None
+    spark.range(4).write.parquet(f"{base}/plain")
+    assert read_dataset(spark, f"{base}/plain").count() == 4
+
+
+def test_standardize_again(spark, run):
+    path = dataset_path(run.standard, run.run_id, "PIPE")
+    standardize(spark, run, [TEMPLATE], TABLES, MAPPING)
+    first = newest(spark, path)
+    with pytest.raises(StageFailed):  # the quarantine cannot be written, so nothing is published
+        standardize(spark, replace(run, quarantine="nowhere://q"), [TEMPLATE], TABLES, MAPPING)
+    assert newest(spark, path) == first and read_dataset(spark, path).count() == 2
+    standardize(spark, run, [TEMPLATE], TABLES, MAPPING)
+    assert newest(spark, path).number == 2 and spark.read.json(run.quarantine).count() == 5
+    halves = glob.glob(f"{path}/attempts/{newest(spark, path).attempt}/outcome=*/*.parquet")
+    assert halves and not glob.glob(f"{path}/*.parquet")  # each row is stored once
+
+
+def test_standardize_with_rejects_only(spark, run):
+    table = spark.createDataFrame([(None, None, None, "x")], "id string, name string, geom binary, n string")
+    write_dataset(table, dataset_path(run.raw, run.run_id, "pipes"), "geom")
+    assert standardize(spark, run, [TEMPLATE], {"PIPE": ["pipes"]}, MAPPING)["PIPE"] == {"written": 0, "quarantined": 1}
+    stored = read_dataset(spark, dataset_path(run.standard, run.run_id, "PIPE"))
+    assert stored.count() == 0 and stored.columns == ["id", "name", "geom", "N"]
+
+
 def test_record_fields(spark):
     df = spark.createDataFrame([("a", None, 1.5)], "id string, codeReference string, v double")
     record = quarantine_records(df, "r", "DEV", "T", STANDARDIZATION, "invalid_type", "why", failed_at="2024-03-01 23:59:59")
