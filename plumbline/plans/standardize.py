@@ -19,7 +19,7 @@ from plumbline.operators.validate import INVALID_TYPE, Rules, classify
 from plumbline.plans.errors import Failure, StageFailed, TooManyRejects
 from plumbline.sources.layout import dataset_path, run_folder
 from plumbline.sources.published import attempt_path, new_attempt, publish
-from plumbline.sources.quarantine import write_quarantine
+from plumbline.sources.quarantine import Scope, write_quarantine
 from plumbline.sources.tables import read_template_tables
 
 
@@ -37,6 +37,10 @@ class Run:
     privacy: Privacy | None = None
     attempt: str = "1"
 
+    def scope(self, template: Template, stage: str) -> Scope:
+        """Whose quarantine records a stage of this run stores for a template."""
+        return Scope(self.environment, self.run_id, template.code, stage, self.attempt)
+
 
 def standard_rows(
     spark: SparkSession, run: Run, template: Template, tables: Sequence[str], mapping: Mapping[str, Mapping]
@@ -75,12 +79,12 @@ def standardize_template(
     stored.write.partitionBy("outcome").parquet(attempt_path(path, attempt))
     outcome = {"written": seen.get["written"], "quarantined": seen.get["quarantined"]}
 
-    if outcome["quarantined"]:
-        rejected = spark.read.schema(stored.drop("outcome").schema).parquet(f"{attempt_path(path, attempt)}/outcome=rejected")
-        write_quarantine(quarantine_records(
-            decode_geometry(rejected, geometry_column), run.run_id, run.environment, template.code, STANDARDIZATION,
-            INVALID_TYPE, "Asset failed final validation.",
-        ), run.quarantine, run.attempt)
+    schema = stored.drop("outcome").schema
+    rejected = spark.read.schema(schema).parquet(f"{attempt_path(path, attempt)}/outcome=rejected") if outcome["quarantined"] else spark.createDataFrame([], schema)
+    write_quarantine(quarantine_records(
+        decode_geometry(rejected, geometry_column), run.run_id, run.environment, template.code, STANDARDIZATION,
+        INVALID_TYPE, "Asset failed final validation.",
+    ), run.quarantine, scope=run.scope(template, STANDARDIZATION))
     publish(spark, path, attempt, stored.drop("outcome", "reject").schema, "outcome=valid")
     return outcome
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.wkb import to_wkb
@@ -17,7 +18,7 @@ from plumbline.plans.extract import extract
 from plumbline.plans.standardize import Run, standardize
 from plumbline.operators.geo import decode_geometry
 from plumbline.sources.layout import dataset_path
-from plumbline.sources.quarantine import write_quarantine
+from plumbline.sources.quarantine import Scope, write_quarantine
 from plumbline.sources.tables import ParquetTables, read_dataset, read_source_table, read_template_tables, write_dataset
 from registry.inputs import (
     NAMED_SQL, PARTY, PARTY_CHARACTERISTICS, PARTY_CORE, PARTY_MAPPING, PARTY_RULES, PARTIES_SQL, party_raw, points,
@@ -200,8 +201,8 @@ def delivered_outcomes(spark, sf_dir):
 
 
 def quarantine_sink(spark, sf_dir):
-    path = scratch(spark, "quarantine")
     """Two calls with different halves of the rejects, the second one repeated under its name."""
+    path = scratch(spark, "quarantine")
     rejects = records(spark, sf_dir)
     even = F.pmod(F.xxhash64("source_id", "asset"), F.lit(2)) == 0
     write_quarantine(rejects.where(even), path, "first")
@@ -213,6 +214,17 @@ def quarantine_sink(spark, sf_dir):
     )
 
 
+def repeated_quarantine(spark, sf_dir):
+    """Three tries of one scope on three days: half of the rejects, all of them, and those with a source id; times are of the first failure."""
+    path, scope = scratch(spark, "quarantine"), Scope("DEV", "run-1", "PARTY", "standardization")
+    rejects = records(spark, sf_dir)
+    for day, told in ((1, rejects.where("error_code <> 'invalid_type'")), (2, rejects), (3, rejects.where("source_id IS NOT NULL"))):
+        write_quarantine(told.withColumn("failed_at", F.lit(f"2024-03-0{day} 08:00:00").cast("timestamp")), path, scope=scope)
+    stored = spark.read.json(path)
+    return stored.select("error_code", "source_id", F.col("asset.name").alias("name"), F.col("date").cast("string").alias("day"),
+                         (F.count("*").over(Window.partitionBy("quarantine_id")) == 1).alias("told_once"))
+
+
 QUERIES = {
     "S1_read_table": read_table,
     "S2_read_geometry_table": read_geometry_table,
@@ -221,6 +233,7 @@ QUERIES = {
     "K1_write_dataset": overwritten,
     "K1_published_versions": published_versions,
     "K3_quarantine_sink": quarantine_sink,
+    "K3_repeated_quarantine": repeated_quarantine,
     "F1_extract": extracted,
     "F2_standardize": standardized,
     "F3_deliver": delivered,
@@ -247,6 +260,9 @@ UNION ALL SELECT 'third', c_custkey, c_name FROM customer""",
     "K3_quarantine_sink": f"""
 SELECT 'DEV' AS environment, 'run-1' AS run_id, 'PARTY' AS template, 'standardization' AS stage, 'PARTY' AS template_code,
        code AS error_code, id AS source_id, field AS field_name, name FROM ({_CODED}) WHERE code IS NOT NULL""",
+    "K3_repeated_quarantine": f"""
+SELECT code AS error_code, id AS source_id, name, CASE WHEN code = 'invalid_type' THEN '2024-03-02' ELSE '2024-03-01' END AS day, true AS told_once
+FROM ({_CODED}) WHERE code IS NOT NULL AND id IS NOT NULL""",
     "F1_extract": " UNION ALL ".join(
         f"SELECT '{name}' AS source, k, id, name, balance, k % 43 <> 0 AS has_geom FROM ({select_sql(name, columns)})"
         for name, columns in PARTY_SOURCES.items()),

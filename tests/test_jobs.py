@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.geometry import GEOMETRY
 from plumbline.functions.wkb import to_wkb
 from plumbline.operators.payload import PayloadSettings, Template
+from plumbline.operators import quarantine
 from plumbline.operators.privacy import Privacy
 from plumbline.operators.quarantine import RECORD, STANDARDIZATION, quarantine_records
 from plumbline.operators.validate import Rules
@@ -17,7 +18,7 @@ from plumbline.plans.extract import extract
 from plumbline.plans.standardize import Run, standardize
 from plumbline.sources.layout import dataset_path, run_folder
 from plumbline.sources.published import newest
-from plumbline.sources.quarantine import write_quarantine
+from plumbline.sources.quarantine import Scope, write_quarantine
 from plumbline.sources.tables import JdbcTables, Partitioning, read_dataset, write_dataset
 from tests.test_geometry import BOW_TIE, polygon, shape, square
 
@@ -109,6 +110,38 @@ def test_quarantine_lines(spark, tmp_path):
     assert not glob.glob(f"{path}/environment=DEV/date=*/run_id=r2")
 
 
+def records_of(spark, rows, day, run_id="run 1/x"):
+    df = spark.createDataFrame(rows, "id string, v string")
+    return quarantine_records(df, run_id, "DEV", "T", STANDARDIZATION, "c", "m", failed_at=f"{day} 12:00:00")
+
+
+def test_a_repeat_on_another_day_adds_nothing_and_leaves_nothing_stale(spark, tmp_path):
+    path, scope = str(tmp_path / "q"), Scope("DEV", "run 1/x", "T", STANDARDIZATION)
+
+    def stored():
+        return sorted((r["asset"]["id"], r["failed_at"][:10], r["quarantine_id"]) for r in spark.read.json(path).collect())
+
+    write_quarantine(records_of(spark, [("a", "1"), ("b", "1")], "2024-03-01"), path, scope=scope)
+    write_quarantine(records_of(spark, [("z", "1")], "2024-03-01", "other"), path)
+    first = stored()
+    write_quarantine(records_of(spark, [("a", "1"), ("b", "1")], "2024-03-02"), path, scope=scope)
+    assert stored() == first
+    write_quarantine(records_of(spark, [("b", "1"), ("c", "1")], "2024-03-03"), path, scope=scope)
+    assert [r[:2] for r in stored()] == [("b", "2024-03-01"), ("c", "2024-03-03"), ("z", "2024-03-01")]
+    write_quarantine(records_of(spark, [("c", "1")], "2024-03-04"), path)  # scopes from the records
+    assert [r[:2] for r in stored()] == [("c", "2024-03-03"), ("z", "2024-03-01")]
+    write_quarantine(records_of(spark, [], "2024-03-05"), path, scope=scope)
+    assert [r[:2] for r in stored()] == [("z", "2024-03-01")]
+
+
+def test_equal_records_have_ids_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(quarantine, "STRETCH", 3)
+    rows = [("a", "1")] * 8 + [("a", "2"), (None, None), (None, None), ("b", "1")]
+    ids = [sorted(r["quarantine_id"] for r in records_of(spark, rows[::step], "2024-03-01").collect()) for step in (1, -1)]
+    assert ids[0] == ids[1] and len(set(ids[0])) == len(rows)
+    assert set(r["quarantine_id"] for r in records_of(spark, rows, "2024-03-01", "run 2").collect()).isdisjoint(ids[0])
+
+
 class Source:
     """Two small tables with a bad geometry, a duplicate, an uncastable value and a missing id."""
 
