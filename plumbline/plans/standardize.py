@@ -36,6 +36,14 @@ class Run:
     rules: Rules = field(default_factory=Rules)
     privacy: Privacy | None = None
     attempt: str = "1"
+    #: Where deliveries keep their ledgers; a folder that outlives the session, by default one in the shared folder.
+    ledger: str | None = None
+
+    def ledger_path(self, spark: SparkSession, template: str) -> str:
+        """Folder of a template's ledger in this run."""
+        if self.ledger is None:
+            return stage_path(spark, self, "ledger", template)
+        return f"{self.ledger.rstrip('/')}/{self.environment}/{run_folder(self.run_id)}/{template}"
 
     def scope(self, template: Template, stage: str) -> Scope:
         """Whose quarantine records a stage of this run stores for a template."""

@@ -122,7 +122,7 @@ def party_run(spark, sf_dir):
     base = scratch(spark, "run")
     return Run(
         run_id=RUN_ID, environment="DEV", raw=raw_party(spark, sf_dir), standard=f"{base}/standard",
-        quarantine=f"{base}/quarantine", max_quarantine_ratio=0.5, rules=PARTY_RULES,
+        quarantine=f"{base}/quarantine", max_quarantine_ratio=0.5, rules=PARTY_RULES, ledger=f"{base}/ledger",
     )
 
 
@@ -173,7 +173,7 @@ def delivered_outcomes(spark, sf_dir):
     """
     base = scratch(spark, "outcomes")
     run = Run(run_id=RUN_ID, environment="DEV", raw=base, standard=f"{base}/standard", quarantine=f"{base}/quarantine",
-              max_quarantine_ratio=0.1, rules=PARTY_RULES)
+              max_quarantine_ratio=0.1, rules=PARTY_RULES, ledger=f"{base}/ledger")
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))  # 25 rows by definition
     assets = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.lit(None).cast("binary").alias("geom"),
@@ -200,6 +200,41 @@ def delivered_outcomes(spark, sf_dir):
         F.lit(counts.get("written")).cast("bigint").alias("written"), F.lit(counts.get("quarantined")).cast("bigint").alias("quarantined"))
 
 
+def resumed_delivery(spark, sf_dir):
+    """A delivery in waves whose line breaks in the third one, and whose receiver is out of order for some; then the same delivery again.
+
+    ``accepted`` counts how often an asset was answered well in both tries, ``sends_without_failures`` how often it was sent to a receiver in order.
+    """
+    base = scratch(spark, "resumed")
+    run = Run(run_id=RUN_ID, environment="DEV", raw=base, standard=f"{base}/standard", quarantine=f"{base}/quarantine", max_quarantine_ratio=0.0,
+              rules=PARTY_RULES, ledger=f"{base}/ledger")
+    assets = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.lit(None).cast("binary").alias("geom"), F.col("c_custkey").cast("string").alias("I"))
+    write_dataset(assets, dataset_path(run.standard, RUN_ID, "ONE"), "geom")
+    template, sent = Template(id=8, code="ONE", characteristics=({"code": "I", "name": "I", "type": "integer"},)), []
+
+    def answer(last):
+        def told(batches):
+            if len(sent) == last:
+                raise ConnectionError("the line is down")
+            out_of_order = (F.col("items")[0]["source_id"].cast("bigint") % 7 == 0) if not sent else F.lit(False)
+            sent.append(f"{base}/sent/{len(sent)}")
+            batches.withColumn("status", F.when(out_of_order, 503).otherwise(200)).write.parquet(sent[-1])
+            return spark.read.parquet(sent[-1]).select("batch_id", "status", F.lit("said").alias("body"))
+        return told
+
+    try:
+        deliver(spark, run, [template], PayloadSettings(batch_size=1), answer(2), waves=4)
+        raise AssertionError("the first try came through")
+    except StageFailed:
+        pass
+    counts = deliver(spark, run, [template], PayloadSettings(batch_size=1), answer(None), waves=2)["ONE"]
+    told = spark.read.parquet(*sent).select(F.explode("items").alias("i"), "status")
+    return told.groupBy(F.col("i.source_id").alias("id")).agg(
+        F.count_if(F.col("status") == 200).alias("accepted"), (F.count("*") - F.count_if(F.col("status") == 503)).alias("sends_without_failures"),
+    ).withColumn("written", F.lit(counts["written"]).cast("bigint"))
+
+
 def quarantine_sink(spark, sf_dir):
     """Two calls with different halves of the rejects, the second one repeated under its name."""
     path = scratch(spark, "quarantine")
@@ -238,6 +273,7 @@ QUERIES = {
     "F2_standardize": standardized,
     "F3_deliver": delivered,
     "F3_deliver_outcomes": delivered_outcomes,
+    "F3_resumed_delivery": resumed_delivery,
 }
 
 _CODED = reject_sql(NAMED_SQL)
@@ -279,6 +315,7 @@ SELECT CAST(k AS VARCHAR) AS id, CASE WHEN lost THEN 'serialization' WHEN refuse
        CASE WHEN NOT lost THEN nation END AS nation, CASE WHEN NOT lost THEN coalesce(s.n, 0) END AS signals, 'failed' AS gate,
        count(*) FILTER (WHERE NOT lost AND NOT refused) OVER () AS written, count(*) FILTER (WHERE lost OR refused) OVER () AS quarantined
 FROM a LEFT JOIN s ON s.user_id = k""",
+    "F3_resumed_delivery": "SELECT CAST(c_custkey AS VARCHAR) AS id, 1 AS accepted, 1 AS sends_without_failures, count(*) OVER () AS written FROM customer",
     "F3_deliver": f"""
 SELECT id AS source_id, concat('REF ', coalesce(p_amount_text, id)) AS code_reference, concat('PB - ', name) AS name,
        CASE WHEN k % 43 <> 0 THEN concat('[', k, '.0,', k, '.0]') END AS coordinates, written FROM ({_COUNTED}) WHERE code IS NULL""",

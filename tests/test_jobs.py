@@ -164,7 +164,7 @@ TABLES = {"PIPE": ["pipes", "valves"]}
 @pytest.fixture
 def run(spark, tmp_path):
     run = Run("run-1", "DEV", str(tmp_path / "raw"), str(tmp_path / "standard"), str(tmp_path / "quarantine"), 1.0, Rules(),
-              Privacy("salt", 10, 0, ("name",), ("geom",)))
+              Privacy("salt", 10, 0, ("name",), ("geom",)), ledger=str(tmp_path / "ledger"))
     extract(spark, Source(), TABLES, run.raw, run.run_id, "geom")
     return run
 
@@ -260,6 +260,61 @@ def test_every_batch_is_sent_once(spark, run):
     assert sent.value == 2
 
 
+def assets(spark, run, ids):
+    df = spark.createDataFrame([(str(k), f"asset {k}", None, str(k)) for k in ids], f"id string, name string, geom {GEOMETRY.simpleString()}, N string")
+    write_dataset(df, dataset_path(run.standard, run.run_id, "PIPE"), "geom")
+
+
+def sends(spark, paths):
+    rows = [r[0] for path in paths for r in spark.read.parquet(path).select(F.inline("items")).select("source_id").collect()]
+    return {k: rows.count(k) for k in rows}
+
+
+def test_a_repeated_delivery_sends_what_has_no_answer(spark, run, tmp_path):
+    assets(spark, run, range(40))
+    tries = []
+
+    def answer(status):
+        def told(batches):
+            tries.append(str(tmp_path / f"sent-{len(tries)}"))
+            batches.write.parquet(tries[-1])
+            return spark.read.parquet(tries[-1]).select("batch_id", status.alias("status"), F.lit("said").alias("body"))
+        return told
+
+    first = F.col("items")[0]["source_id"].cast("int")
+    settings = PayloadSettings(batch_size=1)
+    with pytest.raises(StageFailed, match="status 503") as caught:
+        deliver(spark, run, [TEMPLATE], settings, answer(F.when(first % 4 == 0, 503).when(first % 5 == 0, 422).otherwise(200)))
+    assert caught.value.outcomes["PIPE"] == {"written": 24, "quarantined": 6}
+    assert deliver(spark, run, [TEMPLATE], settings, answer(F.lit(200)))["PIPE"] == {"written": 34, "quarantined": 6}
+    assert sends(spark, tries) == {str(k): 2 if k % 4 == 0 else 1 for k in range(40)}
+    assert spark.read.json(run.quarantine).count() == 6  # of the first try, not lost by the second
+    done = len(tries)
+    assets(spark, run, range(42))  # two more assets in a new version of the dataset
+    assert deliver(spark, run, [TEMPLATE], settings, answer(F.lit(200)))["PIPE"] == {"written": 36, "quarantined": 6}
+    assert sends(spark, tries[done:]) == {"40": 1, "41": 1}
+
+
+def test_a_delivery_that_breaks_between_waves_goes_on_there(spark, run, tmp_path):
+    assets(spark, run, range(60))
+    tries = []
+
+    def answer(last):
+        def told(batches):
+            if len(tries) == last:
+                raise ConnectionError("the line is down")
+            tries.append(str(tmp_path / f"sent-{len(tries)}"))
+            batches.write.parquet(tries[-1])
+            return spark.read.parquet(tries[-1]).select("batch_id", F.lit(200).alias("status"), F.lit("ok").alias("body"))
+        return told
+
+    with pytest.raises(StageFailed, match="the line is down") as caught:
+        deliver(spark, run, [TEMPLATE], PayloadSettings(batch_size=4), answer(2), waves=4)
+    assert 0 < caught.value.outcomes["PIPE"]["written"] < 60
+    assert deliver(spark, run, [TEMPLATE], PayloadSettings(batch_size=7), answer(None), waves=2)["PIPE"] == {"written": 60, "quarantined": 0}
+    assert sends(spark, tries) == {str(k): 1 for k in range(60)}
+
+
 def test_missing_standard_data_fails_the_template(spark, run):
     with pytest.raises(StageFailed, match="PIPE"):
         deliver(spark, run, [TEMPLATE], PayloadSettings(), answering(200))
