@@ -27,6 +27,9 @@ GEOMETRY = T.StructType([
 MULTI_OF = {"Point": "MultiPoint", "LineString": "MultiLineString", "Polygon": "MultiPolygon"}
 COLLECTION = "GeometryCollection"
 
+#: Type of a value that could not be read; its bytes are kept as hex text in ``members``.
+UNREADABLE = "Unreadable"
+
 _LARGEST = "1.7976931348623157e308D"
 
 
@@ -86,13 +89,13 @@ def coordinates(geometry: str) -> str:
 
 
 def geojson(geometry: str) -> Column:
-    """struct<type, coordinates> of a geometry, NULL for NULL and for collections (which have no coordinates)."""
+    """struct<type, coordinates> of a geometry, NULL for NULL, unreadable values and collections (which have no coordinates)."""
     value = f"named_struct('type', {geometry}.type, 'coordinates', {coordinates(geometry)})"
-    return F.expr(f"CASE WHEN {geometry} IS NOT NULL AND {geometry}.type <> '{COLLECTION}' THEN {value} END")
+    return F.expr(f"CASE WHEN {geometry} IS NOT NULL AND {geometry}.type NOT IN ('{COLLECTION}', '{UNREADABLE}') THEN {value} END")
 
 
 def wkt(geometry: str) -> Column:
-    """Well-known text; the members of a collection are not spelled out."""
+    """Well-known text; the members of a collection are not spelled out, and an unreadable value is the hex text of its bytes."""
     def listed(items, name, text):
         return f"concat('(', array_join(transform({items}, {name} -> {text}), ', '), ')')"
 
@@ -106,7 +109,8 @@ def wkt(geometry: str) -> Column:
         WHEN {geometry}.type = 'MultiPolygon' THEN {listed('t', 'part', "concat('(', array_join(part, ', '), ')')")}
         ELSE {listed('t', 'part', 'get(part, 0)')} END), 0)"""
     name = f"concat(upper({geometry}.type), CASE {geometry}.dims WHEN 'XY' THEN '' ELSE concat(' ', substr({geometry}.dims, 3)) END)"
-    return F.expr(f"concat({name}, CASE WHEN size({geometry}.parts) = 0 THEN ' EMPTY' ELSE concat(' ', {body}) END)")
+    text = f"concat({name}, CASE WHEN size({geometry}.parts) = 0 THEN ' EMPTY' ELSE concat(' ', {body}) END)"
+    return F.expr(f"CASE WHEN {geometry}.type = '{UNREADABLE}' THEN {geometry}.members ELSE {text} END")
 
 
 def is_polygonal(geometry: str) -> str:
@@ -128,6 +132,6 @@ def structurally_valid(geometry: str) -> Column:
     fresh = "filter(ring, (p, i) -> i = 0 OR p[0] <> get(ring, i - 1)[0] OR p[1] <> get(ring, i - 1)[1])"
     closed = "get(ring, 0)[0] = element_at(ring, -1)[0] AND get(ring, 0)[1] = element_at(ring, -1)[1]"
     ring = f"(size(ring) = 0 OR ({closed} AND size({fresh}) >= 4))"
-    return F.expr(f"""{finite} AND CASE
+    return F.expr(f"""{geometry}.type <> '{UNREADABLE}' AND {finite} AND CASE
         WHEN {geometry}.type IN ('LineString', 'MultiLineString') THEN {every_ring(line)}
         WHEN {geometry}.type IN ('Polygon', 'MultiPolygon') THEN {every_ring(ring)} ELSE true END""")

@@ -11,15 +11,23 @@ from plumbline.functions.text import quoted
 from plumbline.functions.wkb import from_wkb, to_wkb
 
 
+def hex_bytes(column: str):
+    """Bytes of hex text; text that is none gives its own bytes, which no reader takes for a geometry."""
+    return F.coalesce(F.unhex(quoted(column)), F.encode(quoted(column), "utf-8"))
+
+
 def decode_geometry(df: DataFrame, column: str) -> DataFrame:
-    """WKB bytes, or their hex text, to the in-flight struct; other types and a missing column are left alone."""
+    """WKB bytes, or their hex text, to the in-flight struct; other types and a missing column are left alone.
+
+    What cannot be read, text that is no hex included, becomes an unreadable geometry, which validation rejects as invalid.
+    """
     if column not in df.columns:
         return df
     data_type = df.schema[column].dataType
     if isinstance(data_type, T.BinaryType):
-        return df.withColumn(column, from_wkb(quoted(column)))
+        return df.withColumn(column, from_wkb(quoted(column), lenient=True))
     if isinstance(data_type, T.StringType):
-        return df.withColumn(column, from_wkb(F.unhex(quoted(column))))
+        return df.withColumn(column, from_wkb(hex_bytes(column), lenient=True))
     return df
 
 
@@ -32,7 +40,7 @@ def geometry_bytes(df: DataFrame, column: str) -> DataFrame:
     if is_geometry(data_type):
         value = to_wkb(value)
     elif isinstance(data_type, T.StringType):
-        value = F.unhex(value)
+        value = hex_bytes(column)
     elif not isinstance(data_type, T.BinaryType):
         return df
     return df.withColumn(column, value).withMetadata(column, {"geometry": "wkb"})

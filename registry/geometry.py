@@ -8,7 +8,7 @@ from plumbline.functions.geometry import geojson, make_geometry, plain_type
 from plumbline.functions.geometry import translate
 from plumbline.functions.wkb import to_wkb
 from plumbline.operators.geo import decode_geometry, promote_geometry
-from plumbline.operators.validate import geometry_verdict
+from plumbline.operators.validate import Rules, classify, geometry_verdict
 from registry.inputs import RING_VERTICES_SQL, points, rings, table
 
 
@@ -33,6 +33,32 @@ def decode(spark, sf_dir):
     )
 
 
+def decoded_shapes(spark, sf_dir):
+    """One row per vertex of lines, polygons and multipolygons with Z and SRID, read back from their bytes; one of cut-off bytes."""
+    kind = F.col("p_partkey") % 4
+    raised = "transform(ring, p -> concat(p, array(CAST(p_partkey AS double))))"
+    beside = "transform(ring, p -> array(p[0] + 100D, p[1], CAST(-p_partkey AS double)))"
+    first = F.expr(f"transform(geom.parts, part -> transform(part, ring -> {raised}))")
+    second = F.expr(f"transform(geom.parts, part -> transform(part, ring -> {beside}))")
+    shape = F.struct(
+        F.when(kind == 0, "LineString").when(kind == 1, "Polygon").otherwise("MultiPolygon").alias("type"), (4000 + kind).cast("int").alias("srid"),
+        F.lit("XYZ").alias("dims"), F.when(kind < 2, first).otherwise(F.concat(first, second)).alias("parts"), F.lit(None).cast("string").alias("members"))
+    stored = rings(spark, sf_dir).select("p_partkey", to_wkb(shape).alias("geom"))
+    stored = stored.withColumn("geom", F.when(kind == 3, F.expr("substring(geom, 1, octet_length(geom) - 5)")).otherwise(F.col("geom")))
+    read = decode_geometry(stored, "geom").select("p_partkey", "geom.type", "geom.srid", F.posexplode_outer("geom.parts").alias("part", "rings"))
+    points = read.select("p_partkey", "type", "srid", "part", F.posexplode_outer(F.get("rings", F.lit(0))).alias("i", "p"))
+    return points.select("p_partkey", "type", "srid", "part", "i", *[F.get("p", F.lit(k)).alias(c) for k, c in enumerate("xyz")])
+
+
+def unreadable(spark, sf_dir):
+    """The reject reason of rows whose geometry bytes are cut off, of an unknown type, or no hex at all."""
+    df = rings(spark, sf_dir).withColumn("geom", F.hex(to_wkb(F.col("geom"))))
+    key = F.col("p_partkey") % 13
+    broken = F.when(key == 1, F.expr("substring(geom, 1, length(geom) - 8)")).when(key == 2, F.lit("01FF000000")).when(key == 3, F.lit("n/a")).otherwise(F.col("geom"))
+    df = df.filter("p_partkey % 7 <> 0").select(F.col("p_partkey").cast("string").alias("id"), F.lit("part").alias("name"), broken.alias("geom"))
+    return classify(df, Rules()).select("id", F.col("reject.code").alias("code"), F.col("reject.field").alias("field"))
+
+
 _TYPE_NAMES = "CASE p_partkey % 4 WHEN 0 THEN 'Point' WHEN 1 THEN 'ST_LineString' WHEN 2 THEN 'multipolygon' ELSE 'st_MultiPoint' END"
 
 
@@ -76,6 +102,8 @@ def geojson_rings(spark, sf_dir):
 
 QUERIES = {
     "G1_decode_geometry": decode,
+    "G1_decode_shapes": decoded_shapes,
+    "G1_unreadable": unreadable,
     "G2_geometry_type_name": type_names,
     "G3_promote_to_multi": promoted,
     "G4_geometry_type": type_probe,
@@ -91,6 +119,21 @@ SELECT o_orderkey, kind, CASE WHEN o_orderkey % 43 <> 0 THEN 'Point' END AS type
        CAST(CASE WHEN o_orderkey % 43 <> 0 THEN o_custkey ELSE -1 END AS DOUBLE) AS x,
        CAST(CASE WHEN o_orderkey % 43 <> 0 THEN o_orderkey ELSE -1 END AS DOUBLE) AS y
 FROM orders, (SELECT unnest(['bytes', 'hex']) AS kind)""",
+    # Polygons that were stored open are closed on reading, lines are left as they are.
+    "G1_decode_shapes": f"""
+WITH v AS (SELECT p_partkey, i, x, y FROM ({RING_VERTICES_SQL})),
+closed AS (
+  SELECT * FROM v UNION ALL SELECT p_partkey, 5, x, y FROM v WHERE i = 1 AND p_partkey % 11 = 0 AND p_partkey % 4 <> 0
+), told AS (
+  SELECT p_partkey, 0 AS part, i, x, y, CAST(p_partkey AS DOUBLE) AS z FROM closed
+  UNION ALL SELECT p_partkey, 1, i, x + 100, y, CAST(-p_partkey AS DOUBLE) FROM closed WHERE p_partkey % 4 = 2
+)
+SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'LineString' WHEN 1 THEN 'Polygon' ELSE 'MultiPolygon' END AS type, 4000 + p_partkey % 4 AS srid,
+       part, i - 1 AS i, x, y, z FROM told WHERE p_partkey % 4 < 3
+UNION ALL SELECT p_partkey, 'Unreadable', 0, NULL, NULL, NULL, NULL, NULL FROM part WHERE p_partkey % 4 = 3""",
+    "G1_unreadable": """
+SELECT CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_partkey % 13 BETWEEN 1 AND 3 THEN 'invalid_geometry' END AS code,
+       CASE WHEN p_partkey % 13 BETWEEN 1 AND 3 THEN 'geom' END AS field FROM part WHERE p_partkey % 7 <> 0""",
     "G2_geometry_type_name": f"SELECT p_partkey, regexp_replace(upper({_TYPE_NAMES}), '^ST_', '') AS type FROM part",
     "G3_promote_to_multi": """
 SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'LineString' ELSE 'MultiPolygon' END AS type, 1 AS parts FROM part""",

@@ -1,12 +1,15 @@
+import random
 import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.functions.geometry import GEOMETRY, geojson, promote, structurally_valid, translate, wkt
+from plumbline.functions import wkb
+from plumbline.functions.geometry import GEOMETRY, UNREADABLE, geojson, promote, structurally_valid, translate, wkt
 from plumbline.functions.wkb import from_wkb, to_wkb
 from plumbline.operators.geo import decode_geometry, geometry_bytes
-from plumbline.operators.validate import geometry_verdict
+from plumbline.operators.validate import Rules, classify, geometry_verdict
 
 
 def ring(*points):
@@ -144,9 +147,72 @@ def test_open_and_short_rings_are_repaired(spark):
     assert one["parts"] == [[[[3.0, 4.0], [3.0, 4.0]]]]
 
 
-def test_malformed_wkb_fails(spark):
+def random_wkb(rng, kind, depth=0, zm=None):
+    """A value of any layout and byte order; members of a multi geometry have its dimensions."""
+    order, (z, m), srid, iso = rng.choice("<>"), zm or (rng.random() < 0.4, rng.random() < 0.3), rng.choice([0, 0, 4326]), rng.random() < 0.5
+    code = kind + (1000 * (z + 2 * m) if iso else 0) | (0 if iso else 0x80000000 * z | 0x40000000 * m) | (0x20000000 if srid else 0)
+    head = struct.pack("B", order == "<") + struct.pack(order + "I", code) + (struct.pack(order + "I", srid) if srid else b"")
+
+    def points(n):
+        return b"".join(struct.pack(order + "d", float(rng.randrange(3))) for _ in range(n * (2 + z + m)))
+
+    def listed(counts, item):
+        n = rng.choice(counts)
+        return struct.pack(order + "I", n) + item(n)
+
+    if kind == 1:
+        return head + (struct.pack(order + "d", NAN) * (2 + z + m) if rng.random() < 0.2 else points(1))
+    if kind == 2:
+        return head + listed([0, 1, 2, 5], points)
+    if kind == 3:
+        return head + listed([0, 1, 2, 3], lambda n: b"".join(listed([0, 1, 2, 3, 4, 5, 7], points) for _ in range(n)))
+    inner = [1, 2, 3, 4, 5, 6] if depth < 2 else [1, 2, 3]
+    return head + listed([0, 1, 2, 3], lambda n: b"".join(random_wkb(rng, kind - 3 if kind < 7 else rng.choice(inner), depth + 1, (z, m)) for _ in range(n)))
+
+
+@pytest.mark.parametrize("rounds", [1, 4, wkb.ROUNDS])
+def test_values_read_together_as_one_by_one(monkeypatch, rounds):
+    monkeypatch.setattr(wkb, "ROUNDS", rounds)
+    rng, values = random.Random(7), []
+    for _ in range(4000):
+        value = bytearray(random_wkb(rng, rng.randrange(1, 8)))
+        luck = rng.random()
+        if luck < 0.1:
+            value = value[: rng.randrange(len(value))]
+        elif luck < 0.15:
+            value[rng.randrange(min(5, len(value)))] = rng.randrange(256)
+        values.append(None if luck > 0.95 else bytes(value))
+    read, problems = wkb._read_alone([v for v in values if v is not None])
+    alone = iter(zip(read.to_pylist(), problems, [v for v in values if v is not None]))
+    expected = [None if v is None else shape(UNREADABLE, members=raw.hex()) if problem else one for v in values for one, problem, raw in [(None, 0, b"") if v is None else next(alone)]]
+    for size in (4000, 30):
+        found = [g for k in range(0, 4000, size) for g in wkb.decode_batch(pa.array(values[k : k + size], pa.binary())).to_pylist()]
+        assert list(map(repr, found)) == list(map(repr, expected))
+
+
+def test_a_huge_count_or_many_parts(spark):
+    parts = b"".join(struct.pack("<BIdd", 1, 1, float(k), 0.0) for k in range(3000))
+    many, bogus = decoded(spark, struct.pack("<BII", 1, 4, 3000) + parts, struct.pack("<BII", 1, 3, 2**32 - 1) + b"\0" * 64)
+    assert len(many["parts"]) == 3000 and many["parts"][2999] == [[[2999.0, 0.0]]]
+    assert bogus["type"] == UNREADABLE
+
+
+def test_malformed_values_are_kept_and_rejected(spark):
+    short, unknown = struct.pack("<BIId", 1, 2, 5, 1.0), struct.pack("<BI", 1, 77)
+    rows = [("a", "n", short.hex()), ("b", "n", unknown.hex()), ("c", "n", "no hex"), ("d", "n", ""), ("e", "n", struct.pack("<BIdd", 1, 1, 1.0, 2.0).hex()), ("f", "n", None)]
+    df = spark.createDataFrame(rows, "id string, name string, geom string")
+    found = {r["id"]: r for r in classify(df, Rules()).select("id", "geom", "reject.code", wkt("geom").alias("text")).collect()}
+    assert {k: r["code"] for k, r in found.items()} == dict.fromkeys("abcd", "invalid_geometry") | {"e": None, "f": None}
+    assert found["a"]["geom"]["type"] == UNREADABLE and found["a"]["text"] == short.hex() and found["e"]["text"] == "POINT (1 2)"
+    stored = {r["id"]: r["geom"] and bytes(r["geom"]) for r in geometry_bytes(decode_geometry(df, "geom"), "geom").collect()}
+    assert stored["a"] == short and stored["b"] == unknown and stored["c"] == b"no hex" and stored["f"] is None
+    assert decode_geometry(df, "geom").select(geojson("geom").alias("g")).filter("g IS NOT NULL").count() == 1
+
+
+def test_malformed_wkb_fails_where_it_must_be_sound(spark):
+    df = spark.createDataFrame([(bytearray(struct.pack("<BIId", 1, 2, 5, 1.0)),)], "geom binary")
     with pytest.raises(Exception, match="ends before|Unsupported"):
-        decoded(spark, struct.pack("<BIId", 1, 2, 5, 1.0))
+        df.select(from_wkb(F.col("geom"))).collect()
 
 
 def test_promotion_only_for_the_matching_single_type(spark, shapes):
