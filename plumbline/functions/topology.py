@@ -1,7 +1,7 @@
 """How the rings of polygons lie to each other (OGC rules), as an Arrow batch function.
 
-A batch is checked in whole: candidate segment pairs come from a sweep over x extents inside each geometry, and all
-pairs are classified with array operations. Only geometries whose rings touch, or that have several rings, are looked
+A batch is checked in whole: candidate segment pairs come from grids over each geometry, and all pairs are classified
+with array operations. Only geometries whose rings touch, or that have several rings, are looked
 at one by one afterwards.
 """
 
@@ -36,25 +36,57 @@ def orientation(ax, ay, bx, by, cx, cy):
     return sign
 
 
-def _sweep(owner, low, high):
-    """Index pairs of segments with the same owner and overlapping x extents, in bounded blocks."""
-    order = np.lexsort((low, owner))
-    o, lo, hi = owner[order], low[order], high[order]
-    n = len(order)
-    events = np.lexsort((np.repeat([0, 1], n), np.concatenate([lo, hi]), np.concatenate([o, o])))
-    started = np.cumsum(events < n)
-    last = np.empty(n, np.int64)
-    last[events[events >= n] - n] = started[events >= n]
-    partners = np.maximum(last - np.arange(n) - 1, 0)
-    at = 0
-    while at < n:
-        total = np.cumsum(partners[at:])
-        stop = at + max(1, int(np.searchsorted(total, _PAIRS_AT_ONCE, "right")))
-        counts = partners[at:stop]
-        first = np.repeat(np.arange(at, stop), counts)
-        step = np.arange(len(first)) - np.repeat(np.cumsum(counts) - counts, counts)
-        yield order[first], order[first + 1 + step]
-        at = stop
+def _spread(keys):
+    """Hash of rows of whole numbers; equal rows have equal hashes."""
+    mixed = np.zeros(len(keys), np.uint64)
+    for column, factor in zip(keys.T, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)):
+        mixed = (mixed ^ column.astype(np.int64).view(np.uint64)) * np.uint64(factor)
+        mixed ^= mixed >> np.uint64(29)
+    return mixed
+
+
+def _box_pairs(owner, low, high):
+    """Index pairs of boxes with the same owner that meet, each pair once, in bounded blocks.
+
+    A box belongs to the grid whose cells are the next power of two to its longer side, and covers four cells of it at most. In each grid its own
+    boxes are met by all boxes that are as small or smaller; of the cells that two of them share only the one that holds the lower corner of
+    their overlap counts. Work grows with the boxes and with the pairs that lie close together, however they are spread.
+    """
+    side = (high - low).max(axis=1)
+    level = np.ceil(np.log2(np.maximum(side, np.finfo(float).tiny))).astype(np.int64)
+    largest, origin = np.full(owner.max() + 1, level.min()), np.full((owner.max() + 1, 2), np.inf)
+    np.maximum.at(largest, owner, level)
+    np.minimum.at(origin, owner, low)
+    level = np.maximum(level, largest[owner] - 24)
+    for grid in np.unique(level):
+        cell, has = np.ldexp(1.0, int(grid)), np.zeros(len(largest), bool)
+        has[owner[level == grid]] = True
+        asked = np.flatnonzero((level <= grid) & has[owner])
+        first, last = (np.floor((corner[asked] - origin[owner[asked]]) / cell) for corner in (low, high))
+        covered = [(asked, first)]
+        for step in ((0, 1), (1, 0), (1, 1)):
+            more = (first + step <= last).all(axis=1)
+            covered.append((asked[more], first[more] + step))
+        box, place = (np.concatenate(x) for x in zip(*covered))
+        marks = _spread(np.column_stack([owner[box], place]))
+        own = level[box] == grid
+        order = np.argsort(marks[own], kind="stable")
+        listed, known = box[own][order], marks[own][order]
+        begin = np.searchsorted(known, marks)
+        counts = np.searchsorted(known, marks, "right") - begin
+        ends = np.cumsum(counts)
+        at = 0
+        while at < len(box):
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _PAIRS_AT_ONCE, "right")))
+            each = counts[at:stop]
+            asking = np.repeat(np.arange(at, stop), each)
+            i, j = listed[np.arange(len(asking)) + np.repeat(begin[at:stop] - np.cumsum(each) + each, each)], box[asking]
+            corner = np.maximum(low[i], low[j])
+            meet = (owner[i] == owner[j]) & ((level[j] < grid) | (i < j)) & (corner <= np.minimum(high[i], high[j])).all(axis=1)
+            i, j, corner, asking = i[meet], j[meet], corner[meet], asking[meet]
+            here = (np.floor((corner - origin[owner[i]]) / cell) == place[asking]).all(axis=1)
+            yield i[here], j[here]
+            at = stop
 
 
 def _within_arc(p, a, b, q):
@@ -129,21 +161,24 @@ def _rings_agree(rings, part_of, touches):
         if x == y:
             return False
         group[x] = y
-    polygons = {}
-    for number, ring in rings.items():
-        polygons.setdefault(int(part_of[number]), []).append(ring)
-    parts = list(polygons.values())
-    for part in parts:
-        for i, hole in enumerate(part[1:], 1):
-            if _ring_side(hole, part[0]) < 0:
-                return False
-            if any(_ring_side(hole, other) > 0 for j, other in enumerate(part[1:], 1) if j != i):
-                return False
-    for i, a in enumerate(parts):
-        for j, b in enumerate(parts):
-            if i != j and _ring_side(b[0], a[0]) > 0 and not any(_ring_side(b[0], hole) > 0 for hole in a[1:]):
-                return False
-    return True
+    numbers = np.array(list(rings))
+    boxes = np.array([[r.min(axis=0), r.max(axis=0)] for r in rings.values()])
+    shell, first = {}, {}
+    for number in rings:
+        shell[number] = first.setdefault(int(part_of[number]), number)
+    if any(_ring_side(rings[n], rings[shell[n]]) < 0 for n in rings if shell[n] != n):
+        return False
+    inside = []  # of rings whose boxes meet, those where the first one lies in the second
+    for i, j in _box_pairs(np.zeros(len(numbers), np.int64), boxes[:, 0], boxes[:, 1]):
+        for a, b in zip(numbers[i].tolist(), numbers[j].tolist()):
+            holes = shell[a] != a, shell[b] != b
+            if holes == (True, True):
+                if shell[a] == shell[b] and (_ring_side(rings[a], rings[b]) > 0 or _ring_side(rings[b], rings[a]) > 0):
+                    return False
+            elif shell[a] != shell[b]:
+                inside += [(x, y) for x, y, hole in ((a, b, holes[0]), (b, a, holes[1])) if not hole and _ring_side(rings[x], rings[y]) > 0]
+    sheltered = {(x, shell[y]) for x, y in inside if shell[y] != y}  # a shell in a hole of another part
+    return all(shell[y] != y or (x, y) in sheltered for x, y in inside)
 
 
 class _Batch:
@@ -219,9 +254,7 @@ def topology_batch(kinds: pa.Array, parts: pa.Array, members: pa.Array) -> pa.Ar
     broken = np.zeros(len(group_row), bool)
     touches = {}
     low, high = np.minimum(s[:, :2], s[:, 2:]), np.maximum(s[:, :2], s[:, 2:])
-    for i, j in _sweep(owner, low[:, 0], high[:, 0]):
-        near = (low[i, 1] <= high[j, 1]) & (low[j, 1] <= high[i, 1])
-        i, j = i[near], j[near]
+    for i, j in _box_pairs(owner, low, high):
         (ax, ay, bx, by), (cx, cy, dx, dy) = s[i].T, s[j].T
         o1, o2 = orientation(ax, ay, bx, by, cx, cy), orientation(ax, ay, bx, by, dx, dy)
         o3, o4 = orientation(cx, cy, dx, dy, ax, ay), orientation(cx, cy, dx, dy, bx, by)

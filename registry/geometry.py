@@ -91,6 +91,28 @@ def validity(spark, sf_dir):
     return judged.select("p_partkey", (~F.col("bad")).alias("valid"))
 
 
+#: A box beside the first one of each part: its lower corner and its sides.
+_BOX = {
+    "hole": ("p_partkey % 13 - 1", "p_partkey DIV 13 % 13 - 1", "1 + p_partkey % 3", "1 + p_partkey % 2"),
+    "second": ("p_partkey % 11 - 5", "p_partkey DIV 11 % 11 - 5", "1 + p_partkey % 5", "1 + p_partkey % 3"),
+}
+
+
+def ring_validity(spark, sf_dir):
+    """Squares with a hole, and multipolygons of a square and a box, in all positions to each other."""
+
+    def box(x, y, width, height):
+        corners = ((x, y), (f"{x} + {width}", y), (f"{x} + {width}", f"{y} + {height}"), (x, f"{y} + {height}"), (x, y))
+        return f"array({', '.join(f'array(CAST(p_partkey + {a} AS double), CAST(p_size + {b} AS double))' for a, b in corners)})"
+
+    holed = F.expr(f"array(array({box('0', '0', '10', '10')}, {box(*_BOX['hole'])}))")
+    twofold = F.expr(f"array(array({box('0', '0', '4', '4')}), array({box(*_BOX['second'])}))")
+    even = F.col("p_partkey") % 2 == 0
+    made = make_geometry(F.when(even, "Polygon").otherwise("MultiPolygon"), F.when(even, holed).otherwise(twofold))
+    judged = geometry_verdict(table(spark, sf_dir, "part").select("p_partkey", made.alias("geom")), "geom", F.lit(False), "bad")
+    return judged.select("p_partkey", (~F.col("bad")).alias("valid"))
+
+
 def geojson_text(spark, sf_dir):
     text = F.to_json(geojson("geom"))
     return points(spark, sf_dir).select("o_orderkey", text.alias("geojson"))
@@ -109,6 +131,7 @@ QUERIES = {
     "G4_geometry_type": type_probe,
     "G5_translate": translated,
     "G6_validity": validity,
+    "G6_ring_validity": ring_validity,
     "G7_geojson_points": geojson_text,
     "G7_geojson_polygons": geojson_rings,
 }
@@ -158,6 +181,14 @@ turn AS (SELECT *, sign((x2 - x1) * (y3 - y1) - (y2 - y1) * (x3 - x1)) AS t123,
                 sign((x1 - x4) * (y3 - y4) - (y1 - y4) * (x3 - x4)) AS t413 FROM corner)
 SELECT p_partkey, n = 5 AND NOT (t123 * t124 < 0 AND t341 * t342 < 0) AND NOT (t234 * t231 < 0 AND t412 * t413 < 0) AS valid
 FROM turn""",
+    # A hole must lie in the open square; two boxes may meet in one corner at most.
+    "G6_ring_validity": f"""
+WITH box AS (
+  SELECT p_partkey, {', '.join(f"{sql.replace('DIV', '//')} AS h{c}" for sql, c in zip(_BOX['hole'], 'xywh'))},
+         {', '.join(f"{sql.replace('DIV', '//')} AS s{c}" for sql, c in zip(_BOX['second'], 'xywh'))} FROM part
+)
+SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN hx > 0 AND hy > 0 AND hx + hw < 10 AND hy + hh < 10
+       ELSE sx > 4 OR sy > 4 OR sx + sw < 0 OR sy + sh < 0 OR ((sx = 4 OR sx + sw = 0) AND (sy = 4 OR sy + sh = 0)) END AS valid FROM box""",
     "G7_geojson_points": """
 SELECT o_orderkey, CASE WHEN o_orderkey % 43 <> 0 THEN
        concat('{"type":"Point","coordinates":[', o_custkey, '.0,', o_orderkey, '.0]}') END AS geojson FROM orders""",

@@ -1,10 +1,14 @@
 """Ring validity against an exact brute-force check, on small grids where degenerate cases are common."""
 
 import random
+import time
 from fractions import Fraction
 
+import numpy as np
 import pyarrow as pa
+import pytest
 
+from plumbline.functions import topology
 from plumbline.functions.topology import topology_batch
 
 
@@ -112,3 +116,38 @@ def test_two_parts_overlap_or_not():
     expected = [not overlap(a, b) for a, b in pairs]
     assert 100 < sum(expected) < 1400
     assert [p for p, g, e in zip(pairs, got, expected) if g != e] == []
+
+
+def test_box_pairs_are_all_pairs_that_meet():
+    rng = np.random.default_rng(4)
+    for spread in (1.0, 30.0, 1e6):
+        low = rng.integers(0, 40, (300, 2)) * spread / 4
+        high = low + rng.integers(0, 3, (300, 2)) * rng.choice([0.0, 0.5, 1.0, 64.0], (300, 1))
+        owner = rng.integers(0, 4, 300)
+        found = [pair for i, j in topology._box_pairs(owner, low, high) for pair in zip(i.tolist(), j.tolist())]
+        expected = {(i, j) for i in range(300) for j in range(i + 1, 300)
+                    if owner[i] == owner[j] and (low[i] <= high[j]).all() and (low[j] <= high[i]).all()}
+        assert len(found) == len(expected) and {tuple(sorted(p)) for p in found} == expected
+
+
+def squares(corners, side):
+    return [[[[x, y], [x + side, y], [x + side, y + side], [x, y + side], [x, y]]] for x, y in corners]
+
+
+def judged(parts):
+    kinds, members = pa.array(["MultiPolygon"]), pa.array([None], pa.string())
+    listed = pa.array([parts], pa.list_(pa.list_(pa.list_(pa.list_(pa.float64())))))
+    return topology.topology_batch(kinds, listed, members)[0].as_py()
+
+
+@pytest.mark.parametrize("across", [1, 100])
+def test_many_parts_in_little_time(across):
+    """10 000 parts, in one column and in a field: far below the hours that all pairs would take."""
+    corners = [(2.0 * (k % across), 2.0 * (k // across)) for k in range(10_000)]
+    started = time.perf_counter()
+    assert judged(squares(corners, 1.0))
+    assert not judged(squares([*corners, (0.5, 0.5)], 1.0))  # crosses one
+    assert not judged(squares([*corners, (0.25, 0.25)], 0.5))  # lies in one
+    holed = [[squares([(-1.0, -1.0)], 30_000.0)[0][0], *[ring for part in squares(corners, 1.0) for ring in part]]]
+    assert judged(holed)
+    assert time.perf_counter() - started < 60
