@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import bag_minhash, decontaminate, language, line_dedup, packing
 from plumbline.llm.queries import TOKENIZER
-from plumbline.llm.shared import shared_folder
+from plumbline.llm.shared import shared_folder, staged
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +24,19 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document that names it; rows without doc_id stay."""
-    classes = bag_minhash.near_duplicates(docs).where("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(classes, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each class of near-duplicates: the one with the smallest doc_id, of several the one stored first.
+
+    Rows are compared by their own texts: rows that repeat, share a doc_id or have none are judged each by itself, so of equal rows one stays and
+    different texts under one doc_id don't touch each other. Rows with NULL text stay. An empty table stays empty.
+    """
+    row = f"row_{uuid.uuid4().hex}"
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "near-duplicates")
+    classes = bag_minhash.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "class_id")
+    crowds = staged(classes.groupBy("class_id").agg(F.count("*").alias("n")).where("n > 1").select("class_id"), "crowds")
+    crowded = staged(classes.join(crowds, "class_id"), "crowded").join(numbered.select(row, "doc_id"), row)
+    kept = crowded.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("k")).select(F.col(f"k.{row}").alias(row))
+    gone = crowded.select(row).join(kept, row, "left_anti")
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +58,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Compression and tokenizers are beyond SQL; tests hold the stages against brute force.
+#: Compression and tokenizers are beyond SQL; tests hold the near-duplicate and the leak stage against brute force.
 ORACLE_SQL = None
 
 
