@@ -28,7 +28,6 @@ MIN_MARGIN = 0.01
 
 UNDETERMINED = "und"
 RESULT = "lang_pred string, score double, margin double, rejected boolean"
-LETTER = re.compile(r"[^\W\d_]")
 OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -86,7 +85,7 @@ class Classifier:
             self.compressors.append(zstandard.ZstdCompressor(level=level, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False))
 
     def of(self, text: str | None, min_margin: float) -> tuple[str, float, float, bool]:
-        if text is None or not self.langs or not LETTER.search(text):
+        if text is None or not self.langs or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0, 0.0, True
         data = letters(text)
         parts = pieces(data)

@@ -52,7 +52,7 @@ TITLE = (
     r"|apache(?:[ \t]+software)?|mozilla[ \t]+public|gnu[ \t]+(?:(?:lesser|library)[ \t]+)?general[ \t]+public|gnu[ \t]+free[ \t]+documentation)[ \t]+licen[cs]e\"?"
     r"|creative[ \t]+commons[ \t]+legal[ \t]+code\s+cc0[ \t]+1\.0[ \t]+universal|cc0[ \t]+1\.0[ \t]+universal)"
     r"(?:,?[ \t]+(?:v|version[ \t]*)?\d[\d.]*(?:,[ \t]+(?:\d+[ \t]+)?\p{L}+[ \t]+\d{4})?)?(?:[ \t]+\([^()\n]{1,40}\))?[ \t.:*#/;=-]*\R"
-    r"(?:[\s*#/;]*(?:version[ \t]+\d[^\n]{0,40}|<?https?://\S+|[=~_-]{3,})[ \t*#/;]*\R)*(?=\s*\S)"
+    r"(?:[\s*#/;]*+(?:version[ \t]+\d[^\n]{0,40}|<?https?://\S++|[=~_-]{3,}+)[ \t*#/;]*+\R)*+(?=\s*+\S)"  # possessive: no stack frame a line
 )
 
 

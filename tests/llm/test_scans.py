@@ -1,7 +1,9 @@
 """Licences, quality rules and secrets: small cases, brute force, odd rows."""
 
+import random
 import re
 import textwrap
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,3 +110,33 @@ def test_queries_follow_from_the_expression(rule):
 def test_no_python_in_the_plan(documents, frame):
     plan = frame(documents([(1, "a text"), (2, "token = abcdefgh")])).select("*")._jdf.queryExecution().executedPlan().toString()
     assert "Arrow" not in plan and "Python" not in plan
+
+
+def test_titles_of_any_length_do_not_exhaust_the_stack(spark):
+    terms = dict(licenses.KNOWN)["MIT"]
+    many = "MIT License\n" + "=====\n" * 1_000_000
+    rows = [(1, many + terms), (2, many), (3, "MIT License\n=====\n\n" + terms), (4, "MIT License\nhttps://mit.test/x\n" + terms)]
+    found = {r["doc_id"]: r["license_id"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), licenses.built_in(spark)).collect()}
+    assert (found[1], found[3], found[4]) == ("MIT", "MIT", "MIT") and found[2] is None
+
+
+def test_canonical_against_plain(spark):
+    """Without titles and copyright lines the canonical text is what a few lines of Python make of it."""
+    rng = random.Random(3)
+    words = [*licenses.EQUIVALENT, *licenses.EQUIVALENT.values(), "Größe", "x20", "n\u0301", "--", "(", "\u00a0", "Łódź", "a.b"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", "\n", ", ", "  ", "-"]) for _ in range(rng.randrange(30))) for _ in range(200)]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(licenses.canonical(F.col("t"))).collect()]
+    for text, found in zip(texts, got):
+        kept = "".join(c if unicodedata.category(c)[0] in "LN" else " " for c in text.lower())
+        assert found == " ".join(licenses.EQUIVALENT.get(w, w) for w in kept.split()), text
+
+
+def test_the_sample_of_a_huge_table_is_not_empty():
+    share = quality.SAMPLE_ROWS / 3e9
+    assert quality.least_hash(share) > -(2**63) + 1_000_000 and quality.least_hash(0.5) == 0
+
+
+def test_rows_are_picked_in_parallel(spark, documents):
+    docs = documents([(k, f"word {k} " * 20) for k in range(4000)]).repartition(4)
+    found = quality.estimates(docs, sample_rows=100)
+    assert len(found) == len(quality.RULES) and all(0 <= e.rejected <= 1 for e in found)
