@@ -17,6 +17,7 @@ from plumbline.operators.payload import PayloadSettings, Template, build_payload
 from plumbline.operators.quarantine import SERIALIZATION, UPLOAD, asset_json, batch_records, row_records
 from plumbline.operators.skew import settled
 from plumbline.plans.errors import Failure, StageFailed
+from plumbline.plans.together import each
 from plumbline.plans.standardize import Run, check_gate, stage_path
 from plumbline.sources.layout import dataset_path
 from plumbline.sources.ledger import add_answers, payload_key, read_ledger
@@ -110,21 +111,21 @@ def deliver_template(
 
 def deliver(
     spark: SparkSession, run: Run, templates: Sequence[Template], settings: PayloadSettings, answer: Answer,
-    masterdata: DataFrame | None = None, tags: DataFrame | None = None, waves: int = 1,
+    masterdata: DataFrame | None = None, tags: DataFrame | None = None, waves: int = 1, at_once: int = 1,
 ) -> dict[str, dict[str, int]]:
-    """Deliver every template; failures (also of the gate) are raised together at the end.
+    """Deliver every template, ``at_once`` of them side by side; failures (also of the gate) are raised together at the end.
 
     A repeated delivery of the same run sends only payloads that have no final answer (below 500) yet: changed payloads count as new ones. Each
     of the ``waves`` is stored before the next is sent, so more waves mean less to send twice after a crash, and more jobs.
     """
-    failures, counts = [], {}
-    for template in templates:
-        counts[template.code] = {"written": 0, "quarantined": 0}
-        try:
-            deliver_template(spark, run, template, settings, answer, counts[template.code], masterdata, tags, waves)
-            check_gate(counts[template.code], run.max_quarantine_ratio)
-        except Exception as error:
-            failures.append(Failure("delivery", template.code, error))
+    counts = {template.code: {"written": 0, "quarantined": 0} for template in templates}
+
+    def work(template: Template) -> None:
+        deliver_template(spark, run, template, settings, answer, counts[template.code], masterdata, tags, waves)
+        check_gate(counts[template.code], run.max_quarantine_ratio)
+
+    done = each(spark, templates, work, at_once)
+    failures = [Failure("delivery", template.code, error) for template, _, error in done if error is not None]
     if failures:
         raise StageFailed(failures, counts)
     return counts

@@ -17,6 +17,7 @@ from plumbline.operators.quarantine import STANDARDIZATION, quarantine_records
 from plumbline.operators.skew import shared_folder
 from plumbline.operators.validate import INVALID_TYPE, Rules, classify
 from plumbline.plans.errors import Failure, StageFailed, TooManyRejects
+from plumbline.plans.together import each
 from plumbline.sources.layout import dataset_path, run_folder
 from plumbline.sources.published import attempt_path, new_attempt, publish
 from plumbline.sources.quarantine import Scope, write_quarantine
@@ -105,18 +106,17 @@ def check_gate(outcome: Mapping[str, int], limit: float) -> None:
 
 def standardize(
     spark: SparkSession, run: Run, templates: Sequence[Template], tables: Mapping[str, Sequence[str]],
-    mapping: Mapping[str, Mapping],
+    mapping: Mapping[str, Mapping], at_once: int = 1,
 ) -> dict[str, dict[str, int]]:
-    """Standardise every template; failures (also of the gate) are raised together at the end."""
-    failures, counts = [], {}
-    for template in templates:
-        try:
-            counts[template.code] = standardize_template(
-                spark, run, template, tables.get(template.code) or (), mapping
-            )
-            check_gate(counts[template.code], run.max_quarantine_ratio)
-        except Exception as error:
-            failures.append(Failure("standardization", template.code, error))
+    """Standardise every template, ``at_once`` of them side by side; failures (also of the gate) are raised together at the end."""
+    counts: dict[str, dict[str, int]] = {}
+
+    def work(template: Template) -> None:
+        counts[template.code] = standardize_template(spark, run, template, tables.get(template.code) or (), mapping)
+        check_gate(counts[template.code], run.max_quarantine_ratio)
+
+    done = each(spark, templates, work, at_once)
+    failures = [Failure("standardization", template.code, error) for template, _, error in done if error is not None]
     if failures:
         raise StageFailed(failures, counts)
-    return counts
+    return {template.code: counts[template.code] for template in templates}

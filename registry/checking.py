@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import is_usable
-from plumbline.operators.metrics import failing_gate, outcome_counts, roll_up, with_ratio
+from plumbline.operators.metrics import failing_gate, outcome_counts, roll_up, roll_up_reasons, with_ratio
 from plumbline.operators.project import INVALID_FIELDS, fill_name
 from plumbline.operators.validate import (
     Rules, any_null, classify, duplicate_keys, has_invalid_types, mark_duplicates, null_fields, split,
@@ -108,6 +108,12 @@ def run_summary(spark, sf_dir):
     return roll_up(template_counts(spark, sf_dir))
 
 
+def reason_rollup(spark, sf_dir):
+    """Reasons by kind of source (the first letter of the id stands for the template), with totals; ids that tell no source are under '-'."""
+    template = F.when(F.col("id").rlike("^[CS][0-9]"), F.substring("id", 1, 1)).otherwise("-")
+    return roll_up_reasons(party_classified(spark, sf_dir).withColumn("template", template))
+
+
 def rejected_rows(spark, sf_dir):
     _, rejected = split(party_classified(spark, sf_dir))
     return rejected.select(
@@ -132,6 +138,7 @@ QUERIES = {
     "AG3_quarantine_ratio": ratios,
     "AG4_quality_gate": gate,
     "AG5_run_summary": run_summary,
+    "AG5_rollup": reason_rollup,
     "U2_rejected_rows": rejected_rows,
 }
 
@@ -175,6 +182,10 @@ SELECT k, CASE WHEN code IS NULL THEN 'valid' ELSE 'rejected' END AS side, '{_CO
     "AG5_run_summary": f"""
 SELECT *, written + quarantined AS total, written / (written + quarantined) AS success_rate
 FROM (SELECT CAST(sum(written) AS BIGINT) AS written, CAST(sum(quarantined) AS BIGINT) AS quarantined FROM ({_COUNTS}))""",
+    "AG5_rollup": f"""
+SELECT template, code, CASE grouping_id(template, code) WHEN 0 THEN 'reason' WHEN 1 THEN 'template' ELSE 'all' END AS level, count(*) AS n
+FROM (SELECT coalesce(code, 'ok') AS code, CASE WHEN regexp_matches(id, '^[CS][0-9]') THEN substr(id, 1, 1) ELSE '-' END AS template FROM ({_CODED}))
+GROUP BY ROLLUP (template, code)""",
     "U2_rejected_rows": f"""
 SELECT k, code, CASE code WHEN 'invalid_type' THEN 'One or more fields contain values with an invalid type.'
                           WHEN 'required_field_missing' THEN 'One or more mandatory fields contain null values.'

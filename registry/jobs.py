@@ -94,14 +94,18 @@ def published_versions(spark, sf_dir):
     return first.unionByName(failed).unionByName(seen("third"))
 
 
-def raw_party(spark, sf_dir):
+def raw_party(spark, sf_dir, at_once=1):
     base = scratch(spark, "raw")
-    extract(spark, DerivedTables(sf_dir), {"PARTY": ["customer", "supplier"]}, base, RUN_ID, "geom")
+    extract(spark, DerivedTables(sf_dir), {"PARTY": ["customer", "supplier"]}, base, RUN_ID, "geom", at_once)
     return base
 
 
-def extracted(spark, sf_dir):
-    base = raw_party(spark, sf_dir)
+def extracted_together(spark, sf_dir):
+    return extracted(spark, sf_dir, 2)
+
+
+def extracted(spark, sf_dir, at_once=1):
+    base = raw_party(spark, sf_dir, at_once)
     frames = [
         read_dataset(spark, dataset_path(base, RUN_ID, name)).select(
             F.lit(name).alias("source"), "k", "id", "name", "balance", F.col("geom").isNotNull().alias("has_geom")
@@ -270,6 +274,7 @@ QUERIES = {
     "K3_quarantine_sink": quarantine_sink,
     "K3_repeated_quarantine": repeated_quarantine,
     "F1_extract": extracted,
+    "F1_extract_together": extracted_together,
     "F2_standardize": standardized,
     "F3_deliver": delivered,
     "F3_deliver_outcomes": delivered_outcomes,
@@ -302,6 +307,9 @@ FROM ({_CODED}) WHERE code IS NOT NULL AND id IS NOT NULL""",
     "F1_extract": " UNION ALL ".join(
         f"SELECT '{name}' AS source, k, id, name, balance, k % 43 <> 0 AS has_geom FROM ({select_sql(name, columns)})"
         for name, columns in PARTY_SOURCES.items()),
+    "F1_extract_together": " UNION ALL ".join(
+        f"SELECT '{name}' AS source, k, id, name, balance, k % 43 <> 0 AS has_geom FROM ({select_sql(name, columns)})"
+        for name, columns in PARTY_SOURCES.items()),
     "F2_standardize": f"""
 SELECT CASE WHEN code IS NULL THEN 'valid' ELSE 'rejected' END AS side, id, name, CAST(p_amount AS VARCHAR) AS amount, code,
        written, quarantined FROM ({_COUNTED})""",

@@ -1,5 +1,6 @@
 import glob
 import json
+import threading
 from dataclasses import replace
 
 import pytest
@@ -16,6 +17,7 @@ from plumbline.plans.deliver import deliver
 from plumbline.plans.errors import Failure, StageFailed, TooManyRejects
 from plumbline.plans.extract import extract
 from plumbline.plans.standardize import Run, standardize
+from plumbline.plans.together import each
 from plumbline.sources.layout import dataset_path, run_folder
 from plumbline.sources.published import newest
 from plumbline.sources.quarantine import Scope, write_quarantine
@@ -260,6 +262,51 @@ def test_every_batch_is_sent_once(spark, run):
     assert sent.value == 2
 
 
+class Meeting:
+    """A source whose tables can only be read two at a time: each read waits for the other one to begin."""
+
+    def __init__(self):
+        self.barrier, self.read_tables = threading.Barrier(2, timeout=60), []
+
+    def read(self, spark, table):
+        self.read_tables.append(table)
+        self.barrier.wait()
+        if table == "broken":
+            raise RuntimeError("no such table")
+        return Source().read(spark, table)
+
+
+def test_tables_are_extracted_side_by_side(spark, tmp_path):
+    source = Meeting()
+    with pytest.raises(StageFailed) as caught:
+        extract(spark, source, {"A": ["pipes", "broken"], "B": ["broken"]}, str(tmp_path), "r", "geom", at_once=2)
+    assert [f.item for f in caught.value.failures] == ["A/broken", "B/broken"] and sorted(source.read_tables) == ["broken", "pipes"]
+    assert read_dataset(spark, dataset_path(str(tmp_path), "r", "pipes")).count() == 3
+
+
+def test_templates_side_by_side_give_the_same(spark, run):
+    templates = [replace(TEMPLATE, code=c) for c in ("PIPE", "TUBE", "HOSE")]
+    tables = {"PIPE": ["pipes", "valves"], "TUBE": ["pipes"], "HOSE": ["valves"]}
+    one = standardize(spark, run, templates, tables, MAPPING)
+    assert standardize(spark, run, templates, tables, MAPPING, at_once=3) == one
+    tried = deliver(spark, run, templates, PayloadSettings(), answering(200), at_once=2)
+    assert {k: v["written"] for k, v in tried.items()} == {k: v["written"] for k, v in one.items()}
+    assert not spark.getTags()
+
+
+def test_jobs_of_an_interrupted_stage_are_cancelled(spark, monkeypatch):
+    tags = []
+    monkeypatch.setattr(type(spark), "interruptTag", lambda self, tag: tags.append(tag))
+
+    def work(item):
+        if item == 1:
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        each(spark, range(6), work, 2)
+    assert len(tags) == 1
+
+
 def assets(spark, run, ids):
     df = spark.createDataFrame([(str(k), f"asset {k}", None, str(k)) for k in ids], f"id string, name string, geom {GEOMETRY.simpleString()}, N string")
     write_dataset(df, dataset_path(run.standard, run.run_id, "PIPE"), "geom")
