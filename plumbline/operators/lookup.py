@@ -52,27 +52,66 @@ def masterdata_ids(
     """The ids of several master-data columns: ``wanted`` names the new column for each column and key of the index.
 
     The values of all columns are counted in one pass and looked up in the index by one join. What is found is as large as
-    the different values in use, not as the index: up to the bound it is broadcast and no wide row moves, beyond it each
-    column takes the shuffled join, with the counts at hand. ``df`` stands in the plan once, whatever the number of columns.
+    the different values in use, not as the index: up to the bound it is broadcast and no wide row moves, beyond it see
+    ``_ids_by_combination``. ``df`` stands in the plan once, whatever the number of columns.
     """
     if not wanted:
         return df
-    pairs = F.array(*[F.struct(F.lit(c).alias("key"), quoted(c).cast("string").alias("value")) for c in wanted])
-    used = df.select(F.explode(pairs).alias("pair")).select("pair.*").filter(F.col("value") != UNKNOWN)
+    pairs = F.array(*[F.struct(F.lit(c).alias("key"), _searched(c).alias("value")) for c in wanted])
+    used = df.select(F.explode(pairs).alias("pair")).select("pair.*").filter("value IS NOT NULL")
     used = used.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
     listed = index.groupBy("key", "value").agg(F.first("id").alias("id"))
     found, size = settled_with_size(used.join(listed, ["key", "value"]))
     spread = row_spread(df) if spread is None else spread
+    if size > max_bytes:
+        return _ids_by_combination(df, wanted, found, size, spread, max_bytes)
     for column, out in wanted.items():
-        own = found.filter(F.col("key") == column)
-        text = quoted(column).cast("string")
-        df = lookup_join(
-            df, F.when(text != UNKNOWN, text), own.select("value", F.col("id").alias(out)), "value", spread, max_bytes=max_bytes,
-            index_bytes=size, frequent=own.select("value", "n"),
-        )
+        own = found.filter(F.col("key") == column).select("value", F.col("id").alias(out))
+        df = lookup_join(df, _searched(column), own, "value", spread, max_bytes=max_bytes, index_bytes=size)
     return df
 
 
+def _searched(column: str) -> Column:
+    """The value to look up as text; NULL where there is nothing to look up."""
+    text = quoted(column).cast("string")
+    return F.when(text != UNKNOWN, text)
+
+
+def _told(*values: Column) -> Column:
+    """One text for several values that differs wherever one of them does; NULL if all are NULL."""
+    parts = [F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in values]
+    return F.when(F.coalesce(*values).isNotNull(), F.concat(*parts))
+
+
+def _ids_by_combination(
+    df: DataFrame, wanted: Mapping[str, str], found: DataFrame, size: int, spread: Column, max_bytes: int
+) -> DataFrame:
+    """The ids of all columns through the different combinations of values that rows hold.
+
+    Each combination is unpivoted into narrow rows (combination, column, value), which are joined with the values found
+    and grouped by combination again; then the rows of ``df`` look their combination up. One shuffle of narrow rows and one
+    of wide ones, for any number of columns; frequent values and frequent combinations are taken out by a bounded broadcast.
+    """
+    told = _told(*[_searched(c) for c in wanted])
+    pairs = F.array(*[F.struct(F.lit(c).alias("key"), _searched(c).alias("value")) for c in wanted])
+    combinations = df.select(told.alias("_told"), pairs.alias("pairs")).filter("_told IS NOT NULL")
+    combinations = combinations.groupBy("_told").agg(F.count(F.lit(1)).alias("n"), F.first("pairs").alias("pairs"))
+    combinations, _ = settled_with_size(combinations)
+    narrow = combinations.select("_told", F.inline("pairs")).filter("value IS NOT NULL")
+    known = found.select(_told(F.col("key"), F.col("value")).alias("_pair"), "id")
+    often = found.select(_told(F.col("key"), F.col("value")).alias("value"), "n")
+    answered = lookup_join(
+        narrow, _told(F.col("key"), F.col("value")), known, "_pair", F.xxhash64("_told", "key"), max_bytes=max_bytes,
+        index_bytes=size, frequent=often,
+    )
+    answered = answered.filter("id IS NOT NULL").groupBy("_told").agg(
+        *[F.max(F.when(F.col("key") == c, F.col("id"))).alias(out) for c, out in wanted.items()]
+    )
+    answered, size = settled_with_size(answered)
+    often = combinations.select(F.col("_told").alias("value"), "n")
+    return lookup_join(df, told, answered, "_told", spread, max_bytes=max_bytes, index_bytes=size, frequent=often)
+
+
 def usable_tags(tags: DataFrame) -> DataFrame:
     return tags.filter((F.col("name") != "") & (F.col("uid") != "")).select("name", "uid", "pos")
 

@@ -195,4 +195,4 @@ def lookup_join(
     joined = keyed.join(right, F.col("_left_key") == F.col("_right_key"), "left")
     answer = F.when(F.col("_hot_key").isNotNull(), F.col("_hot")).otherwise(F.col("_found")) if may_be_hot \
         else F.col("_found")
-    return joined.withColumn("_answer", answer).select(*df.columns, *[F.col("_answer")[v].alias(v) for v in values])
+    return joined.withColumn("_answer", answer).select(*[F.col(sql_name(c)) for c in df.columns], *[F.col("_answer")[v].alias(v) for v in values])

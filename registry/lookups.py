@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plumbline.operators.lookup import attach_signals, masterdata_id, masterdata_index, tag_index
-from registry.inputs import table
+from plumbline.operators.lookup import attach_signals, masterdata_id, masterdata_ids, masterdata_index, tag_index
+from plumbline.sources.metadata import masterdata_relations, tag_catalogue
+from registry.inputs import scratch, table
 
 
 def part_relations(spark, sf_dir):
@@ -80,11 +81,39 @@ def signals_crowded(spark, sf_dir):
     return attach_signals(customer, crowded, "id", max_bytes=-1).select("id", F.array_join("signals.uid", "|").alias("uids"))
 
 
+def nation_ids_columns(spark, sf_dir):
+    """Two columns at once, beyond a broadcast: through the combinations of their values."""
+    df = nation_of_customers(spark, sf_dir).withColumns({"R1": F.col("nation"), "ASIA": F.when(F.col("c_custkey") % 5 != 0, F.col("nation"))})
+    found = masterdata_ids(df, {"R1": "id_r1", "ASIA": "id_asia"}, masterdata_index(nation_relations(spark, sf_dir)), max_bytes=-1)
+    return found.select("c_custkey", "nation", F.col("id_r1").alias("r1"), F.col("id_asia").alias("asia"))
+
+
+def tags_from_lines(spark, sf_dir):
+    """The tags written as JSON Lines in the order of events and read back: positions are 0, 1, 2, ... again."""
+    folder = scratch(spark, "tags")
+    lines = tags(spark, sf_dir).orderBy("pos").select(F.to_json(F.struct("name", "uid")).alias("value"))
+    lines.write.text(folder)
+    return tag_catalogue(spark, folder, lines=True)
+
+
+def masterdata_from_lines(spark, sf_dir):
+    """The index of master data that were written as JSON Lines, an entry for each part, and read back."""
+    folder = scratch(spark, "masterdata")
+    own = F.array(F.struct(F.col("value").alias("name"), "id"))
+    relations = F.when(F.col("rel_pos").isNotNull(), own).otherwise(F.filter(own, lambda _: F.lit(False)))
+    entries = part_relations(spark, sf_dir).orderBy("entry_pos").select("code", "name", relations.alias("relations"))
+    entries.select(F.to_json(F.struct("code", "name", "relations")).alias("value")).write.text(folder)
+    return masterdata_index(masterdata_relations(spark, folder, lines=True))
+
+
 QUERIES = {
     "S7_masterdata_index": masterdata,
     "S8_tag_index": tag_lists,
     "J3_masterdata_lookup": nation_ids,
     "J3_masterdata_lookup_beyond_broadcast": nation_ids_large,
+    "J3_masterdata_columns_beyond_broadcast": nation_ids_columns,
+    "S7_masterdata_lines": masterdata_from_lines,
+    "S8_tag_lines": tags_from_lines,
     "J4_signal_lists": signals,
     "J4_signal_lists_crowded": signals_crowded,
 }
@@ -102,11 +131,24 @@ FROM (SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN 'Unknown' WHEN c_custk
                              WHEN c_custkey % 7 = 0 THEN NULL ELSE n_name END AS nation_name
       FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
-ORACLES = {
-    "S7_masterdata_index": """
+_INDEX = """
 WITH keyed AS (SELECT p_brand AS key, * FROM part UNION SELECT p_type AS key, * FROM part)
 SELECT key, p_name AS value, p_partkey AS id FROM keyed
-QUALIFY p_partkey = max(p_partkey) OVER (PARTITION BY key) AND p_partkey % 5 <> 0""",
+QUALIFY p_partkey = max(p_partkey) OVER (PARTITION BY key) AND p_partkey % 5 <> 0"""
+
+ORACLES = {
+    "S7_masterdata_index": _INDEX,
+    "S7_masterdata_lines": _INDEX,
+    "S8_tag_lines": """
+SELECT CAST(user_id AS VARCHAR) AS name, CASE WHEN event_id % 50 <> 0 THEN CAST(event_id AS VARCHAR) END AS uid,
+       row_number() OVER (ORDER BY event_id) - 1 AS pos FROM events""",
+    "J3_masterdata_columns_beyond_broadcast": """
+SELECT c_custkey, v AS nation, CASE WHEN n_regionkey = 1 THEN CAST(n_nationkey AS BIGINT) END AS r1,
+       CASE WHEN r_name = 'ASIA' AND c_custkey % 5 <> 0 THEN CAST(n_nationkey AS BIGINT) END AS asia
+FROM (SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN 'Unknown' WHEN c_custkey % 11 = 0 THEN 'nowhere'
+                             WHEN c_custkey % 7 = 0 THEN NULL ELSE n_name END AS v
+      FROM customer JOIN nation ON c_nationkey = n_nationkey)
+LEFT JOIN (nation JOIN region ON n_regionkey = r_regionkey) ON n_name = v""",
     "S8_tag_index": f"SELECT name, string_agg(uid, '|' ORDER BY pos) AS uids FROM ({_TAGS}) GROUP BY name",
     "J3_masterdata_lookup": _NATION_IDS,
     "J3_masterdata_lookup_beyond_broadcast": _NATION_IDS,

@@ -2,11 +2,12 @@ import datetime
 import json
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from plumbline.functions.geometry import GEOMETRY
 from plumbline.functions.text import characteristic_name, double_text, pseudonym, timestamp_text
-from plumbline.operators import lookup
+from plumbline.operators import lookup, skew
 from plumbline.operators.batches import assemble_batches, batch_body, batch_rows, outcome, route_outcomes
 from plumbline.operators.lookup import attach_signals, masterdata_id, masterdata_index
 from plumbline.operators.payload import PayloadSettings, Template, build_payloads, payload_json
@@ -109,6 +110,59 @@ def test_many_masterdata_columns_scan_the_rows_once(spark):
                 assert [r[f"m{k}"] for k in range(n)] == [10 * k + r["id"] % 4 if r["id"] % 7 != k and r["id"] % 4 < 3 else None for k in range(n)]
 
 
+def test_columns_beyond_the_bound_share_their_shuffles(spark, monkeypatch):
+    """One exchange of narrow rows and one of wide rows, for one and for eight columns; values and combinations can be hot, missing or odd."""
+    joins = []
+    monkeypatch.setattr(lookup, "lookup_join", lambda df, *a, **k: joins.append(skew.lookup_join(df, *a, **k)) or joins[-1])
+    index = spark.createDataFrame([(f"c{k}", v, 10 * k + n) for k in range(8) for n, v in enumerate(["a", "b:1", "", "-"])], "key string, value string, id bigint")
+    value = lambda k: F.expr(f"CASE WHEN id % 3 = 0 THEN 'a' WHEN id % 3 = 1 THEN element_at(array('b:1', '', '-', 'Unknown', 'else', NULL), CAST(1 + (id + {k}) % 6 AS INT)) END")
+    wide = spark.range(3000).select("id", F.col("id").alias("x.y"), *[value(k).alias(f"c{k}") for k in range(8)])
+    known = {v: n for n, v in enumerate(["a", "b:1", "", "-"])}
+    for n in (1, 8):
+        joins.clear()
+        got = lookup.masterdata_ids(wide, {f"c{k}": f"m{k}" for k in range(n)}, index, -1)
+        assert len(joins) == 2  # narrow rows to values, wide rows to combinations
+        shuffles = [j._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for j in joins]
+        assert shuffles == [2, 2]  # both sides of one join each
+        assert got.columns == wide.columns + [f"m{k}" for k in range(n)] and got.count() == 3000
+        for r in got.collect():
+            assert [r[f"m{k}"] for k in range(n)] == [10 * k + known[r[f"c{k}"]] if r[f"c{k}"] in known else None for k in range(n)]
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_catalogue_of_lines_has_gapless_positions(spark, tmp_path, files):
+    """Many splits, blank lines and several files give the positions that the one-document reader gives."""
+    tags = [{"name": f"n{k % 7}", "uid": str(k) * (1 + k % 9)} for k in range(2000)]
+    (tmp_path / "all.json").write_text(json.dumps(tags))
+    (tmp_path / "lines").mkdir()
+    for f in range(files):
+        own = tags[2000 * f // files : 2000 * (f + 1) // files]
+        (tmp_path / "lines" / f"part-{f}").write_text("\n" + "".join(json.dumps(t) + ("\n \n" if k % 50 == 0 else "\n") for k, t in enumerate(own)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        read = tag_catalogue(spark, str(tmp_path / "lines"), lines=True)
+        assert read.rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    whole = tag_catalogue(spark, str(tmp_path / "all.json"))
+    assert read.columns == whole.columns and sorted(map(tuple, read.collect())) == sorted(map(tuple, whole.collect()))
+    assert sorted(r["pos"] for r in read.collect()) == list(range(2000))
+
+
+def test_masterdata_lines(spark, snapshots, tmp_path):
+    entries = json.loads((tmp_path / "masterdata.json").read_text())
+    (tmp_path / "entries.jsonl").write_text("\n".join(map(json.dumps, entries)))
+    ways = [masterdata_relations(spark, snapshots("masterdata")), masterdata_relations(spark, str(tmp_path / "entries.jsonl"), lines=True)]
+    assert ways[0].columns == ways[1].columns
+    assert sorted(map(tuple, ways[0].collect()), key=str) == sorted(map(tuple, ways[1].collect()), key=str)
+    (tmp_path / "broken.jsonl").write_text(json.dumps(entries[0]) + '\n{"code": \n')
+    with pytest.raises(Py4JJavaError, match="alformed"):
+        masterdata_relations(spark, str(tmp_path / "broken.jsonl"), lines=True).collect()
+    (tmp_path / "empty.jsonl").write_text("\n\n")
+    assert masterdata_relations(spark, str(tmp_path / "empty.jsonl"), lines=True).isEmpty()
+
+
 @pytest.mark.parametrize("max_bytes", [1 << 25, -1])
 def test_signals(spark, snapshots, max_bytes):
     tags = tag_catalogue(spark, snapshots("tags"))
