@@ -27,20 +27,11 @@ def check_template(core_fields: Sequence[str], characteristics: Sequence[Mapping
         seen.add(code.lower())
 
 
-def _value_and_offence(code: str, type_name: str, mapped: Mapping | None, sources: Mapping[str, T.DataType]):
-    """SQL of one characteristic's value, and of the code-or-NULL that reports an uncastable source value."""
-    if not mapped:
-        return typed_null(type_name), None
-    default = default_literal(mapped.get("default_value"), type_name)
-    field = mapped.get("field")
-    if field not in sources:
-        return default, None
-    source = blank_to_null(sql_name(field), sources[field])
-    cast = safe_cast(source, sources[field], type_name)
-    value = cast if mapped.get("default_value") is None else f"CASE WHEN {source} IS NULL THEN {default} ELSE {cast} END"
-    if not cast_can_fail(sources[field], type_name):
-        return value, None
-    return value, f"CASE WHEN {source} IS NOT NULL AND {cast} IS NULL THEN {sql_text(code)} END"
+def _free_names(start: str, taken: Sequence[str]) -> str:
+    """A beginning for working columns that no given column has."""
+    while any(name.lower().startswith(start) for name in taken):
+        start = "_" + start
+    return start
 
 
 def project_to_template(
@@ -50,27 +41,47 @@ def project_to_template(
     mapping: Mapping[str, Mapping],
     core_types: Mapping[str, T.DataType] | None = None,
 ) -> DataFrame:
-    """One select: core fields as they are, a typed column per characteristic, and the codes that did not cast.
+    """Core fields as they are, a typed column per characteristic, and the codes that did not cast.
 
     ``mapping`` gives per characteristic code the source field and default value. A core field the source lacks becomes
     NULL (text, unless ``core_types`` names another type).
+
+    The select is in three steps, so that what several columns need is computed once a row however wide the template is: each source
+    field without blanks, each cast of it, and the columns with defaults and the list of codes. No step shuffles, and the
+    optimizer merges those that repeat nothing.
     """
     check_template(core_fields, characteristics)
     sources = {field.name: field.dataType for field in df.schema.fields}
-    columns = [
-        sql_name(name) if name in sources
-        else f"CAST(NULL AS {(core_types or {}).get(name, T.StringType()).simpleString()}) AS {sql_name(name)}"
+    core_types = core_types or {}
+    core = {
+        name: sql_name(name) if name in sources
+        else f"CAST(NULL AS {core_types.get(name, T.StringType()).simpleString()})"
         for name in core_fields
-    ]
-    offences = []
+    }
+    start = _free_names("_of_source_", core_fields)
+    shown: dict[str, str] = {}  # source field: its working column without blanks
+    casts: dict[tuple[str, str], str] = {}  # source field and type: the working column of the cast
+    columns, offences = [], []
     for characteristic in characteristics:
-        code = characteristic["code"]
-        value, offence = _value_and_offence(code, characteristic.get("type"), mapping.get(code), sources)
+        code, type_name, mapped = characteristic["code"], characteristic.get("type"), mapping.get(characteristic["code"])
+        if not mapped:
+            columns.append(f"{typed_null(type_name)} AS {sql_name(code)}")
+            continue
+        default, field = default_literal(mapped.get("default_value"), type_name), mapped.get("field")
+        if field not in sources:
+            columns.append(f"{default} AS {sql_name(code)}")
+            continue
+        source = shown.setdefault(field, f"{start}{len(shown)}")
+        cast = casts.setdefault((field, type_name.lower()), f"{start}cast_{len(casts)}")
+        value = cast if mapped.get("default_value") is None else f"CASE WHEN {source} IS NULL THEN {default} ELSE {cast} END"
         columns.append(f"{value} AS {sql_name(code)}")
-        if offence is not None:
-            offences.append(offence)
+        if cast_can_fail(sources[field], type_name):
+            offences.append(f"CASE WHEN {source} IS NOT NULL AND {cast} IS NULL THEN {sql_text(code)} END")
     invalid = f"CAST(array_compact(array({', '.join(offences)})) AS array<string>) AS {INVALID_FIELDS}"
-    return df.selectExpr(*columns, invalid)
+    whole = [f"{value} AS {sql_name(name)}" for name, value in core.items()]
+    present = df.selectExpr(*whole, *[f"{blank_to_null(sql_name(f), sources[f])} AS {name}" for f, name in shown.items()])
+    typed = present.selectExpr("*", *[f"{safe_cast(shown[f], sources[f], kind)} AS {name}" for (f, kind), name in casts.items()])
+    return typed.selectExpr(*[sql_name(name) for name in core_fields], *columns, invalid)
 
 
 def union_tables(tables: Sequence[DataFrame]) -> DataFrame:

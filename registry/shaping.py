@@ -10,7 +10,7 @@ from plumbline.functions.text import timestamp_text
 from plumbline.operators.project import INVALID_FIELDS, fill_name, project_to_template, union_tables
 from registry.inputs import (
     CUSTOMER, NAMED_SQL, PARTIES_SQL, PARTY_CHARACTERISTICS, PARTY_CORE, PARTY_MAPPING, party_raw, party_sql,
-    select_sql,
+    select_sql, table,
 )
 
 TEXT = T.StringType()
@@ -44,6 +44,32 @@ def template_projection(spark, sf_dir):
     return shown(projected(spark, sf_dir, "customer"))
 
 
+WIDE_SOURCES, WIDE_KINDS = 60, [("integer", None), ("double", None), ("string", None), ("integer", 7), ("double", 0.5)]
+_WIDE_TEXT = "CASE WHEN (c_custkey + {k}) % 11 = 0 THEN ' ' WHEN (c_custkey + {k}) % 7 = 0 THEN 'x' ELSE CAST(c_custkey + {k} AS {text}) END"
+
+
+def wide_projection(spark, sf_dir):
+    """A template of 300 characteristics: 60 source fields of digits, other text and blanks, each under five of them."""
+    codes = [(f"w{n}_{k}", k, kind, default) for n, (kind, default) in enumerate(WIDE_KINDS) for k in range(WIDE_SOURCES)]
+    raw = table(spark, sf_dir, "customer").selectExpr("c_custkey AS id", *[f"{_WIDE_TEXT.format(k=k, text='string')} AS s{k}" for k in range(WIDE_SOURCES)])
+    mapping = {code: {"field": f"s{k}", "default_value": default} for code, k, _, default in codes}
+    wide = project_to_template(raw, ["id"], [{"code": code, "type": kind} for code, _, kind, _ in codes], mapping)
+    values = F.concat_ws("|", *[F.coalesce(F.col(code).cast("string"), F.lit("-")) for code, *_ in codes])
+    return wide.select("id", values.alias("told"), F.concat_ws(",", INVALID_FIELDS).alias("invalid"))
+
+
+def wide_sql():
+    told, invalid = [], []
+    for n, (kind, default) in enumerate(WIDE_KINDS):
+        for k in range(WIDE_SOURCES):
+            text = f"({_WIDE_TEXT.format(k=k, text='VARCHAR')})"
+            cast = f"nullif({text}, ' ')" if kind == "string" else f"TRY_CAST({text} AS {kind})"
+            told.append(f"coalesce(CAST(CASE WHEN {text} = ' ' THEN {'NULL' if default is None else default} ELSE {cast} END AS VARCHAR), '-')")
+            if kind != "string":
+                invalid.append(f"CASE WHEN {text} = 'x' THEN 'w{n}_{k}' END")
+    return f"SELECT c_custkey AS id, concat_ws('|', {', '.join(told)}) AS told, concat_ws(',', {', '.join(invalid)}) AS invalid FROM customer"
+
+
 def safe_casts(spark, sf_dir):
     raw = party_raw(spark, sf_dir, "customer")
     day = timestamp_text(F.expr(safe_cast("day_text", TEXT, "date")))
@@ -113,6 +139,7 @@ def union(spark, sf_dir):
 
 QUERIES = {
     "P1_template_projection": template_projection,
+    "P1_wide_template": wide_projection,
     "P3_safe_cast": safe_casts,
     "P4_default_literal": default_literals,
     "P5_blank_to_null": blanks,
@@ -129,6 +156,7 @@ QUERIES = {
 _RAW = select_sql("customer", CUSTOMER)
 
 ORACLES = {
+    "P1_wide_template": wide_sql(),
     "P1_template_projection": f"SELECT {SHOWN_SQL} FROM ({party_sql('customer')})",
     "P3_safe_cast": f"""
 SELECT k, CAST(TRY_CAST(regexp_extract(trim(amount_text), '^([+-]?[0-9]+)([.][0-9]*)?$', 1) AS INTEGER) AS VARCHAR) AS as_integer,

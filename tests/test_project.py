@@ -148,3 +148,20 @@ def test_fill_name(spark):
     df = spark.createDataFrame([(1, None), (2, "  "), (3, "\t"), (None, None), (5, "n")], "id bigint, name string")
     assert {r["id"]: r["name"] for r in fill_name(df).collect()} == {1: "1", 2: "2", 3: "\t", None: None, 5: "n"}
     assert fill_name(df.drop("name")).filter("id = 1").first()["name"] == "1"
+
+
+def test_wide_template_computes_each_cast_once(spark):
+    """A source field under many characteristics is cast once for each type; core fields may be named like working columns."""
+    df = spark.createDataFrame([(1, " 3.7 ", "k"), (2, "x", "k"), (3, " ", None), (4, None, "k")], "id int, s string, _of_source_0 string")
+    kinds = ["integer", "double", "string"]
+    characteristics = [{"code": f"c{k}", "type": kinds[k % 3]} for k in range(300)]
+    mapping = {f"c{k}": {"field": "s", "default_value": 9 if k == 0 else None} for k in range(300)}
+    wide = project_to_template(df, ["id", "_of_source_0"], characteristics, mapping)
+    assert wide.columns == ["id", "_of_source_0", *[f"c{k}" for k in range(300)], "_invalid_type_fields"]
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("cast(") < 20
+    rows = {r["id"]: r for r in wide.collect()}
+    assert [rows[1][f"c{k}"] for k in range(3)] == [3, 3.7, " 3.7 "] and rows[1]["_invalid_type_fields"] == []
+    assert rows[2]["_invalid_type_fields"] == [f"c{k}" for k in range(300) if k % 3 < 2] and rows[2]["c299"] == "x"
+    assert (rows[3]["c0"], rows[3]["c3"], rows[4]["c0"], rows[4]["c2"]) == (9, None, 9, None)
+    assert [rows[k]["_of_source_0"] for k in (1, 2, 3, 4)] == ["k", "k", None, "k"]
