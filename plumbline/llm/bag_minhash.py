@@ -6,10 +6,11 @@ point counts for a document if its level does not exceed the shingle's multiplic
 signature; two documents agree in a register with the probability of their weighted Jaccard similarity. Points later than a bound that
 all registers meet with high probability are never made; a document with an empty register is done again with twice the bound.
 
-Before texts are compared, sketches of one bit a register rule out pairs that are clearly less alike. Documents with equal multisets are one representative from the start. Representatives that share a band are compared with one pivot of the
-bucket, pairs that hold are joined to components, and only members of a bucket that lie in different components meet further pivots, until
-no such two are left uncompared. So no group is ever expanded to all its pairs, and every pair of a bucket is either compared or already in
-one class.
+Before texts are compared, sketches of one bit a register rule out pairs that are clearly less alike. Documents with equal multisets are one
+representative from the start. Representatives that share a band are compared with one pivot of the bucket, and pairs that hold are joined to
+components. A bucket that then still holds many members of different components is keyed anew (`crowds.py`): by what tells its members from
+their common ground, so that only members meet that share as rare a difference as a link needs. In the other buckets, which are small, members
+of different components meet further pivots. So every pair of a bucket is compared, ruled out exactly, or already in one class.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.arrays import Rolling, mixed, row_slices, rows_of, text_buffers, words_of
 from plumbline.llm.components import SMALL, components, narrow, sent
+from plumbline.llm.crowds import candidates, references
 from plumbline.llm.filters import bit_table, where_bit
 from plumbline.llm.shared import staged
 
@@ -33,9 +35,10 @@ BANDS, BAND_ROWS = 72, 8
 #: Rows of one slice, so that row and shingle hash fit into one 64-bit sort key.
 ROW_BITS = 12
 HASH_BITS = 64 - ROW_BITS
-#: Most pivots for each bucket in a round: four after the first round and four times as many each time. The few first ones join what belongs
-#: together; after that only members of different classes meet, and nearly all of those are ruled out by their sketches.
-PIVOTS = 256
+#: Buckets with more open members after the first round are crowds.
+CROWD = 16
+#: Most pivots of another bucket in a round: four after the first round, then as many as it has members.
+PIVOTS = 16
 
 
 def shingles(data: np.ndarray, bounds: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,20 +167,27 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return both / (int(a[1].sum()) + int(b[1].sum()) - both)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of document ids whose multisets overlap enough."""
+def multisets(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Shingles (sorted) and multiplicities of each text."""
+    found = []
+    data, bounds = text_buffers(column)
+    for a, b in row_slices(bounds):
+        for a in range(a, b, 1 << ROW_BITS):
+            own = bounds[a : min(b, a + (1 << ROW_BITS)) + 1]
+            rows, shingle, weight = shingles(data[own[0] : own[-1]], own - own[0])
+            edges = np.searchsorted(rows, np.arange(len(own)))
+            found.extend((shingle[x:y], weight[x:y]) for x, y in zip(edges[:-1], edges[1:]))
+    return found
+
+
+def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b and their texts; the last shuffle is by b, so an `a` that many pairs hold is not in one task."""
     held = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a").join(texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
+    return held.select("a", "b", "text_a", "text_b")
 
-    def multisets(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-        found = []
-        data, bounds = text_buffers(column)
-        for a, b in row_slices(bounds):
-            for a in range(a, b, 1 << ROW_BITS):
-                own = bounds[a : min(b, a + (1 << ROW_BITS)) + 1]
-                rows, shingle, weight = shingles(data[own[0] : own[-1]], own - own[0])
-                edges = np.searchsorted(rows, np.arange(len(own)))
-                found.extend((shingle[x:y], weight[x:y]) for x, y in zip(edges[:-1], edges[1:]))
-        return found
+
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of document ids whose multisets overlap enough."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +196,29 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                 kept = [overlap(x, y) >= threshold for x, y in zip(multisets(part.column(2)), multisets(part.column(3)))]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    return held.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
+    return with_texts(pairs, texts).mapInArrow(compare, "a long, b long")
+
+
+def units(bag: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The multiset as a set of 64-bit hashes: one for each copy of each shingle."""
+    shingle, weight = bag
+    copy = np.arange(int(weight.sum())) - np.repeat(np.cumsum(weight) - weight, weight)
+    return mixed(mixed(np.repeat(shingle, weight)) + copy.astype(np.uint64))
+
+
+def differences(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """For each pair (a, b): the units that only one of the two has, and the number of units of b."""
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                part = batch.slice(k, 512)
+                own = [units(x) for x in multisets(part.column(3))]
+                found = [np.setxor1d(units(x), y).view(np.int64) for x, y in zip(multisets(part.column(2)), own)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array([len(x) for x in own], pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["ref", "id", "n", "units"])
+
+    return with_texts(pairs, texts).mapInArrow(differ, "ref long, id long, n long, units array<long>")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
@@ -228,6 +260,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
         if not rows:
             break
         turn, small = turn + 1, rows <= SMALL
+        if turn == 1 and not (crowds := staged(references(open_, CROWD), "crowds")).isEmpty():
+            crowded = staged(open_.join(crowds, "bucket").select("ref", "id", "root").distinct(), "crowded")
+            differing = staged(differences(crowded.select(F.col("ref").alias("a"), F.col("id").alias("b")), texts), "differences")
+            pairs = candidates(differing, crowded, threshold)
+            sides = [open_.select(F.col("id").alias(x), F.col("sketch").alias(f"sketch_{x}")).dropDuplicates([x]) for x in "ab"]
+            pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(may_be_alike("sketch_a", "sketch_b", bands * band_rows, threshold))
+            fresh = staged(verified(pairs.select("a", "b"), texts, threshold), "links")
+            roots = components(fresh.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+            open_ = open_.join(crowds, "bucket", "left_anti").select("bucket", "id", "sketch")
+            continue
         held = narrow(open_, small)
         pivots = held.groupBy("bucket", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(min(PIVOTS, 4**turn))).alias("slot")).agg(F.min(F.struct("id", "root", "sketch")).alias("p")).select("bucket", "p")
         pivots = staged(narrow(pivots, small), "pivots")
