@@ -30,6 +30,9 @@ FALSE_WORDS = {"false", "0", "no", "n"}
 # Text that Spark's non-ANSI cast reads as an integer: optional sign, digits, a fraction that is cut off, and
 # white space or control characters around it. Group 1 is the sign, group 2 the integer part (may be empty: ".5" is 0).
 _INTEGER_TEXT = r"r'^[\x00-\x20\x7f]*([+-]?)([0-9]*)(?:[.][0-9]*)?[\x00-\x20\x7f]*$'"
+_PLAIN_INTEGER = r"r'^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*\z'"
+# Every text that casts to a double looks like this, and hardly any other does: digits, hex digits, exponents and suffixes, NaN, Infinity.
+_DOUBLE_TEXT = r"r'^[\x00-\x20\x7f]*[+-]?[0-9.niNI][0-9a-fA-FxXpPiInNtTyY.+\x00-\x20\x7f-]*\z'"
 
 
 def spark_type(type_name: str | None) -> T.DataType:
@@ -69,12 +72,12 @@ def blank_to_null(value: str, source: T.DataType | None = None) -> str:
 def text_to_integer(text: str) -> str:
     """Integer from text as the non-ANSI cast reads it: '3.7' is 3, '.5' is 0, out of range or other text is NULL.
 
-    Plain digits never reach the regular expressions.
+    Only text of plain digits is cast as it is: where a cast fails, an exception is made and caught, which costs far more than a pattern.
     """
     sign, whole = (f"regexp_extract({text}, {_INTEGER_TEXT}, {group})" for group in (1, 2))
     relaxed = f"try_cast(concat({sign}, coalesce(nullif({whole}, ''), '0')) AS int)"
-    return (f"coalesce(try_cast({text} AS int), "
-            f"CASE WHEN {text} RLIKE {_INTEGER_TEXT} AND {text} RLIKE '[0-9.]' THEN {relaxed} END)")
+    return (f"CASE WHEN {text} RLIKE {_PLAIN_INTEGER} THEN try_cast({text} AS int) "
+            f"WHEN {text} RLIKE {_INTEGER_TEXT} AND {text} RLIKE '[0-9.]' THEN {relaxed} END")
 
 
 def safe_cast(value: str, source: T.DataType, type_name: str) -> str:
@@ -86,6 +89,8 @@ def safe_cast(value: str, source: T.DataType, type_name: str) -> str:
         return value
     if isinstance(target, T.IntegerType) and isinstance(source, T.StringType):
         return text_to_integer(value)
+    if isinstance(target, T.DoubleType) and isinstance(source, T.StringType):
+        return f"CASE WHEN {value} RLIKE {_DOUBLE_TEXT} THEN try_cast({value} AS double) END"
     return f"try_cast({value} AS {target.simpleString()})"
 
 

@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Narrow rows dealt out over the shuffle partitions, for work that is little to read and much to compute: a small file is one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh place in the shared folder for a query that writes."""
     return f"{shared_folder(spark)}/registry/{spark.sparkContext.applicationId}/{next(_numbers)}/{name}"

@@ -9,7 +9,7 @@ from plumbline.functions.casting import blank_to_null, default_literal, safe_cas
 from plumbline.functions.text import timestamp_text
 from plumbline.operators.project import INVALID_FIELDS, fill_name, project_to_template, union_tables
 from registry.inputs import (
-    CUSTOMER, NAMED_SQL, PARTIES_SQL, PARTY_CHARACTERISTICS, PARTY_CORE, PARTY_MAPPING, party_raw, party_sql,
+    CUSTOMER, NAMED_SQL, PARTIES_SQL, PARTY_CHARACTERISTICS, PARTY_CORE, PARTY_MAPPING, dealt, party_raw, party_sql,
     select_sql, table,
 )
 
@@ -51,7 +51,7 @@ _WIDE_TEXT = "CASE WHEN (c_custkey + {k}) % 11 = 0 THEN ' ' WHEN (c_custkey + {k
 def wide_projection(spark, sf_dir):
     """A template of 300 characteristics: 60 source fields of digits, other text and blanks, each under five of them."""
     codes = [(f"w{n}_{k}", k, kind, default) for n, (kind, default) in enumerate(WIDE_KINDS) for k in range(WIDE_SOURCES)]
-    raw = table(spark, sf_dir, "customer").selectExpr("c_custkey AS id", *[f"{_WIDE_TEXT.format(k=k, text='string')} AS s{k}" for k in range(WIDE_SOURCES)])
+    raw = dealt(table(spark, sf_dir, "customer").select("c_custkey")).selectExpr("c_custkey AS id", *[f"{_WIDE_TEXT.format(k=k, text='string')} AS s{k}" for k in range(WIDE_SOURCES)])
     mapping = {code: {"field": f"s{k}", "default_value": default} for code, k, _, default in codes}
     wide = project_to_template(raw, ["id"], [{"code": code, "type": kind} for code, _, kind, _ in codes], mapping)
     values = F.concat_ws("|", *[F.coalesce(F.col(code).cast("string"), F.lit("-")) for code, *_ in codes])
