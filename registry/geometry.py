@@ -9,7 +9,7 @@ from plumbline.functions.geometry import translate
 from plumbline.functions.wkb import to_wkb
 from plumbline.operators.geo import decode_geometry, promote_geometry
 from plumbline.operators.validate import Rules, classify, geometry_verdict
-from registry.inputs import RING_VERTICES_SQL, points, rings, table
+from registry.inputs import RING_VERTICES_SQL, dealt, points, rings, table
 
 
 def vertices(df, key):
@@ -109,7 +109,8 @@ def ring_validity(spark, sf_dir):
     twofold = F.expr(f"array(array({box('0', '0', '4', '4')}), array({box(*_BOX['second'])}))")
     even = F.col("p_partkey") % 2 == 0
     made = make_geometry(F.when(even, "Polygon").otherwise("MultiPolygon"), F.when(even, holed).otherwise(twofold))
-    judged = geometry_verdict(table(spark, sf_dir, "part").select("p_partkey", made.alias("geom")), "geom", F.lit(False), "bad")
+    part = dealt(table(spark, sf_dir, "part").select("p_partkey", "p_size"))
+    judged = geometry_verdict(part.select("p_partkey", made.alias("geom")), "geom", F.lit(False), "bad")
     return judged.select("p_partkey", (~F.col("bad")).alias("valid"))
 
 

@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.casting import safe_cast
 from plumbline.operators.project import INVALID_FIELDS, project_to_template
-from registry import shaping
+from registry import geometry, shaping
 
 
 @pytest.mark.parametrize("query, name, columns", [
     (shaping.wide_projection, "customer", "id AS c_custkey"),
+    (geometry.ring_validity, "part", "id AS p_partkey, CAST(id % 5 AS int) AS p_size"),
 ])
 def test_a_file_of_one_split_is_computed_in_several_tasks(spark, tmp_path, query, name, columns):
     spark.range(40).coalesce(1).selectExpr(*columns.split(", ")).write.parquet(f"{tmp_path}/{name}.parquet")
