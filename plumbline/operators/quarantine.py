@@ -62,11 +62,12 @@ def _identity(occurrence: Column) -> Column:
 def identified(told: DataFrame, failed_at: Column) -> DataFrame:
     """Records with an id that a repeated run gives again: a digest of all they tell, and of which of several equal records they are.
 
-    Equal records are rare, and only they have to be counted: a digest of each record is counted map-side, the digests that occur more than once
-    are settled, and the other records get their id where they are. Equal records become one row and its number of repeats, which is then dealt
+    The records are settled, as they are read up to three times and to find them costs more than to keep them. Equal records are rare, and only
+    they have to be counted: a digest of each record is counted map-side, the digests that occur more than once are settled, and the other
+    records get their id where they are. Equal records become one row and its number of repeats, which is then dealt
     out again in stretches.
     """
-    told = told.select(*_CONTENT, F.xxhash64(*_CONTENT).alias("_mark"))
+    told = settled(told.select(*_CONTENT, F.xxhash64(*_CONTENT).alias("_mark")))
     marks = settled(told.groupBy("_mark").agg(F.count("*").alias("n")).filter("n > 1").select("_mark"))
     size = measured_bytes(marks)
     if size:

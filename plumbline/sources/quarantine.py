@@ -77,6 +77,7 @@ def write_quarantine(records: DataFrame, path: str, attempt: str = "1", scope: S
     """
     spark = records.sparkSession
     if scope is None:
+        records = settled(records)  # read for the names and for each of them; what they are derived from is computed once
         named = records.select("environment", "run_id", "template_code", "stage").distinct().collect()  # one, or a few
         scopes = [Scope(*row, attempt) for row in named]
     else:

@@ -10,7 +10,7 @@ from plumbline.operators.project import INVALID_FIELDS, fill_name
 from plumbline.operators.validate import (
     Rules, any_null, classify, duplicate_keys, has_invalid_types, mark_duplicates, null_fields, split,
 )
-from registry.inputs import NAMED_SQL, PARTIES_SQL, PARTY_RULES, reject_sql, rings, table
+from registry.inputs import NAMED_SQL, PARTIES_SQL, PARTY_RULES, dealt, reject_sql, rings, table
 from registry.privacy import with_points
 from registry.shaping import projected, unified
 
@@ -22,7 +22,7 @@ def lines(spark, sf_dir):
 
 
 def party_classified(spark, sf_dir):
-    return classify(with_points(fill_name(unified(spark, sf_dir))), PARTY_RULES)
+    return classify(with_points(fill_name(dealt(unified(spark, sf_dir)))), PARTY_RULES)
 
 
 def reject_counts(spark, sf_dir):
