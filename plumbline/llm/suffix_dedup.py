@@ -4,7 +4,8 @@ A shard (see `passages`: what can repeat at all, dealt out by anchor) is cut int
 its transform and the row each row steps back to. All blocks are then merged together: starting from the blocks one after another, each
 round puts the rows in the order of their preceding byte, stably, and steps back; after round t the rows of all blocks are interleaved by
 their first t bytes. Neighbours that part in round t have t - 1 bytes in common, so after as many rounds as a window has bytes, the rows that
-were never parted are the repeated intervals. No suffix is compared with another or sorted again.
+were never parted are the repeated intervals. No suffix is compared with another or sorted again. A row that is alone in its interval keeps its
+place, and so do, one round later, the rows that step back to it; rounds deal with the other rows only.
 """
 
 from __future__ import annotations
@@ -44,22 +45,34 @@ def merged(blocks: list[Block], depth: int) -> tuple[np.ndarray, np.ndarray, np.
     """Rows of all blocks (numbered one block after another) in the order of their first `depth` bytes, the number of the interval of equal
     prefixes each lies in, and the bytes each has in common with the one before it (at most `depth`)."""
     offset = np.cumsum([0] + [len(b.order) for b in blocks])
+    n = int(offset[-1])
+    whole = np.int32 if n < 1 << 23 else np.int64  # holds an interval and a byte
     before = np.concatenate([b.before for b in blocks])
-    back = np.concatenate([b.back + o for b, o in zip(blocks, offset)])
-    rows = np.arange(len(before))
-    interval = np.zeros(len(before), np.int32)
-    common = np.full(len(before), depth, np.int32)
+    back = np.concatenate([b.back + o for b, o in zip(blocks, offset)]).astype(whole)
+    own = np.arange(n, dtype=whole)
+    rows, common = np.arange(n), np.full(n, depth, np.int32)
+    #: Rows that share their first k bytes with another one, the places they fill, and the intervals of the rows that step back to them.
+    shared, place, group = np.ones(n, bool), rows.copy(), np.zeros(n, whole)
     for k in range(depth):
-        byte = before[rows]
+        stepped = back[own]
+        keep = np.flatnonzero(shared[stepped])
+        byte = before[own[keep]]
         order = np.argsort(byte, kind="stable")
-        byte, own = byte[order], interval[order]
-        parted = np.empty(len(rows), bool)
-        parted[:1] = False
-        parted[1:] = (byte[1:] != byte[:-1]) | (own[1:] != own[:-1])
-        rows = back[rows[order]]
-        common[parted & (common == depth)] = k  # boundaries never move: a place once parted stays parted
-        interval = np.cumsum(parted, dtype=np.int32)
-    return rows, interval, common
+        keep = keep[order]
+        own, key = stepped[keep], (group[keep] << 8) | byte[order]
+        parted = np.ones(len(own) + 1, bool)
+        parted[1:-1] = key[1:] != key[:-1]
+        edge = place[parted[:-1]]
+        common[edge] = np.minimum(common[edge], k)  # boundaries never move: a place once parted stays parted
+        alone = parted[:-1] & parted[1:]
+        rows[place[alone]] = own[alone]
+        shared[own[alone]] = False
+        place, group = place[~alone], np.cumsum(parted[:-1], dtype=whole)
+        if not len(place):
+            break
+    rows[place] = own[shared[own]]
+    common[:1] = depth
+    return rows, np.cumsum(common < depth, dtype=np.int32), common
 
 
 def repeats(contents: list[bytes], ids: list[int], starts: list[int], window: int, block_bytes: int = BLOCK_BYTES) -> list[np.ndarray]:

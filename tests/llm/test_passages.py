@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.llm import substring_dedup, suffix_dedup
+from plumbline.llm import passages, substring_dedup, suffix_dedup
 from plumbline.llm.arrays import BYTE_VALUES
 from plumbline.llm.filters import xxhash_longs
 from plumbline.llm.passages import runs_of
@@ -73,6 +73,36 @@ def test_bytes(spark, documents, hot, shard_bytes):
     assert all(a["last"] + 1 < b["first"] for r in found for a, b in zip(r["spans"], r["spans"][1:]))
 
 
+@pytest.mark.parametrize("operator,left,window,sep", [(substring_dedup, words_left, 12, " "), (suffix_dedup, bytes_left, 40, ", ")])
+def test_windows_of_a_common_passage_are_named_in_stretches(spark, documents, monkeypatch, operator, left, window, sep):
+    rnd = random.Random(5)
+    common = [f"common{k}" for k in range(60)]
+    rows = [(k, sep.join([f"x{rnd.randrange(10**6)}", *common[rnd.randrange(2) :], f"y{rnd.randrange(10**6)}"])) for k in range(60)]
+    made = {}
+
+    def counted(df, name, staged=passages.staged):
+        out = staged(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(passages, "staged", counted)
+    found = operator.without_repeats(documents(rows), window=window, hot=4).collect()
+    assert {r["doc_id"]: bytes(r["kept"]) if operator is suffix_dedup else r["kept"] for r in found} == {d: x[2] for d, x in left(rows, window).items()}
+    assert 0 < made["hot-windows"] <= 8 * made["hot-contents"]  # up to window - gram + 1 (33 bytes) for each content before
+
+
+def test_only_shared_rows_go_through_all_rounds(monkeypatch):
+    rnd = np.random.default_rng(2)
+    texts = [np.append(rnd.integers(1, 200, 400), 255).astype(np.uint8) for _ in range(4)]
+    texts[2][100:160] = texts[0][30:90]
+    blocks, sorted_rows = [suffix_dedup.Block(t) for t in texts], []
+    argsort = np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, **b: (sorted_rows.append(len(a)), argsort(a, **b))[1])
+    rows, _, common = suffix_dedup.merged(blocks, 50)
+    assert sorted(rows.tolist()) == list(range(1604)) and (common == 50).sum() == 12  # the first place, and 11 windows that stand twice
+    assert sum(sorted_rows) < 10 * 1604  # 50 times before
+
+
 @pytest.mark.parametrize("operator", [substring_dedup, suffix_dedup])
 def test_odd_rows(spark, documents, operator):
     text = " ".join(f"word{k}" for k in range(80))
