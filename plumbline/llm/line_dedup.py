@@ -11,6 +11,8 @@ leave out a character outside that half.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +33,17 @@ VARIANTS = """transform(sequence(CASE WHEN head THEN 1 + CASE WHEN tail THEN 0 E
   p -> struct(p AS p, xxhash64(concat(left(line, p - 1), substr(line, p + 1))) AS v))"""
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, text, length and 128-bit name of every line that is not blank."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).where(F.trim(F.translate("line", "\t\r\x0b\x0c", "    ")) != "")
+#: What a blank line is made of.
+BLANKS = " \t\r\x0b\x0c"
+
+
+def places(docs: DataFrame) -> DataFrame:
+    """doc_id, line_no and text of every line that is not blank."""
+    return docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).where(F.ltrim("line", F.lit(BLANKS)) != "")
+
+
+def named(lines: DataFrame) -> DataFrame:
+    """Length and 128-bit name of each line beside it."""
     return lines.select("doc_id", "line_no", "line", F.length("line").cast("int").alias("n"), F.xxhash64("line").alias("a"), F.xxhash64(F.lit("second"), "line").alias("b"))
 
 
@@ -45,8 +55,8 @@ def neighbours(lines: DataFrame, seen: DataFrame, firsts: DataFrame, min_chars:
         F.max(F.col("which") % 2 == 0).alias("head"), F.max(F.col("which") % 2 == 1).alias("tail"))
     #: Only the first place of a candidate line gives its text.
     sides = staged(firsts.join(sides, "a"), "line-candidates")
-    wanted = where_bit(lines.where(F.col("n") >= min_chars), F.xxhash64("doc_id", "line_no"), bit_table(sides.select(F.xxhash64("first.doc_id", "first.line_no").alias("at"))))
-    wanted = wanted.groupBy("a", "b", "doc_id", "line_no").agg(F.min("line").alias("line"))
+    wanted = where_bit(lines, F.xxhash64("doc_id", "line_no"), bit_table(sides.select(F.xxhash64("first.doc_id", "first.line_no").alias("at"))))
+    wanted = named(wanted).where(F.col("n") >= min_chars).groupBy("a", "b", "doc_id", "line_no").agg(F.min("line").alias("line"))
     candidates = sides.join(wanted, ["a", "b"]).where("first.doc_id = doc_id AND first.line_no = line_no").select("a", "b", "first", "line", F.length("line").cast("int").alias("n"), "head", "tail")
     candidates = staged(candidates, "line-texts")
     rows = candidates.select("a", "b", "first", F.explode(F.concat(F.expr(VARIANTS), F.expr("array(struct(0 AS p, xxhash64(line) AS v))"))).alias("e")).select("a", "b", "first", "e.p", "e.v")
@@ -76,8 +86,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     alike, line number by line number. Columns n_lines and n_removed of `docs` are replaced; all other columns stay.
     """
     docs = docs.drop("n_lines", "n_removed")
-    lines = lines_of(docs.where("doc_id IS NOT NULL").select("doc_id", "text"))
-    seen = staged(lines.select("doc_id", "line_no", "a", "b", F.expr(HALVES.format(least=max(2, min_chars))).alias("halves")), "lines")
+    lines = places(docs.where("doc_id IS NOT NULL").select("doc_id", "text"))
+    seen = staged(named(lines).select("doc_id", "line_no", "a", "b", F.expr(HALVES.format(least=max(2, min_chars))).alias("halves")), "lines")
     firsts = staged(seen.groupBy("a", "b").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("places")), "first-lines")
     near = neighbours(lines, seen, firsts.drop("places"), min_chars)
     kept = firsts.join(near, ["a", "b"], "left").where("places > 1 OR near < first").select("a", "b", F.least("first", "near").alias("kept"))
@@ -85,10 +95,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     gone = seen.select("doc_id", "line_no", "a", "b").join(kept, ["a", "b"]).where("struct(doc_id, line_no) > kept")
     gone = gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("_gone"))
     joined = docs.join(gone.withColumnRenamed("doc_id", "_doc"), F.col("doc_id") == F.col("_doc"), "left")
-    parts = F.split("text", "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda k: F.get(parts, k)), "\n"))
-    blank = F.size(F.filter(parts, lambda s: F.trim(F.translate(s, "\t\r\x0b\x0c", "    ")) == ""))
+    #: Rows that lose nothing keep their text as it is; in the others the parts are made once a row, not once a line.
+    name = f"parts_{uuid.uuid4().hex}"
+    lose, parts = F.col("_gone").isNotNull(), F.col(name)
+    blank = F.size(F.filter(parts, lambda s: F.ltrim(s, F.lit(BLANKS)) == ""))
+    left = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone")), lambda k: F.get(parts, k)), "\n")
+    joined = joined.withColumn(name, F.split("text", "\n", -1))
     return joined.select(
-        *(text.alias("text") if c == "text" else F.col(c) for c in docs.columns),
+        *(F.when(lose, left).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c) for c in docs.columns),
         F.when(F.col("text").isNull(), 0).otherwise(F.size(parts) - blank).cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))

@@ -60,3 +60,12 @@ def test_long_line(spark, documents):
 def test_no_python_in_the_plan(spark, documents):
     plan = dedup_lines(documents([(1, "a line of some length, repeated"), (2, "a line of some length, repeated")]))._jdf.queryExecution().executedPlan().toString()
     assert "Arrow" not in plan and "Python" not in plan
+
+
+def test_a_text_is_split_once_a_row(spark, documents):
+    """Not once for each line that stays, nor for each line that is tested for being blank."""
+    plan = dedup_lines(documents([(1, "a line\n \t\r\x0b\x0c\nanother line"), (2, "a line\nmore")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "get(split(" not in plan and "split(text" in plan and "translate(" not in plan
+    rows = [(1, "a line\n \t\r\x0b\x0c\n\u00a0\nanother line"), (2, "\x0c\na line\nmore\x0b\n\n")]
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in dedup_lines(documents(rows)).collect()}
+    assert got == {1: (rows[0][1], 3, 0), 2: ("\x0c\nmore\x0b\n\n", 2, 1)}
