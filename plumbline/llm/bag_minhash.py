@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.arrays import Rolling, mixed, row_slices, rows_of, text_buffers, words_of
+from plumbline.llm.arrays import Rolling, mixed, row_slices, text_buffers, words_of
 from plumbline.llm.components import SMALL, components, narrow, sent
 from plumbline.llm.crowds import candidates, references
 from plumbline.llm.filters import bit_table, where_bit
@@ -35,6 +35,10 @@ BANDS, BAND_ROWS = 72, 8
 #: Rows of one slice, so that row and shingle hash fit into one 64-bit sort key.
 ROW_BITS = 12
 HASH_BITS = 64 - ROW_BITS
+#: Bytes of text that points are drawn for at once, and that are hashed at once; signatures that keys are made of at once.
+DRAWN_BYTES = 1 << 20
+HASHED_BYTES = 1 << 16
+KEYED_ROWS = 256
 #: Buckets with more open members after the first round are crowds.
 CROWD = 16
 #: Most pivots of another bucket in a round: four after the first round, then as many as it has members.
@@ -59,6 +63,19 @@ def shingles(data: np.ndarray, bounds: np.ndarray, size: int = SHINGLE) -> tuple
     return (key >> np.uint64(HASH_BITS)).astype(np.int64), key & np.uint64((1 << HASH_BITS) - 1), weight
 
 
+def bags(bounds: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """First row, bounds and `shingles` of stretches of rows: as long as points are best drawn for at once, hashed in shorter ones, so that
+    numbers are held for each shingle of a stretch but for each byte of a few texts only."""
+    for a, b in row_slices(bounds, DRAWN_BYTES):
+        for a in range(a, b, 1 << ROW_BITS):
+            own = bounds[a : min(b, a + (1 << ROW_BITS)) + 1]
+            found = []
+            for x, y in row_slices(own, HASHED_BYTES):
+                rows, shingle, weight = shingles(data[own[x] : own[y]], own[x : y + 1] - own[x])
+                found.append((rows + x, shingle, weight))
+            yield a, own, *(np.concatenate(x) for x in zip(*found))
+
+
 def _uniform(x: np.ndarray) -> np.ndarray:
     """(0, 1] from the top 53 bits."""
     return ((x >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53
@@ -139,23 +156,23 @@ def signed(docs: DataFrame, bands: int, band_rows: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = text_buffers(batch.column(1))
-            for a, b in row_slices(bounds):
-                for a in range(a, b, 1 << ROW_BITS):
-                    own = bounds[a : min(b, a + (1 << ROW_BITS)) + 1]
-                    n = len(own) - 1
-                    text = data[own[0] : own[-1]]
-                    rows, shingle, weight = shingles(text, own - own[0])
-                    edges = np.searchsorted(rows, np.arange(n + 1))
-                    unit = mixed(shingle * np.uint64(0x2545F4914F6CDD1D) + weight.astype(np.uint64))
-                    names = [Rolling(unit, salt).of(edges[:-1], edges[1:]) for salt in (1, 2)]
-                    bare = edges[1:] == edges[:-1]
-                    plain = [Rolling(text.astype(np.uint64) + np.uint64(salt)).of(own[:-1] - own[0], own[1:] - own[0]) for salt in (3, 5)]
-                    names = [np.where(bare, p, x).view(np.int64) for p, x in zip(plain, names)]
-                    signature = signatures(rows, shingle, weight, n, bands * band_rows)
-                    keys, sketch = band_keys(signature, bands, band_rows), sketches(signature)
-                    bits = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * sketch.shape[1], pa.int32()), pa.array(sketch.ravel()))
-                    full = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.where(bare, 0, bands))), pa.int32()), pa.array(keys[~bare].ravel()))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), *map(pa.array, names), full, bits], ["doc_id", "name_a", "name_b", "bands", "sketch"])
+            for a, own, rows, shingle, weight in bags(bounds, data):
+                n = len(own) - 1
+                edges = np.searchsorted(rows, np.arange(n + 1))
+                unit = mixed(shingle * np.uint64(0x2545F4914F6CDD1D) + weight.astype(np.uint64))
+                names = [Rolling(unit, salt).of(edges[:-1], edges[1:]) for salt in (1, 2)]
+                bare = edges[1:] == edges[:-1]
+                for k in np.flatnonzero(bare):
+                    plain = data[own[k] : own[k + 1]].astype(np.uint64)
+                    for name, salt in zip(names, (3, 5)):
+                        name[k : k + 1] = Rolling(plain + np.uint64(salt)).of(np.array([0]), np.array([len(plain)]))
+                signature = signatures(rows, shingle, weight, n, bands * band_rows)
+                parts = [signature[k : k + KEYED_ROWS] for k in range(0, n, KEYED_ROWS)]
+                keys, sketch = np.concatenate([band_keys(x, bands, band_rows) for x in parts]), np.concatenate([sketches(x) for x in parts])
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * sketch.shape[1], pa.int32()), pa.array(sketch.ravel()))
+                full = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.where(bare, 0, bands))), pa.int32()), pa.array(keys[~bare].ravel()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, n), *(pa.array(x.view(np.int64)) for x in names), full, bits], ["doc_id", "name_a", "name_b", "bands", "sketch"])
 
     return docs.mapInArrow(sign, "doc_id long, name_a long, name_b long, bands array<long>, sketch array<long>")
 
@@ -171,12 +188,9 @@ def multisets(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """Shingles (sorted) and multiplicities of each text."""
     found = []
     data, bounds = text_buffers(column)
-    for a, b in row_slices(bounds):
-        for a in range(a, b, 1 << ROW_BITS):
-            own = bounds[a : min(b, a + (1 << ROW_BITS)) + 1]
-            rows, shingle, weight = shingles(data[own[0] : own[-1]], own - own[0])
-            edges = np.searchsorted(rows, np.arange(len(own)))
-            found.extend((shingle[x:y], weight[x:y]) for x, y in zip(edges[:-1], edges[1:]))
+    for _, own, rows, shingle, weight in bags(bounds, data):
+        edges = np.searchsorted(rows, np.arange(len(own)))
+        found.extend((shingle[x:y], weight[x:y]) for x, y in zip(edges[:-1], edges[1:]))
     return found
 
 

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from plumbline.llm import bag_minhash
@@ -94,3 +95,19 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(41)} | {50: 50, 60: 50, 100: 50}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_signatures_in_stretches(monkeypatch):
+    """Names, keys and sketches don't depend on how texts are cut for hashing, and no array is longer than a stretch needs."""
+    texts = [" ".join(f"w{(k * j) % 97}" for j in range(k % 60)) + " é!" * (k % 3) for k in range(300)] + ["", " ", "...", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    class Batches:
+        def mapInArrow(self, sign, schema):
+            return pa.Table.from_batches(sign(iter([batch]))).to_pylist()
+
+    whole, longest, words_of = bag_minhash.signed(Batches(), 12, 2), [], bag_minhash.words_of
+    monkeypatch.setattr(bag_minhash, "HASHED_BYTES", 700)
+    monkeypatch.setattr(bag_minhash, "words_of", lambda data, bounds: (longest.append(len(data)), words_of(data, bounds))[1])
+    assert bag_minhash.signed(Batches(), 12, 2) == whole
+    assert max(longest) <= 700 and len({(r["name_a"], r["name_b"]) for r in whole[-4:]}) == 3
