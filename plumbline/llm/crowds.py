@@ -14,9 +14,15 @@ a pair that is not returned is below t or joined with the hub already.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.filters import has_hash, member_bits, xxhash_longs
 from plumbline.llm.shared import staged
 
 #: Rounding of the slack, far below the sixth of a unit by which slacks that matter differ for any usual t.
@@ -30,20 +36,56 @@ def references(rows: DataFrame, least: int) -> DataFrame:
     return found.where(F.col("members") > least).select("bucket", (-F.col("m.least")).alias("ref"))
 
 
+def tallied(differing: DataFrame) -> DataFrame:
+    """ref, unit and c, in how many members it differs. What members of a batch share is one row from the start."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units = batch.column(1)
+            unit = units.flatten().to_numpy()
+            ref = np.repeat(batch.column(0).to_numpy(), pc.list_value_length(units).to_numpy())
+            order = np.lexsort((unit, ref))
+            unit, ref = unit[order], ref[order]
+            new = np.ones(len(unit), bool)
+            new[1:] = (unit[1:] != unit[:-1]) | (ref[1:] != ref[:-1])
+            at = np.flatnonzero(new)
+            yield pa.RecordBatch.from_arrays([pa.array(ref[at]), pa.array(unit[at]), pa.array(np.diff(np.append(at, len(unit))))], ["ref", "unit", "c"])
+
+    return differing.select("ref", "units").mapInArrow(count, "ref long, unit long, c long").groupBy("ref", "unit").agg(F.sum("c").alias("c"))
+
+
 def grounded(differing: DataFrame) -> DataFrame:
     """`differing` (ref, id, n, units) with the units against the ground of each crowd instead of against `ref`: d, sorted keys, each of how
     many members have the difference (twice its binary logarithm, 7 bits) and the unit (56 bits), so the rarest come first."""
-    single = differing.select("ref", "id", F.explode("units").alias("unit"))
-    counts = single.groupBy("ref", "unit").agg(F.count("*").alias("c")).join(differing.groupBy("ref").agg(F.count("*").alias("m")), "ref")
-    #: A unit in which more than half differ from ref stands on the other side in the ground.
+    counts = tallied(differing).where("c > 1").join(differing.groupBy("ref").agg(F.count("*").alias("m")), "ref")
+    #: What only one member has needs no count. A unit in which more than half differ from ref stands on the other side in the ground.
     rank = "shiftleft(CAST(floor(2 * log2(greatest(1, CASE WHEN 2 * c > m THEN m - c ELSE c END))) AS bigint), 56)"
     keys = staged(counts.select("ref", "unit", F.expr("2 * c > m").alias("turned"), F.expr(f"{rank} | (unit & {(1 << 56) - 1})").alias("key")), "crowd-units")
-    turned = keys.where("turned").groupBy("ref").agg(F.collect_list("key").alias("turned"))  # fewer than twice the units of a member on average
-    own = single.join(keys, ["ref", "unit"]).groupBy("ref", "id").agg(
-        F.collect_list(F.when(~F.col("turned"), F.col("key"))).alias("stay"), F.collect_list(F.when(F.col("turned"), F.col("key"))).alias("there"))
-    held = differing.select("ref", "id", "n").join(own, ["ref", "id"], "left").join(turned, "ref", "left")
-    stay, there, back = (F.coalesce(c, F.array().cast("array<bigint>")) for c in ("stay", "there", "turned"))
-    return held.select("ref", "id", "n", F.sort_array(F.concat(stay, F.array_except(back, there))).alias("d"))
+    turned = keys.where("turned").groupBy("ref").agg(F.collect_list(F.struct("unit", "key")).alias("t"))  # fewer than twice the units of a member on average
+    turned = turned.select("ref", F.col("t.unit").alias("there"), F.col("t.key").alias("back"))
+    plain = keys.where("NOT turned")
+    shared = member_bits(plain.where(f"key >= {1 << 56}").select(F.xxhash64("ref", "unit").alias("at")), hashed=True)
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.int64())
+        for batch in batches:
+            asked, known = [], []
+            for ref, own, there, back in zip(batch.column(0).to_pylist(), *batch.columns[3:]):
+                own = own.values.to_numpy()
+                known.append(np.zeros(0, np.int64))
+                if there.is_valid:
+                    there, back = there.values.to_numpy(), back.values.to_numpy()
+                    known[-1], own = back[~np.isin(there, own)], own[~np.isin(own, there)]
+                may = has_hash(shared.value, xxhash_longs(np.full(len(own), ref), own))
+                asked.append(own[may])
+                known[-1] = np.append(known[-1], own[~may] & ((1 << 56) - 1))  # only this member has them: the rarest
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(asked, kind), pa.array(known, kind)], ["ref", "id", "n", "asked", "known"])
+
+    held = differing.join(turned, "ref", "left").select("ref", "id", "n", "units", "there", "back").mapInArrow(turn, "ref long, id long, n long, asked array<long>, known array<long>")
+    held = staged(held, "crowd-differences")
+    #: Differences that most members have, or only one, are no rows of their own.
+    own = held.select("ref", "id", F.explode("asked").alias("unit")).join(plain.select("ref", "unit", "key"), ["ref", "unit"]).groupBy("ref", "id").agg(F.collect_list("key").alias("keys"))
+    return held.join(own, ["ref", "id"], "left").select("ref", "id", "n", F.sort_array(F.concat(F.coalesce("keys", F.array().cast("array<bigint>")), "known")).alias("d"))
 
 
 def _shared(slack: str) -> str:
@@ -65,8 +107,10 @@ def candidates(differing: DataFrame, members: DataFrame, threshold: float) -> Da
     joined = docs.where("near AND root <> hub.root").select("id", F.col("hub.id").alias("other"))
     outside = docs.where("NOT near").groupBy("ref").agg(F.min("s").alias("least"))
     docs = docs.join(outside, "ref").withColumn("short", F.expr(f"size - {_shared('s + least')} + 1")).withColumn("long", F.expr(f"CASE WHEN near THEN short ELSE size - {_shared('s + hub.s')} + 1 END"))
-    rows = docs.select("ref", "id", "root", "near", "s", "size", "short", F.posexplode(F.expr("slice(d, 1, greatest(0, long))")).alias("at", "key"))
-    rows = staged(rows.where(f"key >= {1 << 56}"), "crowd-prefixes")  # a difference that only one has joins nothing
+    #: A difference that only one has joins nothing; these come first.
+    docs = docs.withColumn("lone", F.expr(f"size(filter(d, k -> k < {1 << 56}))"))
+    rows = docs.select("ref", "id", "root", "near", "s", "size", "short", "lone", F.posexplode(F.expr("slice(d, lone + 1, greatest(0, long - lone))")).alias("at", "key"))
+    rows = staged(rows.withColumn("at", F.expr("at + lone")).drop("lone"), "crowd-prefixes")
     x, y = rows.where("NOT near").alias("x"), rows.where("at < short").alias("y")
     enough = f"(x.s + y.s) / 2 - {EPS} <= least(x.size - x.at, y.size - y.at)"
     same = F.expr("x.ref = y.ref AND x.key = y.key AND x.root <> y.root AND (y.near OR (x.at < x.short AND x.id < y.id))")

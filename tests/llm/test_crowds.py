@@ -54,3 +54,24 @@ def test_spread_crowd_makes_few_candidates(spark):
     differing = spark.createDataFrame([(0, k, len(s), sorted(s ^ ground)) for k, s in enumerate(sets)], "ref long, id long, n long, units array<long>")
     members = spark.createDataFrame([(0, k, k) for k in range(400)], "ref long, id long, root long")
     assert crowds.candidates(differing, members, 0.8).count() < 2000
+
+
+def test_differences_of_one_member_or_of_most_are_no_rows(spark, monkeypatch):
+    """Each member lacks what most lack of ref, has own units, and a few have one in common: only the last are counted and joined."""
+    ref = set(range(50))
+    sets = [set(range(20, 50)) | {1000 + 50 * k + j for j in range(30)} | ({500} if k < 3 else set()) for k in range(60)]
+    differing = spark.createDataFrame([(0, k, len(s), sorted(s ^ ref)) for k, s in enumerate(sets)], "ref long, id long, n long, units array<long>")
+    made = {}
+
+    def counted(df, name, staged=crowds.staged):
+        out = staged(df, name)
+        made[name] = out
+        return out
+
+    monkeypatch.setattr(crowds, "staged", counted)
+    got = {r["id"]: r["d"] for r in crowds.grounded(differing).collect()}
+    assert made["crowd-units"].count() == 21
+    assert made["crowd-differences"].selectExpr("sum(size(asked))").first()[0] < 60  # 3, and what the filter lets through
+    for k, s in enumerate(sets):
+        assert [d & ((1 << 56) - 1) for d in got[k]] == sorted(s - set(range(20, 50)) - {500}) + [500] * (500 in s)
+        assert sum(d >> 56 for d in got[k]) == (3 if 500 in s else 0)  # 2 log2(3), rounded down
