@@ -12,13 +12,16 @@ Whatever stands in two places stands in runs of the same anchor. So:
    it (what a short common line is surrounded by is different in each document), and the rest meets in the operator's own text index.
 
 An anchor with more than HOT contents (a common passage with varied text around it) is not given to one shard: its windows, without those that
-go in the same way, are named by 128-bit hashes, and first places are grouped minima: of stretches of several windows, and of the single windows of each different stretch.
+go in the same way, are named by 128-bit hashes in stretches of neighbouring ones, and first places are grouped minima. A stretch that stands
+nowhere earlier as a whole is cut into shorter ones, down to single windows, but only if what all windows of it have in common stands in another
+such stretch: else none of its windows stands elsewhere.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +38,8 @@ PLACE_BITS = 28
 SLICE_BYTES = 1 << 16
 #: Contents of one anchor beyond which it is not compared in one shard.
 HOT = 512
-#: Neighbouring windows of such an anchor that are named together first.
-STRETCH = 8
+#: Neighbouring windows of such an anchor that are named together: first, then within what has to be cut, and so on.
+STRETCHES = (8, 2, 1)
 #: Bytes of contents in one shard.
 SHARD_BYTES = 1 << 18
 
@@ -249,7 +252,7 @@ def repeatable(content: list[bytes], anchor: np.ndarray, kind: Kind) -> tuple[np
 
 def _stretches(rows: DataFrame, kind: Kind, width: int) -> DataFrame:
     """The windows of `rows` (anchor, name, doc_id, start, content, head, tail, base) in stretches of `width`, counted from the anchor: 128-bit
-    name (x, y), first and last window, and what they cover. `base` is added to the windows; of those with the longer side before (behind) the
+    name (x, y), first and last window, what they cover, and a hash of what all windows of a full stretch there have in common (core). `base` is added to the windows; of those with the longer side before (behind) the
     anchor, none are made where `head` (`tail`) is false. Equal stretches of an anchor are at the same distance from it."""
     half = (kind.window - kind.gram) // 2
 
@@ -267,6 +270,8 @@ def _stretches(rows: DataFrame, kind: Kind, width: int) -> DataFrame:
                 last = np.minimum(high[row] - 1, before[row] - step * width)
                 a, b = at[row] + first, at[row] + last + kind.window
                 names = [Rolling(units, salt).of(a, b).view(np.int64) for salt in (1, 2)]
+                farthest = np.minimum((step + 1) * width - 1, kind.window - kind.gram)
+                core = Rolling(units, 3).of(place[row] - step * width, place[row] - farthest + kind.window).view(np.int64)
                 if starts is not None:
                     a, b = starts[a], ends[b - 1]
                 data = own.column(4).to_pylist() if width > 1 else None
@@ -274,27 +279,29 @@ def _stretches(rows: DataFrame, kind: Kind, width: int) -> DataFrame:
                 content = pa.array([whole[x:y] for x, y in zip(a.tolist(), b.tolist())] if data else [None] * len(row), pa.binary())
                 take = [own.column(c).take(pa.array(row)) for c in range(4)]
                 shifts = [pa.array((base[row] + x).astype(np.int32)) for x in (first, last)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, names), *take, *shifts, content], ["x", "y", "anchor", "name", "doc_id", "start", "first", "last", "content"])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, names), *take, *shifts, content, pa.array(core)], ["x", "y", "anchor", "name", "doc_id", "start", "first", "last", "content", "core"])
 
     return rows.select("anchor", "name", "doc_id", "start", "content", "head", "tail", "base").mapInArrow(
-        emit, "x long, y long, anchor long, name long, doc_id long, start long, first int, last int, content binary")
+        emit, "x long, y long, anchor long, name long, doc_id long, start long, first int, last int, content binary, core long")
 
 
-def _hot_windows(rows: DataFrame, kind: Kind, by_document: bool, width: int = STRETCH) -> DataFrame:
-    """The same answer for anchors with very many contents: first places by grouped minima, of stretches of windows, then of the windows of
-    those stretches that stand nowhere earlier as a whole."""
+def _hot_windows(rows: DataFrame, kind: Kind, by_document: bool, widths: tuple[int, ...] = STRETCHES) -> DataFrame:
+    """The same answer for anchors with very many contents: first places by grouped minima, of stretches of windows, then of shorter ones
+    within those that stand nowhere earlier as a whole and whose core another one of them has, too. The last of `widths` is 1."""
     place = F.struct("doc_id") if by_document else F.struct("doc_id", (F.col("start") + F.col("first")).alias("at"))
     rows = staged(rows.select("anchor", "name", "doc_id", "start", "content"), "hot-contents")
-    rows = rows.join(_sides(rows, kind), ["anchor", "name"]).withColumn("base", F.lit(0))
-    stretches = staged(_stretches(rows, kind, width), "hot-stretches")
-    earliest = stretches.groupBy("x", "y").agg(F.min(place).alias("least"))
-    stretches = staged(stretches.join(earliest, ["x", "y"]).withColumn("later", F.col("least") < place).drop("x", "y", "least"), "hot-judged")
-    rest = stretches.where("NOT later").select("anchor", "name", "doc_id", "start", "content", F.lit(True).alias("head"), F.lit(True).alias("tail"), F.col("first").alias("base"))
-    windows = staged(_stretches(rest, kind, 1).drop("content"), "hot-windows")
-    earliest = windows.groupBy("x", "y").agg(F.min(place).alias("least"))
-    later = windows.join(earliest, ["x", "y"]).where(F.col("least") < place)
-    gone = later.select("anchor", "name", "first", "last").unionByName(stretches.where("later").select("anchor", "name", "first", "last"))
-    return gone.groupBy("anchor", "name").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("gone"))
+    rows, gone = rows.join(_sides(rows, kind), ["anchor", "name"]).withColumn("base", F.lit(0)), []
+    for width in widths:
+        parts = staged(_stretches(rows, kind, width), "hot-stretches" if width > 1 else "hot-windows")
+        earliest = parts.groupBy("x", "y").agg(F.min(place).alias("least"))
+        parts = parts.join(earliest, ["x", "y"]).withColumn("later", F.col("least") < place).drop("x", "y", "least")
+        if width > 1:
+            parts = staged(parts, "hot-judged")
+            fresh = parts.where("NOT later")
+            cores = fresh.groupBy("anchor", "core").agg(F.min("name").alias("a"), F.max("name").alias("b")).where("a <> b").select("anchor", "core")
+            rows = fresh.join(cores, ["anchor", "core"], "left_semi").select("anchor", "name", "doc_id", "start", "content", F.lit(True).alias("head"), F.lit(True).alias("tail"), F.col("first").alias("base"))
+        gone.append(parts.where("later").select("anchor", "name", F.struct("first", "last").alias("g")))
+    return reduce(DataFrame.unionByName, gone).groupBy("anchor", "name").agg(F.sort_array(F.collect_set("g")).alias("gone"))
 
 
 def repeated_spans(docs: DataFrame, kind: Kind, compare: Callable[[list[bytes], list[int], list[int]], list[np.ndarray]], by_document: bool, hot: int = HOT, shard_bytes: int = SHARD_BYTES) -> DataFrame:

@@ -1,11 +1,11 @@
 """Suffix-array dedup of bytes: Burrows-Wheeler transforms of blocks are merged by iterative interleave refinement.
 
 A shard (see `passages`: what can repeat at all, dealt out by anchor) is cut into blocks. Each block has its suffixes sorted once, which gives
-its transform and the row each row steps back to. All blocks are then merged together: starting from the blocks one after another, each
-round puts the rows in the order of their preceding byte, stably, and steps back; after round t the rows of all blocks are interleaved by
-their first t bytes. Neighbours that part in round t have t - 1 bytes in common, so after as many rounds as a window has bytes, the rows that
-were never parted are the repeated intervals. No suffix is compared with another or sorted again. A row that is alone in its interval keeps its
-place, and so do, one round later, the rows that step back to it; rounds deal with the other rows only.
+its transform and the row each row steps back to. All blocks are then merged together: starting from the rows where windows end, one block
+after another, each round puts the rows in the order of their preceding byte, stably, and steps back; after round t the rows of all blocks are
+interleaved by their first t bytes. After as many rounds as a window has bytes, the rows stand where windows start, and those that were never
+parted are the repeated intervals. No suffix is compared with another or sorted again. A row that is alone in its interval stays alone, and so
+do the rows that step back to it; rounds deal with the other rows only, and with no row that no window reaches in that round.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.arrays import BYTE_VALUES, text_buffers, union_length
+from plumbline.llm.arrays import BYTE_VALUES, joined_ranges, text_buffers, union_length
 from plumbline.llm.decontaminate import suffix_array
 from plumbline.llm.passages import HOT, SHARD_BYTES, Kind, repeated_spans
 
@@ -31,48 +31,44 @@ RESULT = "doc_id long, n_bytes long, spans array<struct<first:long,last:long>>,
 
 
 class Block:
-    """The transform of some texts: for each row, the byte before it, the row of the suffix one byte longer, and its text position."""
+    """The transform of some texts: for each row, the byte before it, the row of the suffix one byte longer, and its text position; and the
+    row of each position."""
 
     def __init__(self, text: np.ndarray):
         self.order = suffix_array(text.astype(np.int64) + 1)
-        row = np.empty(len(text), np.int64)
-        row[self.order] = np.arange(len(text))
+        self.row = np.empty(len(text), np.int64)
+        self.row[self.order] = np.arange(len(text))
         self.before = text[self.order - 1]
-        self.back = row[self.order - 1]
+        self.back = self.row[self.order - 1]
 
 
-def merged(blocks: list[Block], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of all blocks (numbered one block after another) in the order of their first `depth` bytes, the number of the interval of equal
-    prefixes each lies in, and the bytes each has in common with the one before it (at most `depth`)."""
+def merged(blocks: list[Block], depth: int, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of all blocks (numbered one block after another) `depth` steps back from the rows `ends` that share their first `depth` bytes with
+    another such row, in the order of these bytes, the number of the interval of equal prefixes each lies in, and the bytes each is known to
+    have in common with the one before it (`depth` or 0). Without `ends` these are all rows, and those that are alone follow."""
     offset = np.cumsum([0] + [len(b.order) for b in blocks])
     n = int(offset[-1])
     whole = np.int32 if n < 1 << 23 else np.int64  # holds an interval and a byte
     before = np.concatenate([b.before for b in blocks])
     back = np.concatenate([b.back + o for b, o in zip(blocks, offset)]).astype(whole)
-    own = np.arange(n, dtype=whole)
-    rows, common = np.arange(n), np.full(n, depth, np.int32)
-    #: Rows that share their first k bytes with another one, the places they fill, and the intervals of the rows that step back to them.
-    shared, place, group = np.ones(n, bool), rows.copy(), np.zeros(n, whole)
-    for k in range(depth):
-        stepped = back[own]
-        keep = np.flatnonzero(shared[stepped])
-        byte = before[own[keep]]
+    own = np.arange(n, dtype=whole) if ends is None else ends.astype(whole)
+    group = np.zeros(len(own), whole)
+    for _ in range(depth):
+        if not len(own):
+            break
+        byte = before[own]
         order = np.argsort(byte, kind="stable")
-        keep = keep[order]
-        own, key = stepped[keep], (group[keep] << 8) | byte[order]
+        own, key = back[own[order]], (group[order] << 8) | byte[order]
         parted = np.ones(len(own) + 1, bool)
-        parted[1:-1] = key[1:] != key[:-1]
-        edge = place[parted[:-1]]
-        common[edge] = np.minimum(common[edge], k)  # boundaries never move: a place once parted stays parted
-        alone = parted[:-1] & parted[1:]
-        rows[place[alone]] = own[alone]
-        shared[own[alone]] = False
-        place, group = place[~alone], np.cumsum(parted[:-1], dtype=whole)
-        if not len(place):
-            break
-    rows[place] = own[shared[own]]
+        np.not_equal(key[1:], key[:-1], out=parted[1:-1])
+        shared = ~(parted[:-1] & parted[1:])
+        own, group = own[shared], np.cumsum(parted[:-1], dtype=whole)[shared]
+    if ends is None:
+        alone = np.setdiff1d(np.arange(n, dtype=whole), own)
+        own, group = np.append(own, alone), np.append(group, n + 1 + np.arange(len(alone)))
+    common = np.where(np.diff(group, prepend=-1) == 0, depth, 0)
     common[:1] = depth
-    return rows, np.cumsum(common < depth, dtype=np.int32), common
+    return own, group, common
 
 
 def repeats(contents: list[bytes], ids: list[int], starts: list[int], window: int, block_bytes: int = BLOCK_BYTES) -> list[np.ndarray]:
@@ -85,24 +81,22 @@ def repeats(contents: list[bytes], ids: list[int], starts: list[int], window: in
         if at[k + 1] - at[cuts[-1]] >= block_bytes or k + 1 == len(contents):
             cuts.append(k + 1)
     blocks = [Block(whole[at[a] : at[b]]) for a, b in zip(cuts[:-1], cuts[1:])]
-    rows, interval, common = merged(blocks, window)
-    #: Rows of intervals of two and more.
-    alike = np.flatnonzero((common == window) | np.append(common[1:] == window, False))
-    position = np.concatenate([b.order + at[a] for b, a in zip(blocks, cuts)])[rows[alike]]
+    windows = np.maximum(0, sizes - window + 1)
+    ends = joined_ranges(at[:-1] + window, windows)
+    rows, group, _ = merged(blocks, window, np.concatenate([b.row + at[a] for b, a in zip(blocks, cuts)])[ends])
+    position = np.concatenate([b.order + at[a] for b, a in zip(blocks, cuts)])[rows]
     text = np.searchsorted(at, position, side="right") - 1
     shift = position - at[text]
-    inside = shift + window <= sizes[text]
-    text, shift, group = text[inside], shift[inside], interval[alike][inside]
-    flags = [np.zeros(max(0, int(n) - window + 1), bool) for n in sizes]
+    bounds = np.cumsum(np.append(0, windows))
+    flags = np.zeros(bounds[-1], bool)
     if len(text):
         doc, place = np.asarray(ids)[text], np.asarray(starts)[text] + shift
         order = np.lexsort((place, doc, group))
         text, shift, group, doc, place = (x[order] for x in (text, shift, group, doc, place))
         head = np.maximum.accumulate(np.where(np.diff(group, prepend=-1) != 0, np.arange(len(group)), 0))
         late = (doc != doc[head]) | (place != place[head])
-        for t, s in zip(text[late].tolist(), shift[late].tolist()):
-            flags[t][s] = True
-    return flags
+        flags[bounds[text[late]] + shift[late]] = True
+    return [flags[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def _bytes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, None, None, np.ndarray]:

@@ -103,6 +103,40 @@ def test_only_shared_rows_go_through_all_rounds(monkeypatch):
     assert sum(sorted_rows) < 10 * 1604  # 50 times before
 
 
+@pytest.mark.parametrize("operator,left,window,sep", [(substring_dedup, words_left, 24, " "), (suffix_dedup, bytes_left, 100, ", ")])
+def test_only_stretches_with_a_shared_core_are_cut(spark, documents, monkeypatch, operator, left, window, sep):
+    """Copies that differ in one word each, which nothing else has: few of their windows are in doubt."""
+    rnd = random.Random(8)
+    base = [f"base{k:04}" for k in range(30)]
+    rows = [(0, sep.join(base))]
+    for k in range(1, 120):
+        at = rnd.randrange(30)
+        rows.append((k, sep.join([*base[:at], f"x{rnd.randrange(10**7):07}", *base[at + 1 :]])))
+    made = {}
+
+    def counted(df, name, staged=passages.staged):
+        out = staged(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(passages, "staged", counted)
+    found = operator.without_repeats(documents(rows), window=window, hot=4).collect()
+    assert {r["doc_id"]: bytes(r["kept"]) if operator is suffix_dedup else r["kept"] for r in found} == {d: x[2] for d, x in left(rows, window).items()}
+    assert made["hot-contents"] > 100
+    assert made["hot-stretches"] + made["hot-windows"] < 8 * made["hot-contents"], made
+
+
+def test_only_rows_that_a_window_reaches_are_merged(monkeypatch):
+    rnd = np.random.default_rng(3)
+    common = bytes(rnd.integers(1, 200, 110, dtype=np.uint8))
+    texts = [bytes(rnd.integers(1, 200, 29, dtype=np.uint8)) + bytes([k + 1]) + common for k in range(20)]
+    sorted_rows, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, **b: (sorted_rows.append(len(a)), argsort(a, **b))[1])
+    flags = suffix_dedup.repeats(texts, list(range(20)), [0] * 20, 100, block_bytes=500)
+    assert [np.flatnonzero(f).tolist() for f in flags] == [[]] + [list(range(30, 41))] * 19
+    assert max(sorted_rows) == 20 * 41 and sum(sorted_rows) < 100 * 20 * 41  # 20 * 141 rows before
+
+
 @pytest.mark.parametrize("operator", [substring_dedup, suffix_dedup])
 def test_odd_rows(spark, documents, operator):
     text = " ".join(f"word{k}" for k in range(80))
