@@ -27,6 +27,8 @@ from plumbline.llm.shared import staged
 
 #: Rounding of the slack, far below the sixth of a unit by which slacks that matter differ for any usual t.
 EPS = 1e-6
+#: Differing units of one packet, before those that members of a batch share are counted.
+PACKET_UNITS = 1 << 14
 
 
 def references(rows: DataFrame, least: int) -> DataFrame:
@@ -36,29 +38,51 @@ def references(rows: DataFrame, least: int) -> DataFrame:
     return found.where(F.col("members") > least).select("bucket", (-F.col("m.least")).alias("ref"))
 
 
-def tallied(differing: DataFrame) -> DataFrame:
-    """ref, unit and c, in how many members it differs. What members of a batch share is one row from the start."""
+def packed(differing: DataFrame, packets: int) -> DataFrame:
+    """The units of `differing` dealt out to packets by ref and unit: lists of refs, units, and in how many members of a batch each differs."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             units = batch.column(1)
             unit = units.flatten().to_numpy()
             ref = np.repeat(batch.column(0).to_numpy(), pc.list_value_length(units).to_numpy())
-            order = np.lexsort((unit, ref))
-            unit, ref = unit[order], ref[order]
-            new = np.ones(len(unit), bool)
-            new[1:] = (unit[1:] != unit[:-1]) | (ref[1:] != ref[:-1])
-            at = np.flatnonzero(new)
-            yield pa.RecordBatch.from_arrays([pa.array(ref[at]), pa.array(unit[at]), pa.array(np.diff(np.append(at, len(unit))))], ["ref", "unit", "c"])
+            ref, unit, c = _counted(ref, unit, np.ones(len(unit), np.int64))
+            packet = (xxhash_longs(ref, unit) % np.uint64(packets)).astype(np.int64)
+            order = np.argsort(packet, kind="stable")
+            own, at = np.unique(packet[order], return_index=True)
+            bounds = pa.array(np.append(at, len(packet)), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(own), *(pa.ListArray.from_arrays(bounds, pa.array(x[order])) for x in (ref, unit, c))], ["packet", "refs", "units", "counts"])
+
+    return differing.select("ref", "units").mapInArrow(pack, "packet long, refs array<long>, units array<long>, counts array<long>")
+
+
+def _counted(ref: np.ndarray, unit: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each ref and unit once, with the sum of its counts."""
+    order = np.lexsort((unit, ref))
+    ref, unit, c = ref[order], unit[order], c[order]
+    new = np.ones(len(unit), bool)
+    new[1:] = (unit[1:] != unit[:-1]) | (ref[1:] != ref[:-1])
+    at = np.flatnonzero(new)
+    return ref[at], unit[at], np.add.reduceat(c, at) if len(at) else c
+
+
+def tallied(differing: DataFrame) -> DataFrame:
+    """ref, unit and c, in how many members it differs, where that is more than one. What members of a batch share is counted there, and
+    what goes on travels in packets of bounded size: a difference that only one member has is never a row."""
+    packets = max(1, -(-(differing.agg(F.sum(F.size("units"))).first()[0] or 0) // PACKET_UNITS))
+
+    def add(table: pa.Table) -> pa.Table:
+        ref, unit, c = _counted(*(pc.list_flatten(table.column(k)).to_numpy() for k in ("refs", "units", "counts")))
+        return pa.table({"ref": ref[c > 1], "unit": unit[c > 1], "c": c[c > 1]})
 
-    return differing.select("ref", "units").mapInArrow(count, "ref long, unit long, c long").groupBy("ref", "unit").agg(F.sum("c").alias("c"))
+    return packed(differing, packets).groupBy("packet").applyInArrow(add, "ref long, unit long, c long")
 
 
 def grounded(differing: DataFrame) -> DataFrame:
     """`differing` (ref, id, n, units) with the units against the ground of each crowd instead of against `ref`: d, sorted keys, each of how
     many members have the difference (twice its binary logarithm, 7 bits) and the unit (56 bits), so the rarest come first."""
-    counts = tallied(differing).where("c > 1").join(differing.groupBy("ref").agg(F.count("*").alias("m")), "ref")
-    #: What only one member has needs no count. A unit in which more than half differ from ref stands on the other side in the ground.
+    counts = tallied(differing).join(differing.groupBy("ref").agg(F.count("*").alias("m")), "ref")
+    #: A unit in which more than half differ from ref stands on the other side in the ground.
     rank = "shiftleft(CAST(floor(2 * log2(greatest(1, CASE WHEN 2 * c > m THEN m - c ELSE c END))) AS bigint), 56)"
     keys = staged(counts.select("ref", "unit", F.expr("2 * c > m").alias("turned"), F.expr(f"{rank} | (unit & {(1 << 56) - 1})").alias("key")), "crowd-units")
     turned = keys.where("turned").groupBy("ref").agg(F.collect_list(F.struct("unit", "key")).alias("t"))  # fewer than twice the units of a member on average

@@ -75,3 +75,22 @@ def test_differences_of_one_member_or_of_most_are_no_rows(spark, monkeypatch):
     for k, s in enumerate(sets):
         assert [d & ((1 << 56) - 1) for d in got[k]] == sorted(s - set(range(20, 50)) - {500}) + [500] * (500 in s)
         assert sum(d >> 56 for d in got[k]) == (3 if 500 in s else 0)  # 2 log2(3), rounded down
+
+
+def test_differences_are_counted_in_packets(spark, monkeypatch):
+    """Of two crowds with their own counts, no row is made for each unit before the shuffle, and none at all for what one member has."""
+    monkeypatch.setattr(crowds, "PACKET_UNITS", 1000)
+    rows = [(ref, k, 1, [ref + 5, 10**6 + 1000 * k + ref, *range(100, 100 + k % 20)]) for ref in (0, 1) for k in range(200)]
+    differing = spark.createDataFrame(rows, "ref long, id long, n long, units array<long>").repartition(8, "id")
+    made = {}
+
+    def counted(df, packets, packed=crowds.packed):
+        out = packed(df, packets)
+        made[packets] = out.count()
+        return out
+
+    monkeypatch.setattr(crowds, "packed", counted)
+    got = {(r["ref"], r["unit"]): r["c"] for r in crowds.tallied(differing).collect()}
+    assert got == {(ref, ref + 5): 200 for ref in (0, 1)} | {(ref, 100 + j): 200 - 10 * (j + 1) for ref in (0, 1) for j in range(19)}
+    assert list(made) == [5] and made[5] <= 8 * 5  # 400 units of one member, and 40 others in each partition, before
+    assert crowds.tallied(differing.limit(0)).count() == 0
