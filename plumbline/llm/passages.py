@@ -252,8 +252,9 @@ def repeatable(content: list[bytes], anchor: np.ndarray, kind: Kind) -> tuple[np
 
 def _stretches(rows: DataFrame, kind: Kind, width: int) -> DataFrame:
     """The windows of `rows` (anchor, name, doc_id, start, content, head, tail, base) in stretches of `width`, counted from the anchor: 128-bit
-    name (x, y), first and last window, what they cover, and a hash of what all windows of a full stretch there have in common (core). `base` is added to the windows; of those with the longer side before (behind) the
-    anchor, none are made where `head` (`tail`) is false. Equal stretches of an anchor are at the same distance from it."""
+    name (x, y), first and last window, what they cover, and a hash of what all windows of a full stretch there have in common (core). `base`
+    is added to the windows; of those with the longer side before (behind) the anchor, none are made where `head` (`tail`) is false. Equal
+    stretches of an anchor are at the same distance from it."""
     half = (kind.window - kind.gram) // 2
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -43,16 +43,46 @@ class Block:
 
 
 def merged(blocks: list[Block], depth: int, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of all blocks (numbered one block after another) `depth` steps back from the rows `ends` that share their first `depth` bytes with
-    another such row, in the order of these bytes, the number of the interval of equal prefixes each lies in, and the bytes each is known to
-    have in common with the one before it (`depth` or 0). Without `ends` these are all rows, and those that are alone follow."""
+    """Rows of all blocks (numbered one block after another) in the order of their first `depth` bytes, the number of the interval of equal
+    prefixes each lies in, and the bytes each has in common with the one before it (at most `depth`). With `ends`, only rows `depth` steps
+    back from these, and of them only those that share all these bytes with another one; the first of an interval then has no bytes in common."""
     offset = np.cumsum([0] + [len(b.order) for b in blocks])
     n = int(offset[-1])
     whole = np.int32 if n < 1 << 23 else np.int64  # holds an interval and a byte
     before = np.concatenate([b.before for b in blocks])
     back = np.concatenate([b.back + o for b, o in zip(blocks, offset)]).astype(whole)
-    own = np.arange(n, dtype=whole) if ends is None else ends.astype(whole)
-    group = np.zeros(len(own), whole)
+    if ends is not None:
+        own, group = _reached(before, back, ends.astype(whole), depth)
+        return own, group, np.where(np.diff(group, prepend=-1) == 0, depth, 0)
+    own = np.arange(n, dtype=whole)
+    rows, common = np.arange(n), np.full(n, depth, np.int32)
+    #: Rows that share their first k bytes with another one, the places they fill, and the intervals of the rows that step back to them.
+    shared, place, group = np.ones(n, bool), rows.copy(), np.zeros(n, whole)
+    for k in range(depth):
+        stepped = back[own]
+        keep = np.flatnonzero(shared[stepped])
+        byte = before[own[keep]]
+        order = np.argsort(byte, kind="stable")
+        keep = keep[order]
+        own, key = stepped[keep], (group[keep] << 8) | byte[order]
+        parted = np.ones(len(own) + 1, bool)
+        parted[1:-1] = key[1:] != key[:-1]
+        edge = place[parted[:-1]]
+        common[edge] = np.minimum(common[edge], k)  # boundaries never move: a place once parted stays parted
+        alone = parted[:-1] & parted[1:]
+        rows[place[alone]] = own[alone]
+        shared[own[alone]] = False
+        place, group = place[~alone], np.cumsum(parted[:-1], dtype=whole)
+        if not len(place):
+            break
+    rows[place] = own[shared[own]]
+    common[:1] = depth
+    return rows, np.cumsum(common < depth, dtype=np.int32), common
+
+
+def _reached(before: np.ndarray, back: np.ndarray, own: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """`depth` rounds over the rows that are stepped back to from the rows `own`: those never alone, and the interval of each."""
+    group = np.zeros_like(own)
     for _ in range(depth):
         if not len(own):
             break
@@ -62,13 +92,8 @@ def merged(blocks: list[Block], depth: int, ends: np.ndarray | None = None) -> t
         parted = np.ones(len(own) + 1, bool)
         np.not_equal(key[1:], key[:-1], out=parted[1:-1])
         shared = ~(parted[:-1] & parted[1:])
-        own, group = own[shared], np.cumsum(parted[:-1], dtype=whole)[shared]
-    if ends is None:
-        alone = np.setdiff1d(np.arange(n, dtype=whole), own)
-        own, group = np.append(own, alone), np.append(group, n + 1 + np.arange(len(alone)))
-    common = np.where(np.diff(group, prepend=-1) == 0, depth, 0)
-    common[:1] = depth
-    return own, group, common
+        own, group = own[shared], np.cumsum(parted[:-1], dtype=own.dtype)[shared]
+    return own, group
 
 
 def repeats(contents: list[bytes], ids: list[int], starts: list[int], window: int, block_bytes: int = BLOCK_BYTES) -> list[np.ndarray]:
